@@ -6,11 +6,20 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from ..sources.shipping import ship_package
+
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    ship_package(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op2_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .jaccard_join import similarity_components
+
+    return similarity_components(_table(spark, sf_dir, "documents"), k=3, num=90, den=100)
+
+
 def op3_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     from .quality_rules import apply_quality_rules
 
@@ -25,6 +34,7 @@ def op5_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op2_ngram_jaccard": op2_ngram_jaccard,
     "op3_quality_rules": op3_quality_rules,
     "op5_fingerprints": op5_fingerprints,
 }
