@@ -33,10 +33,31 @@ def op5_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return edited_fingerprints(_table(spark, sf_dir, "documents"))
 
 
+def op6_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .mixing import mix_sources
+
+    return mix_sources(_table(spark, sf_dir, "documents"), ["doc_id"]).withColumnRenamed("mix_source", "source")
+
+
+def op9_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .line_dedup import dedup_lines
+
+    return dedup_lines(_table(spark, sf_dir, "documents"), ["doc_id", "text"])
+
+
+def op10_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .packing import pack
+
+    return pack(_table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_ngram_jaccard": op2_ngram_jaccard,
     "op3_quality_rules": op3_quality_rules,
     "op5_fingerprints": op5_fingerprints,
+    "op6_source_mixing": op6_source_mixing,
+    "op9_line_dedup": op9_line_dedup,
+    "op10_best_fit_packing": op10_best_fit_packing,
 }
 
 ORACLE_SQL: dict[str, str] = {}
