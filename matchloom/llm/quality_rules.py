@@ -94,34 +94,55 @@ def vote_columns(rules: list[tuple[str, str, str]] = RULES) -> list[Column]:
     return [F.when(F.expr(bad), -1).when(F.expr(good), 1).otherwise(0).cast("int").alias(f"vote_{name}") for name, bad, good in rules]
 
 
-def estimate(patterns: list[tuple[tuple[int, ...], int]], rounds: int = 60, floor: float = 0.55, ceiling: float = 0.95) -> tuple[float, list[float]]:
+#: Prior, and each rule's accuracy on good and on bad documents (of those it votes on).
+Accuracies = tuple[float, list[float], list[float]]
+
+
+def estimate(patterns: list[tuple[tuple[int, ...], int]], rounds: int = 100) -> Accuracies:
     """Prior and accuracies from counted vote patterns, by expectation-maximisation.
 
-    An accuracy is the probability that a vote, where the rule votes, names the true class.
-    It stays within [floor, ceiling], so classes can't swap and no rule decides alone.
+    A rule has one accuracy for good documents and one for bad ones: junk of one kind passes the
+    rules made for other kinds, so a good vote says less than a bad one. Documents start as
+    bad when two rules say so. Bounds keep the classes from swapping and any rule from deciding
+    against all others alone.
     """
     n_rules = len(patterns[0][0]) if patterns else 0
-    prior, accuracy = 0.8, [0.75] * n_rules
     total = sum(c for _, c in patterns)
-    for _ in range(rounds if total else 0):
-        good_mass, right, voted = 0.0, [1.5] * n_rules, [2.0] * n_rules
-        for votes, count in patterns:
-            p = posterior(votes, prior, accuracy)
-            good_mass += p * count
-            for r, v in enumerate(votes):
-                if v:
-                    voted[r] += count
-                    right[r] += count * (p if v > 0 else 1 - p)
-        moved = abs(prior - good_mass / total)
-        prior = min(0.98, max(0.02, good_mass / total))
-        accuracy = [min(ceiling, max(floor, a / b)) for a, b in zip(right, voted, strict=True)]
-        if moved < 1e-9:
+    if not total:
+        return 0.8, [0.9] * n_rules, [0.4] * n_rules
+    start = (0.95, 0.7, 0.1)
+    good = [start[min(2, sum(v < 0 for v in votes))] for votes, _ in patterns]
+    was = None
+    for _ in range(rounds):
+        prior = min(0.98, max(0.02, sum(p * c for p, (_, c) in zip(good, patterns, strict=True)) / total))
+        on_good, on_bad = [], []
+        for r in range(n_rules):
+            yes, said, no, spoke = 9.0, 10.0, 4.0, 10.0
+            for p, (votes, c) in zip(good, patterns, strict=True):
+                if votes[r]:
+                    said += p * c
+                    spoke += (1 - p) * c
+                    yes += p * c * (votes[r] > 0)
+                    no += (1 - p) * c * (votes[r] < 0)
+            on_good.append(min(0.99, max(0.6, yes / said)))
+            on_bad.append(min(0.95, max(1 - on_good[-1] + 0.02, no / spoke)))
+        found = (prior, on_good, on_bad)
+        good = [posterior(votes, found) for votes, _ in patterns]
+        if was is not None and abs(prior - was) < 1e-9:
             break
-    return prior, accuracy
+        was = prior
+    return found
+
+
+def log_odds(found: Accuracies) -> list[tuple[float, float]]:
+    """What a good and what a bad vote of each rule adds to the log odds of a good document."""
+    _, on_good, on_bad = found
+    return [(math.log(a / (1 - b)), math.log((1 - a) / b)) for a, b in zip(on_good, on_bad, strict=True)]
 
 
-def posterior(votes: tuple[int, ...], prior: float, accuracy: list[float]) -> float:
-    z = math.log(prior / (1 - prior)) + sum(v * math.log(a / (1 - a)) for v, a in zip(votes, accuracy, strict=True))
+def posterior(votes: tuple[int, ...], found: Accuracies) -> float:
+    prior = found[0]
+    z = math.log(prior / (1 - prior)) + sum((up if v > 0 else down) for v, (up, down) in zip(votes, log_odds(found), strict=True) if v)
     return 1 / (1 + math.exp(-z))
 
 
@@ -130,10 +151,10 @@ def apply_quality_rules(df: DataFrame, keep: list[str], text: str = "text", thre
     scored = materialise(text_features(df, keep, text).select("*", *vote_columns(rules)))
     names = [f"vote_{r[0]}" for r in rules]
     patterns = sorted((tuple(r[:-1]), r[-1]) for r in scored.groupBy(*names).count().collect())
-    prior, accuracy = estimate(patterns)
-    z = F.lit(math.log(prior / (1 - prior)))
-    for name, a in zip(names, accuracy, strict=False):
-        z = z + F.col(name) * F.lit(math.log(a / (1 - a)))
+    found = estimate(patterns)
+    z = F.lit(math.log(found[0] / (1 - found[0])))
+    for name, (up, down) in zip(names, log_odds(found), strict=False):
+        z = z + F.when(F.col(name) > 0, up).when(F.col(name) < 0, down).otherwise(F.lit(0.0))
     failed = (F.col("n_words") < 10) | (100 * F.col("n_repeat_words") > 20 * F.col("n_words"))
     return (
         scored.withColumn("quality", 1 / (1 + F.exp(-z)))

@@ -39,6 +39,12 @@ def op6_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mix_sources(_table(spark, sf_dir, "documents"), ["doc_id"]).withColumnRenamed("mix_source", "source")
 
 
+def op8_quality_model(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .quality_model import score_quality
+
+    return score_quality(_table(spark, sf_dir, "documents"), ["doc_id"])
+
+
 def op9_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     from .line_dedup import dedup_lines
 
@@ -56,6 +62,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_quality_rules": op3_quality_rules,
     "op5_fingerprints": op5_fingerprints,
     "op6_source_mixing": op6_source_mixing,
+    "op8_quality_model": op8_quality_model,
     "op9_line_dedup": op9_line_dedup,
     "op10_best_fit_packing": op10_best_fit_packing,
 }
