@@ -14,6 +14,12 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .html_extract import extract_main_text
+
+    return extract_main_text(_table(spark, sf_dir, "pages"), ["page_id", "url"])
+
+
 def op2_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
     from .jaccard_join import similarity_components
 
@@ -58,6 +64,7 @@ def op10_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_html_extraction": op1_html_extraction,
     "op2_ngram_jaccard": op2_ngram_jaccard,
     "op3_quality_rules": op3_quality_rules,
     "op5_fingerprints": op5_fingerprints,
