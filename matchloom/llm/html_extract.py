@@ -65,8 +65,11 @@ def _marked(tag: str, attrs: str) -> bool:
     return False
 
 
-def events(page: str) -> Iterator[tuple[str, str, bool]]:
-    """('tag', name, in link), ('break', '', ..) at block borders, ('text', decoded run, in link); boilerplate left out."""
+def events(page: str) -> Iterator[tuple[str, str, str]]:
+    """('tag', name, where), ('break', name, '') at block borders, ('text', decoded run, where); boilerplate left out.
+
+    where: ':link' inside a link, then '@main' inside an article or main element.
+    """
     stack: list[tuple[str, bool]] = []
     out = links = articles = 0
 
@@ -75,13 +78,16 @@ def events(page: str) -> Iterator[tuple[str, str, bool]]:
         name, skip = stack.pop()
         out -= skip
         links -= name == "a"
-        articles -= name == "article"
+        articles -= name in ("article", "main")
+
+    def where() -> str:
+        return (":link" if links > 0 else "") + ("@main" if articles > 0 else "")
 
     for m in TOKEN.finditer(page):
         text, tag = m["text"], m["tag"]
         if text is not None or m["cdata"] is not None:
             if not out:
-                yield "text", html.unescape(text if text is not None else m["cdata"]), links > 0
+                yield "text", html.unescape(text if text is not None else m["cdata"]), where()
         elif tag:
             tag = tag.lower()
             if m["close"]:
@@ -91,9 +97,9 @@ def events(page: str) -> Iterator[tuple[str, str, bool]]:
                         pop()
                     pop()
                     if not was:
-                        yield "tag", tag, links > 0
+                        yield "tag", tag, where()
                 if tag in BLOCK and not out:
-                    yield "break", tag, False
+                    yield "break", tag, ""
                 continue
             if tag in BLOCK:
                 if tag in CLOSES_P and any(t == "p" for t, _ in stack):
@@ -106,17 +112,17 @@ def events(page: str) -> Iterator[tuple[str, str, bool]]:
                 if tag in ("td", "th") and stack and stack[-1][0] in ("td", "th"):
                     pop()
                 if not out:
-                    yield "break", tag, False
+                    yield "break", tag, ""
             skip = tag in LEFT_OUT and not (tag == "header" and articles) or _marked(tag, m["attrs"])
             if tag not in VOID and not m["attrs"].endswith("/"):
                 stack.append((tag, skip))
                 out += skip
                 links += tag == "a"
-                articles += tag == "article"
+                articles += tag in ("article", "main")
             if not out:
-                yield "tag", tag, links > 0
+                yield "tag", tag, where()
                 if tag == "br":
-                    yield "text", " ", False
+                    yield "text", " ", ""
 
 
 def best_run(scores: list[float]) -> tuple[int, int]:
@@ -133,8 +139,8 @@ def best_run(scores: list[float]) -> tuple[int, int]:
     return at
 
 
-def _kind(e: tuple[str, str, bool]) -> str:
-    return f"tag:{e[1]}" if e[0] == "tag" else "word:link" if e[2] else "word"
+def _kind(e: tuple[str, str, str]) -> str:
+    return f"tag:{e[1]}{'@main' if e[2].endswith('@main') else ''}" if e[0] == "tag" else f"word{e[2]}"
 
 
 def learn_weights(pages: list[tuple[str, str]]) -> dict[str, float]:
@@ -168,7 +174,7 @@ def learn_weights(pages: list[tuple[str, str]]) -> dict[str, float]:
     weight = {}
     for kind in {*inside, *outside}:
         odds = math.log((inside[kind] + 1) / total_in) - math.log((outside[kind] + 1) / total_out)
-        if kind == "word":
+        if kind in ("word", "word@main"):
             weight[kind] = max(0.5, min(2.0, odds))
         else:
             weight[kind] = min(-0.02, max(-1.0, odds - 1.0)) if kind.startswith("tag:") else max(-1.0, min(0.5, odds))
@@ -196,9 +202,10 @@ def labelled_pages(count: int = 200, seed: int = 5) -> list[tuple[str, str]]:
                 text = " ".join([*cut[:i], f"<{inline}>{cut[i]}</{inline.split()[0]}>", *cut[i + 1 :]])
             around = {"li": ("<ul>", "</ul>"), "td": ("<table><tr>", "</tr></table>"), "p": rng.choice([("", "")] * 5 + [("<div>", "</div>")])}.get(tag, ("", ""))
             body += f"{around[0]}<{tag}>{text}</{tag}>{around[1]}"
+        shell = rng.choice(["article", "main", "div", "div"])
         before = f"<div><ul>{links(rng.randint(3, 12))}</ul></div><div><span>{words(2)}</span></div>"
         after = f"<div><ul>{links(rng.randint(2, 9))}</ul></div><div><span><a href=y>{words(2)}</a></span> <a href=z>{words(1)}</a></div>"
-        pages.append((f"<html><body>{before}<article>{body}</article>{after}</body></html>", "\n".join(w for _, w in blocks)))
+        pages.append((f"<html><body>{before}<{shell}>{body}</{shell}>{after}</body></html>", "\n".join(w for _, w in blocks)))
     return pages
 
 
@@ -211,21 +218,21 @@ def main_text(page: str | None, weights: dict[str, float]) -> str:
     if not page:
         return ""
     units: list[tuple[float, str | None]] = []  # score; a word, a gap (" ") or None at a block border
-    unknown = -0.5
-    word, link = weights.get("word", 1.0), weights.get("word:link", -0.5)
-    for kind, value, linked in events(page):
+    unknown = {"": -0.5, "@main": -0.02}
+    for kind, value, where in events(page):
         if kind == "tag":
-            units.append((weights.get(f"tag:{value}", unknown), ""))
+            units.append((weights.get(_kind((kind, value, where)), unknown["@main" if where.endswith("@main") else ""]), ""))
         elif kind == "break":
             units.append((0.0, None))
         else:
             parts = value.split()
+            score = weights.get(f"word{where}", 0.5 if where.endswith("@main") or not where else -0.5)
             if not parts or value[0].isspace():
                 units.append((0.0, " "))
             for i, w in enumerate(parts):
                 if i:
                     units.append((0.0, " "))
-                units.append((link if linked else word, w))
+                units.append((score, w))
             if parts and value[-1].isspace():
                 units.append((0.0, " "))
     a, b = best_run([s for s, _ in units])
