@@ -87,7 +87,7 @@ def _signed16(x: Column) -> Column:
 
 def fingerprint_text(eq: str, signs: str) -> Column:
     """The lanes as hexadecimal text."""
-    strong = F.concat(*[F.lpad(F.lower(F.hex(F.col(eq)[k])), 8, "0") for k in range(EQUALITY_LANES)])
+    strong = F.concat(*[F.lpad(F.lower(F.hex(F.col(eq)[k].cast("long").bitwiseAND(F.lit(0xFFFFFFFF)))), 8, "0") for k in range(EQUALITY_LANES)])
     weak = F.concat(*[F.lpad(F.lower(F.hex(F.col(signs)[j].cast("long").bitwiseAND(F.lit(0xFFFF)))), 4, "0") for j in range(SIGN_LANES)])
     return F.concat(strong, F.lit("-"), weak)
 
@@ -150,26 +150,24 @@ def edited_fingerprints(df: DataFrame, text: str = "text", doc_id: str = "doc_id
     The edited text: the last floor(n/3) code points replaced by the first as many (or all) of
     the next document by descending id; after the last comes the first.
     """
-    docs = df.select(F.col(doc_id).alias("doc_id"), F.coalesce(F.col(text), F.lit("")).alias("text"))
+    docs = df.select(F.col(doc_id).cast("long").alias("doc_id"), F.coalesce(F.col(text), F.lit("")).alias("text"))
     docs = docs.withColumns({"kid": F.coalesce(F.col("doc_id"), F.lit(_NO_ID)).cast("long"), "h": F.xxhash64("text")})
     order = _in_order(docs)
-    near = docs.repartition("kid", "h").join(order, ["kid", "h"])
-    single = near.dropDuplicates(["kid", "h"])
+    # the one exchange of texts: every branch below needs just these columns, so it is reused
+    single = docs.select("kid", "h", "text").repartition("kid", "h").groupBy("kid", "h").agg(F.first("text").alias("text"), F.count("*").alias("copies")).join(order, ["kid", "h"])
     # what a document gives to the one before it: never more than a third of that one
     given = single.select(F.col("prev_kid").alias("kid"), F.col("prev_h").alias("h"), F.expr("left(text, prev_cut)").alias("given"))
-    cut = F.floor(F.length("text") / 3).cast("int")
-    edited = single.join(given, ["kid", "h"]).select(
-        "kid", "h", "prev_kid", "prev_h", "text", F.concat(F.expr("left(text, length(text) - floor(length(text) / 3))"), F.when(cut > 0, F.col("given")).otherwise(F.lit(""))).alias("edited")
-    )
+    cut = F.expr("length(text) - floor(length(text) / 3)")
+    edited = single.join(given, ["kid", "h"]).withColumn("edited", F.concat(F.expr("left(text, length(text) - floor(length(text) / 3))"), F.when(cut < F.length("text"), F.col("given")).otherwise(F.lit(""))))
     both = edited.select("kid", "h", F.explode(F.array(F.struct(F.lit(0).alias("kind"), F.col("text").alias("t")), F.struct(F.lit(1).alias("kind"), F.col("edited").alias("t")))).alias("x"))
     lanes = fingerprint_lanes(both.select("kid", "h", "x.kind", "x.t"), ["kid", "h", "kind"], "t")
-    of = lambda k: F.max(F.when(F.col("kind") == k, F.struct("eq", "signs")))
-    pair = materialise(lanes.groupBy("kid", "h").agg(of(0).alias("a"), of(1).alias("b")))
-    to_prev = pair.join(order, ["kid", "h"]).select(F.col("prev_kid").alias("kid"), F.col("prev_h").alias("h"), F.col("a.signs").alias("next_signs"))
-    digest = edited.select("kid", "h", F.sha2(F.encode("edited", "UTF-8"), 256).alias("edited_sha256"))
-    copies = near.groupBy("kid", "h").agg(F.first("doc_id").alias("doc_id"), F.first(F.length("text")).cast("long").alias("n_chars"), F.count("*").alias("_copies"))
-    whole = copies.join(digest, ["kid", "h"]).join(pair, ["kid", "h"]).join(to_prev, ["kid", "h"])
-    each = whole.withColumn("_copy", F.explode(F.sequence(F.lit(1).cast("long"), F.col("_copies"))))
+    of = lambda k: F.max(F.when(F.col("kind") == k, F.struct(F.transform("eq", lambda x: x.cast("int")).alias("eq"), "signs")))
+    pair = lanes.withColumn("eq", F.transform("eq", lambda x: F.when(x >= 2**31, x - 2**32).otherwise(x))).groupBy("kid", "h").agg(of(0).alias("a"), of(1).alias("b"))
+    digest = edited.select("kid", "h", "prev_kid", "prev_h", "copies", F.length("text").cast("long").alias("n_chars"), F.sha2(F.encode("edited", "UTF-8"), 256).alias("edited_sha256"))
+    found = materialise(digest.join(pair, ["kid", "h"]))
+    to_prev = found.select(F.col("prev_kid").alias("kid"), F.col("prev_h").alias("h"), F.col("a.signs").alias("next_signs"))
+    whole = found.join(to_prev, ["kid", "h"])
+    each = whole.withColumn("_copy", F.explode(F.sequence(F.lit(1).cast("long"), F.col("copies")))).withColumn("doc_id", F.nullif(F.col("kid"), F.lit(_NO_ID)))
     return each.select(
         "doc_id",
         "n_chars",
