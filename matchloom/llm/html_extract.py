@@ -177,7 +177,7 @@ def learn_weights(pages: list[tuple[str, str]]) -> dict[str, float]:
         if kind in ("word", "word@main"):
             weight[kind] = max(0.5, min(2.0, odds))
         else:
-            weight[kind] = min(-0.02, max(-1.0, odds - 1.0)) if kind.startswith("tag:") else max(-1.0, min(0.5, odds))
+            weight[kind] = min(-0.02, max(-0.25 if kind.endswith("@main") else -1.0, odds - 1.0)) if kind.startswith("tag:") else max(-1.0, min(0.5, odds))
     return weight
 
 
