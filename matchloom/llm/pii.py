@@ -86,14 +86,19 @@ def labelled_text(rng: np.random.Generator, size: int) -> tuple[str, list[int]]:
     """``size`` characters of text and their tags: words, personal data in many forms, look-alikes."""
     parts: list[str] = []
     tags: list[int] = []
-    letters = "etaoinshrdlucmfpgbyvwkzéèüöäßñóí"
+    letters = list("etaoinshrdlcmpgbkufywvjxz")
+    marked = list("etaoinshrdlucmgéèüöäßñóíç")
+    short = "at dot the of and to a in is on net com org at dot tel de le la en un que der die und y el no".split()
     digits = lambda n: "".join(map(str, rng.integers(0, 10, n)))
 
     def word() -> str:
-        return "".join(rng.choice(list(letters), rng.integers(2, 9)))
+        x = rng.random()
+        if x < 0.3:
+            return str(rng.choice(short))
+        return "".join(rng.choice(marked if x < 0.5 else letters, rng.integers(2, 12)))
 
     def ascii_word() -> str:
-        return "".join(rng.choice(list("etaoinshrdlcmpgbk"), rng.integers(3, 8)))
+        return "".join(rng.choice(letters, rng.integers(3, 9)))
 
     def card() -> str:
         n = int(rng.integers(14, 17))
@@ -120,7 +125,7 @@ def labelled_text(rng: np.random.Generator, size: int) -> tuple[str, list[int]]:
             rng.choice(
                 [digits(16), digits(int(rng.integers(1, 8))), f"{digits(2)}.{digits(1)}.{digits(1)}", f"20{digits(2)}-{digits(2)}-{digits(2)}", f"${digits(3)}.{digits(2)}",
                  hashlib.sha1(digits(9).encode()).hexdigest(), f"{digits(1)}.{digits(1)}.", "http://" + ascii_word() + ".com/" + digits(3), f"{word()} at {word()}", f"{word()}, dot {word()}", f"({digits(2)})",
-                 f"{digits(5)}-{digits(4)}", f"{ascii_word()} = \"{digits(12)}\"", "!!", "|", "###", f"{digits(3)} - {digits(3)}"]
+                 f"{digits(5)}-{digits(4)}", f"{ascii_word()} = \"{digits(12)}\"", "!!", "|", "###", word() + str(rng.choice(["***", "###", "%%%", "&&&", "$$$"])), word() + "!!", f"{digits(3)} - {digits(3)}"]
             )
         )
 
@@ -327,9 +332,10 @@ def tag_spans(texts: list[str], p: Params, most: int = 512) -> list[list[tuple[i
     out: list[list[tuple[int, int, int]]] = [[] for _ in texts]
     found: dict[int, list[tuple[int, np.ndarray]]] = {}
     a = p["a"] + _BARRED
-    begin = (np.maximum(a[:, 1::2].max(0), 0) - min(0.0, float(a[0, 0]))).astype(np.float32)[None, :, None]
-    begin_out = float(max(a[1:, 0].max() - a[0, 0], 0))
-    inside = float(max(a[k, k].max() - a[0, 0] for k in range(1, TAGS))), float(max(a[1 + 2 * k, 2 + 2 * k] - a[0, 0] for k in range(len(KINDS))))
+    quiet = float(a[0, 0])
+    enter = np.maximum(a[0, 1::2] - quiet, (a[1:, 1::2] - a[1:, :1]).max(0))[:, None]
+    after_begin, after_inside = (a[k, 0] - quiet for k in (np.arange(1, TAGS, 2), np.arange(2, TAGS, 2)))
+    to_inside, stay = (a[k, np.arange(2, TAGS, 2)] - quiet for k in (np.arange(1, TAGS, 2), np.arange(2, TAGS, 2)))
     jobs.sort(key=lambda j: min(WINDOW, len(texts[j[0]]) - j[1]))
     for g in range(0, len(jobs), most):
         group = jobs[g : g + most]
@@ -339,16 +345,17 @@ def tag_spans(texts: list[str], p: Params, most: int = 512) -> list[list[tuple[i
             part = coded[i][s : s + longest]
             x[r, : len(part)] = part
         e = emissions(p, np.ascontiguousarray(x.T))
-        # a run of tags gains at most its begin and, of each inside position, what is positive: where that
-        # can't exceed nothing for any begin, all-outside is the best path
-        opens = (e[:, 1::2] + begin).max(1)
-        opens -= e[:, 0]
-        goes_on = e[:, 2::2].max(1)
-        goes_on -= e[:, 0]
-        top = np.maximum(opens.max(0), goes_on[0]) + begin_out
-        goes_on += max(inside)
-        np.maximum(goes_on, 0, out=goes_on)
-        rows = np.flatnonzero(top + goes_on.sum(0) > 0)
+        # what the best run of tags can gain over all-outside, from each begin on, bounded from above; where
+        # no run gains, all-outside is the best path
+        e_in = e[:, 2::2] - e[:, :1]
+        e_begin = e[:, 1::2] - e[:, :1]
+        e_begin += enter
+        on = e_in[-1] + np.maximum(after_inside, 0)[:, None]
+        top = (e_begin[-1] + np.maximum(after_begin, 0)[:, None]).max(0)
+        for t in range(longest - 2, -1, -1):
+            top = np.maximum(top, (e_begin[t] + np.maximum(after_begin[:, None], to_inside[:, None] + on)).max(0))
+            on = e_in[t] + np.maximum(after_inside[:, None], stay[:, None] + on)
+        rows = np.flatnonzero(np.maximum(top, on.max(0)) > 0)
         if len(rows):
             tags = viterbi(np.ascontiguousarray(e[:, :, rows].transpose(0, 2, 1)), a)
             for c, r in enumerate(rows):

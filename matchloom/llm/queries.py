@@ -45,6 +45,12 @@ def op6_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mix_sources(_table(spark, sf_dir, "documents"), ["doc_id"]).withColumnRenamed("mix_source", "source")
 
 
+def op7_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .pii import find_personal_data
+
+    return find_personal_data(_table(spark, sf_dir, "documents"), ["doc_id"])
+
+
 def op8_quality_model(spark: SparkSession, sf_dir: str) -> DataFrame:
     from .quality_model import score_quality
 
@@ -69,6 +75,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_quality_rules": op3_quality_rules,
     "op5_fingerprints": op5_fingerprints,
     "op6_source_mixing": op6_source_mixing,
+    "op7_personal_data": op7_personal_data,
     "op8_quality_model": op8_quality_model,
     "op9_line_dedup": op9_line_dedup,
     "op10_best_fit_packing": op10_best_fit_packing,
