@@ -24,8 +24,9 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from . import bloom
 from .components import connected_components
-from .jaccard_join import _gather, _joined, _key_links, _wide_blocks
+from .jaccard_join import _gather, _key_links, verified_links
 from .shingles import _IS_SPACE, _LOWER, U, mix, slices, utf8
 from .storage import materialise, shuffle_partitions
 
@@ -157,22 +158,33 @@ def _band_blobs(parts: int):
     return run
 
 
-def _line_sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Shingle sets of the lines named in ``want`` (line, lid, block, chunk)."""
-    for batch in batches:
-        want = batch.column("want").to_pylist()
-        for i, _, codes, at, row, number in _chunks(batch):
-            lid = line_ids(codes, at)
-            place = {(int(r), int(m)): x for x, (r, m) in enumerate(zip(row, number, strict=True))}
-            out = []
-            for r in range(i, i + (int(row.max()) + 1 if len(row) else 0)):
-                for w in want[r]:
-                    x = place.get((r - i, w["line"]))
-                    if x is not None and lid[x] == w["lid"]:
-                        out.append((w["lid"], w["block"], w["chunk"], np.unique(codes[at[x] : at[x + 1]]).tobytes()))
-            if out:
-                cols = list(zip(*out, strict=True))
-                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, (pa.int64(), pa.int64(), pa.int32(), pa.binary()), strict=True)], ["sid", "block", "chunk", "set"])
+def shingles_of(line: bytes) -> np.ndarray:
+    """Distinct shingles of a line in normal form, sorted."""
+    codes, _ = line_shingles(np.frombuffer(line, np.uint8), np.array([0, len(line)]))
+    return np.unique(codes)
+
+
+def _wanted_lines(bits: np.ndarray):
+    """(lid, n, line in normal form) of the lines whose id may be in the filter; once a batch."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            raw, offsets = utf8(batch.column("text"))
+            seen: set[int] = set()
+            for i, j in slices(offsets, CHUNK_BYTES):
+                text, at, row, _ = normal_lines(raw[offsets[i] : offsets[j]], offsets[i : j + 1] - offsets[i])
+                if not len(row):
+                    continue
+                codes, starts = line_shingles(text, at)
+                lid = line_ids(codes, starts)
+                new = [int(x) for x in np.flatnonzero(bloom.contains(bits, lid)) if int(lid[x]) not in seen]
+                new = list({int(lid[x]): x for x in new}.values())
+                if new:
+                    seen.update(int(lid[x]) for x in new)
+                    blobs = [text[at[x] : at[x + 1]].tobytes() for x in new]
+                    yield pa.RecordBatch.from_arrays([pa.array(lid[new]), pa.array(np.diff(starts)[new]), pa.array(blobs, pa.binary())], ["sid", "n", "set"])
+
+    return run
 
 
 def line_winners(df: DataFrame, num: int = 80, den: int = 100, block_shingles: int = 1_000_000) -> DataFrame:
@@ -189,12 +201,10 @@ def line_winners(df: DataFrame, num: int = 80, den: int = 100, block_shingles: i
     placed = holders.join(blocks, "lid")
     chunks = placed.groupBy("block").agg(F.ceil(F.sum("n") / F.lit(block_shingles)).alias("chunks"))
     placed = placed.join(chunks, "block").withColumn("chunk", F.pmod(F.xxhash64("lid"), F.col("chunks")).cast("int"))
-    want = placed.groupBy(F.col("at.doc_id").alias("doc_id")).agg(F.collect_list(F.struct(F.col("at.line").alias("line"), "lid", "block", "chunk")).alias("want"))
-    sets = materialise(docs.join(want, "doc_id").select("text", "want").mapInArrow(_line_sets, "sid bigint, block bigint, chunk int, set binary"))
-    near = materialise(_joined(sets, ["block", "chunk"], num, den))
-    wide = materialise(chunks.where("chunks > 1"))
-    if not wide.isEmpty():
-        near = _wide_blocks(sets, near, wide, num, den, block_shingles)
+    placed = materialise(placed.select(F.col("lid").alias("sid"), "block", "chunk"))
+    wanted = docs.select("text").mapInArrow(_wanted_lines(bloom.build(placed.select("sid"))), "sid bigint, n bigint, set binary")
+    sets = materialise(wanted.join(placed, "sid"))
+    near = verified_links(sets, materialise(chunks.where("chunks > 1")), num, den, shingles_of, block_shingles)
     found = connected_components(near).select(F.col("node").alias("lid"), "label")
     rooted = holders.join(found, "lid", "left").withColumn("label", F.coalesce("label", "lid"))
     first = rooted.groupBy("label").agg(F.min("at").alias("at"))
@@ -228,9 +238,27 @@ def _keep_lines(names: list[str]):
 
 def dedup_lines(df: DataFrame, keep: list[str], num: int = 80, den: int = 100) -> DataFrame:
     """``keep`` columns (doc_id and text among them) with the text's repeated lines gone; n_lines and n_kept_lines, of lines with a word."""
-    wins = line_winners(df, num, den).groupBy("doc_id").agg(F.collect_list("line").alias("_wins"))
-    named = df.select(*keep).withColumn("_anon", F.col("doc_id").isNull())
-    joined = named.join(wins.withColumnRenamed("doc_id", "_id"), F.col("doc_id") == F.col("_id"), "left").drop("_id")
+    winners = line_winners(df, num, den)
+    counted = df.select("doc_id", "text").where("doc_id is not null").mapInArrow(_lines, "doc_id bigint, line int, lid bigint, n bigint").select("doc_id", "line")
+    # documents that lose a line: the others keep their text and needn't meet the winners
+    both = counted.withColumn("w", F.lit(0)).unionByName(winners.withColumn("w", F.lit(1))).groupBy("doc_id", "line").agg(F.max("w").alias("w"))
+    changed = materialise(both.groupBy("doc_id").agg(F.min("w").alias("all"), F.collect_list(F.when(F.col("w") == 1, F.col("line"))).alias("_wins")).where("all = 0").select(F.col("doc_id").alias("_id"), "_wins"))
+    bits = bloom.build(changed.select("_id"))
     kinds = dict(df.dtypes)
+    named = df.select(*keep).withColumn("_maybe", F.lit(False))
+    split = named.mapInArrow(_may_change([*keep, "_maybe"], bits), named.schema)
+    joined = split.where("_maybe").join(changed, F.col("doc_id") == F.col("_id"), "left").withColumn("_anon", F.col("_id").isNull()).drop("_id", "_maybe")
+    whole = split.where("not _maybe").drop("_maybe").withColumns({"_wins": F.lit(None).cast("array<int>"), "_anon": F.lit(True)})
     schema = ", ".join([*(f"`{c}` {kinds[c]}" for c in keep), "n_lines bigint", "n_kept_lines bigint"])
-    return joined.mapInArrow(_keep_lines(keep), schema)
+    return joined.unionByName(whole).mapInArrow(_keep_lines(keep), schema)
+
+
+def _may_change(names: list[str], bits: np.ndarray):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            ids = batch.column("doc_id")
+            got = bloom.contains(bits, pa.compute.fill_null(ids, 0).to_numpy(zero_copy_only=False))
+            got &= ids.is_valid().to_numpy(zero_copy_only=False)
+            yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in names[:-1]), pa.array(got)], names)
+
+    return run
