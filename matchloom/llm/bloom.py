@@ -12,6 +12,7 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from .shingles import U, mix
 from .storage import shuffle_partitions
@@ -64,13 +65,20 @@ def contains(bits: np.ndarray, ids: np.ndarray) -> np.ndarray:
     return ((bits[a >> 3] >> (a & 7).astype(np.uint8)) & (bits[b >> 3] >> (b & 7).astype(np.uint8)) & 1).astype(bool)
 
 
-def filtered(df: DataFrame, column: str, bits: np.ndarray) -> DataFrame:
-    """Rows of ``df`` whose bigint ``column`` may be in the filter."""
+def marked(df: DataFrame, column: str, bits: np.ndarray, name: str) -> DataFrame:
+    """``df`` with a boolean: the bigint ``column`` may be in the filter; false for a null."""
+    out = df.withColumn(name, F.lit(False))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            got = contains(bits, pa.compute.fill_null(batch.column(column), 0).to_numpy(zero_copy_only=False))
-            if got.any():
-                yield batch.filter(pa.array(got))
+            ids = batch.column(batch.schema.names.index(column))
+            got = contains(bits, pa.compute.fill_null(ids.cast(pa.int64()), 0).to_numpy(zero_copy_only=False))
+            got &= ids.is_valid().to_numpy(zero_copy_only=False)
+            yield pa.RecordBatch.from_arrays([*batch.columns[:-1], pa.array(got)], names=batch.schema.names)
+
+    return out.mapInArrow(run, out.schema)
 
-    return df.mapInArrow(run, df.schema)
+
+def filtered(df: DataFrame, column: str, bits: np.ndarray) -> DataFrame:
+    """Rows of ``df`` whose bigint ``column`` may be in the filter."""
+    return marked(df, column, bits, "_may").where("_may").drop("_may")

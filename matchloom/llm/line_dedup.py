@@ -245,20 +245,9 @@ def dedup_lines(df: DataFrame, keep: list[str], num: int = 80, den: int = 100) -
     changed = materialise(both.groupBy("doc_id").agg(F.min("w").alias("all"), F.collect_list(F.when(F.col("w") == 1, F.col("line"))).alias("_wins")).where("all = 0").select(F.col("doc_id").alias("_id"), "_wins"))
     bits = bloom.build(changed.select("_id"))
     kinds = dict(df.dtypes)
-    named = df.select(*keep).withColumn("_maybe", F.lit(False))
-    split = named.mapInArrow(_may_change([*keep, "_maybe"], bits), named.schema)
+    split = bloom.marked(df.select(*keep), "doc_id", bits, "_maybe")
     joined = split.where("_maybe").join(changed, F.col("doc_id") == F.col("_id"), "left").withColumn("_anon", F.col("_id").isNull()).drop("_id", "_maybe")
     whole = split.where("not _maybe").drop("_maybe").withColumns({"_wins": F.lit(None).cast("array<int>"), "_anon": F.lit(True)})
     schema = ", ".join([*(f"`{c}` {kinds[c]}" for c in keep), "n_lines bigint", "n_kept_lines bigint"])
     return joined.unionByName(whole).mapInArrow(_keep_lines(keep), schema)
 
-
-def _may_change(names: list[str], bits: np.ndarray):
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            ids = batch.column("doc_id")
-            got = bloom.contains(bits, pa.compute.fill_null(ids, 0).to_numpy(zero_copy_only=False))
-            got &= ids.is_valid().to_numpy(zero_copy_only=False)
-            yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in names[:-1]), pa.array(got)], names)
-
-    return run

@@ -33,6 +33,12 @@ def op3_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", "quality")
 
 
+def op4_license_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .licenses import scan_licences
+
+    return scan_licences(_table(spark, sf_dir, "documents"), ["doc_id"])
+
+
 def op5_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     from .fingerprints import edited_fingerprints
 
@@ -69,16 +75,24 @@ def op10_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack(_table(spark, sf_dir, "documents"))
 
 
+def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import corpus_pipeline
+
+    return corpus_pipeline.run(spark, sf_dir)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_html_extraction": op1_html_extraction,
     "op2_ngram_jaccard": op2_ngram_jaccard,
     "op3_quality_rules": op3_quality_rules,
+    "op4_license_scans": op4_license_scans,
     "op5_fingerprints": op5_fingerprints,
     "op6_source_mixing": op6_source_mixing,
     "op7_personal_data": op7_personal_data,
     "op8_quality_model": op8_quality_model,
     "op9_line_dedup": op9_line_dedup,
     "op10_best_fit_packing": op10_best_fit_packing,
+    "pipeline": pipeline,
 }
 
 ORACLE_SQL: dict[str, str] = {}
