@@ -1,6 +1,8 @@
 import os
 
 import duckdb
+import numpy as np
+import pandas as pd
 import pytest
 
 import __spark_entry__ as entry
@@ -23,5 +25,15 @@ def test_query_equals_sql(spark, name):
     got, want = entry.queries()[name](spark, SF).toPandas(), con.execute(entry.oracle_sql()[name]).df()
     cols = sorted(want.columns)
     assert sorted(got.columns) == cols
-    text = lambda df: sorted(tuple("" if v is None or v != v else f"{float(v):.6f}" if isinstance(v, float) or hasattr(v, "__index__") else str(v)[:10] if hasattr(v, "year") else str(v) for v in r) for r in df[cols].itertuples(index=False))
+
+    def cell(v):
+        if pd.isna(v):
+            return ""
+        if hasattr(v, "year"):
+            return str(v)[:10]
+        return f"{float(v):.6f}" if isinstance(v, (int, float, np.number)) else str(v)
+
+    def text(df):
+        return sorted(tuple(map(cell, r)) for r in df[cols].itertuples(index=False))
+
     assert text(got) == text(want)
