@@ -3,9 +3,9 @@
 1. Every text becomes its set of distinct word shingles; equal sets share one id.
 2. Sets that can link are brought together: a set is cut into as many buckets as a linked pair can
    have differing shingles, plus one, so such a pair has a bucket in common (sizes fall in classes
-   1.5 apart; near a border a set is also cut as the next class is). Sets with a bucket in common
-   form candidate blocks. Equal bucket keys are combined in each batch before the exchange: a key
-   that a third of all rows share costs one row a batch.
+   1.5 apart; near a border a set is also cut as the next class is). Equal sets count once a batch before
+   the exchange. Of sets with a bucket in common, those stay candidates whose sizes and count sketches
+   allow a link; candidates that hang together form a block.
 3. Each block is joined by dual traversal of a signature tree, pruned by greatest possible
    overlap, with exact verification. Blocks over ``block_shingles`` are cut into chunks: first
    each chunk by itself, then one set of each found component, then, exactly, whatever lies
@@ -20,19 +20,23 @@ text; extra columns are ignored; an empty table gives an empty result. Set ids a
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from . import bloom
 from .components import connected_components
 from .shingles import U, mix, set_ids, shingle_sets, slices, utf8
 from .signature_tree import tree_links
 from .storage import materialise, shuffle_partitions
 
 CHUNK_BYTES = 4 << 20
+CELLS = 16
+BLOB_COLUMNS = ["part", "keys", "ids", "sizes", "sketches"]
+BLOB_SCHEMA = "part int, keys binary, ids binary, sizes binary, sketches binary"
 
 
 def _classes(num: int, den: int, most: int = 1 << 40) -> tuple[np.ndarray, np.ndarray]:
@@ -78,19 +82,6 @@ def bucket_keys(flat: np.ndarray, at: np.ndarray, num: int, den: int) -> tuple[n
     return np.concatenate(keys), np.concatenate(rows)
 
 
-def _gather(keys: np.ndarray, ids: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """Distinct keys with their smallest id, and links (id, smallest id of its key)."""
-    order = np.lexsort((ids, keys))
-    keys, ids = keys[order], ids[order]
-    new = np.empty(len(keys), bool)
-    new[:1] = True
-    new[1:] = keys[1:] != keys[:-1]
-    low = ids[new][np.cumsum(new) - 1]
-    apart = ids != low
-    links = np.unique(np.stack([ids[apart], low[apart]], 1), axis=0) if apart.any() else np.zeros((0, 2), np.int64)
-    return keys[new], ids[new], links[:, 0], links[:, 1]
-
-
 def _sets_of(batch: pa.RecordBatch, k: int) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
     raw, offsets = utf8(batch.column("text"))
     for i, j in slices(offsets, CHUNK_BYTES):
@@ -109,48 +100,119 @@ def _sizes(k: int):
     return run
 
 
+def count_sketches(flat: np.ndarray, at: np.ndarray) -> np.ndarray:
+    """Of each set, how many shingles fall in each of 16 cells, modulo 16, in one 64-bit word.
+
+    The (circular) distance of two sketches is at most the number of shingles by which the sets
+    differ: a pair further apart than linked sets can be is none.
+    """
+    rows = np.repeat(np.arange(len(at) - 1), np.diff(at))
+    cell = rows * CELLS + (mix(flat + U(0x8BB84B93962EACC9)) >> U(60)).astype(np.int64)
+    counts = np.bincount(cell, minlength=CELLS * (len(at) - 1)).reshape(-1, CELLS).astype(U) & U(15)
+    return (counts << (U(4) * np.arange(CELLS, dtype=U))).sum(1, dtype=U)
+
+
+def _cells(sketches: np.ndarray) -> np.ndarray:
+    return ((sketches[:, None] >> (U(4) * np.arange(CELLS, dtype=U))) & U(15)).astype(np.uint8)
+
+
+def sketch_distance(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """Of cells (rows x CELLS)."""
+    gap = (a - b) & 15
+    return np.minimum(gap, 16 - gap).sum(1, dtype=np.int64)
+
+
 def _key_blobs(k: int, num: int, den: int, parts: int):
+    """Of each batch and part: keys, and the id, size and sketch of the set that each is of."""
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             got = []
             for _, _, flat, at in _sets_of(batch, k):
                 keys, rows = bucket_keys(flat, at, num, den)
-                got.append((keys, set_ids(flat, at).view(np.int64)[rows]))
+                got.append((keys, set_ids(flat, at).view(np.int64)[rows], np.diff(at).astype(np.int32)[rows], count_sketches(flat, at)[rows]))
             if not got:
                 continue
-            keys, ids, a, b = _gather(*(np.concatenate(x) for x in zip(*got, strict=True)))
+            keys, ids, n, sketch = (np.concatenate(x) for x in zip(*got, strict=True))
+            order = np.lexsort((ids, keys))
+            keys, ids, n, sketch = keys[order], ids[order], n[order], sketch[order]
+            # equal sets of a batch are one
+            new = np.ones(len(keys), bool)
+            new[1:] = (keys[1:] != keys[:-1]) | (ids[1:] != ids[:-1])
+            keys, ids, n, sketch = keys[new], ids[new], n[new], sketch[new]
             part = ((keys >> U(32)) * U(parts) >> U(32)).astype(np.int64)  # keys are sorted, so parts are
             edge = np.searchsorted(part, np.arange(parts + 1))
-            have = np.flatnonzero(edge[1:] > edge[:-1])
-            blobs = [(int(p), keys[edge[p] : edge[p + 1]].tobytes(), ids[edge[p] : edge[p + 1]].tobytes()) for p in have]
-            # links found here ride along with any part
-            if len(a):
-                blobs.append((int(a[0]) % parts, b"", np.stack([a, b], 1).tobytes()))
-            if blobs:
-                p, x, y = zip(*blobs, strict=True)
-                yield pa.RecordBatch.from_arrays([pa.array(p, pa.int32()), pa.array(x, pa.binary()), pa.array(y, pa.binary())], ["part", "keys", "ids"])
+            for q in np.flatnonzero(edge[1:] > edge[:-1]):
+                cut = slice(edge[q], edge[q + 1])
+                yield pa.RecordBatch.from_arrays([pa.array([int(q)], pa.int32()), *(pa.array([x[cut].tobytes()], pa.binary()) for x in (keys, ids, n, sketch))], BLOB_COLUMNS)
 
     return run
 
 
-def _key_links(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    keys, ids = [], []
+def _near(vec: np.ndarray, n: np.ndarray, one: int, others: np.ndarray, num: int, den: int) -> np.ndarray:
+    """Which of ``others`` can link with ``one``, by sizes and sketches."""
+    m = n[others]
+    both = m + n[one]
+    low, high = np.minimum(m, n[one]), np.maximum(m, n[one])
+    apart = sketch_distance(vec[others], vec[one])
+    return (den * low >= num * high) & (apart <= both - 2 * -(-num * both // (num + den)))
 
-    def out(a: np.ndarray, b: np.ndarray) -> pa.RecordBatch:
-        return pa.RecordBatch.from_arrays([pa.array(a), pa.array(b)], ["a", "b"])
 
-    for batch in batches:
-        for x, y in zip(batch.column("keys"), batch.column("ids"), strict=True):
-            if len(x.as_py()):
-                keys.append(np.frombuffer(x.as_py(), U))
-                ids.append(np.frombuffer(y.as_py(), np.int64))
-            else:
-                pairs = np.frombuffer(y.as_py(), np.int64).reshape(-1, 2)
-                yield out(pairs[:, 0].copy(), pairs[:, 1].copy())
-    if keys:
-        _, _, a, b = _gather(np.concatenate(keys), np.concatenate(ids))
-        if len(a):
-            yield out(a, b)
+def _candidate_links(num: int, den: int):
+    """Links (a, b) that join, within each key, all sets that can link by sizes and sketches."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        keys, sid, n, sketch = [], [], [], []
+        for batch in batches:
+            for r in range(batch.num_rows):
+                for to, c, kind in ((keys, "keys", U), (sid, "ids", np.int64), (n, "sizes", np.int32), (sketch, "sketches", U)):
+                    to.append(np.frombuffer(batch.column(c)[r].as_py(), kind))
+        if not keys:
+            return
+        key, ids = np.concatenate(keys), np.concatenate(sid)
+        names, first, row = np.unique(ids, return_index=True, return_inverse=True)
+        size, vectors = np.concatenate(n)[first].astype(np.int64), _cells(np.concatenate(sketch)[first])
+        order = np.lexsort((row, key))
+        key, row = key[order], row[order]
+        new = np.ones(len(key), bool)
+        new[1:] = (key[1:] != key[:-1]) | (row[1:] != row[:-1])
+        key, row = key[new], row[new]
+        edge = np.concatenate([np.flatnonzero(np.concatenate([[True], key[1:] != key[:-1]])), [len(key)]])
+        width = np.diff(edge)
+        two = edge[:-1][width == 2]
+        pairs = np.unique(np.stack([row[two], row[two + 1]], 1), axis=0) if len(two) else np.zeros((0, 2), np.int64)
+        found = []
+        if len(pairs):
+            a, b = pairs.T
+            both, low, high = size[a] + size[b], np.minimum(size[a], size[b]), np.maximum(size[a], size[b])
+            for i in range(0, len(a), 65536):
+                apart = sketch_distance(vectors[a[i : i + 65536]], vectors[b[i : i + 65536]])
+                t = both[i : i + 65536]
+                ok = (den * low[i : i + 65536] >= num * high[i : i + 65536]) & (apart <= t - 2 * -(-num * t // (num + den)))
+                found.append(pairs[i : i + 65536][ok])
+        seen = set()
+        for g in np.flatnonzero(width > 2):
+            members = row[edge[g] : edge[g + 1]]
+            mark = members.tobytes()
+            if mark in seen:
+                continue
+            seen.add(mark)
+            left = members
+            while len(left) > 1:
+                reached, left = [left[0]], left[1:]
+                while reached and len(left):
+                    u = reached.pop()
+                    near = _near(vectors, size, u, left, num, den)
+                    if near.any():
+                        hit = left[near]
+                        found.append(np.stack([np.full(len(hit), u), hit], 1))
+                        reached += hit.tolist()
+                        left = left[~near]
+        if found:
+            links = np.unique(np.concatenate(found), axis=0)
+            yield pa.RecordBatch.from_arrays([pa.array(names[links[:, 0]]), pa.array(names[links[:, 1]])], ["a", "b"])
+
+    return run
 
 
 def _fetch(k: int):
@@ -161,12 +223,19 @@ def _fetch(k: int):
                 ok = np.flatnonzero(set_ids(flat, at).view(np.int64) == want[i:j])
                 blobs = [flat[at[r] : at[r + 1]].tobytes() for r in ok]
                 keep = pa.array(ok + i)
-                yield pa.RecordBatch.from_arrays([batch.column("sid").take(keep), batch.column("block").take(keep), batch.column("chunk").take(keep), pa.array(blobs, pa.binary())], ["sid", "block", "chunk", "set"])
+                yield pa.RecordBatch.from_arrays([batch.column("sid").take(keep), batch.column("block").take(keep), batch.column("chunk").take(keep), pa.array(np.diff(at)[ok]), pa.array(blobs, pa.binary())], ["sid", "block", "chunk", "n", "set"])
 
     return run
 
 
-def _groups(batches: Iterator[pa.RecordBatch], names: list[str]) -> Iterator[dict[str, list]]:
+Decode = Callable[[bytes], np.ndarray]
+
+
+def hashes_of(blob: bytes) -> np.ndarray:
+    return np.frombuffer(blob, U)
+
+
+def _groups(batches: Iterator[pa.RecordBatch], names: list[str], decode: Decode) -> Iterator[dict[str, list]]:
     """Rows of one group after another, of batches sorted by ``names``."""
     held: dict[str, list] | None = None
     for batch in batches:
@@ -176,7 +245,7 @@ def _groups(batches: Iterator[pa.RecordBatch], names: list[str]) -> Iterator[dic
         edge = np.flatnonzero(np.any([cols[c][1:] != cols[c][:-1] for c in names], 0)) + 1
         for a, b in zip([0, *edge], [*edge, batch.num_rows], strict=True):
             key = tuple(int(cols[c][a]) for c in names)
-            rows = {c: [np.frombuffer(x.as_py(), U) for x in v.slice(a, b - a)] if c == "set" else v[a:b].tolist() for c, v in cols.items()}
+            rows = {c: [decode(x.as_py()) for x in v.slice(a, b - a)] if c == "set" else v[a:b].tolist() for c, v in cols.items()}
             if held and tuple(held[c][0] for c in names) == key:
                 for c in rows:
                     held[c] += rows[c]
@@ -188,11 +257,11 @@ def _groups(batches: Iterator[pa.RecordBatch], names: list[str]) -> Iterator[dic
         yield held
 
 
-def _block_links(num: int, den: int, names: list[str], crossed: bool):
+def _block_links(num: int, den: int, names: list[str], crossed: bool, decode: Decode):
     """Links in each group; crossed: only between rows of side 0 and of side 1."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for g in _groups(batches, names):
+        for g in _groups(batches, names, decode):
             once = list({(s, side): i for i, (s, side) in enumerate(zip(g["sid"], g.get("side", [0] * len(g["sid"])), strict=True))}.values())
             sid, sets = [g["sid"][i] for i in once], [g["set"][i] for i in once]
             label = np.array([g["label"][i] for i in once] if "label" in g else sid, np.int64)
@@ -209,12 +278,12 @@ def _block_links(num: int, den: int, names: list[str], crossed: bool):
     return run
 
 
-def _joined(rows: DataFrame, names: list[str], num: int, den: int, crossed: bool = False) -> DataFrame:
+def _joined(rows: DataFrame, names: list[str], num: int, den: int, decode: Decode, crossed: bool = False) -> DataFrame:
     dealt = rows.repartition(shuffle_partitions(rows.sparkSession), *names).sortWithinPartitions(*names)
-    return dealt.mapInArrow(_block_links(num, den, names, crossed), "a bigint, b bigint")
+    return dealt.mapInArrow(_block_links(num, den, names, crossed, decode), "a bigint, b bigint")
 
 
-def similarity_components(df: DataFrame, k: int = 5, num: int = 80, den: int = 100, block_shingles: int = 1_000_000) -> DataFrame:
+def similarity_components(df: DataFrame, k: int = 5, num: int = 80, den: int = 100, block_shingles: int = 2_000_000) -> DataFrame:
     """doc_id, n_shingles, component_id of each row of ``df`` (doc_id, text).
 
     Two documents link when den * |intersection| >= num * |union| of their k-word shingle sets;
@@ -225,17 +294,16 @@ def similarity_components(df: DataFrame, k: int = 5, num: int = 80, den: int = 1
     sized = materialise(docs.mapInArrow(_sizes(k), "doc_id bigint, sid bigint, n_shingles bigint"))
     named = docs.where("doc_id is not null")
     parts = shuffle_partitions(spark)
-    blobs = named.mapInArrow(_key_blobs(k, num, den, parts), "part int, keys binary, ids binary")
-    candidates = blobs.repartition(parts, "part").mapInArrow(_key_links, "a bigint, b bigint")
+    blobs = named.mapInArrow(_key_blobs(k, num, den, parts), BLOB_SCHEMA)
+    candidates = blobs.repartition(parts, "part").mapInArrow(_candidate_links(num, den), "a bigint, b bigint")
     blocks = materialise(connected_components(candidates).select(F.col("node").alias("sid"), F.col("label").alias("block")))
     holders = sized.where("doc_id is not null and n_shingles > 0").join(blocks, "sid").groupBy("sid", "block").agg(F.min("doc_id").alias("doc_id"), F.min("n_shingles").alias("n"))
     chunks = holders.groupBy("block").agg(F.ceil(F.sum("n") / F.lit(block_shingles)).alias("chunks"))
     placed = holders.join(chunks, "block").withColumn("chunk", F.pmod(F.xxhash64("sid"), F.col("chunks")).cast("int"))
-    sets = materialise(docs.join(placed.select("doc_id", "sid", "block", "chunk"), "doc_id").select("sid", "block", "chunk", "text").mapInArrow(_fetch(k), "sid bigint, block bigint, chunk int, set binary"))
-    links = materialise(_joined(sets, ["block", "chunk"], num, den))
-    wide = materialise(chunks.where("chunks > 1"))
-    if not wide.isEmpty():
-        links = _wide_blocks(sets, links, wide, num, den, block_shingles)
+    placed = materialise(placed.select("doc_id", "sid", "block", "chunk"))
+    near = bloom.filtered(named, "doc_id", bloom.build(placed.select("doc_id")))
+    sets = materialise(near.join(placed, "doc_id").select("sid", "block", "chunk", "text").mapInArrow(_fetch(k), "sid bigint, block bigint, chunk int, n bigint, set binary"))
+    links = verified_links(sets, materialise(chunks.where("chunks > 1")), num, den, hashes_of, block_shingles)
     ones = connected_components(links).select(F.col("node").alias("sid"), F.col("label").alias("root"))
     by_set = sized.where("doc_id is not null and n_shingles > 0").groupBy("sid").agg(F.min("doc_id").alias("low")).join(ones, "sid", "left").withColumn("root", F.coalesce("root", "sid"))
     roots = by_set.groupBy("root").agg(F.min("low").alias("component"))
@@ -243,29 +311,40 @@ def similarity_components(df: DataFrame, k: int = 5, num: int = 80, den: int = 1
     return sized.join(component, "sid", "left").select("doc_id", "n_shingles", F.when(F.col("doc_id").isNotNull(), F.when(F.col("n_shingles") > 0, F.col("component")).otherwise(F.col("doc_id"))).alias("component_id"))
 
 
-def _wide_blocks(sets: DataFrame, links: DataFrame, wide: DataFrame, num: int, den: int, block_shingles: int) -> DataFrame:
-    """More links for the blocks that were cut into chunks, so that no component is missed."""
-    of_wide = materialise(sets.join(wide, "block"))
+def verified_links(sets: DataFrame, wide: DataFrame, num: int, den: int, decode: Decode, block_shingles: int) -> DataFrame:
+    """Links of ``sets`` (sid, block, chunk, n, set) within each block, enough for their components.
+
+    ``wide`` (block, chunks) are the blocks that were cut into chunks. For those the sets themselves are
+    moved again only for one set of each found component, and for what is left after that.
+    """
+    links = materialise(_joined(sets.select("block", "chunk", "sid", "set"), ["block", "chunk"], num, den, decode))
+    if wide.isEmpty():
+        return links
+    members = materialise(sets.join(wide, "block").select("sid", "block", "chunk", "chunks", "n"))
 
     def labelled(links: DataFrame) -> DataFrame:
         found = connected_components(links).select(F.col("node").alias("sid"), "label")
-        return of_wide.join(found, "sid", "left").withColumn("label", F.coalesce("label", "sid"))
-
-    first = labelled(links)
-    leaders = first.groupBy("block", "chunk", "label").agg(F.min("sid").alias("sid"))
-    chosen = of_wide.join(leaders, ["block", "chunk", "sid"])
-    room = chosen.groupBy("block").agg(F.ceil(F.sum(F.length("set")) / F.lit(8 * block_shingles)).alias("rooms"))
-    chosen = chosen.join(room, "block").withColumn("room", F.pmod(F.xxhash64("sid", F.lit(7)), F.col("rooms")).cast("int"))
-    links = materialise(links.unionByName(_joined(chosen.select("block", "room", "sid", "set", "label"), ["block", "room"], num, den)))
+        return materialise(members.join(found, "sid", "left").withColumn("label", F.coalesce("label", "sid")))
+
+    def roomed(rows: DataFrame, seed: int) -> DataFrame:
+        rooms = rows.groupBy("block").agg(F.ceil(F.sum("n") / F.lit(block_shingles)).cast("int").alias("rooms"))
+        return rows.join(rooms, "block").withColumn("room", F.pmod(F.xxhash64("sid", F.lit(seed)), F.col("rooms")).cast("int"))
+
+    def with_sets(rows: DataFrame) -> DataFrame:
+        return sets.select("sid", "set").join(materialise(rows), "sid")
+
+    leaders = labelled(links).groupBy("block", "chunk", "label").agg(F.min_by(F.struct("sid", "n"), "sid").alias("x")).select("block", "label", "x.sid", "x.n")
+    chosen = with_sets(roomed(leaders, 7).select("block", "room", "sid", "label"))
+    links = materialise(links.unionByName(_joined(chosen, ["block", "room"], num, den, decode)))
     # exactly what is left: sets outside their block's largest component, against the whole block
-    second = materialise(labelled(links))
-    sizes = second.groupBy("block", "label").count()
-    largest = sizes.groupBy("block").agg(F.max_by("label", F.struct("count", "label")).alias("main"), F.count("*").alias("labels"))
-    rest = second.join(largest.where("labels > 1"), "block")
-    minor = rest.where("label <> main")
-    minor_rooms = minor.groupBy("block").agg(F.ceil(F.sum(F.length("set")) / F.lit(8 * block_shingles)).alias("rooms"))
-    minor = minor.join(minor_rooms, "block").withColumn("room", F.pmod(F.xxhash64("sid", F.lit(11)), F.col("rooms")).cast("int"))
+    second = labelled(links)
+    largest = second.groupBy("block", "label").count().groupBy("block").agg(F.max_by("label", F.struct("count", "label")).alias("main"), F.count("*").alias("labels"))
+    rest = materialise(second.join(largest.where("labels > 1"), "block"))
+    if rest.isEmpty():
+        return links
+    minor = roomed(rest.where("label <> main"), 11)
     left = minor.withColumn("chunk", F.explode(F.sequence(F.lit(0), F.col("chunks").cast("int") - 1))).withColumn("side", F.lit(0))
-    right = rest.join(minor_rooms, "block").withColumn("room", F.explode(F.sequence(F.lit(0), F.col("rooms").cast("int") - 1))).withColumn("side", F.lit(1))
-    names = ["block", "room", "chunk", "side", "sid", "label", "set"]
-    return materialise(links.unionByName(_joined(left.select(*names).unionByName(right.select(*names)), ["block", "room", "chunk"], num, den, crossed=True)))
+    right = rest.join(minor.select("block", "rooms").distinct(), "block").withColumn("room", F.explode(F.sequence(F.lit(0), F.col("rooms") - 1))).withColumn("side", F.lit(1))
+    names = ["block", "room", "chunk", "side", "sid", "label"]
+    crossed = with_sets(left.select(*names).unionByName(right.select(*names)))
+    return materialise(links.unionByName(_joined(crossed, ["block", "room", "chunk"], num, den, decode, crossed=True)))
