@@ -2,8 +2,8 @@
 
 A line with a word is put in normal form (its words, A-Z lower-cased, with one space between) and
 becomes the set of its 8-byte shingles; a shorter one is a single shingle. One-permutation MinHash
-signatures (empty bins take the next full one's value) are cut into 12 bands of 4: at a Jaccard of
-0.8 a pair is missed with a probability of 0.002. Lines that share a band form candidate blocks,
+signatures (empty bins take the next full one's value) are cut into 16 bands of 6: at a Jaccard of
+0.8 a pair is missed with a probability of 0.008, at 0.85 of 0.0003. Lines that share a band form candidate blocks,
 found with the same combined exchange as the n-gram join; each block is verified by exact Jaccard and the links
 go to distributed union-find. One line a component stays: the first by doc_id, then by place.
 
@@ -26,11 +26,11 @@ from pyspark.sql import functions as F
 
 from . import bloom
 from .components import connected_components
-from .jaccard_join import _gather, _key_links, verified_links
+from .jaccard_join import verified_links
 from .shingles import _IS_SPACE, _LOWER, U, mix, slices, utf8
 from .storage import materialise, shuffle_partitions
 
-SHINGLE, BANDS, ROWS = 8, 12, 4
+SHINGLE, BANDS, ROWS = 8, 16, 6
 BINS = BANDS * ROWS
 CHUNK_BYTES = 2 << 20
 
@@ -74,38 +74,41 @@ def normal_lines(raw: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.n
 def line_shingles(raw: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """All 8-byte shingles of all lines in order (with repeats), and where each line's begin."""
     size = np.diff(offsets)
-    padded = np.concatenate([raw, np.zeros(SHINGLE, np.uint8)])
-    code = np.zeros(len(raw), U)
-    for j in range(SHINGLE):
-        code |= padded[j : j + len(raw)].astype(U) << U(8 * j)
-    count = np.maximum(size - SHINGLE + 1, 1)
-    at = np.concatenate([[0], np.cumsum(count)]).astype(np.int64)
-    where = np.repeat(offsets[:-1] - at[:-1], count) + np.arange(at[-1])
-    code = code[where]
+    padded = np.concatenate([raw, np.zeros(SHINGLE, np.uint8)]).tobytes()
+    code = np.ndarray((len(raw),), "<u8", padded, 0, (1,)).astype(U)
     short = np.flatnonzero(size < SHINGLE)
     if len(short):
-        code[at[short]] &= (U(1) << (U(8) * size[short].astype(U))) - U(1)
-    return mix(code), at
+        code[offsets[:-1][short]] &= (U(1) << (U(8) * size[short].astype(U))) - U(1)
+    # a line's last positions start no shingle
+    count = np.maximum(size - SHINGLE + 1, 1)
+    at = np.concatenate([[0], np.cumsum(count)]).astype(np.int64)
+    edge = np.zeros(len(raw) + 1, np.int8)
+    edge[offsets[:-1]] += 1
+    edge[offsets[:-1] + count] -= 1
+    return mix(code[np.cumsum(edge[:-1], dtype=np.int8).astype(bool)]), at
 
 
 def line_ids(codes: np.ndarray, at: np.ndarray) -> np.ndarray:
     """An id of each line's text: a hash of its shingles in order."""
-    place = np.arange(len(codes)) - np.repeat(at[:-1], np.diff(at))
     with np.errstate(over="ignore"):
-        total = np.zeros(len(codes) + 1, U)
-        np.cumsum(mix(codes + place.astype(U) * U(0x9E3779B97F4A7C15)), out=total[1:])
-        return mix(total[at[1:]] - total[at[:-1]] + np.diff(at).astype(U)).view(np.int64)
+        weight = np.arange(1, 2 * len(codes) + 1, 2, dtype=U)
+        total, weighted = np.zeros(len(codes) + 1, U), np.zeros(len(codes) + 1, U)
+        np.cumsum(codes, out=total[1:])
+        np.cumsum(codes * weight, out=weighted[1:])
+        # the weight of a line's first shingle is taken off, so a line's place in the batch doesn't count
+        plain = total[at[1:]] - total[at[:-1]]
+        ordered = weighted[at[1:]] - weighted[at[:-1]] - plain * (U(2) * at[:-1].astype(U))
+        return mix(mix(plain + np.diff(at).astype(U)) + ordered).view(np.int64)
 
 
 def band_keys(codes: np.ndarray, at: np.ndarray) -> np.ndarray:
     """BANDS keys of each line."""
     lines = len(at) - 1
     with np.errstate(over="ignore"):
-        h = mix(codes ^ U(0xA0761D6478BD642F))
-        line = np.repeat(np.arange(lines), np.diff(at))
-        cell = line * BINS + ((h >> U(32)) * U(BINS) >> U(32)).astype(np.int64)
+        cell = np.repeat(np.arange(0, lines * BINS, BINS), np.diff(at))
+        cell += ((codes >> U(40)) * U(BINS) >> U(24)).astype(np.int64)
         low = np.full(lines * BINS, np.iinfo(np.uint64).max, U)
-        np.minimum.at(low, cell, mix(h))
+        np.minimum.at(low, cell, codes * U(0xA0761D6478BD642F))
         sig = low.reshape(lines, BINS)
         empty = sig == np.iinfo(np.uint64).max
         for step in range(1, BINS):
@@ -130,22 +133,64 @@ def _chunks(batch: pa.RecordBatch) -> Iterator[tuple[int, int, np.ndarray, np.nd
             yield i, j, *line_shingles(text, at), row, number
 
 
+LINE_SCHEMA = "doc_id bigint, line int, lid bigint, n bigint, bands binary"
+
+
 def _lines(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """All lines with a word; the band keys only with the first of equal lines of a chunk."""
     for batch in batches:
         ids = batch.column("doc_id")
         for i, _, codes, at, row, number in _chunks(batch):
-            yield pa.RecordBatch.from_arrays([ids.take(pa.array(row + i)), pa.array(number.astype(np.int32)), pa.array(line_ids(codes, at)), pa.array(np.diff(at))], ["doc_id", "line", "lid", "n"])
+            lid = line_ids(codes, at)
+            keys = band_keys(codes, at).tobytes()
+            first = np.zeros(len(lid), bool)
+            first[np.unique(lid, return_index=True)[1]] = True
+            width = 8 * BANDS
+            bands = pa.array([keys[x * width : (x + 1) * width] if f else None for x, f in enumerate(first)], pa.binary())
+            yield pa.RecordBatch.from_arrays([ids.take(pa.array(row + i)), pa.array(number.astype(np.int32)), pa.array(lid), pa.array(np.diff(at)), bands], ["doc_id", "line", "lid", "n", "bands"])
+
+
+def _gather(keys: np.ndarray, ids: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Distinct keys with their smallest id, and links (id, smallest id of its key)."""
+    order = np.lexsort((ids, keys))
+    keys, ids = keys[order], ids[order]
+    new = np.empty(len(keys), bool)
+    new[:1] = True
+    new[1:] = keys[1:] != keys[:-1]
+    low = ids[new][np.cumsum(new) - 1]
+    apart = ids != low
+    links = np.unique(np.stack([ids[apart], low[apart]], 1), axis=0) if apart.any() else np.zeros((0, 2), np.int64)
+    return keys[new], ids[new], links[:, 0], links[:, 1]
+
+
+def _key_links(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    keys, ids = [], []
+
+    def out(a: np.ndarray, b: np.ndarray) -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays([pa.array(a), pa.array(b)], ["a", "b"])
+
+    for batch in batches:
+        for x, y in zip(batch.column("keys"), batch.column("ids"), strict=True):
+            if len(x.as_py()):
+                keys.append(np.frombuffer(x.as_py(), U))
+                ids.append(np.frombuffer(y.as_py(), np.int64))
+            else:
+                pairs = np.frombuffer(y.as_py(), np.int64).reshape(-1, 2)
+                yield out(pairs[:, 0].copy(), pairs[:, 1].copy())
+    if keys:
+        _, _, a, b = _gather(np.concatenate(keys), np.concatenate(ids))
+        if len(a):
+            yield out(a, b)
 
 
 def _band_blobs(parts: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            got = []
-            for _, _, codes, at, _, _ in _chunks(batch):
-                lid, first = np.unique(line_ids(codes, at), return_index=True)
-                got.append((band_keys(codes, at)[first].ravel(), np.repeat(lid, BANDS)))
-            if not got:
+            lid, first = np.unique(batch.column("lid").to_numpy(), return_index=True)
+            if not len(lid):
                 continue
+            keys = np.frombuffer(b"".join(batch.column("bands").take(pa.array(first)).to_pylist()), U)
+            got = [(keys, np.repeat(lid, BANDS))]
             keys, ids, a, b = _gather(*(np.concatenate(x) for x in zip(*got, strict=True)))
             part = ((keys >> U(32)) * U(parts) >> U(32)).astype(np.int64)
             edge = np.searchsorted(part, np.arange(parts + 1))
@@ -187,15 +232,21 @@ def _wanted_lines(bits: np.ndarray):
     return run
 
 
-def line_winners(df: DataFrame, num: int = 80, den: int = 100, block_shingles: int = 1_000_000) -> DataFrame:
+def all_lines(df: DataFrame) -> DataFrame:
+    """doc_id, line, lid, n, bands of all lines with a word of ``df`` (doc_id, text): one pass over the texts."""
+    docs = df.select(F.col("doc_id").cast("long").alias("doc_id"), "text").where("doc_id is not null and text is not null")
+    return materialise(docs.mapInArrow(_lines, LINE_SCHEMA))
+
+
+def line_winners(df: DataFrame, num: int = 80, den: int = 100, block_shingles: int = 1_000_000, lines: DataFrame | None = None) -> DataFrame:
     """(doc_id, line) of the one line that stays of each component, over ``df`` (doc_id, text)."""
     spark = df.sparkSession
-    docs = df.select(F.col("doc_id").cast("long").alias("doc_id"), "text").where("doc_id is not null and text is not null")
+    docs = df.select("doc_id", "text").where("doc_id is not null and text is not null")
+    lines = all_lines(df) if lines is None else lines
     parts = shuffle_partitions(spark)
-    lines = docs.mapInArrow(_lines, "doc_id bigint, line int, lid bigint, n bigint")
-    # one number for (doc_id, line) in order, so that minima stay in plain long sums: first by id, then by line
+    # (doc_id, line) minima are taken in two steps, so that the first is a plain hash aggregation
     holders = materialise(lines.groupBy("lid", "doc_id").agg(F.min("line").alias("line"), F.min("n").alias("n")).groupBy("lid").agg(F.min(F.struct("doc_id", "line")).alias("at"), F.min("n").alias("n")))
-    blobs = docs.mapInArrow(_band_blobs(parts), "part int, keys binary, ids binary")
+    blobs = lines.where("bands is not null").select("lid", "bands").mapInArrow(_band_blobs(parts), "part int, keys binary, ids binary")
     links = blobs.repartition(parts, "part").mapInArrow(_key_links, "a bigint, b bigint")
     blocks = materialise(connected_components(links).select(F.col("node").alias("lid"), F.col("label").alias("block")))
     placed = holders.join(blocks, "lid")
@@ -238,8 +289,9 @@ def _keep_lines(names: list[str]):
 
 def dedup_lines(df: DataFrame, keep: list[str], num: int = 80, den: int = 100) -> DataFrame:
     """``keep`` columns (doc_id and text among them) with the text's repeated lines gone; n_lines and n_kept_lines, of lines with a word."""
-    winners = line_winners(df, num, den)
-    counted = df.select("doc_id", "text").where("doc_id is not null").mapInArrow(_lines, "doc_id bigint, line int, lid bigint, n bigint").select("doc_id", "line")
+    lines = all_lines(df)
+    winners = line_winners(df, num, den, lines=lines)
+    counted = lines.select("doc_id", "line")
     # documents that lose a line: the others keep their text and needn't meet the winners
     both = counted.withColumn("w", F.lit(0)).unionByName(winners.withColumn("w", F.lit(1))).groupBy("doc_id", "line").agg(F.max("w").alias("w"))
     changed = materialise(both.groupBy("doc_id").agg(F.min("w").alias("all"), F.collect_list(F.when(F.col("w") == 1, F.col("line"))).alias("_wins")).where("all = 0").select(F.col("doc_id").alias("_id"), "_wins"))
