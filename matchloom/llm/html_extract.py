@@ -46,6 +46,7 @@ MARKS = frozenset(
     related recommended recommendations recirc share sharing social comment comments commentlist reply replies respond disqus
     footer header masthead pagination pager pagenav toolbar search searchbox form contentinfo complementary dialog""".split()
 )
+MAIN = re.compile(r"<(?:article|main)[\s>]", re.I)
 WORD_PART = re.compile(r"[a-z]+|[0-9]+")
 #: An opening tag that ends an open element of the second kind.
 CLOSES_P = BLOCK - {"body", "html", "head"}
@@ -68,10 +69,11 @@ def _marked(tag: str, attrs: str) -> bool:
 def events(page: str) -> Iterator[tuple[str, str, str]]:
     """('tag', name, where), ('break', name, '') at block borders, ('text', decoded run, where); boilerplate left out.
 
-    where: ':link' inside a link, then '@main' inside an article or main element.
+    where: ':link' inside a link, then '@main' inside an article or main element, '@out' outside those of the page.
     """
     stack: list[tuple[str, bool]] = []
     out = links = articles = 0
+    has_main = MAIN.search(page) is not None
 
     def pop() -> None:
         nonlocal out, links, articles
@@ -81,7 +83,7 @@ def events(page: str) -> Iterator[tuple[str, str, str]]:
         articles -= name in ("article", "main")
 
     def where() -> str:
-        return (":link" if links > 0 else "") + ("@main" if articles > 0 else "")
+        return (":link" if links > 0 else "") + ("@main" if articles > 0 else "@out" if has_main else "")
 
     for m in TOKEN.finditer(page):
         text, tag = m["text"], m["tag"]
@@ -140,13 +142,14 @@ def best_run(scores: list[float]) -> tuple[int, int]:
 
 
 def _kind(e: tuple[str, str, str]) -> str:
-    return f"tag:{e[1]}{'@main' if e[2].endswith('@main') else ''}" if e[0] == "tag" else f"word{e[2]}"
+    return f"tag:{e[1]}{'@main' if e[2].endswith('@main') else '@out' if e[2].endswith('@out') else ''}" if e[0] == "tag" else f"word{e[2]}"
 
 
 def learn_weights(pages: list[tuple[str, str]]) -> dict[str, float]:
     """Scores from pages labelled with their main text: smoothed log odds of each kind inside it.
 
-    Words outside links stay positive and tags negative, as the scan asks.
+    Words outside links stay positive and tags negative, as the scan asks; words outside a page's article may
+    count against.
     """
     inside, outside = Counter(), Counter()
     for page, main in pages:
@@ -175,7 +178,7 @@ def learn_weights(pages: list[tuple[str, str]]) -> dict[str, float]:
     for kind in {*inside, *outside}:
         odds = math.log((inside[kind] + 1) / total_in) - math.log((outside[kind] + 1) / total_out)
         if kind in ("word", "word@main"):
-            weight[kind] = max(0.5, min(2.0, odds))
+            weight[kind] = max(0.5, min(1.0, odds))
         else:
             weight[kind] = min(-0.02, max(-0.25 if kind.endswith("@main") else -1.0, odds - 1.0)) if kind.startswith("tag:") else max(-1.0, min(0.5, odds))
     return weight
