@@ -33,7 +33,9 @@ from .shingles import U, mix, set_ids, shingle_sets, slices, utf8
 from .signature_tree import tree_links
 from .storage import materialise, shuffle_partitions
 
-CHUNK_BYTES = 4 << 20
+CHUNK_BYTES = 1 << 20
+#: Bucket keys that a map task gathers before it sends them on.
+HELD_KEYS = 400_000
 CELLS = 16
 BLOB_COLUMNS = ["part", "keys", "ids", "sizes", "sketches"]
 BLOB_SCHEMA = "part int, keys binary, ids binary, sizes binary, sketches binary"
@@ -125,26 +127,33 @@ def sketch_distance(a: np.ndarray, b: np.ndarray) -> np.ndarray:
 def _key_blobs(k: int, num: int, den: int, parts: int):
     """Of each batch and part: keys, and the id, size and sketch of the set that each is of."""
 
+    def blobs(got: list[tuple[np.ndarray, ...]]) -> Iterator[pa.RecordBatch]:
+        keys, ids, n, sketch = (np.concatenate(x) for x in zip(*got, strict=True))
+        order = np.lexsort((ids, keys))
+        keys, ids, n, sketch = keys[order], ids[order], n[order], sketch[order]
+        # equal sets are one
+        new = np.ones(len(keys), bool)
+        new[1:] = (keys[1:] != keys[:-1]) | (ids[1:] != ids[:-1])
+        keys, ids, n, sketch = keys[new], ids[new], n[new], sketch[new]
+        part = ((keys >> U(32)) * U(parts) >> U(32)).astype(np.int64)  # keys are sorted, so parts are
+        edge = np.searchsorted(part, np.arange(parts + 1))
+        for q in np.flatnonzero(edge[1:] > edge[:-1]):
+            cut = slice(edge[q], edge[q + 1])
+            yield pa.RecordBatch.from_arrays([pa.array([int(q)], pa.int32()), *(pa.array([x[cut].tobytes()], pa.binary()) for x in (keys, ids, n, sketch))], BLOB_COLUMNS)
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        got: list[tuple[np.ndarray, ...]] = []
+        held = 0
         for batch in batches:
-            got = []
             for _, _, flat, at in _sets_of(batch, k):
                 keys, rows = bucket_keys(flat, at, num, den)
                 got.append((keys, set_ids(flat, at).view(np.int64)[rows], np.diff(at).astype(np.int32)[rows], count_sketches(flat, at)[rows]))
-            if not got:
-                continue
-            keys, ids, n, sketch = (np.concatenate(x) for x in zip(*got, strict=True))
-            order = np.lexsort((ids, keys))
-            keys, ids, n, sketch = keys[order], ids[order], n[order], sketch[order]
-            # equal sets of a batch are one
-            new = np.ones(len(keys), bool)
-            new[1:] = (keys[1:] != keys[:-1]) | (ids[1:] != ids[:-1])
-            keys, ids, n, sketch = keys[new], ids[new], n[new], sketch[new]
-            part = ((keys >> U(32)) * U(parts) >> U(32)).astype(np.int64)  # keys are sorted, so parts are
-            edge = np.searchsorted(part, np.arange(parts + 1))
-            for q in np.flatnonzero(edge[1:] > edge[:-1]):
-                cut = slice(edge[q], edge[q + 1])
-                yield pa.RecordBatch.from_arrays([pa.array([int(q)], pa.int32()), *(pa.array([x[cut].tobytes()], pa.binary()) for x in (keys, ids, n, sketch))], BLOB_COLUMNS)
+                held += len(keys)
+                if held >= HELD_KEYS:
+                    yield from blobs(got)
+                    got, held = [], 0
+        if held:
+            yield from blobs(got)
 
     return run
 
@@ -293,7 +302,7 @@ def similarity_components(df: DataFrame, k: int = 5, num: int = 80, den: int = 1
     docs = df.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     sized = materialise(docs.mapInArrow(_sizes(k), "doc_id bigint, sid bigint, n_shingles bigint"))
     named = docs.where("doc_id is not null")
-    parts = shuffle_partitions(spark)
+    parts = 2 * shuffle_partitions(spark)
     blobs = named.mapInArrow(_key_blobs(k, num, den, parts), BLOB_SCHEMA)
     candidates = blobs.repartition(parts, "part").mapInArrow(_candidate_links(num, den), "a bigint, b bigint")
     blocks = materialise(connected_components(candidates).select(F.col("node").alias("sid"), F.col("label").alias("block")))

@@ -78,7 +78,7 @@ UNKNOWN = "unknown"
 _WORDS = np.full(256, 32, np.uint8)
 _WORDS[np.r_[48:58, 97:123, 128:256]] = np.r_[48:58, 97:123, 128:256]
 _WORDS[65:91] = np.arange(97, 123)
-CHUNK_BYTES = 2 << 20
+CHUNK_BYTES = 1 << 20
 
 
 def paragraph_words(raw: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:

@@ -32,7 +32,7 @@ from .storage import materialise, shuffle_partitions
 
 SHINGLE, BANDS, ROWS = 8, 16, 6
 BINS = BANDS * ROWS
-CHUNK_BYTES = 2 << 20
+CHUNK_BYTES = 1 << 19
 
 
 def normal_lines(raw: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:

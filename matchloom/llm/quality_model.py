@@ -25,7 +25,7 @@ from .shingles import _IS_SPACE, shingle_sets, slices, utf8, word_hashes
 from .storage import materialise
 
 #: Counts of n grams are scaled by SCALE / (n + DAMP), so a few grams weigh little.
-BUCKETS, SCALE, DAMP, CHUNK_BYTES = 4096, 64.0, 64, 4 << 20
+BUCKETS, SCALE, DAMP, CHUNK_BYTES = 4096, 64.0, 64, 1 << 20
 LABELLERS = ("symbols", "word_length", "capitals", "shouting", "short_words", "sentences", "repeats", "stutter", "length")
 
 
@@ -130,14 +130,15 @@ def _grams(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def fit_linear(x: np.ndarray, y: np.ndarray, weight: np.ndarray, ridge: float = 1e-2, rounds: int = 300) -> tuple[np.ndarray, float]:
     """Logistic regression on soft labels by accelerated gradient steps; deterministic."""
-    mean, spread = x.mean(0), x.std(0) + 0.05
-    z = ((x - mean) / spread).astype(np.float32)
+    mean, spread = x.mean(0), x.std(0) + np.float32(0.05)
+    z = x - mean
+    z /= spread
     weight = weight / weight.sum()
     w, b, mw, mb = np.zeros(x.shape[1], np.float32), 0.0, np.zeros(x.shape[1], np.float32), 0.0
-    step = 4.0 / (float((weight[:, None] * z * z).sum()) + 4)
+    step = 4.0 / (float(np.einsum("i,ij,ij->", weight, z, z)) + 4)
     for _ in range(rounds):
         aw, ab = w + 0.9 * mw, b + 0.9 * mb
-        g = (1 / (1 + np.exp(-np.clip(z @ aw + ab, -30, 30))) - y) * weight
+        g = ((1 / (1 + np.exp(-np.clip(z @ aw + ab, -30, 30))) - y) * weight).astype(np.float32)
         nw, nb = aw - step * (z.T @ g + ridge * aw), ab - step * 10 * float(g.sum())
         mw, mb, w, b = nw - w, nb - b, nw, nb
     w = w / spread

@@ -41,7 +41,10 @@ class SignatureTree:
 
 
 def _bits_for(sets: list[np.ndarray]) -> int:
-    return min(1 << 16, max(256, 1 << (8 * max((len(s) for s in sets), default=1) - 1).bit_length()))
+    """Eight bits a token of the largest set, within 32 MB for all bitmaps."""
+    want = 1 << (8 * max((len(s) for s in sets), default=1) - 1).bit_length()
+    room = 1 << ((1 << 28) // max(1, len(sets))).bit_length() - 1
+    return max(256, min(1 << 16, want, room))
 
 
 def linked(a: np.ndarray, b: np.ndarray, num: int, den: int) -> bool:
