@@ -36,23 +36,29 @@ from .storage import materialise, shuffle_partitions
 CHUNK_BYTES = 1 << 20
 #: Bucket keys that a map task gathers before it sends them on.
 HELD_KEYS = 400_000
-CELLS = 16
+CELLS = 32  # of four bits: two words
 BLOB_COLUMNS = ["part", "keys", "ids", "sizes", "sketches"]
 BLOB_SCHEMA = "part int, keys binary, ids binary, sizes binary, sketches binary"
 
 
-def _classes(num: int, den: int, most: int = 1 << 40) -> tuple[np.ndarray, np.ndarray]:
-    """First sizes of the classes, and the buckets that each class is cut into."""
+def _classes(num: int, den: int, most: int = 1 << 40) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """First sizes of the classes, the buckets that each class is cut into, and its spare buckets.
+
+    A linked pair agrees in one bucket more than the spare ones. So a set with no more empty buckets than
+    that needn't be found by them: one with a shingle is among those that agree.
+    """
     first = [1]
     while first[-1] < most:
         first.append(max(first[-1] + 1, first[-1] * 3 // 2))
     last = np.array(first[1:], np.int64) - 1
-    return np.array(first[:-1], np.int64), 2 * last * (den - num) // (den + num) + 1
+    differ = 2 * last * (den - num) // (den + num)
+    spare = np.where(differ < 30, 0, 3 + differ // 16)
+    return np.array(first[:-1], np.int64), differ + 1 + spare, spare
 
 
 def bucket_keys(flat: np.ndarray, at: np.ndarray, num: int, den: int) -> tuple[np.ndarray, np.ndarray]:
     """Keys of all buckets of all sets, and the set that each is of."""
-    first, buckets = _classes(num, den)
+    first, buckets, spares = _classes(num, den)
     sizes = np.diff(at)
     own = np.searchsorted(first, sizes, "right") - 1
     keys, rows = [], []
@@ -78,7 +84,12 @@ def bucket_keys(flat: np.ndarray, at: np.ndarray, num: int, den: int) -> tuple[n
             owner = np.repeat(np.arange(len(which)), cut)
             place = np.arange(base[-1]) - np.repeat(base[:-1], cut)
             keys.append(mix(sums + mix(cls[owner].astype(U) * U(0x100000001) + (place.astype(U) << U(20)))))
-        rows.append(which[owner])
+        # empty buckets of a set that has no more of them than the spare ones name nothing
+        empty = edge[1:] == edge[:-1]
+        count = np.bincount(owner[empty], minlength=len(which))
+        named = ~(empty & (count <= spares[cls])[owner])
+        keys[-1] = keys[-1][named]
+        rows.append(which[owner][named])
     if not keys:
         return np.zeros(0, U), np.zeros(0, np.int64)
     return np.concatenate(keys), np.concatenate(rows)
@@ -103,19 +114,19 @@ def _sizes(k: int):
 
 
 def count_sketches(flat: np.ndarray, at: np.ndarray) -> np.ndarray:
-    """Of each set, how many shingles fall in each of 16 cells, modulo 16, in one 64-bit word.
+    """Of each set, how many shingles fall in each of CELLS cells, modulo 16, in two 64-bit words.
 
     The (circular) distance of two sketches is at most the number of shingles by which the sets
     differ: a pair further apart than linked sets can be is none.
     """
     rows = np.repeat(np.arange(len(at) - 1), np.diff(at))
-    cell = rows * CELLS + (mix(flat + U(0x8BB84B93962EACC9)) >> U(60)).astype(np.int64)
+    cell = rows * CELLS + (mix(flat + U(0x8BB84B93962EACC9)) >> U(59)).astype(np.int64)
     counts = np.bincount(cell, minlength=CELLS * (len(at) - 1)).reshape(-1, CELLS).astype(U) & U(15)
-    return (counts << (U(4) * np.arange(CELLS, dtype=U))).sum(1, dtype=U)
+    return (counts << (U(4) * (np.arange(CELLS, dtype=U) & U(15)))).reshape(-1, 2, 16).sum(2, dtype=U)
 
 
 def _cells(sketches: np.ndarray) -> np.ndarray:
-    return ((sketches[:, None] >> (U(4) * np.arange(CELLS, dtype=U))) & U(15)).astype(np.uint8)
+    return ((sketches[:, :, None] >> (U(4) * np.arange(16, dtype=U))) & U(15)).astype(np.uint8).reshape(-1, CELLS)
 
 
 def sketch_distance(a: np.ndarray, b: np.ndarray) -> np.ndarray:
@@ -180,7 +191,7 @@ def _candidate_links(num: int, den: int):
             return
         key, ids = np.concatenate(keys), np.concatenate(sid)
         names, first, row = np.unique(ids, return_index=True, return_inverse=True)
-        size, vectors = np.concatenate(n)[first].astype(np.int64), _cells(np.concatenate(sketch)[first])
+        size, vectors = np.concatenate(n)[first].astype(np.int64), _cells(np.concatenate(sketch).reshape(-1, 2)[first])
         order = np.lexsort((row, key))
         key, row = key[order], row[order]
         new = np.ones(len(key), bool)
