@@ -20,8 +20,9 @@ from ..operators import serve as S
 from ..sources.tables import manifest, read_sheet, records_json
 
 
-def _records(df: DataFrame, most: int = 120) -> list:
-    return [json.loads(r[0]) for r in records_json(df.limit(most)).collect()]
+def _records(df: DataFrame) -> list:
+    """All rows, in order; fetched a partition at a time."""
+    return [json.loads(r[0]) for r in records_json(df).toLocalIterator()]
 
 
 def predict(spark: SparkSession, folder: str, one: str, two: str, date: str) -> dict:
@@ -40,8 +41,8 @@ def predict(spark: SparkSession, folder: str, one: str, two: str, date: str) ->
         "players": found,
         "profiles": _records(S.player_profiles(long, date).where(S.F.col("player_id").isin(*found))),
         "recent": _records(S.recent_matches(long.where(S.F.col("player_id").isin(*found)), date)),
-        "head_to_head": _records(S.h2h_detail(long, *found, date).orderBy("match_date")),
-        "common_opponents": _records(report.orderBy(S.F.desc("weight"))),
+        "head_to_head": _records(S.h2h_detail(long, *found, date).orderBy("match_date", "match_id")),
+        "common_opponents": _records(report.orderBy(S.F.desc("weight"), "common_id")),
         "signal": _records(S.signal(report)),
     }
 
@@ -58,7 +59,7 @@ def main(argv: list[str] | None = None) -> int:
     a = parser.parse_args(argv)
     spark = SparkSession.builder.appName("matchloom").getOrCreate()
     if a.command == "players":
-        out = _records(read_sheet(spark, a.tables, "players").select("player_id", "full_name").orderBy("full_name"), 100_000)
+        out = _records(read_sheet(spark, a.tables, "players").select("player_id", "full_name").orderBy("full_name", "player_id"))
     elif a.command == "predict":
         out = predict(spark, a.tables, a.player1, a.player2, a.date)
     else:

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from matchloom.operators import evaluate as E
 from matchloom.operators import history as H
 from matchloom.operators import models, serve
-from matchloom.plans.cli import predict
+from matchloom.plans.cli import main, predict
 from matchloom.sources import tables
 from matchloom.streaming.windows import event_windows, running_pairs
 
@@ -28,6 +28,23 @@ def test_predict_payload(spark, tmp_path):
     assert json.loads(tables.manifest({"players": people}))["players"]["rows"] == 5
 
 
+def test_lists_are_whole(spark, tmp_path):
+    people = spark.createDataFrame([(i, f"Player {i:03d}") for i in range(303)], "player_id long, full_name string")
+    meetings = [(i, D(2024, 1, 1) + dt.timedelta(days=i), 0, 1, i % 2, 1.0) for i in range(150)]
+    others = [(1000 + 2 * k + side, D(2024, 1, 1), side, k, 1, 1.0) for k in range(2, 152) for side in (0, 1)]
+    matches = spark.createDataFrame(meetings + others, "match_id long, match_date date, player1_id long, player2_id long, winner_player1 int, games_diff double")
+    tables.write_workbook({"players": people, "matches": matches}, str(tmp_path))
+    out = predict(spark, str(tmp_path), "Player 000", "Player 001", "2025-02-15")
+    assert [r["match_id"] for r in out["head_to_head"]] == list(range(150))
+    assert len(out["common_opponents"]) == 150 == out["signal"][0]["n_common"]
+
+
+def test_players_are_whole(spark, tmp_path, capsys):
+    tables.write_workbook({"players": spark.range(100_001).selectExpr("id as player_id", "concat('Player ', id) as full_name")}, str(tmp_path))
+    assert main(["players", "--tables", str(tmp_path)]) == 0
+    assert len(json.loads(capsys.readouterr().out)) == 100_001
+
+
 def test_history_ends_before_the_date(spark):
     long = H.perspectives(sample(spark))
     assert serve.history_until(long, "2025-01-10").agg(F.max("match_date")).first()[0] < D(2025, 1, 10)
