@@ -10,16 +10,22 @@ from . import history as H
 from .keyed import asof_join
 
 
-def long_features(matches: DataFrame, ratings: DataFrame) -> DataFrame:
-    long = H.perspectives(matches)
-    for who in ("player", "opponent"):
-        r = ratings.select(F.col("player_id").alias(f"{who}_id"), F.col("age_group").alias("age_category"), F.col("classification_date").alias(f"{who}_rating_date"), F.col("points").alias(f"{who}_points_pre"), F.col("place").alias(f"{who}_rank_pre"), F.col("counting_tournaments").alias(f"{who}_counting"))
-        long = asof_join(long, r, [f"{who}_id", "age_category"], "match_date", f"{who}_rating_date", [f"{who}_points_pre", f"{who}_rank_pre", f"{who}_counting"])
+def rating_columns(long: DataFrame) -> DataFrame:
+    """Points a counting tournament, flags and differences of both sides' ratings."""
     long = long.withColumns({f"{w}_points_per_counting_pre": R.per_counting(F.col(f"{w}_points_pre"), F.col(f"{w}_counting")) for w in ("player", "opponent")})
     for stem in ("rank", "points", "points_per_counting"):
         long = long.withColumns(R.observed_only(F.col(f"player_{stem}_pre"), F.col(f"opponent_{stem}_pre"), stem))
     for stem in ("points", "points_per_counting"):
         long = long.withColumn(f"rel_diff_{stem}_pct_min_pre", R.relative_diff(F.col(f"player_{stem}_pre"), F.col(f"opponent_{stem}_pre")))
+    return long
+
+
+def long_features(matches: DataFrame, ratings: DataFrame) -> DataFrame:
+    long = H.perspectives(matches)
+    for who in ("player", "opponent"):
+        r = ratings.select(F.col("player_id").alias(f"{who}_id"), F.col("age_group").alias("age_category"), F.col("classification_date").alias(f"{who}_rating_date"), F.col("points").alias(f"{who}_points_pre"), F.col("place").alias(f"{who}_rank_pre"), F.col("counting_tournaments").alias(f"{who}_counting"))
+        long = asof_join(long, r, [f"{who}_id", "age_category"], "match_date", f"{who}_rating_date", [f"{who}_points_pre", f"{who}_rank_pre", f"{who}_counting"])
+    long = rating_columns(long)
     out = H.schedule_strength(H.with_elo(H.head_to_head(H.player_windows(long)), H.elo(matches)))
     common = H.common_opponents(H.perspectives(matches))
     joined = out.join(common, ["match_id", "perspective"], "left")

@@ -137,11 +137,16 @@ def common_opponents(long: DataFrame, fold_days: float = 180.0) -> DataFrame:
     mine = side("player_id").where("s_opp <> opponent_id").select("match_id", "perspective", "match_date", "s_opp", F.col("n").alias("n_a"), F.col("wins").alias("w_a"), F.col("last_date").alias("d_a"))
     theirs = side("opponent_id").where("s_opp <> player_id").select("match_id", "perspective", "s_opp", F.col("n").alias("n_b"), F.col("wins").alias("w_b"), F.col("last_date").alias("d_b"))
     both = mine.join(theirs, ["match_id", "perspective", "s_opp"])
+    return opponent_totals(both, ["match_id", "perspective"], fold_days)
+
+
+def opponent_totals(both: DataFrame, keys: list[str], fold_days: float = 180.0) -> DataFrame:
+    """The twelve features by ``keys``, from a row for each common opponent: matches, wins and last date of side a and side b."""
     ra, rb = F.col("w_a") / F.col("n_a"), F.col("w_b") / F.col("n_b")
     days = F.greatest(F.datediff("match_date", F.greatest("d_a", "d_b")), F.lit(0))
     weight = F.exp(-days / F.lit(fold_days)) * F.sqrt(F.least("n_a", "n_b").cast("double"))
     x = both.withColumns({"ra": ra, "rb": rb, "edge": ra - rb, "weight": weight})
-    agg = x.groupBy("match_id", "perspective").agg(
+    agg = x.groupBy(*keys).agg(
         F.count("*").alias("common_opp_count"), F.sum("n_a").alias("common_opp_player_matches_sum"), F.sum("n_b").alias("common_opp_opponent_matches_sum"),
         F.sum("w_a").alias("common_opp_player_wins_sum"), F.sum("w_b").alias("common_opp_opponent_wins_sum"),
         F.avg("ra").alias("common_opp_player_winrate_mean"), F.avg("rb").alias("common_opp_opponent_winrate_mean"), F.avg("edge").alias("common_opp_winrate_edge_mean"),

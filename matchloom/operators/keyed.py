@@ -45,9 +45,12 @@ def upsert(existing: DataFrame, incoming: DataFrame, key: str, columns: Sequence
     return e.join(i, F.col("_ek") == F.col("_ik"), "full").select(F.coalesce("_ek", "_ik").alias(key), *[pick(c).alias(c) for c in columns])
 
 
-def rating_snapshot(requests: DataFrame, ratings: DataFrame, key: str = "player_id") -> DataFrame:
-    """For (request_id, key, at, age): the newest rating at or before ``at``, of the exact age group if there is any."""
-    r = ratings.select(F.col(key).alias("_k"), "age_group", "classification_date", "points", "place")
+def rating_snapshot(requests: DataFrame, ratings: DataFrame, key: str = "player_id", more: Sequence[str] = ()) -> DataFrame:
+    """For (request_id, key, at, age): the newest rating at or before ``at``, of the exact age group if there is any.
+
+    ``more``: further columns of the rating.
+    """
+    r = ratings.select(F.col(key).alias("_k"), "age_group", "classification_date", "points", "place", *more)
     j = requests.join(r, (F.col(key) == F.col("_k")) & (F.col("classification_date") <= F.col("at")))
     w = Window.partitionBy("request_id").orderBy((F.col("age_group") == F.col("age")).desc(), F.col("classification_date").desc(), F.col("age_group").desc())
     return j.withColumn("_rn", F.row_number().over(w)).where("_rn = 1").drop("_rn", "_k")

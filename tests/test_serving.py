@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from matchloom.operators import evaluate as E
 from matchloom.operators import history as H
 from matchloom.operators import models, serve
+from matchloom.operators.assemble import long_features
 from matchloom.plans.cli import main, predict
 from matchloom.sources import tables
 from matchloom.streaming.windows import event_windows, running_pairs
@@ -45,6 +46,35 @@ def test_players_are_whole(spark, tmp_path, capsys):
     assert len(json.loads(capsys.readouterr().out)) == 100_001
 
 
+def test_model_forecasts(spark, tmp_path):
+    matches = sample(spark, 120).withColumn("age_category", F.lit("u17"))
+    rated = [(p, "u17", D(2024, 12, 1) + dt.timedelta(days=30 * m), 100.0 * (p + 1) + 7 * m * (p % 2), p + 1, 9, 4) for p in range(4) for m in range(5)]
+    ratings = spark.createDataFrame(rated, "player_id long, age_group string, classification_date date, points double, place int, total_tournaments int, counting_tournaments int")
+    people = spark.createDataFrame([(i, f"Player {'ABCDE'[i]}") for i in range(5)], "player_id long, full_name string")
+    tables.write_workbook({"players": people, "matches": matches, "ratings": ratings}, str(tmp_path / "t"))
+    # a pair that meets on the asked date: the feature table's own row knows just what the forecast may know
+    long = long_features(matches, ratings)
+    meeting = long.where("perspective = 'player1' and match_date > date '2025-03-10' and player_id < 4 and opponent_id < 4").orderBy("match_date").first()
+    features = ["elo_diff", "diff_points_pre_observed_only", "h2h_win_rate_before", "common_opp_weighted_edge"]
+    model, _ = models.train_and_evaluate(long, features, models.logistic(features), months=1)
+    model.write().overwrite().save(str(tmp_path / "m"))
+    out = predict(spark, str(tmp_path / "t"), f"Player {'ABCDE'[meeting.player_id]}", f"Player {'ABCDE'[meeting.opponent_id]}", str(meeting.match_date), str(tmp_path / "m"), "u17")
+    rows = {r["perspective"]: r for r in out["rows"]}
+    same = ["matches_pre", "win_rate_pre", "rest_days", "form5_partial", "form10_full", "h2h_matches_before", "h2h_wins_before", "opp_elo_last_5", "schedule_strength", "player_points_pre", "opponent_rank_pre", "player_points_per_counting_pre", "both_points_observed_pre"]
+    for want in long.where(F.col("match_id") == meeting.match_id).collect():
+        for c in [*same, *(c for c in long.columns if c.startswith(("common_opp", "diff_", "rel_")))]:
+            a, b = rows[want.perspective][c], want[c]
+            assert (a is None and b is None) or abs(a - b) < 1e-9, (c, a, b)
+    served = H.elo(matches, preset=H.SERVE_ELO).where(F.col("match_id") == meeting.match_id).first()
+    assert abs(rows["player1"]["elo_pre"] - served.elo1_pre) < 1e-9 and abs(rows["player2"]["elo_pre"] - served.elo2_pre) < 1e-9
+    p = (rows["player1"]["p"] + 1 - rows["player2"]["p"]) / 2
+    assert abs(out["p_player1_win"] - p) < 1e-12 and abs(out["p_player1_win"] + out["p_player2_win"] - 1) < 1e-12
+    assert {c["feature"] for c in out["contributions"]} == set(features) and any(c["effect"] for c in out["contributions"])
+    assert 2 <= len(out["timeline"]) <= 12 and len({t["p1"] for t in out["timeline"]}) > 1
+    assert out["timeline"][-1]["on_date"] == str(meeting.match_date) and abs(out["timeline"][-1]["p1"] - p) < 1e-12
+    assert len(out["rating_history"]) == 10 and len(out["history"]) == rows["player1"]["matches_pre"] + rows["player2"]["matches_pre"]
+
+
 def test_history_ends_before_the_date(spark):
     long = H.perspectives(sample(spark))
     assert serve.history_until(long, "2025-01-10").agg(F.max("match_date")).first()[0] < D(2025, 1, 10)
