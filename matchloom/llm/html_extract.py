@@ -2,7 +2,8 @@
 
 A page becomes a sequence of words and tags. Elements that are boilerplate by their kind or their
 class, id or role (menus, headers, footers, sidebars, notices, adverts, forms, reader comments,
-scripts, styles) are left out. In what remains, words score positive and tags negative; a linear scan
+scripts, styles) are left out, but for forms and marked elements that hold the page's main text
+(:func:`_opened`): those are wrappers. In what remains, words score positive and tags negative; a linear scan
 finds the contiguous run with the greatest total, and its words are the text, block by block. The
 weights are log odds learned from labelled pages (:func:`labelled_pages` makes them).
 
@@ -46,24 +47,74 @@ MARKS = frozenset(
     related recommended recommendations recirc share sharing social comment comments commentlist reply replies respond disqus
     footer header masthead pagination pager pagenav toolbar search searchbox form contentinfo complementary dialog""".split()
 )
+#: Those of readers' contributions: articles so marked are not the page's.
+READERS = frozenset("comment comments commentlist reply replies respond".split())
+#: An element without a heading or an article is a wrapper if it has so many times the words of all that stays.
+MOST = 10
 MAIN = re.compile(r"<(?:article|main)[\s>]", re.I)
 WORD_PART = re.compile(r"[a-z]+|[0-9]+")
 #: An opening tag that ends an open element of the second kind.
 CLOSES_P = BLOCK - {"body", "html", "head"}
 
 
-def _marked(tag: str, attrs: str) -> bool:
+def _marked(tag: str, attrs: str) -> str:
+    """'hidden', 'marked' or nothing."""
     if tag in ("html", "body", "main", "article"):
-        return False
+        return ""
+    found = ""
     for name, value in ATTR.findall(attrs):
         name = name.lower()
         if name == "hidden" or (name == "aria-hidden" and value.strip("\"'").lower() == "true"):
-            return True
+            return "hidden"
         if name == "style" and re.search(r"display\s*:\s*none", value, re.I):
-            return True
+            return "hidden"
         if name in ("class", "id", "role") and not MARKS.isdisjoint(WORD_PART.findall(value.lower())):
-            return True
-    return False
+            found = "marked"
+    return found
+
+
+def _by_readers(attrs: str) -> bool:
+    return any(n.lower() in ("class", "id", "role") and not READERS.isdisjoint(WORD_PART.findall(v.lower())) for n, v in ATTR.findall(attrs))
+
+
+def _opened(held: list[tuple[tuple[str, str, str], int, int]], parents: list[int]) -> list[bool]:
+    """Which elements stay, of those that may be wrappers; 0 is the page.
+
+    Words outside links count: those of the largest article or main element, or all where the page has none with words.
+    From the outside in, the one with more of them than all that stays is opened, if it also has a first heading, an
+    article of its own or MOST times as many; what it holds is judged in turn.
+    """
+    n = len(parents)
+    words: list[Counter] = [Counter() for _ in range(n)]  # by article, -1 for none
+    heading, article = [False] * n, [False] * n
+    for (kind, value, where), node, of in held:
+        if kind == "text" and ":link" not in where:
+            words[node][of] += len(value.split())
+        elif kind == "tag" and value == "h1":
+            heading[node] = True
+        elif kind == "tag" and value in ("article", "main") and of >= 0:
+            article[node] = True
+    whole = [Counter(w) for w in words]
+    for i in range(n - 1, 0, -1):
+        whole[parents[i]].update(whole[i])
+        heading[parents[i]] |= heading[i]
+        article[parents[i]] |= article[i]
+    some = any(c for of, c in whole[0].items() if of >= 0)
+    weight = lambda w: max((c for of, c in w.items() if of >= 0), default=0) if some else sum(w.values())
+    opened = [True] + [False] * (n - 1)
+    stays = Counter(words[0])
+    edge = {i for i in range(1, n) if parents[i] == 0}
+    while edge:
+        i = max(edge, key=lambda i: (weight(whole[i]), -i))
+        own, rest = weight(whole[i]), weight(stays)
+        if own <= rest or not (heading[i] or article[i] or own >= MOST * rest):
+            edge.remove(i)
+            continue
+        edge.remove(i)
+        opened[i] = True
+        stays.update(words[i])
+        edge |= {j for j in range(i + 1, n) if parents[j] == i}
+    return opened
 
 
 def events(page: str) -> Iterator[tuple[str, str, str]]:
@@ -71,13 +122,25 @@ def events(page: str) -> Iterator[tuple[str, str, str]]:
 
     where: ':link' inside a link, then '@main' inside an article or main element, '@out' outside those of the page.
     """
-    stack: list[tuple[str, bool]] = []
-    out = links = articles = 0
+    parents = [0]
+    held = list(_held(page, parents))
+    opened = _opened(held, parents) if len(parents) > 1 else [True]
+    return (e for e, node, _ in held if opened[node])
+
+
+def _held(page: str, parents: list[int]) -> Iterator[tuple[tuple[str, str, str], int, int]]:
+    """Events with the innermost form or marked element they are in (0: none) and their article (-1: none of the page's).
+
+    ``parents`` gets the element around each such element.
+    """
+    stack: list[tuple[str, bool, int, int]] = []  # name, left out for good; element and article around it
+    out = links = articles = node = seen = 0
+    of = -1
     has_main = MAIN.search(page) is not None
 
     def pop() -> None:
-        nonlocal out, links, articles
-        name, skip = stack.pop()
+        nonlocal out, links, articles, node, of
+        name, skip, node, of = stack.pop()
         out -= skip
         links -= name == "a"
         articles -= name in ("article", "main")
@@ -89,24 +152,24 @@ def events(page: str) -> Iterator[tuple[str, str, str]]:
         text, tag = m["text"], m["tag"]
         if text is not None or m["cdata"] is not None:
             if not out:
-                yield "text", html.unescape(text if text is not None else m["cdata"]), where()
+                yield ("text", html.unescape(text if text is not None else m["cdata"]), where()), node, of
         elif tag:
             tag = tag.lower()
             if m["close"]:
-                if any(t == tag for t, _ in stack):
-                    was = out
+                if any(t == tag for t, *_ in stack):
+                    was, at, article = out, node, of
                     while stack[-1][0] != tag:
                         pop()
                     pop()
                     if not was:
-                        yield "tag", tag, where()
+                        yield ("tag", tag, where()), at, article
                 if tag in BLOCK and not out:
-                    yield "break", tag, ""
+                    yield ("break", tag, ""), node, of
                 continue
             if tag in BLOCK:
-                if tag in CLOSES_P and any(t == "p" for t, _ in stack):
+                if tag in CLOSES_P and any(t == "p" for t, *_ in stack):
                     inner = next(i for i in range(len(stack) - 1, -1, -1) if stack[i][0] == "p")
-                    if all(t not in BLOCK for t, _ in stack[inner + 1 :]):
+                    if all(t not in BLOCK for t, *_ in stack[inner + 1 :]):
                         while len(stack) > inner:
                             pop()
                 if tag == "li" and stack and stack[-1][0] == "li":
@@ -114,17 +177,23 @@ def events(page: str) -> Iterator[tuple[str, str, str]]:
                 if tag in ("td", "th") and stack and stack[-1][0] in ("td", "th"):
                     pop()
                 if not out:
-                    yield "break", tag, ""
-            skip = tag in LEFT_OUT and not (tag == "header" and articles) or _marked(tag, m["attrs"])
+                    yield ("break", tag, ""), node, of
+            mark = _marked(tag, m["attrs"])
+            skip = mark == "hidden" or tag in LEFT_OUT and tag != "form" and not (tag == "header" and articles)
             if tag not in VOID and not m["attrs"].endswith("/"):
-                stack.append((tag, skip))
+                stack.append((tag, skip, node, of))
                 out += skip
                 links += tag == "a"
                 articles += tag in ("article", "main")
+                if not out and (mark or tag == "form"):
+                    parents.append(node)
+                    node = len(parents) - 1
+                if tag in ("article", "main") and not _by_readers(m["attrs"]):
+                    of, seen = seen, seen + 1
             if not out:
-                yield "tag", tag, where()
+                yield ("tag", tag, where()), node, of
                 if tag == "br":
-                    yield "text", " ", ""
+                    yield ("text", " ", ""), node, of
 
 
 def best_run(scores: list[float]) -> tuple[int, int]:

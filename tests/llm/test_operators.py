@@ -298,6 +298,24 @@ def test_html(spark):
     assert sum(scores[a:b]) == pytest.approx(max(sum(scores[i:j]) for i in range(30) for j in range(i, 31)))
 
 
+def test_html_wrappers_with_marks_stay():
+    w = html_extract.trained_weights()
+    body = "<h1>A title</h1>" + "<p>some main words of the page follow here</p>" * 5
+    text = "\n".join(["A title", *["some main words of the page follow here"] * 5])
+    side, notice = '<div class="sidebar"><p>tiny side words</p></div>', f'<div class="cookie-notice"><p>{"we use cookies " * 40}</p></div>'
+    readers = "".join(f'<article class="comment"><p>{"a reader says this and that " * 20}{i}</p></article>' for i in range(9))
+    for page in (
+        f'<div class="content-sidebar-wrap"><article>{body}</article>{side}</div>',
+        f'<div id="page" class="page has-sidebar"><div>{body}</div>{side}</div><p>Legal</p>',
+        f'<form id="aspnetForm"><nav>x</nav><div class="search">find it</div><div>{body.replace("h1", "h2")}</div></form>',
+        f'<main><div class="widget form">{body}</div>{side}</main>',
+        f'<div class="related"><article>teaser words</article></div><div class="x-widget"><form><article>{body}</article></form></div>',
+        f'<article>{body}</article><section id="comments">{readers}</section>',
+        f"{notice}<div>{body}</div>",
+    ):
+        assert html_extract.main_text(f"<html><body>{page}</body></html>", w) == text, page
+
+
 def test_licences(spark):
     held = licenses.varied_paragraphs(800, 1234)
     model = licenses.train_model()
