@@ -4,7 +4,7 @@ A document is the multiset of its paragraphs (lines with a word, trimmed). Each
 wide vector and a document's fingerprint is the sum of its paragraphs' vectors, lane by lane:
 
 * 16 equality lanes, uniform 32-bit values hashed from the paragraph, summed modulo 2^32;
-* 64 likeness lanes, modulo 2^16: the sum of +1/-1 signs hashed from the paragraph's three-word
+* 64 likeness lanes, modulo 2^32: the sum of +1/-1 signs hashed from the paragraph's three-word
   shingles (never across paragraphs).
 
 Sums commute, so paragraph order does not matter, and :func:`combine` inserts or deletes
@@ -36,7 +36,7 @@ def _eq(lane: int, bits: Column) -> Column:
 
 
 def fingerprint_lanes(df: DataFrame, keys: list[str], text: str) -> DataFrame:
-    """``keys``, ``eq`` array<bigint> and ``signs`` array<smallint>; one row for each key.
+    """``keys``, ``eq`` array<bigint> and ``signs`` array<int>; one row for each key.
 
     Needs no exchange when ``df`` is already dealt by some of the keys.
     """
@@ -76,19 +76,19 @@ def fingerprint_lanes(df: DataFrame, keys: list[str], text: str) -> DataFrame:
     return whole.select(
         *keys,
         F.array(*[f"_q{k}" for k in range(EQUALITY_LANES)]).alias("eq"),
-        F.array(*[_signed16(2 * F.col(f"_s{j}") - F.col("_n")).cast("smallint") for j in range(SIGN_LANES)]).alias("signs"),
+        F.array(*[_signed32(2 * F.col(f"_s{j}") - F.col("_n")).cast("int") for j in range(SIGN_LANES)]).alias("signs"),
     )
 
 
-def _signed16(x: Column) -> Column:
-    low = x.bitwiseAND(F.lit(0xFFFF))
-    return F.when(low >= 0x8000, low - 0x10000).otherwise(low)
+def _signed32(x: Column) -> Column:
+    low = x.bitwiseAND(F.lit(0xFFFFFFFF))
+    return F.when(low >= 0x80000000, low - 0x100000000).otherwise(low)
 
 
 def fingerprint_text(eq: str, signs: str) -> Column:
     """The lanes as hexadecimal text."""
     strong = F.concat(*[F.lpad(F.lower(F.hex(F.col(eq)[k].cast("long").bitwiseAND(F.lit(0xFFFFFFFF)))), 8, "0") for k in range(EQUALITY_LANES)])
-    weak = F.concat(*[F.lpad(F.lower(F.hex(F.col(signs)[j].cast("long").bitwiseAND(F.lit(0xFFFF)))), 4, "0") for j in range(SIGN_LANES)])
+    weak = F.concat(*[F.lpad(F.lower(F.hex(F.col(signs)[j].cast("long").bitwiseAND(F.lit(0xFFFFFFFF)))), 8, "0") for j in range(SIGN_LANES)])
     return F.concat(strong, F.lit("-"), weak)
 
 
@@ -96,7 +96,7 @@ def combine(a_eq: Column, a_signs: Column, b_eq: Column, b_signs: Column, insert
     """Lanes of a with b's paragraphs inserted, or deleted."""
     way = 1 if insert else -1
     eq = F.zip_with(a_eq, b_eq, lambda x, y: (x + way * y).bitwiseAND(F.lit(0xFFFFFFFF)))
-    return eq, F.zip_with(a_signs, b_signs, lambda x, y: _signed16(x.cast("long") + way * y.cast("long")).cast("smallint"))
+    return eq, F.zip_with(a_signs, b_signs, lambda x, y: _signed32(x.cast("long") + way * y.cast("long")).cast("int"))
 
 
 def likeness(a: Column, b: Column) -> Column:
@@ -106,7 +106,7 @@ def likeness(a: Column, b: Column) -> Column:
         return x.cast("double") * x.cast("double")
 
     total = lambda arr: F.aggregate(arr, F.lit(0.0), lambda s, x: s + x)
-    apart = total(F.zip_with(a, b, lambda x, y: square(_signed16(x.cast("long") - y.cast("long")))))
+    apart = total(F.zip_with(a, b, lambda x, y: square(_signed32(x.cast("long") - y.cast("long")))))
     size = total(F.zip_with(a, b, lambda x, y: square(x) + square(y)))
     return F.when(size == 0, F.lit(1.0)).otherwise(F.greatest(F.lit(0.0), F.least(F.lit(1.0), 1 - apart / size)))
 

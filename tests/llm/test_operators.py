@@ -177,6 +177,15 @@ def test_fingerprints(spark):
     assert minus.first() == lanes("x y z").select("eq", "signs").first()
 
 
+def test_likeness_lanes_hold_many_repeats(spark):
+    df = docs(spark, [(i, "again " * n, "en", "s", 0) for i, n in ((1, 65538), (2, 70002), (3, 0))])
+    r = {x.doc_id: x for x in fingerprints.fingerprint_lanes(df, ["doc_id"], "text").select("doc_id", "signs").collect()}
+    assert {abs(x) for x in r[1].signs} == {65536} and {abs(x) for x in r[2].signs} == {70000}
+    pair = spark.createDataFrame([(r[a].signs, r[b].signs) for a, b in ((1, 3), (1, 2))], "a array<int>, b array<int>")
+    empty, close = [x[0] for x in pair.select(fingerprints.likeness(F.col("a"), F.col("b"))).collect()]
+    assert empty == 0 and abs(close - (1 - 4464**2 / (65536**2 + 70000**2))) < 1e-12
+
+
 def test_temperature_weights():
     tokens = {"hot": 1000.0, "mid": 100.0, "low": 10.0}
     a, w = mixing.temperature_weights(tokens, repetition_limit=2.0)
