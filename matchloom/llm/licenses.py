@@ -7,6 +7,11 @@ are calibrated by one temperature, and the least confidence is set at which at m
 unknown ones pass. A prediction counts only if one of the family's templates is
 contained in the paragraph (or the paragraph in it) to at least ``contained``, by word bigrams.
 
+A paragraph of more than WINDOW words is read in overlapping windows. Beside the likeliest family, a window has every
+other one that passes against the unknown class alone (at that test's own least confidence), that a template
+confirms and that the window names (NAMES): families share wording, so a template alone doesn't tell them apart.
+A family counts once a line, with its greatest probability.
+
 Edge cases: a null or empty text has no findings; a paragraph without any known n-gram is unknown;
 repeated rows each get a row; null ids are carried; extra columns are ignored; an empty table gives an
 empty result.
@@ -73,6 +78,23 @@ TEMPLATES: dict[str, list[str]] = {
 }
 FAMILIES = tuple(TEMPLATES)
 UNKNOWN = "unknown"
+#: Words, one to three, that only a notice of the family has.
+NAMES: dict[str, list[str]] = {
+    "apache-2.0": ["apache license", "apache org", "apache 2"],
+    "mit": ["mit license", "identifier mit", "permission is hereby", "this permission notice"],
+    "bsd": ["bsd", "redistribution and use"],
+    "gpl": ["gnu general public", "gpl"],
+    "lgpl": ["gnu lesser general", "lgpl"],
+    "agpl": ["gnu affero general", "agpl"],
+    "mpl-2.0": ["mozilla public license", "mpl"],
+    "cc-by": ["cc by 4", "attribution 4", "licenses by 4"],
+    "cc-by-sa": ["by sa", "attribution sharealike"],
+    "cc-by-nc": ["by nc"],
+    "cc0": ["cc0", "publicdomain zero"],
+    "proprietary": ["all rights reserved", "prior written permission", "proprietary and confidential"],
+}
+#: A run of up to WINDOW - STEP + 1 words, more than any template has, is whole in some window.
+WINDOW, STEP = 64, 32
 
 #: Letters and digits stay, the rest parts words; bytes of other scripts stay.
 _WORDS = np.full(256, 32, np.uint8)
@@ -114,6 +136,17 @@ def _of_text(text: str) -> tuple[np.ndarray, np.ndarray]:
     return np.unique(grams(words, at)[0]), bigrams(words)
 
 
+def windows(words: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Words of all windows of lines, where each window's begin (one more at the end), and each one's line."""
+    n = np.diff(at)
+    count = np.where(n > WINDOW, -(-(n - WINDOW) // STEP) + 1, 1)
+    line = np.repeat(np.arange(len(n)), count)
+    first = at[line] + STEP * (np.arange(len(line)) - np.repeat(np.cumsum(count) - count, count))
+    size = np.minimum(WINDOW, at[line + 1] - first)
+    begin = np.concatenate([[0], np.cumsum(size)])
+    return words[np.repeat(first - begin[:-1], size) + np.arange(begin[-1])], begin, line
+
+
 def bigrams(words: np.ndarray) -> np.ndarray:
     with np.errstate(over="ignore"):
         return np.unique(mix(words[:-1] * _PLACE[30] + words[1:] * _PLACE[31])) if len(words) > 1 else mix(words)
@@ -156,7 +189,14 @@ class LicenceModel:
     bias: np.ndarray
     temperature: float
     least: float
+    least_alone: float  # of a family against the unknown class alone
     templates: tuple[tuple[np.ndarray, ...], ...]
+    names: tuple[np.ndarray, ...]
+
+
+def _alone(z: np.ndarray) -> np.ndarray:
+    """Each family's probability against the unknown class alone."""
+    return 1 / (1 + np.exp(np.minimum(z[:, -1:] - z[:, :-1], 80)))
 
 
 def _probabilities(z: np.ndarray) -> np.ndarray:
@@ -188,7 +228,16 @@ def train_model(count: int = 4000, false_rate: float = 0.001, seed: int = 9) ->
     temperature = min(np.geomspace(0.25, 4, 33), key=loss)
     none = _probabilities(z / temperature)[y[held] == k - 1, : k - 1].max(1)
     least = max(0.5, float(np.quantile(none, 1 - false_rate)))
-    return LicenceModel(keys, w, b, float(temperature), least, tuple(tuple(_of_text(t)[1] for t in ts) for ts in TEMPLATES.values()))
+    least_alone = max(0.5, float(np.quantile(_alone(z / temperature)[y[held] == k - 1].max(1), 1 - false_rate)))
+    names = tuple(np.array([_gram(t) for t in NAMES[f]]) for f in FAMILIES)
+    return LicenceModel(keys, w, b, float(temperature), least, least_alone, tuple(tuple(_of_text(t)[1] for t in ts) for ts in TEMPLATES.values()), names)
+
+
+def _gram(name: str) -> np.uint64:
+    """Hash of a name of up to three words."""
+    raw = np.frombuffer(name.encode(), np.uint8)
+    words, at, _, _ = paragraph_words(raw, np.array([0, len(raw)], np.int64))
+    return grams(words, at)[0][-1]
 
 
 def scan(raw: np.ndarray, offsets: np.ndarray, model: LicenceModel, contained: float = 0.7) -> list[list[tuple[int, int, float]]]:
@@ -197,27 +246,41 @@ def scan(raw: np.ndarray, offsets: np.ndarray, model: LicenceModel, contained: f
     if not len(raw):
         return found
     words, at, row, starts = paragraph_words(raw, offsets)
-    g, line = grams(words, at)
+    words, at, of_line = windows(words, at)
+    g, window = grams(words, at)
     place = np.searchsorted(model.keys, g)
     place[place == len(model.keys)] = 0
     hit = model.keys[place] == g
-    # one vote for each distinct known n-gram of a line
-    pairs = np.unique(line[hit] * len(model.keys) + place[hit])
-    lines, known = pairs // len(model.keys), pairs % len(model.keys)
-    if not len(lines):
+    # one vote for each distinct known n-gram of a window
+    pairs = np.unique(window[hit] * len(model.keys) + place[hit])
+    seen, known = pairs // len(model.keys), pairs % len(model.keys)
+    if not len(seen):
         return found
-    edge = np.concatenate([[0], np.flatnonzero(lines[1:] != lines[:-1]) + 1])
-    z = np.add.reduceat(model.weights[known], edge, 0) + model.bias
-    p = _probabilities(z / model.temperature)
+    edge = np.concatenate([[0], np.flatnonzero(seen[1:] != seen[:-1]) + 1])
+    z = (np.add.reduceat(model.weights[known], edge, 0) + model.bias) / model.temperature
+    p, alone = _probabilities(z), _alone(z)
+    likeliest = p.argmax(1)
     first_line = np.searchsorted(starts, offsets[:-1])
-    for i in np.flatnonzero((p[:, :-1].max(1) >= model.least) & (p.argmax(1) < len(FAMILIES))):
-        x = int(lines[edge[i]])
-        f = int(p[i].argmax())
-        own = bigrams(words[at[x] : at[x + 1]])
-        best = max(len(np.intersect1d(own, t, assume_unique=True)) / max(1, min(len(own), len(t))) for t in model.templates[f])
-        if best >= contained:
-            r = int(row[x])
-            found[r].append((f, x - int(first_line[r]), float(p[i, f])))
+    best: dict[tuple[int, int], float] = {}  # by line and family
+    for i in np.flatnonzero((p[:, :-1].max(1) >= model.least) & (likeliest < len(FAMILIES)) | (alone.max(1) >= model.least_alone)):
+        x = int(seen[edge[i]])
+        mine = words[at[x] : at[x + 1]]
+        own = bigrams(mine)
+        confirmed = lambda f: max(len(np.intersect1d(own, t, assume_unique=True)) / max(1, min(len(own), len(t))) for t in model.templates[f]) >= contained  # noqa: B023, E731
+        top = int(likeliest[i])
+        got = {}
+        if top < len(FAMILIES) and p[i, top] >= model.least and confirmed(top):
+            got[top] = float(p[i, top])
+        others = [int(f) for f in np.flatnonzero(alone[i] >= model.least_alone) if f not in got]
+        if others:
+            said = grams(mine, np.array([0, len(mine)]))[0]
+            got |= {f: float(alone[i, f]) for f in others if np.isin(model.names[f], said).any() and confirmed(f)}
+        for f, chance in got.items():
+            key = (int(of_line[x]), f)
+            best[key] = max(best.get(key, 0.0), chance)
+    for (line, f), chance in best.items():
+        r = int(row[line])
+        found[r].append((f, line - int(first_line[r]), chance))
     return found
 
 

@@ -338,6 +338,23 @@ def test_licences(spark):
     assert licenses.scan_licences(docs(spark, []), ["doc_id"]).count() == 0
 
 
+def test_licences_two_notices_and_long_lines():
+    model = licenses.train_model()
+    rng = random.Random(3)
+    filler = lambda n: " ".join("".join(rng.choices("abcdefgh", k=5)) for _ in range(n))
+    t = licenses.TEMPLATES
+    texts = {
+        "Licensed under the MIT License or the Apache License, Version 2.0": {"mit", "apache-2.0"},
+        f"{filler(900)} {t['gpl'][1]} {filler(700)} {t['mit'][1]} {filler(400)}": {"gpl", "mit"},
+        f"{filler(3)}\n{t['bsd'][0]} and {t['mpl-2.0'][0]}": {"bsd", "mpl-2.0"},
+        f"{filler(5000)}": set(),
+        **{x: {f} for f, xs in t.items() for x in xs},
+    }
+    raw, at = shingles.utf8(pa.array(list(texts)))
+    for (text, want), found in zip(texts.items(), licenses.scan(raw, at, model)):
+        assert {licenses.FAMILIES[f] for f, _, _ in found} == want, (text[:80], found)
+
+
 def test_personal_data_patterns():
     text = "a@b.com 300.1.2.3 or 10.0.0.1, 4111 1111 1111 1111 or +1 (212) 555-0100"
     got = [(pii.KINDS[k], text[s:e]) for s, k, e in pii.pattern_spans(text)]
