@@ -89,7 +89,8 @@ def elo(matches: DataFrame, pool: str | None = None, preset: dict[str, float] =
         "match_id", "player1_id", "player2_id", F.col("winner_player1").cast("double").alias("winner_player1"), F.col("games_diff").cast("double").alias("games_diff"), "match_date",
         F.unix_date("match_date").alias("day"), (F.col(pool).cast("string") if pool else F.lit("all")).alias("pool"),
     )
-    dealt = rows.repartition("pool") if pool else rows.coalesce(1)
+    # the fold alone is serial: what comes before it isn't pulled into its task
+    dealt = rows.repartition("pool") if pool else rows.repartition(1)
     kind = dict(matches.dtypes)["match_id"]
     return dealt.sortWithinPartitions("pool", *ORDER).mapInArrow(_elo_rows(preset), f"match_id {kind}, elo1_pre double, elo2_pre double, expected1 double")
 
@@ -119,25 +120,33 @@ def schedule_strength(long_elo: DataFrame) -> DataFrame:
 
 
 def common_opponents(long: DataFrame, fold_days: float = 180.0) -> DataFrame:
-    """Twelve features of the opponents that both sides met before each match.
+    """Twelve features of the opponents that both sides met before each match, for both sides.
 
-    Histories are first folded to running states of (player, opponent), one row a meeting, which is
-    valid until their next one. A match then joins each side's states by player and validity, so it meets one
-    row for each opponent and not one for each earlier match.
+    Histories are first folded to running states of (player, opponent), one row a meeting, valid until their next
+    one. A match of player1 joins its states by player and validity, one row for each opponent; those meet the
+    other side's state of the same opponent by (player, opponent). The other side's features are these swapped.
     """
     w = Window.partitionBy("player_id", "opponent_id").orderBy(*ORDER)
     key = F.struct(*ORDER)
     upto = w.rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    states = long.select(
-        F.col("player_id").alias("s_player"), F.col("opponent_id").alias("s_opp"), key.alias("since"), F.lead(key).over(w).alias("until"),
-        F.count("*").over(upto).alias("n"), F.sum("win").over(upto).alias("wins"), F.col("match_date").alias("last_date"),
-    )
-    valid = (key > F.col("since")) & (F.col("until").isNull() | (key <= F.col("until")))
-    side = lambda who: long.join(states, (F.col(who) == F.col("s_player")) & valid)
-    mine = side("player_id").where("s_opp <> opponent_id").select("match_id", "perspective", "match_date", "s_opp", F.col("n").alias("n_a"), F.col("wins").alias("w_a"), F.col("last_date").alias("d_a"))
-    theirs = side("opponent_id").where("s_opp <> player_id").select("match_id", "perspective", "s_opp", F.col("n").alias("n_b"), F.col("wins").alias("w_b"), F.col("last_date").alias("d_b"))
-    both = mine.join(theirs, ["match_id", "perspective", "s_opp"])
-    return opponent_totals(both, ["match_id", "perspective"], fold_days)
+
+    def states(x: str) -> DataFrame:
+        return long.select(
+            F.col("player_id").alias(f"p_{x}"), F.col("opponent_id").alias(f"c_{x}"), key.alias(f"since_{x}"), F.lead(key).over(w).alias(f"until_{x}"),
+            F.count("*").over(upto).alias(f"n_{x}"), F.sum("win").over(upto).alias(f"w_{x}"), F.col("match_date").alias(f"d_{x}"),
+        )
+
+    valid = lambda x: (F.col("at") > F.col(f"since_{x}")) & (F.col(f"until_{x}").isNull() | (F.col("at") <= F.col(f"until_{x}")))
+    asked = long.where("perspective = 'player1'").select("match_id", "match_date", key.alias("at"), "player_id", "opponent_id")
+    mine = asked.join(states("a"), (F.col("player_id") == F.col("p_a")) & valid("a")).where("c_a <> opponent_id").select("match_id", "match_date", "at", "player_id", "opponent_id", "c_a", "n_a", "w_a", "d_a")
+    both = mine.where("c_a <> player_id").join(states("b"), (F.col("opponent_id") == F.col("p_b")) & (F.col("c_a") == F.col("c_b")) & valid("b"))
+    one = opponent_totals(both, ["match_id"], fold_days).withColumn("perspective", F.lit("player1"))
+    other = {}
+    for c in one.columns:
+        swapped = c.replace("_player_", "_x_").replace("_opponent_", "_player_").replace("_x_", "_opponent_")
+        other[c] = -F.col(c) if c.endswith(("edge_mean", "weighted_edge")) else F.lit("player2") if c == "perspective" else F.col(swapped)
+    sides = F.array(F.struct(*one.columns), F.struct(*[v.alias(c) for c, v in other.items()]))
+    return one.select(F.explode(sides).alias("_s")).select("_s.match_id", "_s.perspective", *[f"_s.{c}" for c in one.columns if c not in ("match_id", "perspective")])
 
 
 def opponent_totals(both: DataFrame, keys: list[str], fold_days: float = 180.0) -> DataFrame:

@@ -12,19 +12,21 @@ def asof_join(left: DataFrame, right: DataFrame, by: Sequence[str], left_on: str
     """``left`` with the newest row of ``right`` at or before ``left_on``, of the same ``by``.
 
     One exchange by key: both sides are unioned and the last right row is carried forward. The row is
-    carried as a struct, so a null field in it isn't replaced by an older value. ``right`` has one row for
-    each (by, right_on). Left rows with a null key or date, or without such a row, get nulls.
+    carried as a struct, so a null field in it isn't replaced by an older value; left columns travel by themselves, so
+    those that nobody reads are pruned. ``right`` has one row for each (by, right_on). Left rows with a null key or date, or without
+    such a row, get nulls.
     """
-    l_cols = left.columns
-    lhs = left.select(*by, F.col(left_on).alias("_at"), F.lit(1).alias("_side"), F.struct(*l_cols).alias("_l"), F.lit(None).cast(right.select(F.struct(right_on, *fields)).schema[0].dataType).alias("_r"))
-    rhs = right.select(*by, F.col(right_on).alias("_at"), F.lit(0).alias("_side"), F.lit(None).cast(left.select(F.struct(*l_cols)).schema[0].dataType).alias("_l"), F.struct(right_on, *fields).alias("_r"))
-    rhs = rhs.dropna(subset=[*by, "_at"])
+    rest = [c for c in left.columns if c not in by]
+    found = F.struct(F.col(right_on), *fields)
+    lhs = left.select(*by, *rest, F.col(left_on).alias("_at"), F.lit(1).alias("_side"), F.lit(None).cast(right.select(found).schema[0].dataType).alias("_r"))
+    kinds = {f.name: f.dataType for f in left.schema.fields}
+    rhs = right.select(*by, *[F.lit(None).cast(kinds[c]).alias(c) for c in rest], F.col(right_on).alias("_at"), F.lit(0).alias("_side"), found.alias("_r")).dropna(subset=[*by, "_at"])
     w = Window.partitionBy(*by).orderBy(F.col("_at").asc_nulls_first(), "_side").rowsBetween(Window.unboundedPreceding, Window.currentRow)
     known = F.col("_at").isNotNull()
     for b in by:
         known = known & F.col(b).isNotNull()
     out = lhs.unionByName(rhs).withColumn("_found", F.when(known, F.last("_r", ignorenulls=True).over(w))).where("_side = 1")
-    return out.select("_l.*", *[F.col(f"_found.{c}").alias(c) for c in (right_on, *fields)])
+    return out.select(*left.columns, *[F.col(f"_found.{c}").alias(c) for c in (right_on, *fields)])
 
 
 def first_by_key(df: DataFrame, keys: Sequence[str], order: Sequence[Column | str]) -> DataFrame:
@@ -48,12 +50,20 @@ def upsert(existing: DataFrame, incoming: DataFrame, key: str, columns: Sequence
 def rating_snapshot(requests: DataFrame, ratings: DataFrame, key: str = "player_id", more: Sequence[str] = ()) -> DataFrame:
     """For (request_id, key, at, age): the newest rating at or before ``at``, of the exact age group if there is any.
 
-    ``more``: further columns of the rating.
+    One exchange by key: requests and ratings are unioned, and the newest rating of the group and of any group (the last group
+    on one date) are carried forward. ``more``: further columns of the rating.
     """
-    r = ratings.select(F.col(key).alias("_k"), "age_group", "classification_date", "points", "place", *more)
-    j = requests.join(r, (F.col(key) == F.col("_k")) & (F.col("classification_date") <= F.col("at")))
-    w = Window.partitionBy("request_id").orderBy((F.col("age_group") == F.col("age")).desc(), F.col("classification_date").desc(), F.col("age_group").desc())
-    return j.withColumn("_rn", F.row_number().over(w)).where("_rn = 1").drop("_rn", "_k")
+    names = ["age_group", "classification_date", "points", "place", *more]
+    found = F.struct(*names)
+    asked = requests.select(F.col(key).alias("_k"), F.col("at").alias("_at"), F.col("age").alias("_age"), F.lit(1).alias("_side"), F.struct(*requests.columns).alias("_q"), F.lit(None).cast(ratings.select(found).schema[0].dataType).alias("_r"))
+    known = ratings.where("classification_date is not null").select(F.col(key).alias("_k"), F.col("classification_date").alias("_at"), F.col("age_group").alias("_age"), F.lit(0).alias("_side"), F.lit(None).cast(requests.select(F.struct(*requests.columns)).schema[0].dataType).alias("_q"), found.alias("_r"))
+    both = asked.where("_k is not null and _at is not null").unionByName(known)
+    so_far = lambda w: w.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    group = so_far(Window.partitionBy("_k", "_age").orderBy("_at", "_side"))
+    every = so_far(Window.partitionBy("_k").orderBy("_at", "_side", "_age"))
+    last = lambda w: F.last("_r", ignorenulls=True).over(w)
+    out = both.withColumn("_any", last(every)).withColumn("_own", F.when(F.col("_age").isNotNull(), last(group))).where("_side = 1")
+    return out.withColumn("_r", F.coalesce("_own", "_any")).where("_r is not null").select("_q.*", "_r.*")
 
 
 def require_columns(df: DataFrame, names: Sequence[str]) -> DataFrame:

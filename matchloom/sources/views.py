@@ -5,6 +5,8 @@ The same SQL text runs in Spark and in DuckDB.
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import DataFrame, SparkSession
 
 from .shipping import ship_package
@@ -13,17 +15,16 @@ TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineite
 
 MATCHES = """
 select o.o_orderkey as match_id, cast(o.o_orderdate as date) as match_date, o.o_orderpriority as age_category,
-       a.l_suppkey as player1_id, b.l_suppkey as player2_id,
-       cast(a.l_extendedprice > b.l_extendedprice as int) as winner_player1,
-       a.l_quantity - b.l_quantity as games_diff, cast(a.l_quantity as int) as qa, cast(b.l_quantity as int) as qb
-from (select l_orderkey, l_suppkey, l_quantity, l_extendedprice,
-             row_number() over (partition by l_orderkey order by l_linenumber, l_suppkey, l_partkey, l_extendedprice, l_quantity) as rn
-      from lineitem) a
-join (select l_orderkey, l_suppkey, l_quantity, l_extendedprice,
-             row_number() over (partition by l_orderkey order by l_linenumber, l_suppkey, l_partkey, l_extendedprice, l_quantity) as rn
-      from lineitem) b on a.l_orderkey = b.l_orderkey and a.rn = 1 and b.rn = 2
+       s1 as player1_id, s2 as player2_id, cast(e1 > e2 as int) as winner_player1,
+       q1 - q2 as games_diff, cast(q1 as int) as qa, cast(q2 as int) as qb
+from (select l_orderkey, max(case when rn = 1 then l_suppkey end) as s1, max(case when rn = 2 then l_suppkey end) as s2,
+             max(case when rn = 1 then l_extendedprice end) as e1, max(case when rn = 2 then l_extendedprice end) as e2,
+             max(case when rn = 1 then l_quantity end) as q1, max(case when rn = 2 then l_quantity end) as q2
+      from (select l_orderkey, l_suppkey, l_quantity, l_extendedprice,
+                   row_number() over (partition by l_orderkey order by l_linenumber, l_suppkey, l_partkey, l_extendedprice, l_quantity) as rn
+            from lineitem) x where rn <= 2 group by l_orderkey) a
 join orders o on o.o_orderkey = a.l_orderkey
-where a.l_suppkey <> b.l_suppkey"""
+where s1 <> s2"""
 
 RATINGS = """
 select s.*, row_number() over (partition by age_group, classification_date order by points desc, player_id) as place
@@ -74,15 +75,11 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def view(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """A derived view as a DataFrame; only the tables it reads are registered."""
+    """A derived view as a DataFrame; no name is left in the session's catalogue."""
+    named = re.compile(rf"\b(from|join) ({'|'.join([*TABLES, *VIEWS])})\b")
     text = VIEWS[name]
-    for t in TABLES:
-        if f" {t}" in text or f"\n{t}" in text:
-            table(spark, sf_dir, t).createOrReplaceTempView(t)
-    for v in VIEWS:
-        if v != name and f"from {v}" in text:
-            view(spark, sf_dir, v).createOrReplaceTempView(v)
-    return spark.sql(text)
+    used = {m[2]: view(spark, sf_dir, m[2]) if m[2] in VIEWS else table(spark, sf_dir, m[2]) for m in named.finditer(text)}
+    return spark.sql(named.sub(r"\1 {\2}", text), **used)
 
 
 def with_views(sql: str) -> str:
