@@ -1,6 +1,6 @@
-"""A Bloom filter of fixed size over a column of ids, built distributed.
+"""A Bloom filter over a column of ids, built distributed.
 
-Only its bits come to the driver, and their number doesn't grow with the data: with more ids the
+Only its bits come to the driver: 16 to 32 an id, 32 MB at most. With more ids than that is made for the
 filter lets more rows through to the exact join that follows, and never loses one.
 """
 
@@ -15,15 +15,15 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .shingles import U, mix
-from .storage import shuffle_partitions
+from .workers import trimmed
 
-BITS, BLOCK = 1 << 26, 1 << 15
+MOST_BITS, BLOCK = 1 << 28, 1 << 15
 
 
-def _places(ids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+def _places(ids: np.ndarray, bits: int) -> tuple[np.ndarray, np.ndarray]:
     with np.errstate(over="ignore"):
         h = mix(ids.view(U) + U(0x51ED270B7A1F3C5D))
-    return (h & U(BITS - 1)).astype(np.int64), ((h >> U(32)) & U(BITS - 1)).astype(np.int64)
+    return (h & U(bits - 1)).astype(np.int64), ((h >> U(32)) & U(bits - 1)).astype(np.int64)
 
 
 def _rows(bits: np.ndarray) -> Iterator[pa.RecordBatch]:
@@ -33,40 +33,50 @@ def _rows(bits: np.ndarray) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([pa.array(have.astype(np.int32)), pa.array([blocks[b].tobytes() for b in have], pa.binary())], ["block", "bits"])
 
 
-def _mark(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    bits = np.zeros(BITS // 8, np.uint8)
-    for batch in batches:
-        for at in _places(batch.column(0).to_numpy(zero_copy_only=False)):
-            np.bitwise_or.at(bits, at >> 3, (1 << (at & 7)).astype(np.uint8))
-    yield from _rows(bits)
+def _mark(size: int):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        bits = np.zeros(size // 8, np.uint8)
+        for batch in batches:
+            for at in _places(batch.column(0).to_numpy(zero_copy_only=False), size):
+                np.bitwise_or.at(bits, at >> 3, (1 << (at & 7)).astype(np.uint8))
+        yield from _rows(bits)
+
+    return run
 
 
-def _merge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    bits = np.zeros((BITS // BLOCK, BLOCK // 8), np.uint8)
-    for batch in batches:
-        for b, x in zip(batch.column("block").to_pylist(), batch.column("bits"), strict=True):
-            bits[b] |= np.frombuffer(x.as_py(), np.uint8)
-    yield from _rows(bits.ravel())
+def _merge(size: int):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        bits = np.zeros((size // BLOCK, BLOCK // 8), np.uint8)
+        for batch in batches:
+            for b, x in zip(batch.column("block").to_pylist(), batch.column("bits"), strict=True):
+                bits[b] |= np.frombuffer(x.as_py(), np.uint8)
+        yield from _rows(bits.ravel())
+
+    return run
 
 
 def build(ids: DataFrame) -> np.ndarray:
-    """The filter's bytes over a one-column frame of non-null bigints."""
-    parts = shuffle_partitions(ids.sparkSession)
+    """The filter's bytes over a one-column frame of non-null bigints, which is counted first."""
+    count = ids.count()
+    size = min(MOST_BITS, max(BLOCK, 1 << (16 * count).bit_length()))
     schema = "block int, bits binary"
-    merged = ids.mapInArrow(_mark, schema).repartition(parts, "block").mapInArrow(_merge, schema)
-    bits = np.zeros((BITS // BLOCK, BLOCK // 8), np.uint8)
-    for b, x in merged.collect():  # at most BITS / 8 bytes
-        bits[b] = np.frombuffer(x, np.uint8)
+    # a task marks some 2^20 ids, so that few filters meet
+    marked = ids.coalesce(max(1, count >> 20)).mapInArrow(trimmed(_mark(size)), schema)
+    if count >> 20:
+        marked = marked.repartition(max(1, size // BLOCK // 64), "block").mapInArrow(trimmed(_merge(size)), schema)
+    bits = np.zeros((size // BLOCK, BLOCK // 8), np.uint8)
+    for b, x in marked.collect():  # at most MOST_BITS / 8 bytes
+        bits[b] |= np.frombuffer(x, np.uint8)
     return bits.ravel()
 
 
 def contains(bits: np.ndarray, ids: np.ndarray) -> np.ndarray:
-    a, b = _places(np.ascontiguousarray(ids, np.int64))
+    a, b = _places(np.ascontiguousarray(ids, np.int64), 8 * len(bits))
     return ((bits[a >> 3] >> (a & 7).astype(np.uint8)) & (bits[b >> 3] >> (b & 7).astype(np.uint8)) & 1).astype(bool)
 
 
 def marked(df: DataFrame, column: str, bits: np.ndarray, name: str) -> DataFrame:
-    """``df`` with a boolean: the bigint ``column`` may be in the filter; false for a null."""
+    """``df`` with a boolean ``name`` (new): the bigint ``column`` may be in the filter; false for a null."""
     out = df.withColumn(name, F.lit(False))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -76,9 +86,9 @@ def marked(df: DataFrame, column: str, bits: np.ndarray, name: str) -> DataFrame
             got &= ids.is_valid().to_numpy(zero_copy_only=False)
             yield pa.RecordBatch.from_arrays([*batch.columns[:-1], pa.array(got)], names=batch.schema.names)
 
-    return out.mapInArrow(run, out.schema)
+    return out.mapInArrow(trimmed(run), out.schema)
 
 
 def filtered(df: DataFrame, column: str, bits: np.ndarray) -> DataFrame:
-    """Rows of ``df`` whose bigint ``column`` may be in the filter."""
+    """Rows of ``df`` whose bigint ``column`` may be in the filter; ``df`` has no column ``_may``."""
     return marked(df, column, bits, "_may").where("_may").drop("_may")

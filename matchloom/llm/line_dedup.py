@@ -1,10 +1,11 @@
 """Fuzzy line deduplication: MinHash, banding, exact Jaccard, distributed union-find.
 
 A line with a word is put in normal form (its words, A-Z lower-cased, with one space between) and
-becomes the set of its 8-byte shingles; a shorter one is a single shingle. One-permutation MinHash
-signatures (empty bins take the next full one's value) are cut into 16 bands of 6: at a Jaccard of
-0.8 a pair is missed with a probability of 0.008, at 0.85 of 0.0003. Lines that share a band form candidate blocks,
-found with the same combined exchange as the n-gram join; each block is verified by exact Jaccard and the links
+becomes the set of its 8-byte shingles; a shorter one is a single shingle. Signatures are one-permutation
+MinHash over 128 bins; an empty bin takes the value of the first full one in a random order of its own, so bins
+of one band don't share a source and unlike short lines don't agree in whole bands. 21 bands of 6 bins: a pair at
+a Jaccard of 0.8 is missed with a probability of about 0.002, one at 0.15 is a candidate with 0.0003. Lines that share a
+band form candidate blocks, found with a combined exchange; each block is verified by exact Jaccard and the links
 go to distributed union-find. One line a component stays: the first by doc_id, then by place.
 
 Lines without a word stay as they are. Keeping is decided by (doc_id, line number), so no join is by
@@ -12,7 +13,8 @@ line and a line that a third of all documents have costs one row a batch.
 
 Edge cases: a null text stays null, an empty one empty; null ids are carried and keep all their
 lines, which count nowhere; rows with an equal doc_id count as one document: a line that stays, stays
-in each; extra columns are kept by the caller's ``keep``; an empty table gives an empty result.
+in each; of equal lines the first by (doc_id, line) stays; extra columns are kept by the caller's ``keep``, and an
+output column whose name one of them has gets underscores; an empty table gives an empty result.
 """
 
 from __future__ import annotations
@@ -27,48 +29,41 @@ from pyspark.sql import functions as F
 from . import bloom
 from .components import connected_components
 from .jaccard_join import verified_links
-from .shingles import _IS_SPACE, _LOWER, U, mix, slices, utf8
-from .storage import materialise, shuffle_partitions
+from .shingles import U, mix, slices, utf8
+from .storage import fresh, materialise, scope, shuffle_partitions
+from .workers import trimmed
 
-SHINGLE, BANDS, ROWS = 8, 16, 6
-BINS = BANDS * ROWS
+SHINGLE, BANDS, ROWS, BINS = 8, 21, 6, 128
 CHUNK_BYTES = 1 << 19
+#: Band keys that one task of the exchange gathers, about.
+TASK_KEYS = 2_000_000
+_EMPTY = U(np.iinfo(np.uint64).max)
+#: Of each bin, the order in which others are asked when it is empty; and the place of each in that order.
+_ORDER = np.stack([np.random.Generator(np.random.PCG64(77 + b)).permutation(BINS) for b in range(BINS)])
+_PLACE = np.argsort(_ORDER, 1).astype(np.int16)
+#: Whitespace that a text in normal form doesn't have.
+_ODD = (b"  ", b"\t", b"\r", b"\x0b", b"\x0c", b" \n", b"\n ")
 
 
 def normal_lines(raw: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     """Bytes and offsets of all lines with a word in normal form; each one's row and line number."""
-    n = len(raw)
-    if not n:
-        z = np.zeros(0, np.int64)
-        return raw, np.zeros(1, np.int64), z, z
-    low = _LOWER[raw]
-    space = _IS_SPACE[raw]
-    breaks = raw == 10
-    row_of_byte_start = offsets[:-1][offsets[:-1] < n]
-    begins = np.zeros(n, bool)
-    begins[row_of_byte_start] = True
-    line_start = begins.copy()
-    line_start[1:] |= breaks[:-1]
-    line = np.cumsum(line_start) - 1
-    first_byte = np.flatnonzero(line_start)
-    row = np.searchsorted(offsets, first_byte, "right") - 1
-    row_first = np.searchsorted(first_byte, offsets[:-1][row])
-    number = np.arange(len(first_byte)) - row_first
-    # a byte of normal form: of a word, or the one space before a further word of its line
-    word = ~space
-    word_start = word.copy()
-    word_start[1:] &= space[:-1] | line_start[1:]
-    words_before = np.cumsum(word_start)
-    line_words = words_before[first_byte] - word_start[first_byte]
-    further = word_start & (words_before - line_words[line] > 1)
-    at = np.flatnonzero(word)
-    out_pos = np.cumsum(word.astype(np.int64) + further)[at] - 1
-    size = int(out_pos[-1]) + 1 if len(at) else 0
-    out = np.full(size, 32, np.uint8)
-    out[out_pos] = low[at]
-    per_line = np.bincount(line[at], minlength=len(first_byte)) + np.bincount(line[further.nonzero()[0]], minlength=len(first_byte))
-    have = per_line > 0
-    return out, np.concatenate([[0], np.cumsum(per_line[have])]).astype(np.int64), row[have], number[have]
+    low = raw.tobytes().lower()  # A-Z only
+    odd = any(x in low for x in _ODD)
+    lines: list[bytes] = []
+    rows: list[int] = []
+    numbers: list[int] = []
+    bounds = offsets.tolist()
+    for r in range(len(bounds) - 1):
+        for i, line in enumerate(low[bounds[r] : bounds[r + 1]].split(b"\n")):
+            if odd or line[:1] == b" " or line[-1:] == b" ":
+                line = b" ".join(line.split())
+            if line:
+                lines.append(line)
+                rows.append(r)
+                numbers.append(i)
+    at = np.zeros(len(lines) + 1, np.int64)
+    np.cumsum([len(x) for x in lines], out=at[1:])
+    return np.frombuffer(b"".join(lines), np.uint8), at, np.array(rows, np.int64), np.array(numbers, np.int64)
 
 
 def line_shingles(raw: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -85,41 +80,57 @@ def line_shingles(raw: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.
     edge = np.zeros(len(raw) + 1, np.int8)
     edge[offsets[:-1]] += 1
     edge[offsets[:-1] + count] -= 1
-    return mix(code[np.cumsum(edge[:-1], dtype=np.int8).astype(bool)]), at
+    return mix(code[np.cumsum(edge[:-1], dtype=np.int8).view(bool)]), at
 
 
 def line_ids(codes: np.ndarray, at: np.ndarray) -> np.ndarray:
     """An id of each line's text: a hash of its shingles in order."""
+    if not len(codes):
+        return np.zeros(0, np.int64)
     with np.errstate(over="ignore"):
-        weight = np.arange(1, 2 * len(codes) + 1, 2, dtype=U)
-        total, weighted = np.zeros(len(codes) + 1, U), np.zeros(len(codes) + 1, U)
-        np.cumsum(codes, out=total[1:])
-        np.cumsum(codes * weight, out=weighted[1:])
+        plain = np.add.reduceat(codes, at[:-1])
+        weighted = np.add.reduceat(codes * np.arange(1, 2 * len(codes) + 1, 2, dtype=U), at[:-1])
         # the weight of a line's first shingle is taken off, so a line's place in the batch doesn't count
-        plain = total[at[1:]] - total[at[:-1]]
-        ordered = weighted[at[1:]] - weighted[at[:-1]] - plain * (U(2) * at[:-1].astype(U))
+        ordered = weighted - plain - plain * (U(2) * at[:-1].astype(U))
         return mix(mix(plain + np.diff(at).astype(U)) + ordered).view(np.int64)
 
 
+def signatures(codes: np.ndarray, at: np.ndarray) -> np.ndarray:
+    """The MinHash signature (lines x BINS) of each line."""
+    lines = len(at) - 1
+    low = np.full(lines * BINS, _EMPTY, U)
+    cell = (codes >> U(57)).view(np.int64)
+    cell += np.repeat(np.arange(0, lines * BINS, BINS), np.diff(at))
+    np.minimum.at(low, cell, codes << U(7))
+    sig = low.reshape(lines, BINS)
+    full = sig != _EMPTY
+    count = full.sum(1)
+    few = np.flatnonzero((count > 0) & (count < 12))
+    out = sig.copy()
+    for m in np.unique(count[few]):
+        rows = few[count[few] == m]
+        bins = np.nonzero(full[rows])[1].reshape(-1, m)
+        for i in range(0, len(rows), 4096):
+            some = bins[i : i + 4096]
+            best = _PLACE[:, some].argmin(2).T  # of each row and bin, which of its full bins comes first
+            out[rows[i : i + 4096]] = np.take_along_axis(sig[rows[i : i + 4096]], np.take_along_axis(some, best, 1), 1)
+    row, bin_ = np.nonzero(~full & (count >= 12)[:, None])
+    step = 0
+    while len(row):
+        source = _ORDER[bin_, step]
+        value = sig[row, source]
+        hit = value != _EMPTY
+        out[row[hit], bin_[hit]] = value[hit]
+        row, bin_ = row[~hit], bin_[~hit]
+        step += 1
+    return out
+
+
 def band_keys(codes: np.ndarray, at: np.ndarray) -> np.ndarray:
     """BANDS keys of each line."""
-    lines = len(at) - 1
+    bands = signatures(codes, at)[:, : BANDS * ROWS].reshape(-1, BANDS, ROWS)
     with np.errstate(over="ignore"):
-        cell = np.repeat(np.arange(0, lines * BINS, BINS), np.diff(at))
-        cell += ((codes >> U(40)) * U(BINS) >> U(24)).astype(np.int64)
-        low = np.full(lines * BINS, np.iinfo(np.uint64).max, U)
-        np.minimum.at(low, cell, codes * U(0xA0761D6478BD642F))
-        sig = low.reshape(lines, BINS)
-        empty = sig == np.iinfo(np.uint64).max
-        for step in range(1, BINS):
-            if not empty.any():
-                break
-            take = np.roll(sig, -1, 1)
-            fill = empty & ~np.roll(empty, -1, 1)
-            sig = np.where(fill, mix(take + U(step)), sig)
-            empty &= ~fill
-        bands = sig.reshape(lines, BANDS, ROWS)
-        key = np.broadcast_to(np.arange(1, BANDS + 1, dtype=U), (lines, BANDS)).copy()
+        key = np.broadcast_to(np.arange(1, BANDS + 1, dtype=U), bands.shape[:2]).copy()
         for j in range(ROWS):
             key = mix(key * U(0x9FB21C651E98DF25) + bands[:, :, j])
     return key
@@ -138,16 +149,20 @@ LINE_SCHEMA = "doc_id bigint, line int, lid bigint, n bigint, bands binary"
 
 def _lines(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """All lines with a word; the band keys only with the first of equal lines of a chunk."""
+    width = 8 * BANDS
     for batch in batches:
         ids = batch.column("doc_id")
         for i, _, codes, at, row, number in _chunks(batch):
-            lid = line_ids(codes, at)
+            lid, n = line_ids(codes, at), np.diff(at)
+            first = np.sort(np.unique(lid, return_index=True)[1])
+            if len(first) < len(lid):
+                own = np.repeat(np.isin(np.arange(len(lid)), first, assume_unique=True), n)
+                codes, at = codes[own], np.concatenate([[0], np.cumsum(n[first])])
             keys = band_keys(codes, at).tobytes()
-            first = np.zeros(len(lid), bool)
-            first[np.unique(lid, return_index=True)[1]] = True
-            width = 8 * BANDS
-            bands = pa.array([keys[x * width : (x + 1) * width] if f else None for x, f in enumerate(first)], pa.binary())
-            yield pa.RecordBatch.from_arrays([ids.take(pa.array(row + i)), pa.array(number.astype(np.int32)), pa.array(lid), pa.array(np.diff(at)), bands], ["doc_id", "line", "lid", "n", "bands"])
+            bands: list[bytes | None] = [None] * len(lid)
+            for x, f in enumerate(first.tolist()):
+                bands[f] = keys[x * width : (x + 1) * width]
+            yield pa.RecordBatch.from_arrays([ids.take(pa.array(row + i)), pa.array(number.astype(np.int32)), pa.array(lid), pa.array(n), pa.array(bands, pa.binary())], ["doc_id", "line", "lid", "n", "bands"])
 
 
 def _gather(keys: np.ndarray, ids: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
@@ -190,8 +205,7 @@ def _band_blobs(parts: int):
             if not len(lid):
                 continue
             keys = np.frombuffer(b"".join(batch.column("bands").take(pa.array(first)).to_pylist()), U)
-            got = [(keys, np.repeat(lid, BANDS))]
-            keys, ids, a, b = _gather(*(np.concatenate(x) for x in zip(*got, strict=True)))
+            keys, ids, a, b = _gather(keys, np.repeat(lid, BANDS))
             part = ((keys >> U(32)) * U(parts) >> U(32)).astype(np.int64)
             edge = np.searchsorted(part, np.arange(parts + 1))
             blobs = [(int(p), keys[edge[p] : edge[p + 1]].tobytes(), ids[edge[p] : edge[p + 1]].tobytes()) for p in np.flatnonzero(edge[1:] > edge[:-1])]
@@ -209,97 +223,97 @@ def shingles_of(line: bytes) -> np.ndarray:
     return np.unique(codes)
 
 
-def _wanted_lines(bits: np.ndarray):
-    """(lid, n, line in normal form) of the lines whose id may be in the filter; once a batch."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            raw, offsets = utf8(batch.column("text"))
-            seen: set[int] = set()
-            for i, j in slices(offsets, CHUNK_BYTES):
-                text, at, row, _ = normal_lines(raw[offsets[i] : offsets[j]], offsets[i : j + 1] - offsets[i])
-                if not len(row):
-                    continue
-                codes, starts = line_shingles(text, at)
-                lid = line_ids(codes, starts)
-                new = [int(x) for x in np.flatnonzero(bloom.contains(bits, lid)) if int(lid[x]) not in seen]
-                new = list({int(lid[x]): x for x in new}.values())
-                if new:
-                    seen.update(int(lid[x]) for x in new)
-                    blobs = [text[at[x] : at[x + 1]].tobytes() for x in new]
-                    yield pa.RecordBatch.from_arrays([pa.array(lid[new]), pa.array(np.diff(starts)[new]), pa.array(blobs, pa.binary())], ["sid", "n", "set"])
-
-    return run
+def _wanted_lines(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(sid, block, chunk, n, line in normal form) of the lines that each row's ``want`` names, where the id is the line's."""
+    for batch in batches:
+        got: list[tuple[int, int, int, int, bytes]] = []
+        for text, want in zip(batch.column("text"), batch.column("want"), strict=True):
+            lines = text.as_py().encode().lower().split(b"\n")
+            some = [(w, b" ".join(lines[w["line"]].split())) for w in want.as_py() if w["line"] < len(lines)]
+            some = [(w, x) for w, x in some if x]
+            if not some:
+                continue
+            at = np.zeros(len(some) + 1, np.int64)
+            np.cumsum([len(x) for _, x in some], out=at[1:])
+            codes, starts = line_shingles(np.frombuffer(b"".join(x for _, x in some), np.uint8), at)
+            got += [(w["sid"], w["block"], w["chunk"], int(n), x) for (w, x), lid, n in zip(some, line_ids(codes, starts).tolist(), np.diff(starts), strict=True) if lid == w["sid"]]
+        if got:
+            kinds = (pa.int64(), pa.int64(), pa.int32(), pa.int64(), pa.binary())
+            yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*got, strict=True), kinds, strict=True)], ["sid", "block", "chunk", "n", "set"])
 
 
 def all_lines(df: DataFrame) -> DataFrame:
     """doc_id, line, lid, n, bands of all lines with a word of ``df`` (doc_id, text): one pass over the texts."""
     docs = df.select(F.col("doc_id").cast("long").alias("doc_id"), "text").where("doc_id is not null and text is not null")
-    return materialise(docs.mapInArrow(_lines, LINE_SCHEMA))
+    return materialise(docs.mapInArrow(trimmed(_lines), LINE_SCHEMA))
 
 
 def line_winners(df: DataFrame, num: int = 80, den: int = 100, block_shingles: int = 1_000_000, lines: DataFrame | None = None) -> DataFrame:
     """(doc_id, line) of the one line that stays of each component, over ``df`` (doc_id, text)."""
-    spark = df.sparkSession
-    docs = df.select("doc_id", "text").where("doc_id is not null and text is not null")
-    lines = all_lines(df) if lines is None else lines
-    parts = shuffle_partitions(spark)
-    # (doc_id, line) minima are taken in two steps, so that the first is a plain hash aggregation
-    holders = materialise(lines.groupBy("lid", "doc_id").agg(F.min("line").alias("line"), F.min("n").alias("n")).groupBy("lid").agg(F.min(F.struct("doc_id", "line")).alias("at"), F.min("n").alias("n")))
-    blobs = lines.where("bands is not null").select("lid", "bands").mapInArrow(_band_blobs(parts), "part int, keys binary, ids binary")
-    links = blobs.repartition(parts, "part").mapInArrow(_key_links, "a bigint, b bigint")
-    blocks = materialise(connected_components(links).select(F.col("node").alias("lid"), F.col("label").alias("block")))
-    placed = holders.join(blocks, "lid")
-    chunks = placed.groupBy("block").agg(F.ceil(F.sum("n") / F.lit(block_shingles)).alias("chunks"))
-    placed = placed.join(chunks, "block").withColumn("chunk", F.pmod(F.xxhash64("lid"), F.col("chunks")).cast("int"))
-    placed = materialise(placed.select(F.col("lid").alias("sid"), "block", "chunk"))
-    wanted = docs.select("text").mapInArrow(_wanted_lines(bloom.build(placed.select("sid"))), "sid bigint, n bigint, set binary")
-    sets = materialise(wanted.join(placed, "sid"))
-    near = verified_links(sets, materialise(chunks.where("chunks > 1")), num, den, shingles_of, block_shingles)
-    found = connected_components(near).select(F.col("node").alias("lid"), "label")
-    rooted = holders.join(found, "lid", "left").withColumn("label", F.coalesce("label", "lid"))
-    first = rooted.groupBy("label").agg(F.min("at").alias("at"))
-    return first.select("at.doc_id", "at.line")
-
-
-def _keep_lines(names: list[str]):
+    with scope():
+        docs = df.select(F.col("doc_id").cast("long").alias("doc_id"), "text").where("doc_id is not null and text is not null")
+        lines = all_lines(df) if lines is None else lines
+        # (doc_id, line) minima are taken in two steps, so that the first is a plain hash aggregation
+        holders = materialise(lines.groupBy("lid", "doc_id").agg(F.min("line").alias("line"), F.min("n").alias("n")).groupBy("lid").agg(F.min(F.struct("doc_id", "line")).alias("at"), F.min("n").alias("n")))
+        banded = lines.where("bands is not null")
+        parts = max(shuffle_partitions(df.sparkSession), -(-banded.count() * BANDS // TASK_KEYS))
+        blobs = banded.select("lid", "bands").mapInArrow(trimmed(_band_blobs(parts)), "part int, keys binary, ids binary")
+        links = blobs.repartition(parts, "part").mapInArrow(trimmed(_key_links), "a bigint, b bigint")
+        blocks = connected_components(links).select(F.col("node").alias("lid"), F.col("label").alias("block"))
+        placed = holders.join(blocks, "lid")
+        chunks = placed.groupBy("block").agg(F.ceil(F.sum("n") / F.lit(block_shingles)).alias("chunks"))
+        placed = placed.join(chunks, "block").withColumn("chunk", F.pmod(F.xxhash64("lid"), F.col("chunks")).cast("int"))
+        # the lines themselves come from the one document that holds each, by its line number
+        wanted = materialise(placed.groupBy("at.doc_id").agg(F.collect_list(F.struct(F.col("at.line").alias("line"), F.col("lid").alias("sid"), "block", "chunk")).alias("want")))
+        texts = bloom.filtered(docs, "doc_id", bloom.build(wanted.select("doc_id"))).join(wanted, "doc_id")
+        sets = materialise(texts.select("text", "want").mapInArrow(trimmed(_wanted_lines), "sid bigint, block bigint, chunk int, n bigint, set binary"))
+        near = verified_links(sets, materialise(chunks.where("chunks > 1")), num, den, shingles_of, block_shingles)
+        found = connected_components(near).select(F.col("node").alias("lid"), "label")
+        rooted = holders.join(found, "lid", "left").withColumn("label", F.coalesce("label", "lid"))
+        first = rooted.groupBy("label").agg(F.min("at").alias("at"))
+        return materialise(first.select("at.doc_id", "at.line"), outer=True)
+
+
+def _keep_lines(names: list[str], text: str, wins: str, free: str, added: list[str]):
+    blank = " \t\n\x0b\x0c\r"
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            texts, wins = batch.column("text").to_pylist(), batch.column("_wins").to_pylist()
-            anon = batch.column("_anon").to_pylist()
             new, had, kept = [], [], []
-            for t, w, free in zip(texts, wins, anon, strict=True):
+            for t, w, whole in zip(batch.column(text).to_pylist(), batch.column(wins).to_pylist(), batch.column(free).to_pylist(), strict=True):
                 if t is None:
                     new.append(None)
                     had.append(0)
                     kept.append(0)
                     continue
                 lines = t.split("\n")
-                some = [bool(x.strip(" \t\n\x0b\x0c\r")) for x in lines]
+                some = [bool(x.strip(blank)) for x in lines]
                 stay = {*(w or ())}
-                out = [x for i, x in enumerate(lines) if free or not some[i] or i in stay]
+                out = lines if whole else [x for i, x in enumerate(lines) if not some[i] or i in stay]
                 new.append(t if len(out) == len(lines) else "\n".join(out))
                 had.append(sum(some))
-                kept.append(sum(some) if free else sum(1 for i in stay if i < len(some) and some[i]))
-            cols = [batch.column(c) if c != "text" else pa.array(new, pa.string()) for c in names]
-            yield pa.RecordBatch.from_arrays([*cols, pa.array(had, pa.int64()), pa.array(kept, pa.int64())], [*names, "n_lines", "n_kept_lines"])
+                kept.append(sum(some) if whole else sum(1 for i in stay if i < len(some) and some[i]))
+            cols = [batch.column(c) if c != text else pa.array(new, pa.string()) for c in names]
+            yield pa.RecordBatch.from_arrays([*cols, pa.array(had, pa.int64()), pa.array(kept, pa.int64())], [*names, *added])
 
     return run
 
 
 def dedup_lines(df: DataFrame, keep: list[str], num: int = 80, den: int = 100) -> DataFrame:
     """``keep`` columns (doc_id and text among them) with the text's repeated lines gone; n_lines and n_kept_lines, of lines with a word."""
-    lines = all_lines(df)
-    winners = line_winners(df, num, den, lines=lines)
-    counted = lines.select("doc_id", "line")
-    # documents that lose a line: the others keep their text and needn't meet the winners
-    both = counted.withColumn("w", F.lit(0)).unionByName(winners.withColumn("w", F.lit(1))).groupBy("doc_id", "line").agg(F.max("w").alias("w"))
-    changed = materialise(both.groupBy("doc_id").agg(F.min("w").alias("all"), F.collect_list(F.when(F.col("w") == 1, F.col("line"))).alias("_wins")).where("all = 0").select(F.col("doc_id").alias("_id"), "_wins"))
-    bits = bloom.build(changed.select("_id"))
+    with scope():
+        lines = all_lines(df)
+        winners = line_winners(df, num, den, lines=lines)
+        counted = lines.select("doc_id", "line")
+        # documents that lose a line: the others keep their text and needn't meet the winners
+        both = counted.withColumn("w", F.lit(0)).unionByName(winners.withColumn("w", F.lit(1))).groupBy("doc_id", "line").agg(F.max("w").alias("w"))
+        changed = both.groupBy("doc_id").agg(F.min("w").alias("all"), F.collect_list(F.when(F.col("w") == 1, F.col("line"))).alias("wins")).where("all = 0")
+        own, wins, maybe, free = (fresh(df.columns, x) for x in ("_id", "_wins", "_maybe", "_free"))
+        changed = materialise(changed.select(F.col("doc_id").alias(own), F.col("wins").alias(wins)), outer=True)
+    added = [fresh(keep, "n_lines"), fresh(keep, "n_kept_lines")]
     kinds = dict(df.dtypes)
-    split = bloom.marked(df.select(*keep), "doc_id", bits, "_maybe")
-    joined = split.where("_maybe").join(changed, F.col("doc_id") == F.col("_id"), "left").withColumn("_anon", F.col("_id").isNull()).drop("_id", "_maybe")
-    whole = split.where("not _maybe").drop("_maybe").withColumns({"_wins": F.lit(None).cast("array<int>"), "_anon": F.lit(True)})
-    schema = ", ".join([*(f"`{c}` {kinds[c]}" for c in keep), "n_lines bigint", "n_kept_lines bigint"])
-    return joined.unionByName(whole).mapInArrow(_keep_lines(keep), schema)
-
+    split = bloom.marked(df.select(*keep), "doc_id", bloom.build(changed.select(own)), maybe)
+    joined = split.where(F.col(maybe)).join(changed, F.col("doc_id") == F.col(own), "left").withColumn(free, F.col(own).isNull()).drop(own, maybe)
+    whole = split.where(~F.col(maybe)).drop(maybe).withColumns({wins: F.lit(None).cast("array<int>"), free: F.lit(True)})
+    schema = ", ".join([*(f"`{c}` {kinds[c]}" for c in keep), *(f"`{c}` bigint" for c in added)])
+    return joined.unionByName(whole).mapInArrow(trimmed(_keep_lines(keep, "text", wins, free, added)), schema)
