@@ -1,21 +1,24 @@
 """Exact n-gram Jaccard self-join of documents by signature trees.
 
 1. Every text becomes its set of distinct word shingles; equal sets share one id.
-2. Sets that can link are brought together: a set is cut into as many buckets as a linked pair can
+2. A set can only link if few of its shingles are its own: with a Jaccard of t, at most n - ceil(t n) of n. The
+   shingles below a hash limit (all of a small set, 2 (1 - t) of a large one) are counted over the corpus; a set with
+   more shingles of its own among them than that links with nothing and goes no further. A shingle
+   that many sets have costs two entries a batch.
+3. Of the sets left, those that can link are brought together: a set is cut into as many buckets as a linked pair can
    have differing shingles, plus one, so such a pair has a bucket in common (sizes fall in classes
-   1.5 apart; near a border a set is also cut as the next class is). Equal sets count once a batch before
-   the exchange. Of sets with a bucket in common, those stay candidates whose sizes and count sketches
-   allow a link; candidates that hang together form a block.
-3. Each block is joined by dual traversal of a signature tree, pruned by greatest possible
+   1.5 apart; near a border a set is also cut as the next class is). Of sets with a bucket in common, those
+   stay candidates whose sizes and count sketches allow a link; candidates that hang together form a block.
+4. Each block is joined by dual traversal of a signature tree, pruned by greatest possible
    overlap, with exact verification. Blocks over ``block_shingles`` are cut into chunks: first
    each chunk by itself, then one set of each found component, then, exactly, whatever lies
    outside its block's largest component against all the block.
-4. Components of the links come from :func:`connected_components`.
+5. Components of the links come from :func:`connected_components`.
 
 Edge cases: null or empty texts, and texts without words, have an empty set, link with nothing and
 are their own component; a null id is carried, links with nothing and has a null component;
 repeated rows each get a row; rows with one id and different texts are each linked by their own
-text; extra columns are ignored; an empty table gives an empty result. Set ids are 64-bit hashes.
+text; ties (equal sets) are one set; extra columns are ignored; an empty table gives an empty result. Set ids are 64-bit hashes.
 """
 
 from __future__ import annotations
@@ -30,12 +33,15 @@ from pyspark.sql import functions as F
 from . import bloom
 from .components import connected_components
 from .shingles import U, mix, set_ids, shingle_sets, slices, utf8
-from .signature_tree import tree_links
-from .storage import materialise, shuffle_partitions
+from .signature_tree import linked, tree_links
+from .storage import materialise, scope, shuffle_partitions
+from .workers import trimmed
 
 CHUNK_BYTES = 1 << 20
 #: Bucket keys that a map task gathers before it sends them on.
 HELD_KEYS = 400_000
+#: Keys that one task of an exchange gathers, about.
+TASK_KEYS = 1_000_000
 CELLS = 32  # of four bits: two words
 BLOB_COLUMNS = ["part", "keys", "ids", "sizes", "sketches"]
 BLOB_SCHEMA = "part int, keys binary, ids binary, sizes binary, sketches binary"
@@ -102,17 +108,121 @@ def _sets_of(batch: pa.RecordBatch, k: int) -> Iterator[tuple[int, int, np.ndarr
         yield i, j, flat, at
 
 
-def _sizes(k: int):
+def sampled(n: np.ndarray, num: int, den: int) -> np.ndarray:
+    """The hash limit below which sets of n shingles name theirs; it falls with n."""
+    share = np.minimum(1.0, 2 * (den - num) / den + 12 / np.maximum(n, 1))
+    return np.where(share >= 1, U(2**64 - 1), (share * 2.0**63).astype(U) << U(1))
+
+
+def own_bound(n: np.ndarray, num: int, den: int) -> np.ndarray:
+    """How many shingles of a set of n no partner needs to have."""
+    return n - -(-num * n // den)
+
+
+def _checked(flat: np.ndarray, at: np.ndarray, num: int, den: int) -> tuple[np.ndarray, np.ndarray]:
+    """Which shingles are named, and which of those all possible partners name too."""
+    n = np.diff(at)
+    return flat <= np.repeat(sampled(n, num, den), n), flat <= np.repeat(sampled(-(-n * den // num), num, den), n)
+
+
+def _sizes(k: int, num: int, den: int):
+    """Of each document: its set's id and size, and how many checked shingles others must have for it to link."""
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            got = [(set_ids(flat, at), np.diff(at)) for _, _, flat, at in _sets_of(batch, k)]
+            got = []
+            for _, _, flat, at in _sets_of(batch, k):
+                n = np.diff(at)
+                _, checked = _checked(flat, at, num, den)
+                count = np.concatenate([[0], np.cumsum(checked)])
+                got.append((set_ids(flat, at), n, np.maximum(0, count[at[1:]] - count[at[:-1]] - own_bound(n, num, den))))
             if got:
-                ids, n = (np.concatenate(x) for x in zip(*got, strict=True))
-                yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(ids.view(np.int64)), pa.array(n)], ["doc_id", "sid", "n_shingles"])
+                ids, n, need = (np.concatenate(x) for x in zip(*got, strict=True))
+                yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(ids.view(np.int64)), pa.array(n), pa.array(need)], ["doc_id", "sid", "n_shingles", "need"])
+
+    return run
+
+
+COUNT_COLUMNS = ["part", "keys", "ids", "checked"]
+COUNT_SCHEMA = "part int, keys binary, ids binary, checked binary"
+
+
+def _shared(keys: np.ndarray, ids: np.ndarray, checked: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Distinct (key, id) in order with ``checked``; whether their key has two ids or more, and is a key's first or second."""
+    order = np.lexsort((ids, keys))
+    keys, ids, checked = keys[order], ids[order], checked[order]
+    new = np.ones(len(keys), bool)
+    new[1:] = (keys[1:] != keys[:-1]) | (ids[1:] != ids[:-1])
+    last = np.append(np.flatnonzero(new)[1:], len(keys)) if len(keys) else np.zeros(0, np.int64)
+    seen = np.concatenate([[0], np.cumsum(checked)])
+    checked = (seen[last] - seen[np.flatnonzero(new)]) > 0
+    keys, ids = keys[new], ids[new]
+    first = np.ones(len(keys), bool)
+    first[1:] = keys[1:] != keys[:-1]
+    more = np.zeros(len(keys), bool)
+    more[:-1] = ~first[1:]
+    more |= ~first
+    second = np.zeros(len(keys), bool)
+    second[1:] = first[:-1] & ~first[1:]
+    return keys, ids, checked, more, first | second
+
+
+def _id_counts(ids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    return np.unique(ids, return_counts=True)
+
+
+def _count_blobs(k: int, num: int, den: int, parts: int):
+    """Named shingles by part. Those that two sets of the batches at hand have are counted here, and only two of the sets sent on."""
+
+    def blobs(got: list[tuple[np.ndarray, ...]]) -> Iterator[pa.RecordBatch]:
+        keys, ids, checked, more, two = _shared(*(np.concatenate(x) for x in zip(*got, strict=True)))
+        own, counts = _id_counts(ids[more & checked])
+        send = ~more | two
+        keys, ids, checked = keys[send], ids[send], (checked & ~more)[send]
+        part = ((keys >> U(32)) * U(parts) >> U(32)).astype(np.int64)  # keys are sorted, so parts are
+        edge = np.searchsorted(part, np.arange(parts + 1))
+        for q in np.flatnonzero(edge[1:] > edge[:-1]):
+            cut = slice(edge[q], edge[q + 1])
+            yield pa.RecordBatch.from_arrays([pa.array([int(q)], pa.int32()), *(pa.array([x[cut].tobytes()], pa.binary()) for x in (keys, ids, checked))], COUNT_COLUMNS)
+        if len(own):
+            yield pa.RecordBatch.from_arrays([pa.array([int(U(own[0].view(U)) % U(parts))], pa.int32()), pa.array([b""], pa.binary()), *(pa.array([x.tobytes()], pa.binary()) for x in (own, counts.astype(np.int64)))], COUNT_COLUMNS)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        got: list[tuple[np.ndarray, ...]] = []
+        held = 0
+        for batch in batches:
+            for _, _, flat, at in _sets_of(batch, k):
+                named, checked = _checked(flat, at, num, den)
+                got.append((flat[named], np.repeat(set_ids(flat, at).view(np.int64), np.diff(at))[named], checked[named]))
+                held += len(got[-1][0])
+                if held >= HELD_KEYS:
+                    yield from blobs(got)
+                    got, held = [], 0
+        if held:
+            yield from blobs(got)
 
     return run
 
 
+def _count_shared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(sid, shared): how many of a set's checked shingles other sets have, in parts to be summed."""
+    held: list[tuple[np.ndarray, ...]] = []
+
+    def out(ids: np.ndarray, counts: np.ndarray) -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays([pa.array(ids), pa.array(counts.astype(np.int64))], ["sid", "shared"])
+
+    for batch in batches:
+        for x, y, z in zip(batch.column("keys"), batch.column("ids"), batch.column("checked"), strict=True):
+            ids = np.frombuffer(y.as_py(), np.int64)
+            if len(x.as_py()):
+                held.append((np.frombuffer(x.as_py(), U), ids, np.frombuffer(z.as_py(), bool)))
+            else:
+                yield out(ids, np.frombuffer(z.as_py(), np.int64))
+    if held:
+        keys, ids, checked, more, _ = _shared(*(np.concatenate(x) for x in zip(*held, strict=True)))
+        yield out(*_id_counts(ids[more & checked]))
+
+
 def count_sketches(flat: np.ndarray, at: np.ndarray) -> np.ndarray:
     """Of each set, how many shingles fall in each of CELLS cells, modulo 16, in two 64-bit words.
 
@@ -135,7 +245,7 @@ def sketch_distance(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     return np.minimum(gap, 16 - gap).sum(1, dtype=np.int64)
 
 
-def _key_blobs(k: int, num: int, den: int, parts: int):
+def _key_blobs(num: int, den: int, parts: int):
     """Of each batch and part: keys, and the id, size and sketch of the set that each is of."""
 
     def blobs(got: list[tuple[np.ndarray, ...]]) -> Iterator[pa.RecordBatch]:
@@ -156,9 +266,12 @@ def _key_blobs(k: int, num: int, den: int, parts: int):
         got: list[tuple[np.ndarray, ...]] = []
         held = 0
         for batch in batches:
-            for _, _, flat, at in _sets_of(batch, k):
+            n = batch.column("n").to_numpy()
+            starts = np.concatenate([[0], np.cumsum(n)])
+            for i, j in slices(8 * starts, CHUNK_BYTES):
+                flat, at = np.frombuffer(b"".join(batch.column("set").slice(i, j - i).to_pylist()), U), starts[i : j + 1] - starts[i]
                 keys, rows = bucket_keys(flat, at, num, den)
-                got.append((keys, set_ids(flat, at).view(np.int64)[rows], np.diff(at).astype(np.int32)[rows], count_sketches(flat, at)[rows]))
+                got.append((keys, batch.column("sid").to_numpy()[i:j][rows], n[i:j].astype(np.int32)[rows], count_sketches(flat, at)[rows]))
                 held += len(keys)
                 if held >= HELD_KEYS:
                     yield from blobs(got)
@@ -236,14 +349,16 @@ def _candidate_links(num: int, den: int):
 
 
 def _fetch(k: int):
+    """(sid, n, set) of rows whose text has the set that ``sid`` names."""
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             want = batch.column("sid").to_numpy(zero_copy_only=False)
             for i, j, flat, at in _sets_of(batch, k):
                 ok = np.flatnonzero(set_ids(flat, at).view(np.int64) == want[i:j])
+                ok = ok[np.unique(want[i:j][ok], return_index=True)[1]]
                 blobs = [flat[at[r] : at[r + 1]].tobytes() for r in ok]
-                keep = pa.array(ok + i)
-                yield pa.RecordBatch.from_arrays([batch.column("sid").take(keep), batch.column("block").take(keep), batch.column("chunk").take(keep), pa.array(np.diff(at)[ok]), pa.array(blobs, pa.binary())], ["sid", "block", "chunk", "n", "set"])
+                yield pa.RecordBatch.from_arrays([batch.column("sid").take(pa.array(ok + i)), pa.array(np.diff(at)[ok]), pa.array(blobs, pa.binary())], ["sid", "n", "set"])
 
     return run
 
@@ -285,7 +400,9 @@ def _block_links(num: int, den: int, names: list[str], crossed: bool, decode: De
             once = list({(s, side): i for i, (s, side) in enumerate(zip(g["sid"], g.get("side", [0] * len(g["sid"])), strict=True))}.values())
             sid, sets = [g["sid"][i] for i in once], [g["set"][i] for i in once]
             label = np.array([g["label"][i] for i in once] if "label" in g else sid, np.int64)
-            if crossed:
+            if len(sid) == 2 and not crossed:
+                found = [(0, 1)] if label[0] != label[1] and linked(sets[0], sets[1], num, den) else []
+            elif crossed:
                 x, y = ([i for i, o in enumerate(once) if g["side"][o] == side] for side in (0, 1))
                 found = tree_links([sets[i] for i in x], label[x], num, den, [sets[i] for i in y], label[y]) if x and y else []
                 found = [(x[i], y[j]) for i, j in found]
@@ -300,7 +417,7 @@ def _block_links(num: int, den: int, names: list[str], crossed: bool, decode: De
 
 def _joined(rows: DataFrame, names: list[str], num: int, den: int, decode: Decode, crossed: bool = False) -> DataFrame:
     dealt = rows.repartition(shuffle_partitions(rows.sparkSession), *names).sortWithinPartitions(*names)
-    return dealt.mapInArrow(_block_links(num, den, names, crossed, decode), "a bigint, b bigint")
+    return dealt.mapInArrow(trimmed(_block_links(num, den, names, crossed, decode)), "a bigint, b bigint")
 
 
 def similarity_components(df: DataFrame, k: int = 5, num: int = 80, den: int = 100, block_shingles: int = 2_000_000) -> DataFrame:
@@ -311,24 +428,30 @@ def similarity_components(df: DataFrame, k: int = 5, num: int = 80, den: int = 1
     """
     spark = df.sparkSession
     docs = df.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    sized = materialise(docs.mapInArrow(_sizes(k), "doc_id bigint, sid bigint, n_shingles bigint"))
     named = docs.where("doc_id is not null")
-    parts = 2 * shuffle_partitions(spark)
-    blobs = named.mapInArrow(_key_blobs(k, num, den, parts), BLOB_SCHEMA)
-    candidates = blobs.repartition(parts, "part").mapInArrow(_candidate_links(num, den), "a bigint, b bigint")
-    blocks = materialise(connected_components(candidates).select(F.col("node").alias("sid"), F.col("label").alias("block")))
-    holders = sized.where("doc_id is not null and n_shingles > 0").join(blocks, "sid").groupBy("sid", "block").agg(F.min("doc_id").alias("doc_id"), F.min("n_shingles").alias("n"))
-    chunks = holders.groupBy("block").agg(F.ceil(F.sum("n") / F.lit(block_shingles)).alias("chunks"))
-    placed = holders.join(chunks, "block").withColumn("chunk", F.pmod(F.xxhash64("sid"), F.col("chunks")).cast("int"))
-    placed = materialise(placed.select("doc_id", "sid", "block", "chunk"))
-    near = bloom.filtered(named, "doc_id", bloom.build(placed.select("doc_id")))
-    sets = materialise(near.join(placed, "doc_id").select("sid", "block", "chunk", "text").mapInArrow(_fetch(k), "sid bigint, block bigint, chunk int, n bigint, set binary"))
-    links = verified_links(sets, materialise(chunks.where("chunks > 1")), num, den, hashes_of, block_shingles)
-    ones = connected_components(links).select(F.col("node").alias("sid"), F.col("label").alias("root"))
-    by_set = sized.where("doc_id is not null and n_shingles > 0").groupBy("sid").agg(F.min("doc_id").alias("low")).join(ones, "sid", "left").withColumn("root", F.coalesce("root", "sid"))
-    roots = by_set.groupBy("root").agg(F.min("low").alias("component"))
-    component = by_set.join(roots, "root").select("sid", "component")
-    return sized.join(component, "sid", "left").select("doc_id", "n_shingles", F.when(F.col("doc_id").isNotNull(), F.when(F.col("n_shingles") > 0, F.col("component")).otherwise(F.col("doc_id"))).alias("component_id"))
+    with scope():
+        sized = materialise(docs.mapInArrow(trimmed(_sizes(k, num, den)), "doc_id bigint, sid bigint, n_shingles bigint, need bigint"))
+        by_set = materialise(sized.where("doc_id is not null and n_shingles > 0").groupBy("sid").agg(F.min("doc_id").alias("low"), F.first("n_shingles").alias("n"), F.first("need").alias("need")))
+        tasks = lambda keys: max(shuffle_partitions(spark), -(-int(keys or 0) // TASK_KEYS))
+        parts = tasks(by_set.agg(F.sum("n") * min(1.0, 2.2 * (den - num) / den)).first()[0])
+        counts = named.mapInArrow(trimmed(_count_blobs(k, num, den, parts)), COUNT_SCHEMA).repartition(parts, "part").mapInArrow(trimmed(_count_shared), "sid bigint, shared bigint")
+        shared = counts.groupBy("sid").agg(F.sum("shared").alias("shared"))
+        left = materialise(by_set.join(shared, "sid", "left").where("need <= coalesce(shared, 0)").select(F.col("low").alias("doc_id"), "sid", "n"))
+        near = bloom.filtered(named, "doc_id", bloom.build(left.select("doc_id")))
+        sets = materialise(near.join(left, "doc_id").select("sid", "text").mapInArrow(trimmed(_fetch(k)), "sid bigint, n bigint, set binary"))
+        parts = tasks(left.agg(F.sum("n") * ((den - num) / den + 0.2)).first()[0])
+        candidates = sets.mapInArrow(trimmed(_key_blobs(num, den, parts)), BLOB_SCHEMA).repartition(parts, "part").mapInArrow(trimmed(_candidate_links(num, den)), "a bigint, b bigint")
+        blocks = connected_components(candidates).select(F.col("node").alias("sid"), F.col("label").alias("block"))
+        holders = left.join(blocks, "sid")
+        chunks = materialise(holders.groupBy("block").agg(F.ceil(F.sum("n") / F.lit(block_shingles)).alias("chunks")))
+        placed = holders.join(chunks, "block").withColumn("chunk", F.pmod(F.xxhash64("sid"), F.col("chunks")).cast("int")).select("sid", "block", "chunk")
+        links = verified_links(sets.join(placed, "sid"), chunks.where("chunks > 1"), num, den, hashes_of, block_shingles)
+        ones = connected_components(links).select(F.col("node").alias("sid"), F.col("label").alias("root"))
+        rooted = by_set.join(ones, "sid", "left").withColumn("root", F.coalesce("root", "sid"))
+        roots = rooted.groupBy("root").agg(F.min("low").alias("component"))
+        component = rooted.join(roots, "root").select("sid", "component")
+        out = sized.join(component, "sid", "left").select("doc_id", "n_shingles", F.when(F.col("doc_id").isNotNull(), F.when(F.col("n_shingles") > 0, F.col("component")).otherwise(F.col("doc_id"))).alias("component_id"))
+        return materialise(out, outer=True)
 
 
 def verified_links(sets: DataFrame, wide: DataFrame, num: int, den: int, decode: Decode, block_shingles: int) -> DataFrame:
