@@ -20,6 +20,13 @@ def normalize_tournament_name(c: Column) -> Column:
     return F.trim(F.regexp_replace(F.replace(quoted, F.lit('Турнир "Турнир '), F.lit('Турнир "')), r"\s+", " "))
 
 
+def contains_any(c: Column, parts: tuple[str, ...]) -> Column:
+    out = F.lit(False)
+    for p in parts:
+        out = out | c.contains(p)
+    return out
+
+
 def normalize_player_key(c: Column) -> Column:
     return F.trim(F.regexp_replace(normalize_lower(c), "[^а-яa-z0-9]+", " "))
 
@@ -57,7 +64,13 @@ def slugify(c: Column) -> Column:
 
 
 def sanitize_file_name(c: Column, most: int = 180) -> Column:
-    return F.substring(F.regexp_replace(normalize_text(c), r'[\\/:*?"<>|]+', "_"), 1, most)
+    """Illegal characters to underscores; no blanks, dots or underscores at the ends."""
+    return F.substring(F.trim(F.regexp_replace(normalize_text(c), r'[\\/:*?"<>|]+', "_"), F.lit(" ._")), 1, most)
+
+
+def output_base(number: Column, width: int, name: Column) -> Column:
+    """A zero-padded number and a safe name."""
+    return F.concat(F.lpad(number.cast("string"), width, "0"), F.lit("_"), sanitize_file_name(name))
 
 
 def longest_digits(c: Column) -> Column:
@@ -67,7 +80,47 @@ def longest_digits(c: Column) -> Column:
 
 
 def tour_id(c: Column) -> Column:
-    return F.nullif(F.regexp_extract(c, r"/tours/(\d+)", 1), F.lit(""))
+    """From a URL, or from a file name that names one."""
+    return F.coalesce(F.nullif(F.regexp_extract(c, r"/tours/(\d+)", 1), F.lit("")), F.nullif(F.regexp_extract(c, r"(?i)tours?[_-]?(\d+)", 1), F.lit("")))
+
+
+def matches_url(c: Column) -> Column:
+    """A tournament's page of matches: without query, with the suffix once."""
+    plain = F.regexp_replace(without_query(c), "/+$", "")
+    return F.when(plain.endswith("/matches"), plain).otherwise(F.concat(plain, F.lit("/matches")))
+
+
+#: Table headers and the columns they name.
+HEADERS = {
+    "место": "place", "фио": "fio", "пол игрока": "gender", "рни": "rni", "дата рождения": "birth_date", "город": "city", "всего турниров": "total_tournaments",
+    "из них зачетных": "counting_tournaments", "возрастная группа": "age_group_in_table", "очки": "points",
+}
+
+
+def header_column(c: Column) -> Column:
+    """The column that a table header names; null for an unknown one."""
+    return F.try_element_at(F.create_map(*[F.lit(x) for kv in HEADERS.items() for x in kv]), normalize_lower(c))
+
+
+def guess_city(lines: Column) -> Column:
+    """The place before a district and country on one line, else the line with a city marker, without it."""
+    place = F.transform(lines, lambda x: F.regexp_extract(normalize_text(x), r"(?i)^(.+?),\s*(?:[^,]+,\s*)?Центральный ФО,\s*Россия$", 1))
+    marked = F.filter(F.transform(lines, normalize_text), lambda x: contains_any(F.lower(x), ("г.", "город", "место проведения")))
+    cleaned = F.trim(F.regexp_replace(F.get(marked, F.lit(0)), r"(?iu)^(г\.|город|место проведения)\s*[:.-]?\s*", ""))
+    return F.coalesce(F.get(F.filter(place, lambda x: x != ""), F.lit(0)), F.nullif(cleaned, F.lit("")))
+
+
+def draw_description(c: Column) -> Column:
+    t = normalize_lower(c)
+    return t.startswith("основной турнир") | contains_any(t, ("по рейтингу", " поэ:", " ск:"))
+
+
+def tournament_name(anchor: Column, lines: Column) -> Column:
+    """The first of the anchor's text and the lines that can be a name, else the first line."""
+    dull = ("подробнее", "заявка", "матчи", "турнир", "dashboard")
+    every = F.filter(F.transform(F.concat(F.array(anchor), lines), normalize_text), lambda x: x != "")
+    fit = F.filter(every, lambda x: (F.length(x) >= 3) & ~F.lower(x).isin(*dull) & ~draw_description(x) & ~x.rlike(r"^\d{1,2}\.\d{1,2}\.\d{4}.*$"))
+    return F.coalesce(F.get(fit, F.lit(0)), F.nullif(normalize_text(F.get(lines, F.lit(0))), F.lit("")), F.nullif(normalize_text(anchor), F.lit("")), F.lit("RTT tournament"))
 
 
 def absolute_url(c: Column, base: str) -> Column:
@@ -97,14 +150,30 @@ def truthy(c: Column) -> Column:
 
 
 def is_summary_score(c: Column) -> Column:
-    return c.rlike(r"^\d+[-–—:]\d+$")
+    return c.rlike(r"^\d+\s*[-–—:]\s*\d+$")
 
 
 def is_match_number(c: Column) -> Column:
-    return c.rlike(r"^\d+$")
+    return c.rlike(r"^\d{1,4}$")
 
 
 def value_after_label(lines: Column, label: str) -> Column:
-    """The line after the first one that equals ``label``."""
-    at = F.array_position(lines, label)
+    """The line after the first one that is ``label``; case and a colon at the end don't count."""
+    plain = F.transform(lines, lambda x: F.lower(F.trim(F.regexp_replace(x, ":+$", ""))))
+    at = F.array_position(plain, label.rstrip(":").strip().lower())
     return F.when(at > 0, F.try_element_at(lines, (at + 1).cast("int")))
+
+
+def tournament_metadata(lines: Column) -> dict[str, Column]:
+    """Name, place, first day's text, age group and category of a tournament's page lines."""
+    titled = F.get(F.filter(lines, lambda x: x.startswith("Матчи турнира")), F.lit(0))
+    card = F.array_position(lines, "Карточка турнира")
+    below = F.get(F.filter(F.slice(lines, F.greatest(card, F.lit(0)).cast("int") + 1, 5), lambda x: x != "---"), F.lit(0))
+    name = F.coalesce(F.nullif(normalize_text(F.replace(titled, F.lit("Матчи турнира"), F.lit(""))), F.lit("")), F.when(card > 0, below), F.lit(""))
+    place = F.coalesce(value_after_label(lines, "Место проведения"), F.lit(""))
+    span = F.get(F.filter(lines, lambda x: x.rlike(r"\d{2}\.\d{2}\.\d{4}\s*-\s*\d{2}\.\d{2}\.\d{4}")), F.lit(0))
+    return {
+        "tournament_name": normalize_tournament_name(name), "tournament_city": F.trim(F.get(F.split(place, ","), F.lit(0))), "tournament_location_full": place,
+        "tournament_age_category": normalize_age_group(F.coalesce(value_after_label(lines, "Возрастная группа"), F.lit(""))),
+        "tournament_start_text": F.regexp_extract(span, r"(\d{2}\.\d{2}\.\d{4})\s*-", 1), "tournament_category": F.coalesce(value_after_label(lines, "Категория турнира"), F.lit("")),
+    }

@@ -7,8 +7,12 @@ from pyspark.sql import functions as F
 
 from ..functions import ratings as R
 from . import history as H
+from .enrich import opponent_side
 from .keyed import asof_join
 
+#: What a row also has of its opponent, with the difference.
+OPPONENT_SIDE = ("win_rate_pre", "rest_days", "matches_pre", "form5_partial", "schedule_strength")
+
 
 def rating_columns(long: DataFrame) -> DataFrame:
     """Points a counting tournament, flags and differences of both sides' ratings."""
@@ -27,6 +31,7 @@ def long_features(matches: DataFrame, ratings: DataFrame) -> DataFrame:
         long = asof_join(long, r, [f"{who}_id", "age_category"], "match_date", f"{who}_rating_date", [f"{who}_points_pre", f"{who}_rank_pre", f"{who}_counting"])
     long = rating_columns(long)
     out = H.schedule_strength(H.with_elo(H.head_to_head(H.player_windows(long)), H.elo(matches)))
+    out = opponent_side(out, OPPONENT_SIDE)
     common = H.common_opponents(H.perspectives(matches))
     joined = out.join(common, ["match_id", "perspective"], "left")
     counts = [c for c in common.columns if c.endswith(("_count", "_sum", "_available")) and c != "common_opp_weight_sum"]

@@ -106,3 +106,22 @@ def impute(df: DataFrame, fill: DataFrame, columns: Sequence[str]) -> DataFrame:
     """Nulls of ``columns`` replaced from the one-row ``fill``."""
     f = fill.select(*[F.col(c).alias(f"_m_{c}") for c in columns])
     return df.crossJoin(F.broadcast(f)).withColumns({c: F.coalesce(F.col(c).cast("double"), F.col(f"_m_{c}")) for c in columns}).drop(*[f"_m_{c}" for c in columns])
+
+
+def best_model(table: DataFrame) -> DataFrame:
+    """The first by log loss, Brier score and (greatest) AUC, then by name."""
+    return table.orderBy("logloss", "brier", F.desc("roc_auc"), "model").limit(1)
+
+
+def metric_table(scored: DataFrame, models: Sequence[str], keep: Sequence[str] = ("y",)) -> DataFrame:
+    """Metrics of several probability columns at once: unpivoted, then one aggregation."""
+    long = scored.select(*keep, F.explode(F.array(*[F.struct(F.lit(m).alias("model"), F.col(m).cast("double").alias("p")) for m in models])).alias("_m")).select(*keep, "_m.*")
+    return metrics(long, ["model"])
+
+
+def split_diagnostics(scored: DataFrame) -> DataFrame:
+    """Metrics of train and test rows (``is_test``) in one row a model, and the log-loss gap."""
+    m = metrics(scored, ["model", "is_test"])
+    side = lambda c, t: F.max(F.when(F.col("is_test") == t, F.col(c)))
+    out = m.groupBy("model").agg(*[side(c, t).alias(f"{name}_{c}") for c in ("logloss", "roc_auc") for t, name in ((0, "train"), (1, "test"))])
+    return out.withColumn("gap", F.col("test_logloss") - F.col("train_logloss"))

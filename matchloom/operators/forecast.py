@@ -14,7 +14,8 @@ from pyspark.sql import functions as F
 
 from ..functions.dates import repair_month_start
 from . import history as H
-from .assemble import rating_columns
+from .assemble import OPPONENT_SIDE, rating_columns
+from .enrich import opponent_side
 from .evaluate import symmetrised
 from .keyed import rating_snapshot
 from .models import with_score
@@ -87,6 +88,7 @@ def pair_rows(matches: DataFrame, ratings: DataFrame, one: object, two: object,
     both = a.join(b, ["request_id", "s_opp"]).where("player_id <> _other")
     common = H.opponent_totals(both, ["request_id", "player_id"])
     counts = [c for c in common.columns if c.endswith(("_count", "_sum", "_available")) and c != "common_opp_weight_sum"]
+    out = opponent_side(out, OPPONENT_SIDE)
     return out.join(common, ["request_id", "player_id"], "left").fillna(0, subset=counts)
 
 

@@ -178,13 +178,13 @@ def name_match_audit(spark: SparkSession, d: str) -> DataFrame:
 
 @register(
     "name_match_override",
-    f"""with {_KEYS}, o as (select raw_name, cast(min(player_id) as varchar) as override_id from players where player_id % 7 = 0 group by 1)
+    f"""with {_KEYS}, o as (select trim(regexp_replace(lower(raw_name), '[^a-z0-9]+', ' ', 'g')) as name_key, cast(min(player_id) as varchar) as override_id from players where player_id % 7 = 0 group by 1)
  select raw_name, coalesce(override_id, case when len(c) = 1 then c[1] end) as player_id, case when override_id is not null or len(c) = 1 then 'matched' when len(c) > 1 then 'ambiguous' else 'unmatched' end as status
- from seen left join cand using (name_key) left join o using (raw_name)""",
+ from seen left join cand using (name_key) left join o using (name_key)""",
 )
 def name_match_override(spark: SparkSession, d: str) -> DataFrame:
     p = view(spark, d, "players")
-    o = p.where("player_id % 7 = 0").groupBy("raw_name").agg(F.min("player_id").cast("string").alias("override_id"))
+    o = p.where("player_id % 7 = 0").groupBy(T.normalize_player_key(F.col("raw_name")).alias("name_key")).agg(F.min("player_id").cast("string").alias("override_id"))
     return match_names(p.select("raw_name"), p, o).select("raw_name", "player_id", "status")
 
 
@@ -472,3 +472,6 @@ def long_features(spark: SparkSession, d: str) -> DataFrame:
     from ..operators.assemble import long_features as build
 
     return build(view(spark, d, "matches"), view(spark, d, "ratings"))
+
+
+from . import more  # noqa: E402, F401  registers its queries

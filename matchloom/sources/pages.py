@@ -11,7 +11,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.text import strip_html, tour_id, value_after_label
+from ..functions.text import HEADERS, header_column, strip_html, tour_id, value_after_label
 
 
 def anchors(pages: DataFrame, page_id: str = "page_id", html: str = "html") -> DataFrame:
@@ -37,6 +37,41 @@ def json_paths(df: DataFrame, key: str, column: str) -> DataFrame:
     return flat
 
 
+def json_leaves(df: DataFrame, key: str, column: str) -> DataFrame:
+    """(key, dotted path, text) of each leaf at any depth; a document that can't be read gives one row with the error."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            rows: list[tuple] = []
+            for k, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
+                try:
+                    rows += [(k, path, leaf, None) for path, leaf in flatten(json.loads(text))] if text is not None else []
+                except ValueError as error:
+                    rows.append((k, None, None, str(error)))
+            if rows:
+                kinds = (batch.schema.field(0).type, pa.string(), pa.string(), pa.string())
+                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows, strict=True), kinds, strict=True)], [key, "path", "value", "parse_error"])
+
+    return df.select(key, F.col(column).cast("string")).mapInArrow(run, f"{key} {dict(df.dtypes)[key]}, path string, value string, parse_error string")
+
+
+def grouped_leaves(leaves: DataFrame, key: str, fields: dict[str, str]) -> DataFrame:
+    """Leaves of one list element in one row: grouped by the path up to its last number, a column for each field whose pattern
+    the rest of the path matches; elements with none of them go."""
+    parts = leaves.withColumn("element", F.regexp_extract("path", r"^(.*\.?\d+)(?:\.[^.]*[^.\d][^.]*)*$", 1)).where("element <> ''")
+    rest = F.substring(F.col("path"), F.length("element") + 2, F.length("path"))
+    out = parts.groupBy(key, "element").agg(*[F.min(F.when(rest.rlike(p), F.col("value"))).alias(name) for name, p in fields.items()])
+    return out.where(" or ".join(f"{name} is not null" for name in fields))
+
+
+def header_rows(cells: DataFrame, least: int = 2) -> DataFrame:
+    """Tables of :func:`table_cells` whose first row has known headers: a row for each further line, by column name."""
+    named = cells.where("row_no = 0").select("page_id", "table_no", "column_no", header_column(F.col("text")).alias("name")).where("name is not null")
+    good = named.groupBy("page_id", "table_no").agg(F.count("*").alias("n")).where(F.col("n") >= least).drop("n")
+    body = cells.where("row_no > 0").join(named, ["page_id", "table_no", "column_no"]).join(good, ["page_id", "table_no"])
+    return body.groupBy("page_id", "table_no", "row_no").pivot("name", list(dict.fromkeys(HEADERS.values()))).agg(F.first("text"))
+
+
 def flatten(value: object, prefix: str = "") -> Iterator[tuple[str, str]]:
     """Dotted paths of all leaves."""
     if isinstance(value, dict):
@@ -130,30 +165,34 @@ def table_cells(pages: DataFrame, page_id: str = "page_id") -> DataFrame:
     return pages.select(F.col(page_id).alias("page_id"), "html").mapInArrow(run, f"page_id {kind}, table_no int, row_no int, column_no int, text string, parse_error string")
 
 
-NUMBER, SUMMARY = re.compile(r"\d+"), re.compile(r"\d+[-–—:]\d+")
-#: The header cells before the stage column, and the labels of optional pairs.
+NUMBER, SUMMARY = re.compile(r"\d{1,4}"), re.compile(r"\d+\s*[-–—:]\s*\d+")
+#: The header cells before the stage column (each is held by its line), how the labels of optional pairs begin, and
+#: the lines that end the block.
 HEADER = ("№", "Участник 1", "Участник 2", "Счет")
 LABELS = {"Статус": "status", "Дата": "date", "Начало": "time"}
+FOOTERS = frozenset(("2026 ©", "Карточка турнира", "Напишите нам, мы онлайн!"))
 FIELDS = ("number", "player1", "player2", "score", "detail", "draw", "status", "date", "time")
 
 
 def match_records(lines: list[str]) -> list[dict[str, str]]:
-    """Match records after the header: six lines each, then label pairs; a bad line is passed over."""
-    start = next((i for i in range(len(lines) - 3) if tuple(lines[i : i + 4]) == HEADER), None)
-    if start is None:
-        return []
-    out, i = [], start + 5
-    while i < len(lines):
+    """Match records after the first header: six lines each, then label pairs in order; a bad line is passed over, a footer ends."""
+    starts = (i + 5 for i in range(len(lines) - 4) if lines[i] == HEADER[0] and all(h in lines[i + k] for k, h in enumerate(HEADER)))
+    i = next(starts, len(lines))
+    out = []
+    while i + 6 <= len(lines):
+        if lines[i] in FOOTERS:
+            break
         six = lines[i : i + 6]
-        if len(six) == 6 and NUMBER.fullmatch(six[0]) and SUMMARY.fullmatch(six[3]):
-            record = dict(zip(FIELDS, six, strict=False))
-            i += 6
-            while i + 1 < len(lines) and lines[i] in LABELS:
-                record[LABELS[lines[i]]] = lines[i + 1]
-                i += 2
-            out.append(record)
-        else:
+        if not (NUMBER.fullmatch(six[0]) and SUMMARY.fullmatch(six[3])):
             i += 1
+            continue
+        record = dict(zip(FIELDS, six, strict=False))
+        i += 6
+        for label, field in LABELS.items():
+            if i < len(lines) and lines[i].startswith(label):
+                record[field] = lines[i + 1] if i + 1 < len(lines) else ""
+                i += 2
+        out.append(record)
     return out
 
 
