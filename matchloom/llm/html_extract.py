@@ -5,11 +5,12 @@ class, id or role (menus, headers, footers, sidebars, notices, adverts, forms, r
 scripts, styles) are left out, but for forms and marked elements that hold the page's main text
 (:func:`_opened`): those are wrappers. In what remains, words score positive and tags negative; a linear scan
 finds the contiguous run with the greatest total, and its words are the text, block by block. The
-weights are log odds learned from labelled pages (:func:`labelled_pages` makes them).
+weights are log odds learned from labelled pages (:func:`labelled_pages` makes them); what tags without a word
+between them take off is bounded (:data:`GAP`). Everything is linear in the page.
 
 Edge cases: a null or empty page, or one without words, gives an empty text; unclosed, misnested
-and truncated markup is read as browsers would; repeated rows each get a row; null ids and urls are
-carried; extra columns are ignored unless kept; an empty table gives an empty result.
+markup is read as browsers would, and a tag that the page's end cuts off is no text; repeated rows each get a row; null ids and urls are
+carried; extra columns are ignored unless kept, and an output column whose name a kept one has gets underscores; an empty table gives an empty result.
 """
 
 from __future__ import annotations
@@ -25,13 +26,18 @@ from collections.abc import Iterator
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
+from .storage import fresh
+from .workers import trimmed
+
+#: Linear: attributes are taken without going back, a cut-off tag or comment goes on to the end of the page.
 TOKEN = re.compile(
-    r"""<!--.*?(?:-->|\Z)|<!\[CDATA\[(?P<cdata>.*?)(?:\]\]>|\Z)|<[!?][^>]*(?:>|\Z)"""
-    r"""|<(?P<raw>script|style|noscript|template|iframe|noembed|noframes|title|textarea|xmp|svg|math|canvas|object)\b(?:"[^"]*"|'[^']*'|[^"'>])*?(?:/>|>.*?(?:</(?P=raw)\s*>|\Z))"""
-    r"""|<(?P<close>/?)(?P<tag>[a-zA-Z][^\s/>]*)(?P<attrs>(?:\s*=\s*"[^"]*"|\s*=\s*'[^']*'|[^>"'=]|["'=])*?)>"""
-    r"""|(?P<text>[^<]+|<)""",
-    re.S | re.I,
+    r"""<!--(?P<comment>)|<!\[CDATA\[(?P<cdata>)|<[!?][^>]*+(?:>|\Z)"""
+    r"""|<(?P<close>/?)(?P<tag>[a-zA-Z][^\s/>]*+)(?P<attrs>(?:=\s*+"[^"]*+"|=\s*+'[^']*+'|[^>])*+)(?:>|\Z)"""
+    r"""|(?P<text>[^<]++|<)""",
 )
+#: Elements whose content is no markup of the page.
+RAW = frozenset("script style noscript template iframe noembed noframes title textarea xmp svg math canvas object".split())
+_RAW_END = {t: re.compile(rf"</{t}(?=[\s/>])[^>]*+(?:>|\Z)", re.I) for t in RAW}
 ATTR = re.compile(r"""([^\s"'<>/=]+)(?:\s*=\s*("[^"]*"|'[^']*'|[^\s"'=<>`]+))?""")
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 BLOCK = frozenset(
@@ -47,6 +53,12 @@ MARKS = frozenset(
     related recommended recommendations recirc share sharing social comment comments commentlist reply replies respond disqus
     footer header masthead pagination pager pagenav toolbar search searchbox form contentinfo complementary dialog""".split()
 )
+#: Those of them that also occur in names of an article's own parts (post-header, form-field-notes): inside an article or
+#: main element such a word marks only where it is the whole class, id or role.
+WEAK = frozenset("header masthead form search searchbox notice notices alert alerts dialog toolbar login register menu overlay modal".split())
+#: A run of tags without a word between counts no lower than this, in an article or main element, outside those and where there is none:
+#: empty rows and boxes don't cut a text in two, and in an article one word outweighs them.
+GAP = {"@main": -0.4, "@out": -6.0, "": -4.0}
 #: Those of readers' contributions: articles so marked are not the page's.
 READERS = frozenset("comment comments commentlist reply replies respond".split())
 #: An element without a heading or an article is a wrapper if it has so many times the words of all that stays.
@@ -57,8 +69,8 @@ WORD_PART = re.compile(r"[a-z]+|[0-9]+")
 CLOSES_P = BLOCK - {"body", "html", "head"}
 
 
-def _marked(tag: str, attrs: str) -> str:
-    """'hidden', 'marked' or nothing."""
+def _marked(tag: str, attrs: str, inside: bool) -> str:
+    """'hidden', 'marked' or nothing; ``inside`` an article or main element weak words mark only alone."""
     if tag in ("html", "body", "main", "article"):
         return ""
     found = ""
@@ -68,8 +80,11 @@ def _marked(tag: str, attrs: str) -> str:
             return "hidden"
         if name == "style" and re.search(r"display\s*:\s*none", value, re.I):
             return "hidden"
-        if name in ("class", "id", "role") and not MARKS.isdisjoint(WORD_PART.findall(value.lower())):
-            found = "marked"
+        if name in ("class", "id", "role"):
+            for token in value.lower().strip("\"'").split():
+                hit = MARKS.intersection(WORD_PART.findall(token))
+                if hit and (not inside or token in MARKS or hit - WEAK):
+                    found = "marked"
     return found
 
 
@@ -148,40 +163,66 @@ def _held(page: str, parents: list[int]) -> Iterator[tuple[tuple[str, str, str],
     def where() -> str:
         return (":link" if links > 0 else "") + ("@main" if articles > 0 else "@out" if has_main else "")
 
-    for m in TOKEN.finditer(page):
+    count: Counter = Counter()  # of open elements by name
+    at = 0
+    while at < len(page):
+        m = TOKEN.match(page, at)
+        at = m.end()
         text, tag = m["text"], m["tag"]
-        if text is not None or m["cdata"] is not None:
+        if m["comment"] is not None:
+            end = page.find("-->", at)
+            at = len(page) if end < 0 else end + 3
+            continue
+        if m["cdata"] is not None:
+            end = page.find("]]>", at)
+            text = page[at : len(page) if end < 0 else end]
+            at = len(page) if end < 0 else end + 3
+        if text is not None:
             if not out:
-                yield ("text", html.unescape(text if text is not None else m["cdata"]), where()), node, of
+                yield ("text", html.unescape(text), where()), node, of
         elif tag:
             tag = tag.lower()
+            if at == len(page) and page[-1] != ">":  # cut off inside the tag
+                return
             if m["close"]:
-                if any(t == tag for t, *_ in stack):
-                    was, at, article = out, node, of
+                if count[tag]:
+                    was, inner, article = out, node, of
                     while stack[-1][0] != tag:
+                        count[stack[-1][0]] -= 1
                         pop()
+                    count[tag] -= 1
                     pop()
                     if not was:
-                        yield ("tag", tag, where()), at, article
+                        yield ("tag", tag, where()), inner, article
                 if tag in BLOCK and not out:
                     yield ("break", tag, ""), node, of
                 continue
+            if tag in RAW and not m["attrs"].endswith("/"):
+                end = _RAW_END[tag].search(page, at)
+                at = end.end() if end else len(page)
+                continue
+            if tag in RAW:
+                continue
             if tag in BLOCK:
-                if tag in CLOSES_P and any(t == "p" for t, *_ in stack):
-                    inner = next(i for i in range(len(stack) - 1, -1, -1) if stack[i][0] == "p")
-                    if all(t not in BLOCK for t, *_ in stack[inner + 1 :]):
-                        while len(stack) > inner:
+                if tag in CLOSES_P and count["p"]:
+                    i = len(stack) - 1
+                    while stack[i][0] != "p" and stack[i][0] not in BLOCK:
+                        i -= 1
+                    if stack[i][0] == "p":
+                        while len(stack) > i:
+                            count[stack[-1][0]] -= 1
                             pop()
-                if tag == "li" and stack and stack[-1][0] == "li":
-                    pop()
-                if tag in ("td", "th") and stack and stack[-1][0] in ("td", "th"):
-                    pop()
+                for same in (("li",), ("td", "th")):
+                    if tag in same and stack and stack[-1][0] in same:
+                        count[stack[-1][0]] -= 1
+                        pop()
                 if not out:
                     yield ("break", tag, ""), node, of
-            mark = _marked(tag, m["attrs"])
+            mark = _marked(tag, m["attrs"], articles > 0)
             skip = mark == "hidden" or tag in LEFT_OUT and tag != "form" and not (tag == "header" and articles)
             if tag not in VOID and not m["attrs"].endswith("/"):
                 stack.append((tag, skip, node, of))
+                count[tag] += 1
                 out += skip
                 links += tag == "a"
                 articles += tag in ("article", "main")
@@ -291,13 +332,19 @@ def main_text(page: str | None, weights: dict[str, float]) -> str:
         return ""
     units: list[tuple[float, str | None]] = []  # score; a word, a gap (" ") or None at a block border
     unknown = {"": -0.5, "@main": -0.02}
+    run = 0.0  # of tags since the last word
     for kind, value, where in events(page):
         if kind == "tag":
-            units.append((weights.get(_kind((kind, value, where)), unknown["@main" if where.endswith("@main") else ""]), ""))
+            score = weights.get(_kind((kind, value, where)), unknown["@main" if where.endswith("@main") else ""])
+            low = GAP["@main" if where.endswith("@main") else "@out" if where.endswith("@out") else ""]
+            score = min(0.0, max(score, low - run))
+            run += score
+            units.append((score, ""))
         elif kind == "break":
             units.append((0.0, None))
         else:
             parts = value.split()
+            run = 0.0 if parts else run
             score = weights.get(f"word{where}", 0.5 if where.endswith("@main") or not where else -0.5)
             if not parts or value[0].isspace():
                 units.append((0.0, " "))
@@ -320,13 +367,13 @@ def main_text(page: str | None, weights: dict[str, float]) -> str:
     return "\n".join(t for t in (" ".join(x.split()) for x in blocks) if t)
 
 
-def _extract(names: list[str], weights: dict[str, float]):
+def _extract(names: list[str], added: list[str], weights: dict[str, float]):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for at in range(0, batch.num_rows, 256):
                 part = batch.slice(at, 256)
                 texts = [main_text(p.as_py(), weights) for p in part.column("html")]
-                yield pa.RecordBatch.from_arrays([*(part.column(c) for c in names), pa.array(texts, pa.string()), pa.array([len(t) for t in texts], pa.int64())], [*names, "text", "n_chars"])
+                yield pa.RecordBatch.from_arrays([*(part.column(c) for c in names), pa.array(texts, pa.string()), pa.array([len(t) for t in texts], pa.int64())], [*names, *added])
 
     return run
 
@@ -334,5 +381,6 @@ def _extract(names: list[str], weights: dict[str, float]):
 def extract_main_text(df: DataFrame, keep: list[str], weights: dict[str, float] | None = None) -> DataFrame:
     """``keep`` columns with ``text`` and ``n_chars`` of each row's ``html``."""
     kinds = dict(df.dtypes)
-    schema = ", ".join([*(f"`{c}` {kinds[c]}" for c in keep), "text string, n_chars bigint"])
-    return df.select(*dict.fromkeys([*keep, "html"])).mapInArrow(_extract(keep, weights or trained_weights()), schema)
+    added = [fresh(keep, "text"), fresh(keep, "n_chars")]
+    schema = ", ".join([*(f"`{c}` {kinds[c]}" for c in keep), f"`{added[0]}` string, `{added[1]}` bigint"])
+    return df.select(*dict.fromkeys([*keep, "html"])).mapInArrow(trimmed(_extract(keep, added, weights or trained_weights())), schema)
