@@ -1,19 +1,25 @@
-"""Personal data: fixed patterns, and a character-level BiLSTM with CRF transitions that adds spans.
+"""Personal data: counts and spans of fixed patterns (``n_*`` count these alone), and a tagger that adds spans.
 
-The tagger is trained here, in numpy, from generated text with labelled spans (:func:`labelled_text`):
-written-out and spaced forms that the patterns miss, among look-alikes that are none. Every text is cut into
-overlapping windows; each is decoded by Viterbi, and each position takes its tag from the window
-that holds it furthest from an edge, so that the windows give one tag sequence for the whole text. A window whose
-emissions leave no path better than all-outside is decided by that bound. Found spans are held to
-the kind's own rule (Luhn, number of digits, parts), and give way to pattern spans that they touch.
+The tagger is a character-level BiLSTM with CRF transitions, trained here, in numpy, from generated text with
+labelled spans (:func:`labelled_text`): written-out and spaced forms that the patterns miss, and secrets (passwords,
+tokens, access keys: a kind of its own, ``secret``), among look-alikes that are none. Every text is cut into overlapping
+windows; each is decoded by Viterbi, and each position takes its tag from the window that holds it furthest
+from an edge, so that the windows give one tag sequence for the whole text. A tagged stretch says where and
+what; the exact ends come from the kind's form and rule (:data:`FORMS`, :func:`holds`) in and around it,
+and give way to pattern spans that they touch.
+
+Two exact bounds spare work. Every added span holds a digit, an ``@`` or a written-out ``at``, and is no longer than REACH:
+windows further from those can add nothing and aren't run. A window whose emissions leave no path better than
+all-outside is decided by that bound. Patterns are searched in linear time, with the results of ``finditer``.
 
 Edge cases: a null or empty text has no spans; the digest of no span is that of the empty string;
-repeated rows each get a row; null ids are carried; extra columns are ignored; an empty table gives an empty
-result. Offsets are code points, ends exclusive.
+repeated rows each get a row; null ids are carried; extra columns are ignored, and an output column whose name a kept
+one has gets underscores; an empty table gives an empty result. Offsets are code points, ends exclusive.
 """
 
 from __future__ import annotations
 
+import bisect
 import functools
 import hashlib
 import re
@@ -23,6 +29,9 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
+from .storage import fresh
+from .workers import trimmed
+
 KINDS = ("email", "ip", "card", "phone")
 PATTERNS = {
     "email": re.compile(r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+"),
@@ -30,16 +39,22 @@ PATTERNS = {
     "card": re.compile(r"[0-9]([\x20-]?[0-9])+"),
     "phone": re.compile(r"\+[0-9][\x20().0-9-]+[0-9]"),
 }
-#: A character that every match of the kind holds; texts without it are not searched.
-NEEDS = {"email": "@", "ip": ".", "phone": "+"}
-TAGS = 1 + 2 * len(KINDS)  # outside; begin and inside of each kind
+_LOCAL = "abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ0123456789._%+-"
+_DOMAIN = re.compile(r"[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+")
+_DOTTED = re.compile(r"[0-9]+(?:\.[0-9]+)*")
+_DIGIT = re.compile(r"[0-9]")
+#: What the tagger knows: those, and passwords, tokens and keys.
+TAGGED = (*KINDS, "secret")
+TAGS = 1 + 2 * len(TAGGED)  # outside; begin and inside of each kind
 WINDOW, OVERLAP = 512, 64
+#: No added span is longer, nor further from what :func:`_anchors` names.
+REACH = 200
 PAD, VOCABULARY = 132, 133
 
 
 #: Inside follows begin or inside of its kind only.
 _BARRED = np.zeros((TAGS, TAGS), np.float32)
-for _k in range(len(KINDS)):
+for _k in range(len(TAGGED)):
     _BARRED[:, 2 + 2 * _k] = -1e4
     _BARRED[[1 + 2 * _k, 2 + 2 * _k], 2 + 2 * _k] = 0
 
@@ -64,12 +79,37 @@ def holds(kind: str, found: str) -> bool:
     return 10 <= len(digits) <= 15
 
 
+def _emails(text: str) -> Iterator[tuple[int, int]]:
+    """Matches of the pattern, found from each @: what stands before it can't hold another."""
+    at, p = 0, text.find("@")
+    while p >= 0:
+        before = text[at:p]
+        start = len(before.rstrip(_LOCAL)) + at
+        m = _DOMAIN.match(text, p + 1) if start < p else None
+        if m:
+            yield start, m.end()
+        at = m.end() if m else p + 1
+        p = text.find("@", at)
+
+
+def _addresses(text: str) -> Iterator[tuple[int, int]]:
+    """Matches of the pattern: runs of dotted numbers, four at a time."""
+    for run in _DOTTED.finditer(text):
+        if run[0].count(".") >= 3:
+            parts = [m.span() for m in re.finditer(r"[0-9]+", run[0])]
+            for i in range(0, len(parts) - 3, 4):
+                yield run.start() + parts[i][0], run.start() + parts[i + 3][1]
+
+
 def pattern_spans(text: str) -> list[tuple[int, int, int]]:
-    """(start, kind number, end) of the fixed patterns, sorted."""
-    out = []
-    for k, kind in enumerate(KINDS):
-        if NEEDS.get(kind, "") in text:
-            out += [(m.start(), k, m.end()) for m in PATTERNS[kind].finditer(text) if holds(kind, m[0])]
+    """(start, kind number, end) of the fixed patterns, sorted; in linear time."""
+    out = [(a, 0, b) for a, b in _emails(text)] if "@" in text else []
+    if _DIGIT.search(text):
+        if "." in text:
+            out += [(a, 1, b) for a, b in _addresses(text) if holds("ip", text[a:b])]
+        for k in (2, 3):
+            if k == 2 or "+" in text:
+                out += [(m.start(), k, m.end()) for m in PATTERNS[KINDS[k]].finditer(text) if holds(KINDS[k], m[0])]
     return sorted(out)
 
 
@@ -129,13 +169,31 @@ def labelled_text(rng: np.random.Generator, size: int) -> tuple[str, list[int]]:
             )
         )
 
-    makers = (email, ip, card, phone)
+    def secret() -> tuple[str, str]:
+        """What leads to the value, and the value."""
+        upper, mixed = "ABCDEFGHIJKLMNOPQRSTUVWXYZ0123456789", "abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ0123456789"
+        x = rng.random()
+        if x < 0.3:
+            return "", "AKIA" + "".join(rng.choice(list(upper), 16))
+        if x < 0.4:
+            return "", str(rng.choice(["ghp_", "sk-", "xoxb-"])) + "".join(rng.choice(list(mixed), rng.integers(20, 37)))
+        name = str(rng.choice(["password", "passwd", "pwd", "token", "secret", "api_key", "apikey", "access_key", "Password", "TOKEN"]))
+        value = hashlib.sha1(digits(9).encode()).hexdigest()[: int(rng.integers(14, 41))] if x < 0.8 else "".join(rng.choice(list(mixed), rng.integers(14, 30)))
+        lead = str(rng.choice(["=", "=", ": ", " = ", ' = "', '="', ":"]))
+        return name + lead, value
+
+    makers = (email, ip, card, phone, secret)
     room = size
     while room > 0:
         x = rng.random()
         if x < 0.06:
-            k = int(rng.integers(0, 4))
+            k = int(rng.integers(0, len(makers)))
             body = makers[k]()
+            if k == 4:
+                lead, body = body
+                parts.append(lead)
+                tags += [0] * len(lead)
+                room -= len(lead)
             if k == 3 and body.startswith("tel "):
                 parts.append("tel ")
                 tags += [0] * 4
@@ -324,11 +382,36 @@ def train_tagger(hidden: int = 12, rounds: int = 700, rows: int = 48, length: in
     return p
 
 
-def tag_spans(texts: list[str], p: Params, most: int = 512) -> list[list[tuple[int, int, int]]]:
-    """(start, kind number, end) that the tagger finds in each text, unchecked; windows run in groups of ``most``."""
+_AT = re.compile(r"[\[(]\s?at\s?[\])]|\sat\s{1,2}[a-z0-9-]+\s?[\[(]?\s?dot\b", re.I)
+
+
+def _anchors(text: str) -> np.ndarray:
+    """Positions, sorted, of which every span that can be added holds one: digits, @, at."""
+    out = []
+    if _DIGIT.search(text):
+        out.append(np.array([m.start() for m in _DIGIT.finditer(text)], np.int64))
+    if "@" in text:
+        out.append(np.array([m.start() for m in re.finditer("@", text)], np.int64))
+    if "at" in (low := text.lower()) and ("dot" in low or "(" in low or "[" in low):
+        out.append(np.array([m.start() for m in _AT.finditer(text)], np.int64))
+    return np.sort(np.concatenate(out)) if out else np.zeros(0, np.int64)
+
+
+def tag_spans(texts: list[str], p: Params, most: int = 512, gated: bool = True) -> list[list[tuple[int, int, int]]]:
+    """(start, kind number, end) that the tagger finds in each text, unchecked; windows run in groups of ``most``.
+
+    ``gated``: without those windows in which nothing can be added.
+    """
     step = WINDOW - OVERLAP
-    jobs = [(i, a) for i, t in enumerate(texts) for a in range(0, max(1, len(t) - OVERLAP), step) if t]
-    coded = [classes(np.frombuffer(t.encode("utf-32-le", "surrogatepass"), np.uint32)) for t in texts]
+    near = [_anchors(t) if gated else None for t in texts]
+    some = [i for i, t in enumerate(texts) if t and (near[i] is None or len(near[i]))]
+    coded = {i: classes(np.frombuffer(texts[i].encode("utf-32-le", "surrogatepass"), np.uint32)) for i in some}
+    jobs = []
+    for i in some:
+        at = np.arange(0, max(1, len(texts[i]) - OVERLAP), step)
+        if near[i] is not None:
+            at = at[np.searchsorted(near[i], at + WINDOW + REACH) > np.searchsorted(near[i], at - REACH)]
+        jobs += [(i, a) for a in at.tolist()]
     out: list[list[tuple[int, int, int]]] = [[] for _ in texts]
     found: dict[int, list[tuple[int, np.ndarray]]] = {}
     a = p["a"] + _BARRED
@@ -384,27 +467,37 @@ def tag_spans(texts: list[str], p: Params, most: int = 512) -> list[list[tuple[i
     return out
 
 
-def _trimmed(text: str, s: int, e: int) -> tuple[int, int]:
-    while s < e and text[s] in " \n\t,;:|\"'":
-        s += 1
-    while e > s and text[e - 1] in " \n\t,;:|\"'.-(":
-        e -= 1
-    return s, e
+#: What an added span looks like, by kind.
+FORMS = {
+    "email": re.compile(r"(?<![A-Za-z0-9])(?:[A-Za-z0-9._%+-]+(?:\s?[\[(]\s?dot\s?[\])]\s?|\sdot\s))*[A-Za-z0-9._%+-]+(\s?[\[(]\s?at\s?[\])]\s?|\sat\s|\s?@\s?)[A-Za-z0-9-]+(?:(?:\s?[\[(]\s?dot\s?[\])]\s?|\sdot\s|\.)[A-Za-z0-9-]+)+", re.I),
+    "ip": re.compile(r"(?<![A-Za-z0-9.])[0-9]{1,3}(?:(?:\s?[\[(](?:\.|dot)[\])]\s?|\s?\.\s?|\sdot\s)[0-9]{1,3}){3}(?![A-Za-z0-9])", re.I),
+    "card": re.compile(r"(?<![A-Za-z0-9])[0-9](?:[\s./_-]{0,3}[0-9]){13,18}(?![A-Za-z0-9])"),
+    "phone": re.compile(r"(?<![A-Za-z0-9+])(?:\([0-9]{2,4}\)|[0-9]{1,4})(?:[\s.-]{1,2}[0-9]{2,4}){2,4}(?![A-Za-z0-9])"),
+    "secret": re.compile(r"(?<![A-Za-z0-9_+/-])[A-Za-z0-9_+/-]{12,}(?![A-Za-z0-9_+/-])"),
+}
 
 
 def accepted(kind: str, found: str) -> bool:
-    """The rule of the kind on text that the tagger found."""
-    low = found.lower()
+    """The rule of the kind on text in its form."""
+    digits = re.sub(r"[^0-9]", "", found)
+    if len(found) > REACH:
+        return False
     if kind == "email":
-        plain = re.sub(r"\s*[\[(]?\bdot\b[\])]?\s*", ".", re.sub(r"\s*[\[(]?\bat\b[\])]?\s*|\s+@\s+", "@", low))
-        return bool(re.fullmatch(r"[a-z0-9._%+-]+@[a-z0-9-]+(\.[a-z0-9-]+)+", plain)) and plain.count("@") == 1
+        # after a plain "at" only a written-out dot makes an address
+        return not (re.search(r"\sat\s", found, re.I) and not re.search(r"\bdot\b", found, re.I))
     if kind == "ip":
-        parts = re.split(r"\s*(?:[\[(]?\s*(?:\.|dot)\s*[\])]?)\s*", low)
-        return len(parts) == 4 and all(p.isascii() and p.isdigit() for p in parts) and holds("ip", ".".join(parts))
+        return all(int(p) <= 255 for p in re.findall(r"[0-9]+", found))
     if kind == "card":
-        digits = re.sub(r"[^0-9]", "", found)
-        return 14 <= len(digits) <= 19 and luhn(digits) and not re.search(r"[^0-9\s./_-]", found)
-    return holds("phone", found) and bool(re.fullmatch(r"[0-9().\-\s]+", found)) and bool(re.search(r"[().\-\s]", found))
+        return luhn(digits)
+    if kind == "phone":
+        return 10 <= len(digits) <= 15
+    return bool(digits) and bool(re.search(r"[A-Za-z]", found))
+
+
+def exact_spans(text: str, kind: str, s: int, e: int) -> list[tuple[int, int]]:
+    """Spans of the kind's form in and around a tagged stretch that it touches."""
+    low, high = max(0, s - REACH), min(len(text), e + REACH)
+    return [m.span() for m in FORMS[kind].finditer(text, low, high) if m.start() < e and m.end() > s and accepted(kind, m[0])]
 
 
 def all_spans(texts: list[str], p: Params) -> list[tuple[list[tuple[int, int, int]], list[tuple[int, int, int]]]]:
@@ -412,21 +505,24 @@ def all_spans(texts: list[str], p: Params) -> list[tuple[list[tuple[int, int, in
     out = []
     for text, more in zip(texts, tag_spans(texts, p), strict=True):
         base = pattern_spans(text)
-        taken = sorted((s, e) for s, _, e in base)
         whole = list(base)
+        taken = sorted((s, e) for s, _, e in base)
         for s, k, e in more:
-            s, e = _trimmed(text, s, e)
-            if s < e and not any(a < e and s < b for a, b in taken) and accepted(KINDS[k], text[s:e]):
-                whole.append((s, k, e))
+            for a, b in exact_spans(text, TAGGED[k], s, e):
+                # base spans of different kinds may overlap: their starts are sorted, their ends nearly so
+                i = bisect.bisect_left(taken, (b,))
+                if not any(y > a for _, y in taken[max(0, i - 8) : i]):
+                    whole.append((a, k, b))
+                    bisect.insort(taken, (a, b))
         out.append((base, sorted(whole)))
     return out
 
 
 def span_text(spans: list[tuple[int, int, int]]) -> str:
-    return ",".join(f"{KINDS[k]}:{s}:{e}" for s, k, e in spans)
+    return ",".join(f"{TAGGED[k]}:{s}:{e}" for s, k, e in spans)
 
 
-def _find(names: list[str], p: Params):
+def _find(names: list[str], text: str, added: list[str], p: Params):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             at = 0
@@ -434,22 +530,30 @@ def _find(names: list[str], p: Params):
                 end, size = at, 0
                 texts: list[str] = []
                 while end < batch.num_rows and size < 1_000_000:
-                    texts.append(batch.column("text")[end].as_py() or "")
+                    texts.append(batch.column(text)[end].as_py() or "")
                     size += len(texts[-1])
                     end += 1
                 spans = all_spans(texts, p)
                 part = batch.slice(at, end - at)
                 counts = [pa.array([sum(1 for _, k, _ in base if k == kind) for base, _ in spans], pa.int64()) for kind in range(len(KINDS))]
                 digests = pa.array([hashlib.sha256(span_text(base).encode()).hexdigest() for base, _ in spans])
-                cols = [*counts, digests, pa.array([span_text(w) for _, w in spans]), pa.array([len(w) - len(b) for b, w in spans], pa.int64())]
-                yield pa.RecordBatch.from_arrays([*(part.column(c) for c in names), *cols], [*names, *(f"n_{k}" for k in KINDS), "base_sha256", "spans", "n_added"])
+                personal = [[x for x in w if x[1] < len(KINDS)] for _, w in spans]
+                secrets = [[x for x in w if x[1] >= len(KINDS)] for _, w in spans]
+                cols = [
+                    *counts, digests, pa.array([span_text(w) for w in personal]), pa.array([len(w) - len(b) for b, w in spans], pa.int64()),
+                    pa.array([span_text(w) for w in secrets]), pa.array([len(w) for _, w in spans], pa.int64()),
+                ]
+                yield pa.RecordBatch.from_arrays([*(part.column(c) for c in names), *cols], [*names, *added])
                 at = end
 
     return run
 
 
 def find_personal_data(df: DataFrame, keep: list[str], params: Params | None = None) -> DataFrame:
-    """``keep`` columns, counts of pattern spans by kind, their digest, all spans as text, and how many the tagger added."""
+    """``keep`` columns, counts of pattern spans by kind, their digest, all spans of those kinds as text, how many
+    spans the tagger added (secrets among them), the spans of secrets, and the number of all spans."""
     kinds = dict(df.dtypes)
-    schema = ", ".join([*(f"`{c}` {kinds[c]}" for c in keep), *(f"n_{k} bigint" for k in KINDS), "base_sha256 string, spans string, n_added bigint"])
-    return df.select(*dict.fromkeys([*keep, "text"])).mapInArrow(_find(keep, params or train_tagger()), schema)
+    typed = [*((f"n_{k}", "bigint") for k in KINDS), ("base_sha256", "string"), ("spans", "string"), ("n_added", "bigint"), ("secrets", "string"), ("n_spans", "bigint")]
+    added = [fresh(keep, c) for c, _ in typed]
+    schema = ", ".join([*(f"`{c}` {kinds[c]}" for c in keep), *(f"`{c}` {t}" for c, (_, t) in zip(added, typed, strict=True))])
+    return df.select(*dict.fromkeys([*keep, "text"])).mapInArrow(trimmed(_find(keep, "text", added, params or train_tagger())), schema)
