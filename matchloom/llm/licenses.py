@@ -5,7 +5,8 @@ model knows go through a multinomial logistic regression over licence families a
 trained on varied notices and on look-alike text. On held-out paragraphs the probabilities
 are calibrated by one temperature, and the least confidence is set at which at most ``false_rate`` of
 unknown ones pass. A prediction counts only if one of the family's templates is
-contained in the paragraph (or the paragraph in it) to at least ``contained``, by word bigrams.
+contained in the paragraph (or the paragraph in it) to at least ``contained``, by word bigrams; a paragraph of fewer than
+three of those must name the family, too.
 
 A paragraph of more than WINDOW words is read in overlapping windows. Beside the likeliest family, a window has every
 other one that passes against the unknown class alone (at that test's own least confidence), that a template
@@ -13,8 +14,8 @@ confirms and that the window names (NAMES): families share wording, so a templat
 A family counts once a line, with its greatest probability.
 
 Edge cases: a null or empty text has no findings; a paragraph without any known n-gram is unknown;
-repeated rows each get a row; null ids are carried; extra columns are ignored; an empty table gives an
-empty result.
+repeated rows each get a row; null ids are carried; extra columns are ignored unless kept, and an output column whose
+name a kept one has gets underscores; an empty table gives an empty result.
 """
 
 from __future__ import annotations
@@ -30,6 +31,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 
 from .shingles import _PLACE, U, mix, slices, utf8, word_hashes
+from .storage import fresh
+from .workers import trimmed
 
 #: Wordings of public licence notices.
 TEMPLATES: dict[str, list[str]] = {
@@ -266,15 +269,17 @@ def scan(raw: np.ndarray, offsets: np.ndarray, model: LicenceModel, contained: f
         x = int(seen[edge[i]])
         mine = words[at[x] : at[x + 1]]
         own = bigrams(mine)
-        confirmed = lambda f: max(len(np.intersect1d(own, t, assume_unique=True)) / max(1, min(len(own), len(t))) for t in model.templates[f]) >= contained  # noqa: B023, E731
+        said = grams(mine, np.array([0, len(mine)]))[0]
+        named = lambda f: bool(np.isin(model.names[f], said).any())  # noqa: B023, E731
+        # a line of a few words lies in a template by chance: it must name the family as well
+        confirmed = lambda f: (len(own) >= 3 or named(f)) and max(len(np.intersect1d(own, t, assume_unique=True)) / max(1, min(len(own), len(t))) for t in model.templates[f]) >= contained  # noqa: B023, E731
         top = int(likeliest[i])
         got = {}
         if top < len(FAMILIES) and p[i, top] >= model.least and confirmed(top):
             got[top] = float(p[i, top])
         others = [int(f) for f in np.flatnonzero(alone[i] >= model.least_alone) if f not in got]
         if others:
-            said = grams(mine, np.array([0, len(mine)]))[0]
-            got |= {f: float(alone[i, f]) for f in others if np.isin(model.names[f], said).any() and confirmed(f)}
+            got |= {f: float(alone[i, f]) for f in others if named(f) and confirmed(f)}
         for f, chance in got.items():
             key = (int(of_line[x]), f)
             best[key] = max(best.get(key, 0.0), chance)
@@ -284,7 +289,7 @@ def scan(raw: np.ndarray, offsets: np.ndarray, model: LicenceModel, contained: f
     return found
 
 
-def _scan_rows(names: list[str], model: LicenceModel, contained: float):
+def _scan_rows(names: list[str], added: list[str], model: LicenceModel, contained: float):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             raw, offsets = utf8(batch.column("text"))
@@ -293,7 +298,7 @@ def _scan_rows(names: list[str], model: LicenceModel, contained: float):
                 found += scan(raw[offsets[i] : offsets[j]], offsets[i : j + 1] - offsets[i], model, contained)
             families = pa.array([",".join(sorted({FAMILIES[f] for f, _, _ in x})) for x in found], pa.string())
             where = pa.array([",".join(f"{FAMILIES[f]}:{line}:{p:.4f}" for f, line, p in x) for x in found], pa.string())
-            yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in names), pa.array([len(x) for x in found], pa.int64()), families, where], [*names, "n_notices", "families", "findings"])
+            yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in names), pa.array([len(x) for x in found], pa.int64()), families, where], [*names, *added])
 
     return run
 
@@ -301,5 +306,6 @@ def _scan_rows(names: list[str], model: LicenceModel, contained: float):
 def scan_licences(df: DataFrame, keep: list[str], model: LicenceModel | None = None, contained: float = 0.7) -> DataFrame:
     """``keep`` columns, the number of licence paragraphs, their families, and family:line:probability of each."""
     kinds = dict(df.dtypes)
-    schema = ", ".join([*(f"`{c}` {kinds[c]}" for c in keep), "n_notices bigint, families string, findings string"])
-    return df.select(*dict.fromkeys([*keep, "text"])).mapInArrow(_scan_rows(keep, model or train_model(), contained), schema)
+    added = [fresh(keep, c) for c in ("n_notices", "families", "findings")]
+    schema = ", ".join([*(f"`{c}` {kinds[c]}" for c in keep), f"`{added[0]}` bigint, `{added[1]}` string, `{added[2]}` string"])
+    return df.select(*dict.fromkeys([*keep, "text"])).mapInArrow(trimmed(_scan_rows(keep, added, model or train_model(), contained)), schema)
