@@ -6,15 +6,17 @@ of source lanes and one of duplicate clusters. A piece goes to the bin with the
 that holds it, and the successor search goes on to larger residuals until a bin without conflict
 is found: that bin is the tightest compatible one. Else a new bin opens. Pieces come largest first.
 
-A source has lanes in proportion to its share of the shard's rows (at least one), and a bin takes
-one piece a lane, so no source can crowd a bin while a source with a third of all rows still packs.
+A bin has twice as many lanes as pieces of the shard's mean size fill it (16 at least). A source has lanes in proportion to its
+share of the shard's rows (at least one), and a bin takes one piece a lane: no source can crowd a bin, a source with
+a third of all rows still packs, and short pieces fill bins as well as long ones.
 Copies (equal cluster) never share a bin. A document over the capacity is cut into full pieces,
 each a bin of its own, and a rest.
 
 Edge cases: a null or empty text, or one without words, has no tokens: it gets one row with 0
 tokens and a null bin; a null source is a source of its own; null ids are carried; repeated rows
 are packed each, as copies of each other; extra columns are ignored; an empty table gives an
-empty result.
+empty result. An output column takes no other name: extra columns aren't carried. Ties in size go by row number, which follows the
+order of the table's files: the same table packs the same way.
 """
 
 from __future__ import annotations
@@ -29,6 +31,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .storage import materialise
+from .workers import trimmed
 
 SCHEMA = "doc_id bigint, source string, piece int, n_tokens int, bin_id bigint, bin_offset int, bin_free int"
 
@@ -79,12 +82,15 @@ def best_fit(sizes: list[int], lanes: list[int], clusters: list[int], capacity:
     return bins, offsets, residual
 
 
-def _pack_shard(rows: pd.DataFrame, capacity: int, source_lanes: int) -> pd.DataFrame:
+def _pack_shard(rows: pd.DataFrame, capacity: int, source_lanes: int | None) -> pd.DataFrame:
     rows = rows.sort_values("rid", kind="stable")
     sources = rows["source"].tolist()
     tokens = rows["n_tokens"].to_numpy(np.int64)
     cluster = rows["cluster"].to_numpy(np.int64)
     share = Counter(sources)
+    if source_lanes is None:
+        filled = tokens[tokens > 0]
+        source_lanes = max(16, 2 * -(-capacity * len(filled) // max(1, int(filled.sum()))))
     width = {s: max(1, round(source_lanes * c / len(sources))) for s, c in share.items()}
     first, at = {}, 0
     for s in sorted(width, key=lambda s: (s is None, s or "")):
@@ -114,7 +120,7 @@ def _pack_shard(rows: pd.DataFrame, capacity: int, source_lanes: int) -> pd.Data
     return out
 
 
-def _shards(capacity: int, source_lanes: int):
+def _shards(capacity: int, source_lanes: int | None):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[pa.Table] = []
 
@@ -148,11 +154,11 @@ def word_count(text: Column) -> Column:
     return F.when(t == "", F.lit(0)).otherwise(F.size(F.split(t, r"\s+"))).cast("long")
 
 
-def pack(df: DataFrame, capacity: int = 2048, tokens: Column | None = None, cluster: Column | None = None, shard_rows: int = 4096, source_lanes: int = 16) -> DataFrame:
+def pack(df: DataFrame, capacity: int = 2048, tokens: Column | None = None, cluster: Column | None = None, shard_rows: int = 4096, source_lanes: int | None = None) -> DataFrame:
     """A row for each piece of each row of ``df`` (doc_id, source, text), with its bin.
 
     ``tokens``: each row's length, by default its words; ``cluster``: rows of one value are
-    copies, by default those of one text.
+    copies, by default those of one text; ``source_lanes``: of a bin, by default as said above.
     """
     tokens = word_count(F.col("text")) if tokens is None else tokens
     cluster = F.xxhash64(F.coalesce(F.col("text"), F.lit(""))) if cluster is None else cluster
@@ -161,4 +167,4 @@ def pack(df: DataFrame, capacity: int = 2048, tokens: Column | None = None, clus
     shards = max(1, -(-kept.count() // shard_rows))
     dealt = kept.withColumn("rid", F.monotonically_increasing_id()).withColumn("shard", F.pmod(F.xxhash64("rid"), F.lit(shards)).cast("int"))
     ready = dealt.repartition("shard").sortWithinPartitions("shard", "rid")
-    return ready.mapInArrow(_shards(capacity, source_lanes), SCHEMA)
+    return ready.mapInArrow(trimmed(_shards(capacity, source_lanes)), SCHEMA)
