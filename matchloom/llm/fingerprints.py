@@ -23,7 +23,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .storage import materialise
+from .storage import materialise, scope
 
 EQUALITY_LANES, SIGN_LANES, SHINGLE = 16, 64, 3
 #: Three 21-bit counters share a long; a group below has fewer than 2^21 shingles.
@@ -152,6 +152,11 @@ def edited_fingerprints(df: DataFrame, text: str = "text", doc_id: str = "doc_id
     """
     docs = df.select(F.col(doc_id).cast("long").alias("doc_id"), F.coalesce(F.col(text), F.lit("")).alias("text"))
     docs = docs.withColumns({"kid": F.coalesce(F.col("doc_id"), F.lit(_NO_ID)).cast("long"), "h": F.xxhash64("text")})
+    with scope():
+        return _edited(docs)
+
+
+def _edited(docs: DataFrame) -> DataFrame:
     order = _in_order(docs)
     # the one exchange of texts: every branch below needs just these columns, so it is reused
     single = docs.select("kid", "h", "text").repartition("kid", "h").groupBy("kid", "h").agg(F.first("text").alias("text"), F.count("*").alias("copies")).join(order, ["kid", "h"])
@@ -164,7 +169,7 @@ def edited_fingerprints(df: DataFrame, text: str = "text", doc_id: str = "doc_id
     of = lambda k: F.max(F.when(F.col("kind") == k, F.struct(F.transform("eq", lambda x: x.cast("int")).alias("eq"), "signs")))
     pair = lanes.withColumn("eq", F.transform("eq", lambda x: F.when(x >= 2**31, x - 2**32).otherwise(x))).groupBy("kid", "h").agg(of(0).alias("a"), of(1).alias("b"))
     digest = edited.select("kid", "h", "prev_kid", "prev_h", "copies", F.length("text").cast("long").alias("n_chars"), F.sha2(F.encode("edited", "UTF-8"), 256).alias("edited_sha256"))
-    found = materialise(digest.join(pair, ["kid", "h"]))
+    found = materialise(digest.join(pair, ["kid", "h"]), outer=True)
     to_prev = found.select(F.col("prev_kid").alias("kid"), F.col("prev_h").alias("h"), F.col("a.signs").alias("next_signs"))
     whole = found.join(to_prev, ["kid", "h"])
     each = whole.withColumn("_copy", F.explode(F.sequence(F.lit(1).cast("long"), F.col("copies")))).withColumn("doc_id", F.nullif(F.col("kid"), F.lit(_NO_ID)))

@@ -7,8 +7,8 @@ every rule to pass. A pattern table has at most 3^9 rows whatever the corpus, so
 the driver; texts are read once, and only the narrow feature rows are kept between the passes.
 
 Edge cases: a null text counts as empty; a text without words has all counts 0 and fails the
-base; repeated rows give repeated result rows; null ids are carried; extra columns are ignored;
-an empty table gives an empty result.
+base; repeated rows give repeated result rows; null ids are carried; extra columns are ignored unless kept, and an output
+column whose name a kept one has gets underscores; an empty table gives an empty result.
 """
 
 from __future__ import annotations
@@ -18,7 +18,7 @@ import math
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .storage import materialise
+from .storage import fresh, materialise
 
 SPACE = " \t\n\x0b\f\r"
 
@@ -36,6 +36,10 @@ RULES: list[tuple[str, str, str]] = [
 ]
 
 
+#: Names that the counts and the working columns of :func:`text_features` have.
+TAKEN = ("_t", "_s", "_w", "_l", "_win", "_again", "_sorted", "_pos", "n_words", "word_chars", "n_symbols", "n_lines", "n_dup_lines", "n_repeat_words", "n_upper", "n_exclaim", "n_short", "n_stops", "quality", "base_failed", "kept", "text")
+
+
 def text_features(df: DataFrame, keep: list[str], text: str = "text") -> DataFrame:
     """``keep`` columns and the counts that rules read, one row per input row."""
     t = F.coalesce(F.col(text), F.lit(""))
@@ -148,7 +152,10 @@ def posterior(votes: tuple[int, ...], found: Accuracies) -> float:
 
 def apply_quality_rules(df: DataFrame, keep: list[str], text: str = "text", threshold: float = 0.5, rules: list[tuple[str, str, str]] = RULES) -> DataFrame:
     """Features, votes, ``quality`` (posterior), ``base_failed`` and ``kept`` of every row."""
-    scored = materialise(text_features(df, keep, text).select("*", *vote_columns(rules)))
+    # a kept column with the name of a count or an output travels under another name
+    own = {c: fresh([*TAKEN, *(f"vote_{r[0]}" for r in rules), *keep], f"_k{i}") for i, c in enumerate(keep)}
+    hidden = df.select(*[F.col(c).alias(own[c]) for c in keep], F.col(text).alias("text"))
+    scored = materialise(text_features(hidden, list(own.values())).select("*", *vote_columns(rules)))
     names = [f"vote_{r[0]}" for r in rules]
     patterns = sorted((tuple(r[:-1]), r[-1]) for r in scored.groupBy(*names).count().collect())
     found = estimate(patterns)
@@ -156,8 +163,7 @@ def apply_quality_rules(df: DataFrame, keep: list[str], text: str = "text", thre
     for name, (up, down) in zip(names, log_odds(found), strict=False):
         z = z + F.when(F.col(name) > 0, up).when(F.col(name) < 0, down).otherwise(F.lit(0.0))
     failed = (F.col("n_words") < 10) | (100 * F.col("n_repeat_words") > 20 * F.col("n_words"))
-    return (
-        scored.withColumn("quality", 1 / (1 + F.exp(-z)))
-        .withColumn("base_failed", failed)
-        .withColumn("kept", ~F.col("base_failed") & (F.col("quality") >= F.lit(threshold)))
-    )
+    out = scored.withColumn("quality", 1 / (1 + F.exp(-z))).withColumn("base_failed", failed)
+    out = out.withColumn("kept", ~F.col("base_failed") & (F.col("quality") >= F.lit(threshold)))
+    added = [c for c in out.columns if c not in own.values()]
+    return out.select(*[F.col(own[c]).alias(c) for c in keep], *[F.col(c).alias(fresh(keep, c)) for c in added])
