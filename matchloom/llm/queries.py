@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from ..sources.shipping import ship_package
 
@@ -95,4 +96,71 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "pipeline": pipeline,
 }
 
-ORACLE_SQL: dict[str, str] = {}
+
+
+def llm_quality_base(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What op3's contract fixes of its columns."""
+    out = op3_quality_rules(spark, sf_dir)
+    return out.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed")
+
+
+def llm_fingerprint_edits(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What op5's contract fixes of its columns."""
+    return op5_fingerprints(spark, sf_dir).select("doc_id", "n_chars", "edited_sha256")
+
+
+def llm_source_weights(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The plan by which op6 draws: exponent to a repetition limit of 2."""
+    from .mixing import source_plan, source_tokens
+
+    totals = source_tokens(_table(spark, sf_dir, "documents")).groupBy("source").agg(F.sum("n").alias("tokens"))
+    rounded = [F.round(c, 6).alias(c) for c in ("share", "weight", "reps")]
+    return source_plan(totals).select("source", "tokens", *rounded, F.col("whole").cast("int").alias("whole"))
+
+
+def llm_base_patterns(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The counts of op7's fixed patterns."""
+    return op7_personal_data(spark, sf_dir).select("doc_id", "n_email", "n_ip", "n_card", "n_phone")
+
+
+def llm_packing_totals(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """By source: documents, pieces and tokens that op10 packs."""
+    out = op10_best_fit_packing(spark, sf_dir)
+    return out.groupBy("source").agg(F.count_distinct("doc_id").alias("documents"), F.count("*").alias("pieces"), F.sum("n_tokens").alias("tokens"), (F.max(F.col("bin_offset") + F.col("n_tokens")) <= 2048).alias("fits"))
+
+
+QUERIES |= {f.__name__: f for f in (llm_quality_base, llm_fingerprint_edits, llm_source_weights, llm_base_patterns, llm_packing_totals)}
+
+_SPACE = r"\x20\x09-\x0D"
+_WORDS = f"regexp_extract_all(coalesce(text, ''), '[^{_SPACE}]+')"
+_LOWER = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+
+ORACLE_SQL: dict[str, str] = {
+    # sets of three-word shingles, all pairs that share one, components by reachability
+    "op2_ngram_jaccard": f"""with recursive w as (select doc_id, regexp_extract_all({_LOWER}, '[^{_SPACE}]+') as w from documents),
+ s as (select doc_id, case when len(w) = 0 then [] when len(w) < 3 then [array_to_string(w, ' ')] else list_distinct([array_to_string(w[i:i + 2], ' ') for i in generate_series(1, len(w) - 2)]) end as s from w),
+ e as (select doc_id, len(s) as n, unnest(s) as g from s),
+ l as (select a.doc_id as x, b.doc_id as y from e a join e b on a.g = b.g and a.doc_id <> b.doc_id group by 1, 2 having 100 * count(*) >= 90 * (any_value(a.n) + any_value(b.n) - count(*))),
+ r as (select doc_id, doc_id as y from s union select r.doc_id, l.y from r join l on l.x = r.y)
+ select s.doc_id, cast(len(s.s) as bigint) as n_shingles, min(r.y) as component_id from s join r on r.doc_id = s.doc_id group by s.doc_id, len(s.s)""",
+    "llm_quality_base": f"""with w as (select doc_id, {_WORDS} as w, coalesce(text, '') as t, [x for x in string_split(coalesce(text, ''), chr(10)) if regexp_matches(x, '[^{_SPACE}]')] as l from documents),
+ win as (select doc_id, i, array_to_string(w[i:i + 4], ' ') as g from w, unnest(generate_series(1, len(w) - 4)) u(i)), rep as (select doc_id, i from win qualify count(*) over (partition by doc_id, g) > 1),
+ cov as (select doc_id, count(distinct i + k) as c from rep, unnest([0, 1, 2, 3, 4]) v(k) group by 1),
+ b as (select w.doc_id, cast(len(w) as bigint) as n_words, cast(length(array_to_string(w, '')) as bigint) as word_chars, cast(len(regexp_extract_all(t, '[#*$%&|<>]')) as bigint) as n_symbols, cast(len(l) - len(list_distinct(l)) as bigint) as n_dup_lines, coalesce(c, 0) as n_repeat_words from w left join cov on cov.doc_id = w.doc_id)
+ select *, n_words < 10 or 100 * n_repeat_words > 20 * n_words as base_failed from b""",
+    "llm_base_patterns": """with t as (select doc_id, coalesce(text, '') as t from documents),
+ m as (select doc_id, regexp_extract_all(t, '[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(?:\\.[A-Za-z0-9-]+)+') as e, regexp_extract_all(t, '[0-9]+(?:\\.[0-9]+)(?:\\.[0-9]+)(?:\\.[0-9]+)') as i,
+  [regexp_replace(x, '[^0-9]', '', 'g') for x in regexp_extract_all(t, '[0-9](?:[\\x20-]?[0-9])+')] as c, [regexp_replace(x, '[^0-9]', '', 'g') for x in regexp_extract_all(t, '\\+[0-9][\\x20().0-9-]+[0-9]')] as p from t)
+ select doc_id, cast(len(e) as bigint) as n_email, cast(len([x for x in i if list_max([coalesce(try_cast(y as ubigint), 999) for y in string_split(x, '.')]) <= 255]) as bigint) as n_ip,
+  cast(len([x for x in c if length(x) between 14 and 19 and list_sum([cast(x[k] as int) * (1 + (length(x) - k) % 2) - case when cast(x[k] as int) * (1 + (length(x) - k) % 2) > 9 then 9 else 0 end for k in generate_series(1, length(x))]) % 10 = 0]) as bigint) as n_card,
+  cast(len([x for x in p if length(x) between 10 and 15]) as bigint) as n_phone from m""",
+    "llm_fingerprint_edits": """with o as (select doc_id, coalesce(text, '') as t, row_number() over (order by doc_id desc) as i, count(*) over () as c from documents),
+ n as (select a.doc_id, a.t, b.t as nxt, length(a.t) // 3 as k from o a join o b on b.i = a.i % a.c + 1)
+ select doc_id, cast(length(t) as bigint) as n_chars, sha256(substr(t, 1, length(t) - k) || substr(nxt, 1, k)) as edited_sha256 from n""",
+    "llm_source_weights": f"""with t as (select coalesce(source, '') as source, cast(sum(greatest(1, len({_WORDS}))) as bigint) as tokens from documents group by 1),
+ p as (select source, tokens, cast(tokens as double) / sum(tokens) over () as p from t), a as (select greatest(0, 1 - ln(2.0::double) / ln(max(p) / min(p))) as a from p),
+ w as (select source, tokens, p, power(p, a) / sum(power(p, a)) over () as w from p, a), b as (select *, max(tokens / w) over () as budget from w)
+ select source, tokens, round(p, 6) as share, round(w, 6) as weight, round(w * budget / tokens, 6) as reps, cast(floor(w * budget / tokens + 1e-9) as int) as whole from b""",
+    "llm_packing_totals": f"""with d as (select doc_id, source, cast(len({_WORDS}) as bigint) as n from documents)
+ select source, count(distinct doc_id) as documents, cast(sum(greatest(1, ceil(n / 2048.0))) as bigint) as pieces, cast(sum(n) as bigint) as tokens, true as fits from d group by 1""",
+}
