@@ -1,9 +1,9 @@
 """The training-data pipeline over ``documents``: quality, lines, near duplicates, mixing, packing.
 
 Each stage takes (spark, docs, sf_dir) and returns a DataFrame that is written as Parquet and reread
-as the next one's ``docs``; all but the last return the columns of their input. Repeated rows, null ids,
-null or empty texts and empty tables are handled as each operator's module says; a row with a null id
-is never dropped as a near duplicate.
+as the next one's ``docs``; all but the last return the columns of their input, whatever an extra one is called: the
+operators give their own columns other names then. Repeated rows, null ids, null or empty texts and empty
+tables are handled as each operator's module says; a row with a null id is never dropped as a near duplicate.
 """
 
 from __future__ import annotations
@@ -17,7 +17,7 @@ from matchloom.llm.line_dedup import dedup_lines
 from matchloom.llm.mixing import mix_sources
 from matchloom.llm.packing import pack
 from matchloom.llm.quality_model import score_quality
-from matchloom.llm.storage import materialise
+from matchloom.llm.storage import discard, fresh, materialise, scope
 from matchloom.sources.shipping import ship_package
 
 
@@ -29,29 +29,30 @@ def _with_size(docs: DataFrame, columns: list[str]) -> DataFrame:
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the weak-label scorer accepts; those without words go."""
     ship_package(spark)
-    return score_quality(docs, docs.columns).where("accepted").select(*docs.columns)
+    return score_quality(docs, docs.columns).where(F.col(fresh(docs.columns, "accepted"))).select(*docs.columns)
 
 
 def lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Texts without the lines that an earlier document has; a document left without any line goes."""
     ship_package(spark)
-    cleaned = dedup_lines(docs, docs.columns)
-    return _with_size(cleaned.where("n_lines = 0 or n_kept_lines > 0"), docs.columns)
+    had, kept = (F.col(fresh(docs.columns, c)) for c in ("n_lines", "n_kept_lines"))
+    return _with_size(dedup_lines(docs, docs.columns).where((had == 0) | (kept > 0)), docs.columns)
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The smallest doc_id of each component at a Jaccard of 0.8 of five-word shingles, once."""
     ship_package(spark)
-    found = similarity_components(docs, k=5, num=80, den=100)
-    ids = found.where("doc_id is not null").groupBy("doc_id").agg(F.count("*").alias("rows"), F.max((F.col("doc_id") == F.col("component_id")).cast("int")).alias("stays"))
-    # only documents that go or that repeat meet this table: the others pass by a fixed-size filter
-    touched = materialise(ids.where("stays = 0 or rows > 1").select(F.col("doc_id").alias("_id"), "stays"))
-    bits = bloom.build(touched.select("_id"))
-    marked = bloom.marked(docs, "doc_id", bits, "_maybe")
-    maybe = marked.where("_maybe").join(touched, F.col("doc_id") == F.col("_id"), "left")
-    clear = maybe.where("_id is null").select(*docs.columns)
-    repeated = maybe.where("stays = 1").select(*docs.columns).dropDuplicates(["doc_id"])
-    return marked.where("not _maybe").select(*docs.columns).unionByName(clear).unionByName(repeated)
+    own, stays, maybe = (fresh(docs.columns, c) for c in ("_id", "_stays", "_maybe"))
+    with scope():
+        found = similarity_components(docs, k=5, num=80, den=100)
+        ids = found.where("doc_id is not null").groupBy("doc_id").agg(F.count("*").alias("rows"), F.max((F.col("doc_id") == F.col("component_id")).cast("int")).alias("stays"))
+        # only documents that go or that repeat meet this table: the others pass by a filter of bounded size
+        touched = materialise(ids.where("stays = 0 or rows > 1").select(F.col("doc_id").alias(own), F.col("stays").alias(stays)), outer=True)
+    marked = bloom.marked(docs, "doc_id", bloom.build(touched.select(own)), maybe)
+    met = marked.where(F.col(maybe)).join(touched, F.col("doc_id") == F.col(own), "left")
+    clear = met.where(F.col(own).isNull()).select(*docs.columns)
+    repeated = met.where(F.col(stays) == 1).select(*docs.columns).dropDuplicates(["doc_id"])
+    return marked.where(~F.col(maybe)).select(*docs.columns).unionByName(clear).unionByName(repeated)
 
 
 def mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -68,12 +69,15 @@ def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 STAGES = [("quality", quality), ("lines", lines), ("near_duplicates", near_duplicates), ("mixing", mixing), ("packing", packing)]
 
-#: Signatures, components and trained weights have no SQL form; tests hold the stages against brute force.
+#: Signatures, components and trained weights have no SQL form; tests hold each stage's effect against a plain version of it.
 ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     for _, stage in STAGES:
-        docs = materialise(stage(spark, docs, sf_dir))
+        with scope():
+            after = materialise(stage(spark, docs, sf_dir), outer=True)
+        discard(docs)  # a stage's table; the input has none
+        docs = after
     return docs
