@@ -46,6 +46,30 @@ def normalize_age_group(c: Column) -> Column:
     return out.when(t.contains("взрос"), "взрослые").otherwise(t)
 
 
+def serving_age_group(c: Column) -> Column:
+    """As asked at serving: a label, ``unknown`` for nothing, or the text itself."""
+    t = normalize_age_group(c)
+    return F.when(t == "", "unknown").when(t.contains("adult"), "взрослые").otherwise(t)
+
+
+def normalize_player_name(c: Column) -> Column:
+    return normalize_lower(c)
+
+
+def is_cancelled(c: Column) -> Column:
+    return contains_any(normalize_lower(c), ("отмен", "cancel"))
+
+
+def is_completed(c: Column) -> Column:
+    return contains_any(normalize_lower(c), ("заверш", "окончен", "complete", "finished"))
+
+
+def is_player_like(c: Column) -> Column:
+    """Letters, at least two words or an initial, and no digits."""
+    t = normalize_text(c)
+    return t.rlike(r"(?U)^[^\d]*\p{L}{2,}[ .]+\p{L}[^\d]*$")
+
+
 def normalize_rni(c: Column) -> Column:
     """The digits of an id written 42749, 42749.0 or RNI:42749; null without any."""
     return F.nullif(F.regexp_extract(F.trim(c.cast("string")), r"(\d+)", 1), F.lit(""))
@@ -132,11 +156,16 @@ def without_query(c: Column) -> Column:
 
 
 def strip_html(c: Column) -> Column:
-    """Tags, scripts and styles out; the five basic character references decoded."""
+    """Tags, scripts and styles out; common and numeric character references decoded."""
     t = F.regexp_replace(c, r"(?is)<(script|style)\b.*?</\1>", " ")
     t = F.regexp_replace(t, r"<[^>]+>", " ")
-    for a, b in (("&nbsp;", " "), ("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&amp;", "&")):
+    for a, b in (("&nbsp;", " "), ("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&apos;", "'"), ("&laquo;", "«"), ("&raquo;", "»"), ("&ndash;", "–"), ("&mdash;", "—")):
         t = F.replace(t, F.lit(a), F.lit(b))
+    pieces = F.regexp_extract_all(t, F.lit(r"(&#x?[0-9a-fA-F]+;|[^&]+|&)"), 1)
+    code = lambda x: F.when(x.rlike("^&#[xX]"), F.conv(F.regexp_extract(x, "^&#[xX]([0-9a-fA-F]+);$", 1), 16, 10)).otherwise(F.regexp_extract(x, r"^&#(\d+);$", 1)).try_cast("int")
+    point = lambda n: F.decode(F.unhex(F.lpad(F.hex(n), 8, "0")), "UTF-32")
+    t = F.when(t.contains("&#"), F.array_join(F.transform(pieces, lambda x: F.when(x.startswith("&#") & code(x).between(1, 0x10FFFF), point(code(x))).otherwise(x)), "")).otherwise(t)
+    t = F.replace(t, F.lit("&amp;"), F.lit("&"))
     return normalize_text(t)
 
 

@@ -41,23 +41,20 @@ def matches_enriched(matches: DataFrame, audit: DataFrame, ratings: DataFrame, o
     return first_by_key(rated, same, order), bad, duplicates(rated, same)
 
 
-def row_ids(df: DataFrame, order: Sequence[Column], name: str = "row_id") -> DataFrame:
-    """Rows numbered from 0 in a total order: a range exchange, counts by partition, and offsets; nothing is sorted in one place.
-
-    The number of a row is its place in its partition plus the rows of the partitions before; only one row a partition is
-    summed in one place.
+def row_ids(df: DataFrame, first: str, rest: Sequence[Column | str], name: str = "row_id") -> DataFrame:
+    """Rows numbered from 0 in the total order (first, rest): within each value of ``first`` by itself, plus the rows of all
+    values before it. Only one row a value of ``first`` (a date, say) is summed in one place.
     """
-    placed = df.repartitionByRange(*order).sortWithinPartitions(*order).withColumn("_pid", F.spark_partition_id())
-    local = placed.withColumn("_at", F.row_number().over(Window.partitionBy("_pid").orderBy(*order)))
-    counts = placed.groupBy("_pid").count()
-    before = counts.select("_pid", (F.sum("count").over(Window.orderBy("_pid")) - F.col("count")).alias("_before"))
-    return local.join(F.broadcast(before), "_pid").withColumn(name, (F.col("_at") - 1 + F.col("_before")).cast("long")).drop("_pid", "_at", "_before")
+    counts = df.groupBy(first).agg(F.count("*").alias("_n"))
+    before = counts.select(F.col(first).alias("_first"), (F.sum("_n").over(Window.orderBy(F.col(first).asc())) - F.col("_n")).alias("_before"))
+    local = df.withColumn("_at", F.row_number().over(Window.partitionBy(first).orderBy(*rest)))
+    return local.join(before, F.col(first).eqNullSafe(F.col("_first"))).withColumn(name, (F.col("_at") - 1 + F.col("_before")).cast("long")).drop("_at", "_before", "_first")
 
 
-def match_table(enriched: DataFrame, order: Sequence[Column]) -> DataFrame:
-    """One row a match (eight columns make a match, the first in ``order`` stays), numbered in that order."""
+def match_table(enriched: DataFrame, rest: Sequence[Column | str]) -> DataFrame:
+    """One row a match (eight columns make a match, the first by date and ``rest`` stays), numbered in that order."""
     named = enriched.withColumn("tournament_name_norm", normalize_tournament_name(F.col("tournament_name")))
-    return row_ids(first_by_key(named, [c for c in SAME_ROW if c in named.columns], order), order, "row_id")
+    return row_ids(first_by_key(named, [c for c in SAME_ROW if c in named.columns], ["match_date", *rest]), "match_date", rest)
 
 
 def players_without_rating(enriched: DataFrame, columns: Sequence[str]) -> DataFrame:

@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.ratings import clip_prob, logistic10
@@ -26,6 +27,74 @@ def dev_valid_split(df: DataFrame, share: float = 0.8, date: str = "match_date")
     return df.join(flags, date)
 
 
+#: Scores lie in [0, 1]; ranks are summed by so many equal ranges of them, and within each range by itself.
+RANGES = 4096
+
+
+def _range(p: Column) -> Column:
+    return F.least(F.lit(RANGES - 1), F.greatest(F.lit(0), F.floor(p * RANGES))).cast("int")
+
+
+def running_by_score(df: DataFrame, by: Sequence[str], score: str, value: Column, name: str, ascending: bool = True) -> DataFrame:
+    """``name``: the sum of ``value`` over rows of the group up to the score, inclusive; no group is summed in one task.
+
+    Rows have distinct scores. Sums of whole ranges are carried over at most RANGES rows a group, the rest within a range.
+    """
+    order = lambda c: F.col(c).asc() if ascending else F.col(c).desc()
+    placed = df.withColumns({"_range": _range(F.col(score)), "_value": value})
+    whole = placed.groupBy(*by, "_range").agg(F.sum("_value").alias("_t"))
+    before = whole.withColumn("_before", F.sum("_t").over(Window.partitionBy(*by).orderBy(order("_range"))) - F.col("_t")).drop("_t")
+    within = F.sum("_value").over(Window.partitionBy(*by, "_range").orderBy(order(score)))
+    return placed.withColumn("_within", within).join(before, [*by, "_range"]).withColumn(name, F.col("_within") + F.col("_before")).drop("_range", "_value", "_within", "_before")
+
+
+def exact_quantiles(df: DataFrame, column: str, shares: Sequence[float]) -> list[float | None]:
+    """Interpolated quantiles, exact: the range that holds a rank is cut into 2048 again and again until its values are few.
+
+    Memory and what comes to the driver are bounded (at most 2048 counts or 20 000 distinct values a step), whatever the rows.
+    """
+    x = df.select(F.col(column).cast("double").alias("x")).where("x is not null and not isnan(x)").persist()
+    try:
+        return _quantiles(x, shares)
+    finally:
+        x.unpersist()
+
+
+def _quantiles(x: DataFrame, shares: Sequence[float]) -> list[float | None]:
+    n, low, high = x.agg(F.count("*"), F.min("x"), F.max("x")).first()
+    if not n:
+        return [None] * len(shares)
+    wanted = {r for q in shares for r in (math.floor(q * (n - 1)), math.ceil(q * (n - 1)))}
+
+    def at(ranks: set[int], a: float, b: float, skipped: int, count: int) -> dict[int, float]:
+        """Values of ranks, of the rows in [a, b], of which ``skipped`` rows lie before."""
+        if a == b:
+            return dict.fromkeys(ranks, a)
+        inside = x.where((F.col("x") >= a) & (F.col("x") <= b))
+        width = (b - a) / 2048
+        if count <= 20_000 or not a + width > a:
+            rows = inside.groupBy("x").count().orderBy("x").collect()
+        else:
+            part = F.least(F.lit(2047), F.floor((F.col("x") - a) / F.lit(width))).cast("int")
+            rows = inside.groupBy(part.alias("k")).agg(F.count("*"), F.min("x"), F.max("x")).orderBy("k").collect()
+        found: dict[int, float] = {}
+        for r in rows:
+            c = r[1]
+            mine = {k for k in ranks if skipped <= k < skipped + c}
+            if mine:
+                found |= dict.fromkeys(mine, r[0]) if len(r) == 2 else at(mine, r[2], r[3], skipped, c)
+            skipped += c
+        return found
+
+    value = at(wanted, low, high, 0, n)
+    out = []
+    for q in shares:
+        k = q * (n - 1)
+        a, b = value[math.floor(k)], value[math.ceil(k)]
+        out.append(a + (b - a) * (k - math.floor(k)))
+    return out
+
+
 def metrics(df: DataFrame, by: Sequence[str], y: str = "y", p: str = "p") -> DataFrame:
     """n, log loss, Brier score, exact AUC (average ranks of ties) and accuracy by group; rows without y or p are left out.
 
@@ -40,8 +109,8 @@ def metrics(df: DataFrame, by: Sequence[str], y: str = "y", p: str = "p") -> Dat
         F.sum("_y").alias("_n1"),
     )
     tied = ok.groupBy(*by, "_p").agg(F.count("*").alias("c"), F.sum("_y").alias("pos"))
-    below = F.sum("c").over(Window.partitionBy(*by).orderBy("_p")) - F.col("c")
-    ranks = tied.withColumn("r", below + (F.col("c") + 1) / 2).groupBy(*by).agg(F.sum(F.col("r") * F.col("pos")).alias("_ranks"))
+    upto = running_by_score(tied, by, "_p", F.col("c"), "_upto")
+    ranks = upto.withColumn("r", F.col("_upto") - F.col("c") + (F.col("c") + 1) / 2).groupBy(*by).agg(F.sum(F.col("r") * F.col("pos")).alias("_ranks"))
     n1, n0 = F.col("_n1"), F.col("n") - F.col("_n1")
     auc = F.when((n1 > 0) & (n0 > 0), (F.col("_ranks") - n1 * (n1 + 1) / 2) / (n1 * n0))
     return base.join(ranks, list(by)).withColumn("roc_auc", auc).drop("_n1", "_ranks")
@@ -56,18 +125,18 @@ def scale_grid(df: DataFrame, diff: str, grid: Sequence[float], y: str = "y") ->
 
 def calibration_bins(df: DataFrame, y: str = "y", p: str = "p", bins: int = 8) -> DataFrame:
     """Rows, mean score and share of positives by quantile bin: the inner edges strictly below the score."""
-    edges = df.agg(F.percentile(p, F.array(*[F.lit(i / bins) for i in range(1, bins)])).alias("edges"))
-    binned = df.crossJoin(F.broadcast(edges)).withColumn("bin", F.size(F.filter("edges", lambda e: e < F.col(p))))
+    edges = [e for e in exact_quantiles(df, p, [i / bins for i in range(1, bins)]) if e is not None]
+    below = sum(((F.lit(e) < F.col(p)).cast("int") for e in edges), F.lit(0))
+    binned = df.withColumn("bin", below)
     return binned.groupBy("bin").agg(F.count("*").alias("n"), F.avg(p).alias("mean_pred"), F.avg(F.col(y).cast("double")).alias("frac_pos"))
 
 
 def roc_points(df: DataFrame, y: str = "y", p: str = "p") -> DataFrame:
     """False and true positive rates at each distinct score, highest first."""
     tied = df.groupBy(F.col(p).alias("threshold")).agg(F.sum(y).alias("pos"), F.count("*").alias("c"))
-    w = Window.orderBy(F.col("threshold").desc())
-    every = Window.partitionBy()
-    tp, fp = F.sum("pos").over(w), F.sum(F.col("c") - F.col("pos")).over(w)
-    return tied.select("threshold", (tp / F.sum("pos").over(every)).alias("tpr"), (fp / F.sum(F.col("c") - F.col("pos")).over(every)).alias("fpr"))
+    both = tied.agg(F.sum("pos").alias("_pos"), F.sum(F.col("c") - F.col("pos")).alias("_neg"))
+    sums = running_by_score(running_by_score(tied, [], "threshold", F.col("pos"), "tp", False), [], "threshold", F.col("c") - F.col("pos"), "fp", False)
+    return sums.crossJoin(F.broadcast(both)).select("threshold", (F.col("tp") / F.col("_pos")).alias("tpr"), (F.col("fp") / F.col("_neg")).alias("fpr"))
 
 
 def confusion(df: DataFrame, y: str = "y", p: str = "p") -> DataFrame:
@@ -99,7 +168,10 @@ def column_profile(df: DataFrame, columns: Sequence[str]) -> DataFrame:
 
 def medians(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """Exact interpolated medians, one row."""
-    return df.agg(*[F.percentile(F.col(c).cast("double"), 0.5).alias(c) for c in columns])
+    narrow = df.select(*columns).persist()
+    found = tuple(exact_quantiles(narrow, c, [0.5])[0] for c in columns)
+    narrow.unpersist()
+    return df.sparkSession.createDataFrame([found], ", ".join(f"`{c}` double" for c in columns))
 
 
 def impute(df: DataFrame, fill: DataFrame, columns: Sequence[str]) -> DataFrame:

@@ -77,7 +77,7 @@ def matches_dropped(spark: SparkSession, d: str) -> DataFrame:
 def match_table(spark: SparkSession, d: str) -> DataFrame:
     good, _ = N.split_valid(_raw(spark, d))
     named = good.withColumnsRenamed({"player1_raw": "player1_id", "player2_raw": "player2_id"})
-    return N.match_table(named, [F.col("match_date").asc(), F.col("match_id").asc(), F.col("copy").asc()]).select("row_id", "match_id", "copy")
+    return N.match_table(named, ["match_id", "copy"]).select("row_id", "match_id", "copy")
 
 
 @register("players_without_rating", f"with {_RATED} select distinct match_date, player1_raw, player1_id, player2_raw, player2_id from enriched where player1_points_pre is null or player2_points_pre is null")
@@ -152,7 +152,7 @@ def pair_count(spark: SparkSession, d: str) -> DataFrame:
 
 @register("row_ids", "select o_orderkey, row_number() over (order by o_orderdate, o_orderkey) - 1 as row_id from orders")
 def row_ids(spark: SparkSession, d: str) -> DataFrame:
-    return N.row_ids(table(spark, d, "orders").select("o_orderkey", "o_orderdate"), [F.col("o_orderdate").asc(), F.col("o_orderkey").asc()]).select("o_orderkey", "row_id")
+    return N.row_ids(table(spark, d, "orders").select("o_orderkey", "o_orderdate"), "o_orderdate", ["o_orderkey"]).select("o_orderkey", "row_id")
 
 
 @register(

@@ -8,7 +8,7 @@ import zipfile
 from collections.abc import Iterator
 
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..functions.dates import parse_date
@@ -69,3 +69,41 @@ def manifest(tables: dict[str, DataFrame]) -> str:
 def records_json(df: DataFrame) -> DataFrame:
     """Rows as JSON text, nulls kept."""
     return df.select(F.to_json(F.struct("*"), {"ignoreNullFields": "false"}).alias("record"))
+
+
+def write_csv(df: DataFrame, folder: str) -> None:
+    """CSV files with a header; every part is whole lines."""
+    df.write.mode("overwrite").option("header", True).csv(folder)
+
+
+def discover(spark: SparkSession, path: str, required: list[str], most: int = 65_536) -> DataFrame:
+    """Files whose first line names all ``required`` columns, newest first; only their first bytes are looked at."""
+    head = F.split(F.decode(F.substring(F.col("content"), 1, most), "UTF-8"), "\r?\n")[0]
+    names = F.transform(F.split(F.translate(head, '"\ufeff', ""), "[,;\t]"), F.trim)
+    files = spark.read.format("binaryFile").load(path)
+    fit = F.forall(F.array(*[F.lit(r) for r in required]), lambda r: F.array_contains(names, r))
+    return files.where(fit).select("path", F.col("length").alias("bytes"), "modificationTime").orderBy(F.desc("modificationTime"), "path")
+
+
+def read_saved_pages(spark: SparkSession, folder: str, archive: str) -> DataFrame:
+    """Pages of the folder, or of the archive where the folder is missing or has none."""
+    where = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(folder)
+    files = where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    if files.exists(where) and len(files.listStatus(where)):
+        return read_pages(spark, folder)
+    return read_zipped_pages(spark, archive)
+
+
+def to_do(wanted: DataFrame, done: DataFrame, keys: list[str]) -> DataFrame:
+    """What a run that goes on after a break still has to fetch: keys (dates and groups, say) that aren't done."""
+    return wanted.join(done.select(*keys).distinct(), keys, "left_anti")
+
+
+def distinct_pages(pages: DataFrame, series: list[str], number: str = "page_no", html: str = "html") -> DataFrame:
+    """Pages of a series up to the first that repeats an earlier one or has no rows: a site repeats its last page for ever."""
+    by = Window.partitionBy(*series)
+    seen = pages.withColumn("_h", F.sha2(F.coalesce(html, F.lit("")), 256))
+    first = F.min(number).over(Window.partitionBy(*series, "_h"))
+    ends = (F.col(number) > first) | (F.coalesce(F.col(html), F.lit("")) == "")
+    stop = F.min(F.when(ends, F.col(number))).over(by)
+    return seen.withColumn("_stop", stop).where(F.col("_stop").isNull() | (F.col(number) < F.col("_stop"))).drop("_h", "_stop")
