@@ -3,7 +3,9 @@
 python -m matchloom.plans.cli players --tables DIR
 python -m matchloom.plans.cli train --tables DIR --model PATH
 python -m matchloom.plans.cli predict --tables DIR --player1 A --player2 B --date 2025-01-01 [--model PATH] [--age GROUP] [--periods 12]
-python -m matchloom.plans.cli status --tables DIR
+python -m matchloom.plans.cli status --tables DIR [--write-manifest]
+python -m matchloom.plans.cli build --tables DIR [--pages DIR] [--archive ZIP] [--rankings CSV] [--skip-matches] [--skip-rankings] [--skip-dataset] [--skip-training] [--check-only]
+python -m matchloom.plans.cli bootstrap --source CSV --output DIR
 
 DIR is a workbook folder with the tables ``players`` (player_id, full_name), ``matches`` and ``ratings``; only training and
 forecasts by a model need the last. Without ``--model`` there is no forecast, only the history of both players.
@@ -26,6 +28,7 @@ from ..operators import models as M
 from ..operators import serve as S
 from ..operators.assemble import long_features
 from ..sources.tables import manifest, read_sheet, records_json
+from .build import STEPS, bootstrap, build
 
 
 def _records(df: DataFrame) -> list:
@@ -87,6 +90,8 @@ def main(argv: list[str] | None = None) -> int:
     for name in ("players", "train", "predict", "status"):
         c = commands.add_parser(name)
         c.add_argument("--tables", required=True)
+        if name == "status":
+            c.add_argument("--write-manifest", action="store_true")
         if name == "train":
             c.add_argument("--model", required=True)
         if name == "predict":
@@ -95,6 +100,16 @@ def main(argv: list[str] | None = None) -> int:
             c.add_argument("--model")
             c.add_argument("--age")
             c.add_argument("--periods", type=int, default=12)
+    c = commands.add_parser("build")
+    c.add_argument("--tables", required=True)
+    for option in ("--pages", "--archive", "--rankings"):
+        c.add_argument(option)
+    for step in STEPS:
+        c.add_argument(f"--skip-{step}", action="store_true")
+    c.add_argument("--check-only", action="store_true")
+    c = commands.add_parser("bootstrap")
+    c.add_argument("--source", required=True)
+    c.add_argument("--output", required=True)
     a = parser.parse_args(argv)
     spark = SparkSession.builder.appName("matchloom").getOrCreate()
     if a.command == "players":
@@ -103,8 +118,14 @@ def main(argv: list[str] | None = None) -> int:
         out = train(spark, a.tables, a.model)
     elif a.command == "predict":
         out = predict(spark, a.tables, a.player1, a.player2, a.date, a.model, a.age, a.periods)
+    elif a.command == "build":
+        out = build(spark, a.tables, a.pages, a.rankings, tuple(x for x in STEPS if getattr(a, f"skip_{x}")), a.check_only, a.archive)
+    elif a.command == "bootstrap":
+        out = {"master": bootstrap(spark, a.source, a.output)}
     else:
         out = json.loads(manifest({t: read_sheet(spark, a.tables, t) for t in ("players", "matches")}))
+        if a.write_manifest:
+            spark.createDataFrame([(json.dumps(out, ensure_ascii=False),)], "value string").coalesce(1).write.mode("overwrite").text(f"{a.tables}/manifest")
     json.dump(out, sys.stdout, ensure_ascii=False)
     return 0
 

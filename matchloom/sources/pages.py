@@ -11,7 +11,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.text import HEADERS, header_column, strip_html, tour_id, value_after_label
+from ..functions.text import HEADERS, header_column, strip_html, tour_id, tournament_metadata, value_after_label
 
 
 def anchors(pages: DataFrame, page_id: str = "page_id", html: str = "html") -> DataFrame:
@@ -216,3 +216,11 @@ def page_matches(pages: DataFrame, page_id: str = "page_id") -> DataFrame:
 
     kind = dict(pages.dtypes)[page_id]
     return pages.select(F.col(page_id).alias("page_id"), "html").mapInArrow(run, f"page_id {kind}, " + ", ".join(f"{f} string" for f in FIELDS))
+
+
+def page_metadata(pages: DataFrame, page_id: str = "page_id") -> DataFrame:
+    """The tournament of each page: name, place, age group, category, first day, and its id by the page's name."""
+    text = F.regexp_replace(F.regexp_replace("html", r"(?is)<(script|style)\b.*?</\1>", "\n"), r"<[^>]+>", "\n")
+    lines = F.filter(F.transform(F.split(text, "\n"), strip_html), lambda x: x != "")
+    found = tournament_metadata(F.col("_lines"))
+    return pages.withColumn("_lines", lines).select(F.col(page_id).alias("page_id"), tour_id(F.col(page_id).cast("string")).alias("tour_id"), *[c.alias(n) for n, c in found.items()])
