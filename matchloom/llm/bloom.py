@@ -90,5 +90,12 @@ def marked(df: DataFrame, column: str, bits: np.ndarray, name: str) -> DataFrame
 
 
 def filtered(df: DataFrame, column: str, bits: np.ndarray) -> DataFrame:
-    """Rows of ``df`` whose bigint ``column`` may be in the filter; ``df`` has no column ``_may``."""
-    return marked(df, column, bits, "_may").where("_may").drop("_may")
+    """Rows of ``df`` whose bigint ``column`` may be in the filter."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            ids = batch.column(batch.schema.names.index(column)).cast(pa.int64())
+            got = contains(bits, pa.compute.fill_null(ids, 0).to_numpy(zero_copy_only=False)) & ids.is_valid().to_numpy(zero_copy_only=False)
+            yield batch.filter(pa.array(got))
+
+    return df.mapInArrow(trimmed(run), df.schema)

@@ -8,12 +8,12 @@ a Jaccard of 0.8 is missed with a probability of about 0.002, one at 0.15 is a c
 band form candidate blocks, found with a combined exchange; each block is verified by exact Jaccard and the links
 go to distributed union-find. One line a component stays: the first by doc_id, then by place.
 
-Lines without a word stay as they are. Keeping is decided by (doc_id, line number), so no join is by
-line and a line that a third of all documents have costs one row a batch.
+Lines without a word stay as they are. Only lines that repeat or share a band travel further than the key exchange, by a filter of
+bounded size and an exact join; a line that a third of all documents have costs one row a batch in that exchange.
 
 Edge cases: a null text stays null, an empty one empty; null ids are carried and keep all their
-lines, which count nowhere; rows with an equal doc_id count as one document: a line that stays, stays
-in each; of equal lines the first by (doc_id, line) stays; extra columns are kept by the caller's ``keep``, and an
+lines, which count nowhere; repeated rows keep the same lines, and rows of one doc_id with different texts each lose
+their own: a line goes by document, number and content; of equal lines the first by (doc_id, line) stays; extra columns are kept by the caller's ``keep``, and an
 output column whose name one of them has gets underscores; an empty table gives an empty result.
 """
 
@@ -23,6 +23,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -41,6 +42,9 @@ _EMPTY = U(np.iinfo(np.uint64).max)
 #: Of each bin, the order in which others are asked when it is empty; and the place of each in that order.
 _ORDER = np.stack([np.random.Generator(np.random.PCG64(77 + b)).permutation(BINS) for b in range(BINS)])
 _PLACE = np.argsort(_ORDER, 1).astype(np.int16)
+_ASKED = np.ascontiguousarray(_ORDER.T)
+#: A line with fewer full bins takes the first of them by their places instead of asking bin after bin.
+FEW = 16
 #: Whitespace that a text in normal form doesn't have.
 _ODD = (b"  ", b"\t", b"\r", b"\x0b", b"\x0c", b" \n", b"\n ")
 
@@ -105,25 +109,28 @@ def signatures(codes: np.ndarray, at: np.ndarray) -> np.ndarray:
     sig = low.reshape(lines, BINS)
     full = sig != _EMPTY
     count = full.sum(1)
-    few = np.flatnonzero((count > 0) & (count < 12))
-    out = sig.copy()
+    out = low.copy()
+    few = np.flatnonzero((count > 0) & (count < FEW))
     for m in np.unique(count[few]):
         rows = few[count[few] == m]
         bins = np.nonzero(full[rows])[1].reshape(-1, m)
-        for i in range(0, len(rows), 4096):
-            some = bins[i : i + 4096]
+        for i in range(0, len(rows), 1024):
+            some = bins[i : i + 1024]
             best = _PLACE[:, some].argmin(2).T  # of each row and bin, which of its full bins comes first
-            out[rows[i : i + 4096]] = np.take_along_axis(sig[rows[i : i + 4096]], np.take_along_axis(some, best, 1), 1)
-    row, bin_ = np.nonzero(~full & (count >= 12)[:, None])
+            own = sig[rows[i : i + 1024]]
+            out.reshape(lines, BINS)[rows[i : i + 1024]] = np.where(own != _EMPTY, own, np.take_along_axis(own, np.take_along_axis(some, best, 1), 1))
+    full[count < FEW] = True
+    cell = np.flatnonzero(~full.ravel())
+    bin_ = cell & (BINS - 1)
     step = 0
-    while len(row):
-        source = _ORDER[bin_, step]
-        value = sig[row, source]
+    while len(cell):
+        value = low.take(cell - bin_ + _ASKED[step].take(bin_))
         hit = value != _EMPTY
-        out[row[hit], bin_[hit]] = value[hit]
-        row, bin_ = row[~hit], bin_[~hit]
+        out[cell[hit]] = value[hit]
+        left = ~hit
+        cell, bin_ = cell[left], bin_[left]
         step += 1
-    return out
+    return out.reshape(lines, BINS)
 
 
 def band_keys(codes: np.ndarray, at: np.ndarray) -> np.ndarray:
@@ -133,7 +140,7 @@ def band_keys(codes: np.ndarray, at: np.ndarray) -> np.ndarray:
         key = np.broadcast_to(np.arange(1, BANDS + 1, dtype=U), bands.shape[:2]).copy()
         for j in range(ROWS):
             key = mix(key * U(0x9FB21C651E98DF25) + bands[:, :, j])
-    return key
+    return (key & ~U(31)) | np.arange(BANDS, dtype=U)  # the last bits say which band it is
 
 
 def _chunks(batch: pa.RecordBatch) -> Iterator[tuple[int, int, np.ndarray, np.ndarray, np.ndarray, np.ndarray]]:
@@ -165,24 +172,35 @@ def _lines(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             yield pa.RecordBatch.from_arrays([ids.take(pa.array(row + i)), pa.array(number.astype(np.int32)), pa.array(lid), pa.array(n), pa.array(bands, pa.binary())], ["doc_id", "line", "lid", "n", "bands"])
 
 
-def _gather(keys: np.ndarray, ids: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """Distinct keys with their smallest id, and links (id, smallest id of its key)."""
-    order = np.lexsort((ids, keys))
+def _groups_of(keys: np.ndarray, ids: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Keys in order with their ids, where each key begins, its smallest id, and the id's group."""
+    order = np.argsort(keys)
     keys, ids = keys[order], ids[order]
-    new = np.empty(len(keys), bool)
-    new[:1] = True
-    new[1:] = keys[1:] != keys[:-1]
-    low = ids[new][np.cumsum(new) - 1]
-    apart = ids != low
-    links = np.unique(np.stack([ids[apart], low[apart]], 1), axis=0) if apart.any() else np.zeros((0, 2), np.int64)
-    return keys[new], ids[new], links[:, 0], links[:, 1]
+    first = np.flatnonzero(np.concatenate([[True], keys[1:] != keys[:-1]]))
+    low = np.minimum.reduceat(ids, first)
+    return keys, ids, first, low, np.repeat(np.arange(len(first)), np.diff(np.append(first, len(keys))))
+
+
+def _links(ids: np.ndarray, low: np.ndarray, group: np.ndarray) -> np.ndarray:
+    """Distinct (id, smallest id of its key)."""
+    apart = ids != low[group]
+    return np.unique(np.stack([ids[apart], low[group[apart]]], 1), axis=0) if apart.any() else np.zeros((0, 2), np.int64)
+
+
+def _repeated(keys: np.ndarray, ids: np.ndarray, group: np.ndarray) -> np.ndarray:
+    """Ids that a key of the first band has twice: lines that repeat."""
+    own = np.flatnonzero((keys & U(31)) == 0)
+    pair = np.stack([group[own], ids[own]], 1)
+    found, count = np.unique(pair, axis=0, return_counts=True) if len(own) else (pair, np.zeros(0, np.int64))
+    return found[count > 1, 1]
 
 
 def _key_links(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Links between the lines of a key; a line that repeats is linked with itself."""
     keys, ids = [], []
 
-    def out(a: np.ndarray, b: np.ndarray) -> pa.RecordBatch:
-        return pa.RecordBatch.from_arrays([pa.array(a), pa.array(b)], ["a", "b"])
+    def out(pairs: np.ndarray) -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays([pa.array(pairs[:, 0].copy()), pa.array(pairs[:, 1].copy())], ["a", "b"])
 
     for batch in batches:
         for x, y in zip(batch.column("keys"), batch.column("ids"), strict=True):
@@ -190,27 +208,37 @@ def _key_links(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 keys.append(np.frombuffer(x.as_py(), U))
                 ids.append(np.frombuffer(y.as_py(), np.int64))
             else:
-                pairs = np.frombuffer(y.as_py(), np.int64).reshape(-1, 2)
-                yield out(pairs[:, 0].copy(), pairs[:, 1].copy())
+                yield out(np.frombuffer(y.as_py(), np.int64).reshape(-1, 2))
     if keys:
-        _, _, a, b = _gather(np.concatenate(keys), np.concatenate(ids))
-        if len(a):
-            yield out(a, b)
+        key, line, first, low, group = _groups_of(np.concatenate(keys), np.concatenate(ids))
+        many = np.diff(np.append(first, len(key)))[group] > 1
+        twice = _repeated(key[many], line[many], group[many])
+        pairs = np.concatenate([_links(line, low, group), np.stack([twice, twice], 1)])
+        if len(pairs):
+            yield out(pairs)
 
 
 def _band_blobs(parts: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            lid, first = np.unique(batch.column("lid").to_numpy(), return_index=True)
-            if not len(lid):
+            every = batch.column("lid").to_numpy(zero_copy_only=False)
+            if not len(every):
                 continue
-            keys = np.frombuffer(b"".join(batch.column("bands").take(pa.array(first)).to_pylist()), U)
-            keys, ids, a, b = _gather(keys, np.repeat(lid, BANDS))
-            part = ((keys >> U(32)) * U(parts) >> U(32)).astype(np.int64)
-            edge = np.searchsorted(part, np.arange(parts + 1))
-            blobs = [(int(p), keys[edge[p] : edge[p + 1]].tobytes(), ids[edge[p] : edge[p + 1]].tobytes()) for p in np.flatnonzero(edge[1:] > edge[:-1])]
-            if len(a):
-                blobs.append((int(a[0]) % parts, b"", np.stack([a, b], 1).tobytes()))
+            have = np.flatnonzero(batch.column("bands").is_valid().to_numpy(zero_copy_only=False))
+            names, count = np.unique(every, return_counts=True)
+            lid, first = np.unique(every[have], return_index=True)
+            # a line without band keys repeats one of its chunk
+            twice = np.union1d(names[count > 1], np.setdiff1d(names, lid, assume_unique=True))
+            pairs, blobs = np.stack([twice, twice], 1), []
+            if len(lid):
+                keys, ids, start, low, group = _groups_of(np.frombuffer(b"".join(batch.column("bands").take(pa.array(have[first])).to_pylist()), U), np.repeat(lid, BANDS))
+                pairs = np.concatenate([pairs, _links(ids, low, group)])
+                keys = keys[start]
+                part = ((keys >> U(32)) * U(parts) >> U(32)).astype(np.int64)
+                edge = np.searchsorted(part, np.arange(parts + 1))
+                blobs = [(int(p), keys[edge[p] : edge[p + 1]].tobytes(), low[edge[p] : edge[p + 1]].tobytes()) for p in np.flatnonzero(edge[1:] > edge[:-1])]
+            if len(pairs):
+                blobs.append((int(pairs[0, 0]) % parts, b"", pairs.tobytes()))
             p, x, y = zip(*blobs, strict=True)
             yield pa.RecordBatch.from_arrays([pa.array(p, pa.int32()), pa.array(x, pa.binary()), pa.array(y, pa.binary())], ["part", "keys", "ids"])
 
@@ -219,8 +247,9 @@ def _band_blobs(parts: int):
 
 def shingles_of(line: bytes) -> np.ndarray:
     """Distinct shingles of a line in normal form, sorted."""
-    codes, _ = line_shingles(np.frombuffer(line, np.uint8), np.array([0, len(line)]))
-    return np.unique(codes)
+    line = line.ljust(SHINGLE, b"\0")
+    codes = np.sort(mix(np.ndarray((len(line) - SHINGLE + 1,), "<u8", line, 0, (1,)).astype(U)))
+    return codes[np.concatenate([[True], codes[1:] != codes[:-1]])]
 
 
 def _wanted_lines(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -248,52 +277,82 @@ def all_lines(df: DataFrame) -> DataFrame:
     return materialise(docs.mapInArrow(trimmed(_lines), LINE_SCHEMA))
 
 
-def line_winners(df: DataFrame, num: int = 80, den: int = 100, block_shingles: int = 1_000_000, lines: DataFrame | None = None) -> DataFrame:
-    """(doc_id, line) of the one line that stays of each component, over ``df`` (doc_id, text)."""
+def lost_lines(df: DataFrame, num: int = 80, den: int = 100, block_shingles: int = 1_000_000) -> DataFrame:
+    """(doc_id, line, lid) of all lines that go, over ``df`` (doc_id, text)."""
     with scope():
         docs = df.select(F.col("doc_id").cast("long").alias("doc_id"), "text").where("doc_id is not null and text is not null")
-        lines = all_lines(df) if lines is None else lines
-        # (doc_id, line) minima are taken in two steps, so that the first is a plain hash aggregation
-        holders = materialise(lines.groupBy("lid", "doc_id").agg(F.min("line").alias("line"), F.min("n").alias("n")).groupBy("lid").agg(F.min(F.struct("doc_id", "line")).alias("at"), F.min("n").alias("n")))
-        banded = lines.where("bands is not null")
-        parts = max(shuffle_partitions(df.sparkSession), -(-banded.count() * BANDS // TASK_KEYS))
-        blobs = banded.select("lid", "bands").mapInArrow(trimmed(_band_blobs(parts)), "part int, keys binary, ids binary")
+        lines = all_lines(df)
+        parts = max(shuffle_partitions(df.sparkSession), -(-lines.where("bands is not null").count() * BANDS // TASK_KEYS))
+        blobs = lines.select("lid", "bands").mapInArrow(trimmed(_band_blobs(parts)), "part int, keys binary, ids binary")
         links = blobs.repartition(parts, "part").mapInArrow(trimmed(_key_links), "a bigint, b bigint")
+        # lines that repeat or share a band; all others stay and go no further
         blocks = connected_components(links).select(F.col("node").alias("lid"), F.col("label").alias("block"))
-        placed = holders.join(blocks, "lid")
-        chunks = placed.groupBy("block").agg(F.ceil(F.sum("n") / F.lit(block_shingles)).alias("chunks"))
-        placed = placed.join(chunks, "block").withColumn("chunk", F.pmod(F.xxhash64("lid"), F.col("chunks")).cast("int"))
+        some = bloom.filtered(lines.select("doc_id", "line", "lid", "n"), "lid", bloom.build(blocks.select("lid")))
+        some = materialise(some.join(blocks, "lid"))
+        first = materialise(some.groupBy("lid", "block").agg(F.min(F.struct("doc_id", "line")).alias("at"), F.min("n").alias("n")))
+        chunks = materialise(first.groupBy("block").agg(F.ceil(F.sum("n") / F.lit(block_shingles)).alias("chunks"), F.count("*").alias("lines")).where("lines > 1").drop("lines"))
+        placed = first.join(chunks, "block").withColumn("chunk", F.pmod(F.xxhash64("lid"), F.col("chunks")).cast("int"))
         # the lines themselves come from the one document that holds each, by its line number
         wanted = materialise(placed.groupBy("at.doc_id").agg(F.collect_list(F.struct(F.col("at.line").alias("line"), F.col("lid").alias("sid"), "block", "chunk")).alias("want")))
         texts = bloom.filtered(docs, "doc_id", bloom.build(wanted.select("doc_id"))).join(wanted, "doc_id")
         sets = materialise(texts.select("text", "want").mapInArrow(trimmed(_wanted_lines), "sid bigint, block bigint, chunk int, n bigint, set binary"))
-        near = verified_links(sets, materialise(chunks.where("chunks > 1")), num, den, shingles_of, block_shingles)
+        near = verified_links(sets, chunks.where("chunks > 1"), num, den, shingles_of, block_shingles)
         found = connected_components(near).select(F.col("node").alias("lid"), "label")
-        rooted = holders.join(found, "lid", "left").withColumn("label", F.coalesce("label", "lid"))
-        first = rooted.groupBy("label").agg(F.min("at").alias("at"))
-        return materialise(first.select("at.doc_id", "at.line"), outer=True)
+        rooted = materialise(first.join(found, "lid", "left").select("lid", "at", F.coalesce("label", "lid").alias("label")))
+        stays = rooted.groupBy("label").agg(F.min("at").alias("stays"))
+        known = rooted.join(stays, "label").select("lid", "stays")
+        return materialise(some.join(known, "lid").where("doc_id <> stays.doc_id or line <> stays.line").select("doc_id", "line", "lid").distinct(), outer=True)
+
+
+def line_winners(df: DataFrame, num: int = 80, den: int = 100, block_shingles: int = 1_000_000) -> DataFrame:
+    """(doc_id, line) of the one line that stays of each component, over ``df`` (doc_id, text)."""
+    return all_lines(df).select("doc_id", "line", "lid").distinct().join(lost_lines(df, num, den, block_shingles), ["doc_id", "line", "lid"], "left_anti").select("doc_id", "line").distinct()
+
+
+_BLANK = " \t\n\x0b\x0c\r"
 
 
-def _keep_lines(names: list[str], text: str, wins: str, free: str, added: list[str]):
-    blank = " \t\n\x0b\x0c\r"
+def _counted(text: str | None) -> int:
+    """Lines with a word."""
+    return sum(1 for x in text.split("\n") if x.strip(_BLANK)) if text else 0
+
+
+def _unlike(names: list[str], added: list[str], bits: np.ndarray):
+    """Rows whose document loses no line, by the filter."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            ids = batch.column("doc_id").cast(pa.int64())
+            maybe = bloom.contains(bits, pc.fill_null(ids, 0).to_numpy(zero_copy_only=False)) & ids.is_valid().to_numpy(zero_copy_only=False)
+            part = batch.filter(pa.array(~maybe))
+            n = pa.array([_counted(t) for t in part.column("text").to_pylist()], pa.int64())
+            yield pa.RecordBatch.from_arrays([*(part.column(c) for c in names), n, n], [*names, *added])
+
+    return run
+
+
+def _without_lost(names: list[str], lost: str, added: list[str]):
+    """Rows without the lines that ``lost`` names, where the line's id is the named one."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             new, had, kept = [], [], []
-            for t, w, whole in zip(batch.column(text).to_pylist(), batch.column(wins).to_pylist(), batch.column(free).to_pylist(), strict=True):
-                if t is None:
-                    new.append(None)
-                    had.append(0)
-                    kept.append(0)
+            for t, gone in zip(batch.column("text").to_pylist(), batch.column(lost).to_pylist(), strict=True):
+                had.append(_counted(t))
+                if t is None or not gone:
+                    new.append(t)
+                    kept.append(had[-1])
                     continue
                 lines = t.split("\n")
-                some = [bool(x.strip(blank)) for x in lines]
-                stay = {*(w or ())}
-                out = lines if whole else [x for i, x in enumerate(lines) if not some[i] or i in stay]
-                new.append(t if len(out) == len(lines) else "\n".join(out))
-                had.append(sum(some))
-                kept.append(sum(some) if whole else sum(1 for i in stay if i < len(some) and some[i]))
-            cols = [batch.column(c) if c != text else pa.array(new, pa.string()) for c in names]
+                some = [(w["line"], w["lid"], b" ".join(lines[w["line"]].encode().lower().split())) for w in gone if w["line"] < len(lines)]
+                some = [x for x in some if x[2]]
+                at = np.zeros(len(some) + 1, np.int64)
+                np.cumsum([len(x) for *_, x in some], out=at[1:])
+                own = line_ids(*line_shingles(np.frombuffer(b"".join(x for *_, x in some), np.uint8), at)).tolist() if some else []
+                out = {i for (i, lid, _), x in zip(some, own, strict=True) if lid == x}
+                new.append("\n".join(x for i, x in enumerate(lines) if i not in out))
+                kept.append(had[-1] - len(out))
+            cols = [batch.column(c) if c != "text" else pa.array(new, pa.string()) for c in names]
             yield pa.RecordBatch.from_arrays([*cols, pa.array(had, pa.int64()), pa.array(kept, pa.int64())], [*names, *added])
 
     return run
@@ -301,19 +360,15 @@ def _keep_lines(names: list[str], text: str, wins: str, free: str, added: list[s
 
 def dedup_lines(df: DataFrame, keep: list[str], num: int = 80, den: int = 100) -> DataFrame:
     """``keep`` columns (doc_id and text among them) with the text's repeated lines gone; n_lines and n_kept_lines, of lines with a word."""
+    own, lost = (fresh(df.columns, x) for x in ("_id", "_lost"))
     with scope():
-        lines = all_lines(df)
-        winners = line_winners(df, num, den, lines=lines)
-        counted = lines.select("doc_id", "line")
-        # documents that lose a line: the others keep their text and needn't meet the winners
-        both = counted.withColumn("w", F.lit(0)).unionByName(winners.withColumn("w", F.lit(1))).groupBy("doc_id", "line").agg(F.max("w").alias("w"))
-        changed = both.groupBy("doc_id").agg(F.min("w").alias("all"), F.collect_list(F.when(F.col("w") == 1, F.col("line"))).alias("wins")).where("all = 0")
-        own, wins, maybe, free = (fresh(df.columns, x) for x in ("_id", "_wins", "_maybe", "_free"))
-        changed = materialise(changed.select(F.col("doc_id").alias(own), F.col("wins").alias(wins)), outer=True)
+        gone = lost_lines(df, num, den).groupBy("doc_id").agg(F.collect_list(F.struct("line", "lid")).alias(lost))
+        changed = materialise(gone.withColumnRenamed("doc_id", own), outer=True)
     added = [fresh(keep, "n_lines"), fresh(keep, "n_kept_lines")]
     kinds = dict(df.dtypes)
-    split = bloom.marked(df.select(*keep), "doc_id", bloom.build(changed.select(own)), maybe)
-    joined = split.where(F.col(maybe)).join(changed, F.col("doc_id") == F.col(own), "left").withColumn(free, F.col(own).isNull()).drop(own, maybe)
-    whole = split.where(~F.col(maybe)).drop(maybe).withColumns({wins: F.lit(None).cast("array<int>"), free: F.lit(True)})
     schema = ", ".join([*(f"`{c}` {kinds[c]}" for c in keep), *(f"`{c}` bigint" for c in added)])
-    return joined.unionByName(whole).mapInArrow(trimmed(_keep_lines(keep, "text", wins, free, added)), schema)
+    bits = bloom.build(changed.select(own))
+    # documents that lose no line keep their text and needn't meet the others' lines
+    same = df.select(*keep).mapInArrow(trimmed(_unlike(keep, added, bits)), schema)
+    met = bloom.filtered(df.select(*keep), "doc_id", bits).join(changed, F.col("doc_id") == F.col(own), "left")
+    return same.unionByName(met.select(*keep, lost).mapInArrow(trimmed(_without_lost(keep, lost, added)), schema))

@@ -54,6 +54,19 @@ def test_bands_find_like_lines_and_leave_unlike_ones():
     assert hit(unlike) <= 2e-3
 
 
+def test_signatures_equal_a_plain_version():
+    rng = np.random.default_rng(1)
+    n = np.array([1, 2, 5, 15, 16, 17, 18, 40, 300, 3000])
+    at = np.concatenate([[0], np.cumsum(n)])
+    codes = rng.integers(0, 2**64, at[-1], dtype=np.uint64)
+    for i, got in enumerate(line_dedup.signatures(codes, at)):
+        low = {}
+        for c in codes[at[i] : at[i + 1]].tolist():
+            low[c >> 57] = min(low.get(c >> 57, 2**64), (c << 7) % 2**64)
+        asked = [[b, *line_dedup._ORDER[b].tolist()] for b in range(128)]
+        assert got.tolist() == [low[next(x for x in order if x in low)] for order in asked]
+
+
 def test_normal_lines_of_odd_white_space():
     text = "  A  b\tC\r\n\n x\x0b y \n\x0c\nlast "
     raw = np.frombuffer((text + "plain line\nof two").encode(), np.uint8)
