@@ -13,7 +13,7 @@ bounded size and an exact join; a line that a third of all documents have costs
 
 Edge cases: a null text stays null, an empty one empty; null ids are carried and keep all their
 lines, which count nowhere; repeated rows keep the same lines, and rows of one doc_id with different texts each lose
-their own: a line goes by document, number and content; of equal lines the first by (doc_id, line) stays; extra columns are kept by the caller's ``keep``, and an
+their own: a text is known by id and hash; of equal lines the first by (doc_id, line) stays; extra columns are kept by the caller's ``keep``, and an
 output column whose name one of them has gets underscores; an empty table gives an empty result.
 """
 
@@ -151,14 +151,14 @@ def _chunks(batch: pa.RecordBatch) -> Iterator[tuple[int, int, np.ndarray, np.nd
             yield i, j, *line_shingles(text, at), row, number
 
 
-LINE_SCHEMA = "doc_id bigint, line int, lid bigint, n bigint, bands binary"
+LINE_SCHEMA = "doc_id bigint, tid bigint, line int, lid bigint, n bigint, bands binary"
 
 
 def _lines(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """All lines with a word; the band keys only with the first of equal lines of a chunk."""
     width = 8 * BANDS
     for batch in batches:
-        ids = batch.column("doc_id")
+        ids, tids = batch.column("doc_id"), batch.column("tid")
         for i, _, codes, at, row, number in _chunks(batch):
             lid, n = line_ids(codes, at), np.diff(at)
             first = np.sort(np.unique(lid, return_index=True)[1])
@@ -169,7 +169,8 @@ def _lines(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             bands: list[bytes | None] = [None] * len(lid)
             for x, f in enumerate(first.tolist()):
                 bands[f] = keys[x * width : (x + 1) * width]
-            yield pa.RecordBatch.from_arrays([ids.take(pa.array(row + i)), pa.array(number.astype(np.int32)), pa.array(lid), pa.array(n), pa.array(bands, pa.binary())], ["doc_id", "line", "lid", "n", "bands"])
+            where = pa.array(row + i)
+            yield pa.RecordBatch.from_arrays([ids.take(where), tids.take(where), pa.array(number.astype(np.int32)), pa.array(lid), pa.array(n), pa.array(bands, pa.binary())], ["doc_id", "tid", "line", "lid", "n", "bands"])
 
 
 def _groups_of(keys: np.ndarray, ids: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
@@ -253,60 +254,61 @@ def shingles_of(line: bytes) -> np.ndarray:
 
 
 def _wanted_lines(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(sid, block, chunk, n, line in normal form) of the lines that each row's ``want`` names, where the id is the line's."""
+    """(sid, block, chunk, n, line in normal form) of the lines that each row's ``want`` names."""
     for batch in batches:
-        got: list[tuple[int, int, int, int, bytes]] = []
-        for text, want in zip(batch.column("text"), batch.column("want"), strict=True):
-            lines = text.as_py().encode().lower().split(b"\n")
-            some = [(w, b" ".join(lines[w["line"]].split())) for w in want.as_py() if w["line"] < len(lines)]
-            some = [(w, x) for w, x in some if x]
-            if not some:
-                continue
-            at = np.zeros(len(some) + 1, np.int64)
-            np.cumsum([len(x) for _, x in some], out=at[1:])
-            codes, starts = line_shingles(np.frombuffer(b"".join(x for _, x in some), np.uint8), at)
-            got += [(w["sid"], w["block"], w["chunk"], int(n), x) for (w, x), lid, n in zip(some, line_ids(codes, starts).tolist(), np.diff(starts), strict=True) if lid == w["sid"]]
+        want = batch.column("want")
+        names = want.flatten()
+        line = names.field("line").to_numpy(zero_copy_only=False).tolist()
+        edge = np.concatenate([[0], np.cumsum(pc.list_value_length(want).to_numpy(zero_copy_only=False))]).tolist()
+        got: list[bytes] = []
+        for r, text in enumerate(batch.column("text").to_pylist()):
+            lines = text.encode().lower().split(b"\n")
+            got += [b" ".join(lines[i].split()) for i in line[edge[r] : edge[r + 1]]]
         if got:
-            kinds = (pa.int64(), pa.int64(), pa.int32(), pa.int64(), pa.binary())
-            yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*got, strict=True), kinds, strict=True)], ["sid", "block", "chunk", "n", "set"])
+            n = np.maximum(np.array([len(x) for x in got], np.int64) - SHINGLE + 1, 1)
+            yield pa.RecordBatch.from_arrays([names.field("sid"), names.field("block"), names.field("chunk"), pa.array(n), pa.array(got, pa.binary())], ["sid", "block", "chunk", "n", "set"])
+
+
+def _texts(df: DataFrame) -> DataFrame:
+    """doc_id, text and its hash ``tid`` of rows with both: a text is known by id and hash."""
+    return df.select(F.col("doc_id").cast("long").alias("doc_id"), "text", F.xxhash64("text").alias("tid")).where("doc_id is not null and text is not null")
 
 
 def all_lines(df: DataFrame) -> DataFrame:
-    """doc_id, line, lid, n, bands of all lines with a word of ``df`` (doc_id, text): one pass over the texts."""
-    docs = df.select(F.col("doc_id").cast("long").alias("doc_id"), "text").where("doc_id is not null and text is not null")
-    return materialise(docs.mapInArrow(trimmed(_lines), LINE_SCHEMA))
+    """doc_id, tid, line, lid, n, bands of all lines with a word of ``df`` (doc_id, text): one pass over the texts."""
+    return materialise(_texts(df).mapInArrow(trimmed(_lines), LINE_SCHEMA))
 
 
 def lost_lines(df: DataFrame, num: int = 80, den: int = 100, block_shingles: int = 1_000_000) -> DataFrame:
-    """(doc_id, line, lid) of all lines that go, over ``df`` (doc_id, text)."""
+    """(doc_id, tid, line) of all lines that go, over ``df`` (doc_id, text)."""
     with scope():
-        docs = df.select(F.col("doc_id").cast("long").alias("doc_id"), "text").where("doc_id is not null and text is not null")
+        docs = _texts(df)
         lines = all_lines(df)
         parts = max(shuffle_partitions(df.sparkSession), -(-lines.where("bands is not null").count() * BANDS // TASK_KEYS))
         blobs = lines.select("lid", "bands").mapInArrow(trimmed(_band_blobs(parts)), "part int, keys binary, ids binary")
         links = blobs.repartition(parts, "part").mapInArrow(trimmed(_key_links), "a bigint, b bigint")
         # lines that repeat or share a band; all others stay and go no further
         blocks = connected_components(links).select(F.col("node").alias("lid"), F.col("label").alias("block"))
-        some = bloom.filtered(lines.select("doc_id", "line", "lid", "n"), "lid", bloom.build(blocks.select("lid")))
+        some = bloom.filtered(lines.select("doc_id", "tid", "line", "lid", "n"), "lid", bloom.build(blocks.select("lid")))
         some = materialise(some.join(blocks, "lid"))
-        first = materialise(some.groupBy("lid", "block").agg(F.min(F.struct("doc_id", "line")).alias("at"), F.min("n").alias("n")))
+        first = materialise(some.groupBy("lid", "block").agg(F.min(F.struct("doc_id", "line", "tid")).alias("at"), F.min("n").alias("n")))
         chunks = materialise(first.groupBy("block").agg(F.ceil(F.sum("n") / F.lit(block_shingles)).alias("chunks"), F.count("*").alias("lines")).where("lines > 1").drop("lines"))
         placed = first.join(chunks, "block").withColumn("chunk", F.pmod(F.xxhash64("lid"), F.col("chunks")).cast("int"))
         # the lines themselves come from the one document that holds each, by its line number
-        wanted = materialise(placed.groupBy("at.doc_id").agg(F.collect_list(F.struct(F.col("at.line").alias("line"), F.col("lid").alias("sid"), "block", "chunk")).alias("want")))
-        texts = bloom.filtered(docs, "doc_id", bloom.build(wanted.select("doc_id"))).join(wanted, "doc_id")
+        wanted = materialise(placed.groupBy("at.doc_id", "at.tid").agg(F.collect_list(F.struct(F.col("at.line").alias("line"), F.col("lid").alias("sid"), "block", "chunk")).alias("want")))
+        texts = bloom.filtered(docs, "doc_id", bloom.build(wanted.select("doc_id"))).join(wanted, ["doc_id", "tid"])
         sets = materialise(texts.select("text", "want").mapInArrow(trimmed(_wanted_lines), "sid bigint, block bigint, chunk int, n bigint, set binary"))
         near = verified_links(sets, chunks.where("chunks > 1"), num, den, shingles_of, block_shingles)
         found = connected_components(near).select(F.col("node").alias("lid"), "label")
         rooted = materialise(first.join(found, "lid", "left").select("lid", "at", F.coalesce("label", "lid").alias("label")))
         stays = rooted.groupBy("label").agg(F.min("at").alias("stays"))
         known = rooted.join(stays, "label").select("lid", "stays")
-        return materialise(some.join(known, "lid").where("doc_id <> stays.doc_id or line <> stays.line").select("doc_id", "line", "lid").distinct(), outer=True)
+        return materialise(some.join(known, "lid").where("doc_id <> stays.doc_id or line <> stays.line").select("doc_id", "tid", "line").distinct(), outer=True)
 
 
 def line_winners(df: DataFrame, num: int = 80, den: int = 100, block_shingles: int = 1_000_000) -> DataFrame:
     """(doc_id, line) of the one line that stays of each component, over ``df`` (doc_id, text)."""
-    return all_lines(df).select("doc_id", "line", "lid").distinct().join(lost_lines(df, num, den, block_shingles), ["doc_id", "line", "lid"], "left_anti").select("doc_id", "line").distinct()
+    return all_lines(df).select("doc_id", "tid", "line").distinct().join(lost_lines(df, num, den, block_shingles), ["doc_id", "tid", "line"], "left_anti").select("doc_id", "line").distinct()
 
 
 _BLANK = " \t\n\x0b\x0c\r"
@@ -332,26 +334,16 @@ def _unlike(names: list[str], added: list[str], bits: np.ndarray):
 
 
 def _without_lost(names: list[str], lost: str, added: list[str]):
-    """Rows without the lines that ``lost`` names, where the line's id is the named one."""
+    """Rows without the lines that ``lost`` numbers."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             new, had, kept = [], [], []
             for t, gone in zip(batch.column("text").to_pylist(), batch.column(lost).to_pylist(), strict=True):
                 had.append(_counted(t))
-                if t is None or not gone:
-                    new.append(t)
-                    kept.append(had[-1])
-                    continue
-                lines = t.split("\n")
-                some = [(w["line"], w["lid"], b" ".join(lines[w["line"]].encode().lower().split())) for w in gone if w["line"] < len(lines)]
-                some = [x for x in some if x[2]]
-                at = np.zeros(len(some) + 1, np.int64)
-                np.cumsum([len(x) for *_, x in some], out=at[1:])
-                own = line_ids(*line_shingles(np.frombuffer(b"".join(x for *_, x in some), np.uint8), at)).tolist() if some else []
-                out = {i for (i, lid, _), x in zip(some, own, strict=True) if lid == x}
-                new.append("\n".join(x for i, x in enumerate(lines) if i not in out))
-                kept.append(had[-1] - len(out))
+                kept.append(had[-1] - len(gone or ()))
+                out = set(gone or ())
+                new.append("\n".join(x for i, x in enumerate(t.split("\n")) if i not in out) if out else t)
             cols = [batch.column(c) if c != "text" else pa.array(new, pa.string()) for c in names]
             yield pa.RecordBatch.from_arrays([*cols, pa.array(had, pa.int64()), pa.array(kept, pa.int64())], [*names, *added])
 
@@ -360,15 +352,15 @@ def _without_lost(names: list[str], lost: str, added: list[str]):
 
 def dedup_lines(df: DataFrame, keep: list[str], num: int = 80, den: int = 100) -> DataFrame:
     """``keep`` columns (doc_id and text among them) with the text's repeated lines gone; n_lines and n_kept_lines, of lines with a word."""
-    own, lost = (fresh(df.columns, x) for x in ("_id", "_lost"))
+    own, tid, lost = (fresh(df.columns, x) for x in ("_id", "_tid", "_lost"))
     with scope():
-        gone = lost_lines(df, num, den).groupBy("doc_id").agg(F.collect_list(F.struct("line", "lid")).alias(lost))
-        changed = materialise(gone.withColumnRenamed("doc_id", own), outer=True)
+        gone = lost_lines(df, num, den).groupBy("doc_id", "tid").agg(F.collect_list("line").alias(lost))
+        changed = materialise(gone.withColumnsRenamed({"doc_id": own, "tid": tid}), outer=True)
     added = [fresh(keep, "n_lines"), fresh(keep, "n_kept_lines")]
     kinds = dict(df.dtypes)
     schema = ", ".join([*(f"`{c}` {kinds[c]}" for c in keep), *(f"`{c}` bigint" for c in added)])
     bits = bloom.build(changed.select(own))
     # documents that lose no line keep their text and needn't meet the others' lines
     same = df.select(*keep).mapInArrow(trimmed(_unlike(keep, added, bits)), schema)
-    met = bloom.filtered(df.select(*keep), "doc_id", bits).join(changed, F.col("doc_id") == F.col(own), "left")
+    met = bloom.filtered(df.select(*keep), "doc_id", bits).join(changed, (F.col("doc_id") == F.col(own)) & (F.xxhash64("text") == F.col(tid)), "left")
     return same.unionByName(met.select(*keep, lost).mapInArrow(trimmed(_without_lost(keep, lost, added)), schema))
