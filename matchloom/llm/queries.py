@@ -76,6 +76,24 @@ def op10_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack(_table(spark, sf_dir, "documents"))
 
 
+def op11_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .vector_codes import vector_codes
+
+    return vector_codes(_table(spark, sf_dir, "embeddings"))
+
+
+def op12_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .warc import archived_pages
+
+    return archived_pages(_table(spark, sf_dir, "pages")).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
+def op13_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .collocations import collocations
+
+    return collocations(_table(spark, sf_dir, "documents"))
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     import corpus_pipeline
 
@@ -93,6 +111,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_quality_model": op8_quality_model,
     "op9_line_dedup": op9_line_dedup,
     "op10_best_fit_packing": op10_best_fit_packing,
+    "op11_vector_codes": op11_vector_codes,
+    "op12_warc": op12_warc,
+    "op13_collocations": op13_collocations,
     "pipeline": pipeline,
 }
 
@@ -135,6 +156,25 @@ _SPACE = r"\x20\x09-\x0D"
 _WORDS = f"regexp_extract_all(coalesce(text, ''), '[^{_SPACE}]+')"
 _LOWER = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 
+
+def _vector_codes_sql(rounds: int = 4) -> str:
+    """Every distance of every round, and means as floors of exact sums."""
+    steps = [
+        "k as (select vec_id, label, [cast(floor(1024 * cast(x as double)) as bigint) for x in embedding] as v from embeddings where embedding is not null and len(list_filter(embedding, lambda x: x is null or not isfinite(x))) = 0)",
+        "x as materialized (select vec_id, label, p, d, v[p * (len(v) // 4) + d] as x from k, unnest([0, 1, 2, 3]) a(p), unnest(generate_series(1, len(v) // 4)) b(d))",
+        "c0 as materialized (select p, e, d, x as y from x join (select vec_id, row_number() over (order by vec_id) - 1 as e from k) using (vec_id) where e < 256)",
+    ]
+    for r in range(rounds + 1):
+        near = f"select vec_id, x.p as p, e, sum((x - y) * (x - y)) as q from x join c{r} c on c.p = x.p and c.d = x.d group by 1, 2, 3"
+        steps.append(f"a{r} as materialized (select vec_id, p, e, q from ({near}) qualify row_number() over (partition by vec_id, p order by q, e) = 1)")
+        if r < rounds:
+            mean = f"select x.p as p, e, d, (sum(x) - ((sum(x) % count(*)) + count(*)) % count(*)) // count(*) as m from x join a{r} a on a.vec_id = x.vec_id and a.p = x.p group by 1, 2, 3"
+            steps.append(f"c{r + 1} as materialized (select c.p, c.e, c.d, coalesce(cast(m as bigint), y) as y from c{r} c left join ({mean}) u on u.p = c.p and u.e = c.e and u.d = c.d)")
+    steps.append(f"h as (select sha256(string_agg(cast(y as varchar), ',' order by p, e, d)) as h from c{rounds})")
+    steps.append(f"z as (select vec_id, string_agg(lpad(lower(to_hex(e)), 2, '0'), '' order by p) as code, cast(sum(q) as bigint) as error from a{rounds} group by 1)")
+    return "with " + ", ".join(steps) + " select z.vec_id, code, error, cast(sum(error) over (partition by label) as bigint) as label_error, h as codebooks_sha256 from z join k using (vec_id), h"
+
+
 ORACLE_SQL: dict[str, str] = {
     # sets of three-word shingles, all pairs that share one, components by reachability
     "op2_ngram_jaccard": f"""with recursive w as (select doc_id, regexp_extract_all({_LOWER}, '[^{_SPACE}]+') as w from documents),
@@ -163,4 +203,21 @@ ORACLE_SQL: dict[str, str] = {
  select source, tokens, round(p, 6) as share, round(w, 6) as weight, round(w * budget / tokens, 6) as reps, cast(floor(w * budget / tokens + 1e-9) as int) as whole from b""",
     "llm_packing_totals": f"""with d as (select doc_id, source, cast(len({_WORDS}) as bigint) as n from documents)
  select source, count(distinct doc_id) as documents, cast(sum(greatest(1, ceil(n / 2048.0))) as bigint) as pieces, cast(sum(n) as bigint) as tokens, true as fits from d group by 1""",
+    "op11_vector_codes": _vector_codes_sql(),
+    "op12_warc": """with p as (select page_id, encode(coalesce(html, '')) as b from pages), d as (select page_id, octet_length(b) as n, sha256(b) as h from p),
+ r as (select *, row_number() over (partition by h order by page_id) as i, min(page_id) over (partition by h) as f from d)
+ select page_id, cast(n as bigint) as payload_bytes, h as payload_digest, case when n >= 100 and i > 1 then 'revisit' else 'response' end as record_type, case when n >= 100 and i > 1 then f end as refers_to from r""",
+    # n-grams, cuts, containing triples
+    "op13_collocations": f"""with p as (select coalesce(lang, 'und') as lang, unnest(regexp_split_to_array({_LOWER}, '[.,;:!?\\x0A-\\x0D]')) as p from documents),
+ w as (select lang, regexp_extract_all(p, '[^\\x20\\x09]+') as w from p),
+ g as (select lang, 1 as z, unnest(w) as g from w union all select lang, 2, unnest([array_to_string(w[i:i + 1], ' ') for i in generate_series(1, len(w) - 1)]) from w
+  union all select lang, 3, unnest([array_to_string(w[i:i + 2], ' ') for i in generate_series(1, len(w) - 2)]) from w),
+ f as materialized (select lang, z, g, count(*) as f from g group by all), n as (select lang, sum(f) as n from f where z = 1 group by 1),
+ c as (select lang, z, g, f as a, string_split(g, ' ') as w from f where z > 1 and f >= 10),
+ k as (select c.*, k, array_to_string(w[1:k], ' ') as x, array_to_string(w[k + 1:], ' ') as y from c, unnest([1, 2]) t(k) where k < z),
+ s as (select k.lang, k.g, k.a, k.k, x.f as l, y.f as r, (1000000::hugeint * k.a * k.a) // (x.f::hugeint * y.f) as score from k join f x on x.lang = k.lang and x.g = k.x and x.z = k.k join f y on y.lang = k.lang and y.g = k.y and y.z = k.z - k.k),
+ m as (select * from s qualify row_number() over (partition by lang, g order by score, k) = 1),
+ b as (select lang, g, max(a) as a from (select lang, array_to_string(w[1:2], ' ') as g, a from c where z = 3 union all select lang, array_to_string(w[2:3], ' '), a from c where z = 3) group by 1, 2),
+ d as (select m.* from m left join b on b.lang = m.lang and b.g = m.g where b.a is null or 100 * b.a < 50 * m.a)
+ select d.lang, row_number() over (partition by d.lang order by score desc, d.a desc, d.g) as rank, d.g as phrase, d.a, l, r, cast(n as bigint) as n, cast(score as bigint) as score from d join n on n.lang = d.lang qualify rank <= 2000""",
 }

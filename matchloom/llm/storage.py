@@ -38,6 +38,14 @@ def scope() -> Iterator[None]:
             discard(table)
 
 
+def claim(spark: SparkSession, suffix: str = "") -> str:
+    """A new path in the shared folder; what is written there goes when the driver's JVM ends."""
+    path = f"{shared_dir(spark)}/matchloom-{uuid.uuid4().hex}{suffix}"
+    where = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).deleteOnExit(where)
+    return path
+
+
 def materialise(df: DataFrame, outer: bool = False) -> DataFrame:
     """Writes ``df`` once as Parquet in the shared folder and reads it back.
 
@@ -46,11 +54,8 @@ def materialise(df: DataFrame, outer: bool = False) -> DataFrame:
     through :func:`discard`.
     """
     spark = df.sparkSession
-    path = f"{shared_dir(spark)}/matchloom-{uuid.uuid4().hex}"
+    path = claim(spark)
     df.write.parquet(path)
-    jvm = spark.sparkContext._jvm
-    where = jvm.org.apache.hadoop.fs.Path(path)
-    where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).deleteOnExit(where)
     out = spark.read.schema(df.schema).parquet(path)
     out._matchloom_path = path
     scopes = _held.__dict__.get("scopes", [])
@@ -64,9 +69,12 @@ def discard(df: DataFrame) -> None:
     """Deletes a materialised table that no later plan reads."""
     path = getattr(df, "_matchloom_path", None)
     if path:
-        spark = df.sparkSession
-        where = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
-        where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(where, True)
+        remove(df.sparkSession, path)
+
+
+def remove(spark: SparkSession, path: str) -> None:
+    where = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(where, True)
 
 
 def shuffle_partitions(spark: SparkSession) -> int:
