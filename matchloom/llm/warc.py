@@ -100,10 +100,11 @@ def page_records(pages: DataFrame, least: int = LEAST_REVISIT) -> DataFrame:
     copies = rows.where(F.col("size") >= least).groupBy("digest").agg(F.count("*").alias("copies"), F.min(order).alias("first")).where("copies > 1")
     copies = materialise(copies.select("digest", "copies", F.col("first.page_id").alias("first_id"), F.col("first.url").alias("first_url")))
     maybe = bloom.marked(rows, "mark", bloom.build(copies.select(F.xxhash64("digest"))), "maybe")
-    name = lambda page, digest, n: F.concat(F.lit("urn:page:"), F.coalesce(page.cast("string"), F.lit("")), F.lit(":"), F.substring(digest, 1, 16), F.lit(":"), n)
+    # unlike for rows that differ in id, url or payload, and numbered for others
+    name = lambda page, url, n: F.concat(F.lit("urn:page:"), F.coalesce(page.cast("string"), F.lit("")), F.lit(":"), F.substring("digest", 1, 16), F.lit(":"), F.lower(F.hex(F.xxhash64(url))), F.lit(":"), n)
     none = F.lit(None).cast("string")
     alone = maybe.where(~F.col("maybe")).select(
-        F.lit("response").alias("record_type"), name(F.col("page_id"), F.col("digest"), F.concat(F.lit("r"), F.monotonically_increasing_id().cast("string"))).alias("record_id"), "url", "digest", "size", "payload", none.alias("refers_id")
+        F.lit("response").alias("record_type"), name(F.col("page_id"), F.col("url"), F.concat(F.lit("r"), F.monotonically_increasing_id().cast("string"))).alias("record_id"), "url", "digest", "size", "payload", none.alias("refers_id")
     )
     total = copies.agg(F.sum("copies")).first()[0] or 0
     met = join_back(maybe.where("maybe").drop("mark", "maybe"), copies.withColumn("known", F.lit(True)), ["digest"], total, "copies")
@@ -114,8 +115,8 @@ def page_records(pages: DataFrame, least: int = LEAST_REVISIT) -> DataFrame:
     each = alike.withColumn("k", F.explode(F.sequence(F.lit(1).cast("long"), F.col("n"))))
     response = F.col("own") & (F.col("known").isNull() | (F.col("k") == 1))
     told = each.select(
-        F.when(response, "response").otherwise("revisit").alias("record_type"), name(F.col("page_id"), F.col("digest"), F.col("k").cast("string")).alias("record_id"), "url", "digest", "size",
-        F.when(response, F.col("payload")).alias("payload"), F.when(~response, name(F.col("first_id"), F.col("digest"), F.lit("1"))).alias("refers_id"),
+        F.when(response, "response").otherwise("revisit").alias("record_type"), name(F.col("page_id"), F.col("url"), F.col("k").cast("string")).alias("record_id"), "url", "digest", "size",
+        F.when(response, F.col("payload")).alias("payload"), F.when(~response, name(F.col("first_id"), F.col("first_url"), F.lit("1"))).alias("refers_id"),
     )
     return alone.unionByName(told)
 
