@@ -33,13 +33,13 @@ from .storage import materialise
 from .workers import trimmed
 
 LONGEST = 3
-CHUNK = 1 << 20
+CHUNK = 1 << 19
 #: A task's words are numbered; a key has 21 bits a word. Numbers start anew beyond 2^20 words.
 WORD_BITS, MOST_WORDS = 21, 1 << 20
 #: Longer texts are read in stretches of so many words, each with the words that its last phrases need.
 STRETCH = 1 << 19
 SKETCH_BLOCK = 1 << 18
-MOST_CELLS = 1 << 26
+MOST_CELLS = 1 << 25
 FULL = 255
 _MASK = U((1 << WORD_BITS) - 1)
 _ENDS = bytes.maketrans(b"\n\x0b\x0c\r,;:!?\t", b"......... ")
