@@ -70,6 +70,18 @@ def is_player_like(c: Column) -> Column:
     return t.rlike(r"(?U)^[^\d]*\p{L}{2,}[ .]+\p{L}[^\d]*$")
 
 
+def player_cell(c: Column) -> Column:
+    """A cell that may name a player: three characters or more, a surname with two initials in it or two or three words with a letter."""
+    t = normalize_text(c)
+    initials = t.rlike(r"[А-ЯA-Z][а-яa-z\-']+\s+[А-ЯA-Z]\.[А-ЯA-Z]\.")
+    return (F.length(t) >= 3) & (initials | (F.size(F.split(t, " ")).isin(2, 3) & t.rlike("[А-ЯA-Zа-яa-z]")))
+
+
+def score_cell(c: Column) -> Column:
+    """A cell of one to five set scores, a:b or a-b."""
+    return normalize_text(c).rlike(r"^(?:\d+[:-]\d+)(?:\s+\d+[:-]\d+){0,4}$")
+
+
 def normalize_rni(c: Column) -> Column:
     """The digits of an id written 42749, 42749.0 or RNI:42749; null without any."""
     return F.nullif(F.regexp_extract(F.trim(c.cast("string")), r"(\d+)", 1), F.lit(""))

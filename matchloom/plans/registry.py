@@ -474,4 +474,4 @@ def long_features(spark: SparkSession, d: str) -> DataFrame:
     return build(view(spark, d, "matches"), view(spark, d, "ratings"))
 
 
-from . import more  # noqa: E402, F401  registers its queries
+from . import more, scans  # noqa: E402, F401  register their queries

@@ -37,22 +37,26 @@ def json_paths(df: DataFrame, key: str, column: str) -> DataFrame:
     return flat
 
 
-def json_leaves(df: DataFrame, key: str, column: str) -> DataFrame:
-    """(key, dotted path, text) of each leaf at any depth; a document that can't be read gives one row with the error."""
+def json_leaves(df: DataFrame, key: str, column: str, ordered: bool = False) -> DataFrame:
+    """(key, dotted path, text) of each leaf at any depth; a document that can't be read gives one row with the error.
+
+    ``ordered``: with ``pos``, the leaf's place in its document.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             rows: list[tuple] = []
             for k, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
                 try:
-                    rows += [(k, path, leaf, None) for path, leaf in flatten(json.loads(text))] if text is not None else []
+                    rows += [(k, path, leaf, None, i) for i, (path, leaf) in enumerate(flatten(json.loads(text)))] if text is not None else []
                 except ValueError as error:
-                    rows.append((k, None, None, str(error)))
+                    rows.append((k, None, None, str(error), None))
             if rows:
-                kinds = (batch.schema.field(0).type, pa.string(), pa.string(), pa.string())
-                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows, strict=True), kinds, strict=True)], [key, "path", "value", "parse_error"])
+                kinds = (batch.schema.field(0).type, pa.string(), pa.string(), pa.string(), pa.int32())
+                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows, strict=True), kinds, strict=True)], [key, "path", "value", "parse_error", "pos"])
 
-    return df.select(key, F.col(column).cast("string")).mapInArrow(run, f"{key} {dict(df.dtypes)[key]}, path string, value string, parse_error string")
+    out = df.select(key, F.col(column).cast("string")).mapInArrow(run, f"{key} {dict(df.dtypes)[key]}, path string, value string, parse_error string, pos int")
+    return out if ordered else out.drop("pos")
 
 
 def grouped_leaves(leaves: DataFrame, key: str, fields: dict[str, str]) -> DataFrame:
