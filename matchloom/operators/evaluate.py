@@ -48,53 +48,88 @@ def running_by_score(df: DataFrame, by: Sequence[str], score: str, value: Column
     return placed.withColumn("_within", within).join(before, [*by, "_range"]).withColumn(name, F.col("_within") + F.col("_before")).drop("_range", "_value", "_within", "_before")
 
 
+#: A rank's bracket is cut into so many ranges, until it holds few distinct values or one.
+CUTS, FEW = 2048, 5_000
+#: Rank error of the sketch that brackets the ranks: one in so many rows.
+SKETCH = 10_000
+
+
 def exact_quantiles(df: DataFrame, column: str, shares: Sequence[float]) -> list[float | None]:
-    """Interpolated quantiles, exact: the range that holds a rank is cut into 2048 again and again until its values are few.
+    """Interpolated quantiles of a column, exact; see :func:`quantiles`."""
+    return quantiles(df, {column: shares})[column]
+
+
+def quantiles(df: DataFrame, wanted: dict[str, Sequence[float]]) -> dict[str, list[float | None]]:
+    """Interpolated quantiles of several columns, exact, in two jobs whatever the columns, where brackets hold few values.
 
-    Memory and what comes to the driver are bounded (at most 2048 counts or 20 000 distinct values a step), whatever the rows.
+    The first pass brackets all ranks of all columns by a quantile sketch and counts rows. The second counts what lies below
+    each bracket, and its values: one by one, or in CUTS equal ranges where the rows may be many, and only the ranges that hold a rank go on
+    to a further pass, with all columns' at once. At most CUTS counts or FEW values a bracket come to the driver. Nulls and NaN are left out.
     """
-    x = df.select(F.col(column).cast("double").alias("x")).where("x is not null and not isnan(x)").persist()
-    try:
-        return _quantiles(x, shares)
-    finally:
-        x.unpersist()
-
-
-def _quantiles(x: DataFrame, shares: Sequence[float]) -> list[float | None]:
-    n, low, high = x.agg(F.count("*"), F.min("x"), F.max("x")).first()
-    if not n:
-        return [None] * len(shares)
-    wanted = {r for q in shares for r in (math.floor(q * (n - 1)), math.ceil(q * (n - 1)))}
-
-    def at(ranks: set[int], a: float, b: float, skipped: int, count: int) -> dict[int, float]:
-        """Values of ranks, of the rows in [a, b], of which ``skipped`` rows lie before."""
-        if a == b:
-            return dict.fromkeys(ranks, a)
-        inside = x.where((F.col("x") >= a) & (F.col("x") <= b))
-        width = (b - a) / 2048
-        if count <= 20_000 or not a + width > a:
-            rows = inside.groupBy("x").count().orderBy("x").collect()
-        else:
-            part = F.least(F.lit(2047), F.floor((F.col("x") - a) / F.lit(width))).cast("int")
-            rows = inside.groupBy(part.alias("k")).agg(F.count("*"), F.min("x"), F.max("x")).orderBy("k").collect()
-        found: dict[int, float] = {}
-        for r in rows:
-            c = r[1]
-            mine = {k for k in ranks if skipped <= k < skipped + c}
-            if mine:
-                found |= dict.fromkeys(mine, r[0]) if len(r) == 2 else at(mine, r[2], r[3], skipped, c)
-            skipped += c
-        return found
-
-    value = at(wanted, low, high, 0, n)
-    out = []
-    for q in shares:
-        k = q * (n - 1)
-        a, b = value[math.floor(k)], value[math.ceil(k)]
-        out.append(a + (b - a) * (k - math.floor(k)))
+    names = list(wanted)
+    x = df.select(*[F.when(~F.isnan(F.col(c).cast("double")), F.col(c).cast("double")).alias(f"x{i}") for i, c in enumerate(names)])
+    aggs = []
+    for i, c in enumerate(names):
+        around = sorted({min(1.0, max(0.0, q + e)) for q in wanted[c] for e in (-2 / SKETCH, 0.0, 2 / SKETCH)})
+        aggs += [F.count(f"x{i}").alias(f"n{i}"), F.min(f"x{i}").alias(f"a{i}"), F.max(f"x{i}").alias(f"b{i}"), F.percentile_approx(f"x{i}", around, SKETCH).alias(f"p{i}")]
+    first = x.agg(*aggs).first()
+    value: dict[tuple[int, int], float] = {}
+    # (column, low, high, rows before low or None, ranks, distinct values at most): the sketch's brackets may miss, then the whole range is looked through
+    brackets: list[tuple[int, float, float, int | None, set[int], int]] = []
+    for i, c in enumerate(names):
+        n = first[f"n{i}"]
+        around = sorted({min(1.0, max(0.0, q + e)) for q in wanted[c] for e in (-2 / SKETCH, 0.0, 2 / SKETCH)})
+        for q in wanted[c] if n else ():
+            ranks = {math.floor(q * (n - 1)), math.ceil(q * (n - 1))}
+            place = min(range(len(around)), key=lambda k: abs(around[k] - q))
+            p = first[f"p{i}"]
+            low = first[f"a{i}"] if q * n < 4 else p[max(0, place - 1)]
+            high = first[f"b{i}"] if (1 - q) * n < 4 else p[min(len(around) - 1, place + 1)]
+            brackets.append((i, low, high, None, ranks, 8 * n // SKETCH + 8))
+    while brackets:
+        brackets = _look(x, brackets, first, value)
+    out: dict[str, list[float | None]] = {}
+    for i, c in enumerate(names):
+        n = first[f"n{i}"]
+        out[c] = []
+        for q in wanted[c]:
+            if not n:
+                out[c].append(None)
+                continue
+            k = q * (n - 1)
+            a, b = value[i, math.floor(k)], value[i, math.ceil(k)]
+            out[c].append(a + (b - a) * (k - math.floor(k)))
     return out
 
 
+def _look(x: DataFrame, brackets: list[tuple[int, float, float, int | None, set[int], int]], first, value: dict[tuple[int, int], float]) -> list:
+    """One pass over all brackets: values found go to ``value``, what is still open comes back."""
+    each = []
+    for k, (i, low, high, _, _, most) in enumerate(brackets):
+        v, width = F.col(f"x{i}"), (high - low) / CUTS
+        fine = most <= FEW or not low + width > low
+        part = F.when(v < low, F.lit(-1)).when(v > high, F.lit(None)).otherwise(F.lit(0) if fine else F.least(F.lit(CUTS - 1), F.floor((v - low) / F.lit(width)).cast("int")))
+        each.append(F.struct(F.lit(k).alias("k"), part.cast("int").alias("part"), (F.when(v >= low, v) if fine else F.lit(None).cast("double")).alias("one"), v.alias("v")))
+    long = x.select(F.explode(F.array(*each)).alias("s")).select("s.*").where("part is not null and v is not null")
+    counts = long.groupBy("k", "part", "one").agg(F.count("*").alias("c"), F.min("v").alias("low"), F.max("v").alias("high")).collect()
+    left = []
+    for k, (i, _, _, before, ranks, _) in enumerate(brackets):
+        mine = sorted((r for r in counts if r["k"] == k and r["part"] >= 0), key=lambda r: (r["part"], r["low"]))
+        skipped = sum(r["c"] for r in counts if r["k"] == k and r["part"] < 0) if before is None else before
+        open_ = set(ranks)
+        for r in mine:
+            held = {rank for rank in open_ if skipped <= rank < skipped + r["c"]}
+            open_ -= held
+            if held and r["low"] == r["high"]:
+                value.update({(i, rank): r["low"] for rank in held})
+            elif held:
+                left.append((i, r["low"], r["high"], skipped, held, r["c"]))
+            skipped += r["c"]
+        if open_:  # outside the sketch's bracket
+            left.append((i, first[f"a{i}"], first[f"b{i}"], 0, open_, first[f"n{i}"]))
+    return left
+
+
 def metrics(df: DataFrame, by: Sequence[str], y: str = "y", p: str = "p") -> DataFrame:
     """n, log loss, Brier score, exact AUC (average ranks of ties) and accuracy by group; rows without y or p are left out.
 
@@ -167,11 +202,9 @@ def column_profile(df: DataFrame, columns: Sequence[str]) -> DataFrame:
 
 
 def medians(df: DataFrame, columns: Sequence[str]) -> DataFrame:
-    """Exact interpolated medians, one row."""
-    narrow = df.select(*columns).persist()
-    found = tuple(exact_quantiles(narrow, c, [0.5])[0] for c in columns)
-    narrow.unpersist()
-    return df.sparkSession.createDataFrame([found], ", ".join(f"`{c}` double" for c in columns))
+    """Exact interpolated medians of all columns, one row."""
+    found = quantiles(df, {c: [0.5] for c in columns})
+    return df.sparkSession.createDataFrame([tuple(found[c][0] for c in columns)], ", ".join(f"`{c}` double" for c in columns))
 
 
 def impute(df: DataFrame, fill: DataFrame, columns: Sequence[str]) -> DataFrame:

@@ -119,27 +119,43 @@ def schedule_strength(long_elo: DataFrame) -> DataFrame:
     return long_elo.withColumns({"schedule_strength": F.coalesce(full(10), F.col("elo_pre")), "opp_elo_last_5": F.coalesce(full(5), F.col("elo_opp_pre"))})
 
 
+#: Opponents of a player are dealt to so many buckets, so no task meets all matches of a hot player with all opponents.
+BUCKETS = 32
+
+
+def _carried(rows: DataFrame, states: DataFrame, x: str) -> DataFrame:
+    """``rows`` (``p_x``, ``c``, ``at``) with the newest state (n_x, w_x, d_x) of the same player and opponent that is older than ``at``, null where there is none.
+
+    One exchange by (player, opponent): states and rows are unioned and the state is carried forward in order of time.
+    """
+    names = [f"n_{x}", f"w_{x}", f"d_{x}"]
+    state, asked = F.struct(*names), F.struct(*rows.columns)
+    s = states.select(F.col("p").alias("_p"), F.col("c").alias("_c"), F.col("since").alias("_at"), F.lit(1).alias("_side"), F.struct(*[F.col(o).alias(n) for o, n in zip("nwd", names, strict=True)]).alias("_s"))
+    kind = rows.select(asked).schema[0].dataType
+    r = rows.select(F.col(f"p_{x}").alias("_p"), F.col("c").alias("_c"), F.col("at").alias("_at"), F.lit(0).alias("_side"), F.lit(None).cast(s.schema["_s"].dataType).alias("_s"), asked.alias("_r"))
+    both = r.unionByName(s.withColumn("_r", F.lit(None).cast(kind)))
+    # at one time the row comes before the state that its own match leaves
+    w = Window.partitionBy("_p", "_c").orderBy("_at", "_side").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    return both.withColumn("_s", F.last("_s", ignorenulls=True).over(w)).where("_side = 0").select("_r.*", *[F.col(f"_s.{n}").alias(n) for n in names])
+
+
 def common_opponents(long: DataFrame, fold_days: float = 180.0) -> DataFrame:
     """Twelve features of the opponents that both sides met before each match, for both sides.
 
-    Histories are first folded to running states of (player, opponent), one row a meeting, valid until their next
-    one. A match of player1 joins its states by player and validity, one row for each opponent; those meet the
-    other side's state of the same opponent by (player, opponent). The other side's features are these swapped.
+    Each meeting leaves a running state of (player, opponent). A match of player1 asks for the opponents that this player has met before
+    by then: an equality join on (player, bucket of opponents) with one row a pair, not one a meeting. Those rows take the other
+    side's state of the same opponent, then player1's, each carried forward by (player, opponent). The other side's features are these swapped.
     """
     w = Window.partitionBy("player_id", "opponent_id").orderBy(*ORDER)
     key = F.struct(*ORDER)
     upto = w.rowsBetween(Window.unboundedPreceding, Window.currentRow)
-
-    def states(x: str) -> DataFrame:
-        return long.select(
-            F.col("player_id").alias(f"p_{x}"), F.col("opponent_id").alias(f"c_{x}"), key.alias(f"since_{x}"), F.lead(key).over(w).alias(f"until_{x}"),
-            F.count("*").over(upto).alias(f"n_{x}"), F.sum("win").over(upto).alias(f"w_{x}"), F.col("match_date").alias(f"d_{x}"),
-        )
-
-    valid = lambda x: (F.col("at") > F.col(f"since_{x}")) & (F.col(f"until_{x}").isNull() | (F.col("at") <= F.col(f"until_{x}")))
-    asked = long.where("perspective = 'player1'").select("match_id", "match_date", key.alias("at"), "player_id", "opponent_id")
-    mine = asked.join(states("a"), (F.col("player_id") == F.col("p_a")) & valid("a")).where("c_a <> opponent_id").select("match_id", "match_date", "at", "player_id", "opponent_id", "c_a", "n_a", "w_a", "d_a")
-    both = mine.where("c_a <> player_id").join(states("b"), (F.col("opponent_id") == F.col("p_b")) & (F.col("c_a") == F.col("c_b")) & valid("b"))
+    bucket = F.pmod(F.xxhash64("opponent_id"), F.lit(BUCKETS)).cast("int")
+    met = long.groupBy("player_id", "opponent_id").agg(F.min(key).alias("first")).withColumn("bucket", bucket).withColumnsRenamed({"player_id": "p_a", "opponent_id": "c"})
+    states = long.select(F.col("player_id").alias("p"), F.col("opponent_id").alias("c"), key.alias("since"), F.count("*").over(upto).alias("n"), F.sum("win").over(upto).alias("w"), F.col("match_date").alias("d"))
+    asked = long.where("perspective = 'player1'").select("match_id", "match_date", key.alias("at"), F.col("player_id").alias("p_a"), F.col("opponent_id").alias("p_b"), F.explode(F.sequence(F.lit(0), F.lit(BUCKETS - 1))).alias("bucket"))
+    known = asked.join(met, ["p_a", "bucket"]).where((F.col("first") < F.col("at")) & (F.col("c") != F.col("p_b")) & (F.col("c") != F.col("p_a"))).drop("first", "bucket")
+    shared = _carried(known, states, "b").where("n_b is not null")
+    both = _carried(shared, states, "a")
     one = opponent_totals(both, ["match_id"], fold_days).withColumn("perspective", F.lit("player1"))
     other = {}
     for c in one.columns:

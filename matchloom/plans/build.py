@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from datetime import UTC, datetime
+
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -9,9 +11,11 @@ from pyspark.sql import functions as F
 from ..functions.dates import parse_date
 from ..functions.score import score_features
 from ..operators import enrich as N
+from ..operators.master import legacy_master, merge_master
 from ..operators.matching import ambiguous_names, match_names
 from ..sources import pages as P
 from ..sources import tables as S
+from ..sources import versions as V
 
 STEPS = ("matches", "rankings", "dataset", "training")
 
@@ -82,9 +86,9 @@ def dataset(spark: SparkSession, folder: str) -> None:
 
 
 def bootstrap(spark: SparkSession, source: str, output: str) -> int:
-    """A master table of tournaments from an older list, whose columns go by other names; the number of its rows."""
-    old = spark.read.option("header", True).csv(source)
-    names = {"tour_id": ("tour_id", "id", "tournament_id"), "tournament_name": ("tournament_name", "name", "title"), "city": ("city", "tournament_city"), "start_date": ("start_date", "date", "date_start")}
-    rows = old.select(*[S.first_available(old, list(c)).alias(n) for n, c in names.items()]).withColumns({"start_date": parse_date(F.col("start_date")), "source": F.lit("legacy"), "status": F.lit("known")})
-    S.write_workbook({"master": rows.where("tour_id is not null").dropDuplicates(["tour_id"])}, output)
-    return S.read_sheet(spark, output, "master").count()
+    """The rows of an older list merged into the master table in ``output``, as its next version; the number of its rows."""
+    where, now = f"{output}/master", F.lit(datetime.now(UTC).isoformat()).cast("timestamp")
+    before = V.current_version(spark, where)
+    incoming = legacy_master(spark.read.option("header", True).csv(source), source.rstrip("/").rpartition("/")[2], now)
+    V.publish(merge_master(V.read_version(spark, where, before) if before else None, incoming, now), where, before)
+    return V.read_version(spark, where).count()

@@ -14,6 +14,7 @@ from ..operators import enrich as N
 from ..operators import evaluate as E
 from ..operators import history as H
 from ..operators import keyed as K
+from ..operators import master as M
 from ..operators.matching import ambiguous_names, attach_ids, match_names
 from ..operators.forecast import pair_rows, rating_history
 from ..sources import pages as P
@@ -179,10 +180,43 @@ def text_date_sort(spark: SparkSession, d: str) -> DataFrame:
     return days.withColumn("place", F.row_number().over(Window.orderBy(D.parse_date(F.col("dotted")))).cast("long")).where("place <= 500").select("place", "dotted")
 
 
-@register("legacy_master", "select cast(o_orderkey as varchar) as tour_id, o_orderpriority as city, 'legacy' as source, true as has_page from orders")
+_NOW = "2026-01-02 03:04:05"
+_CONSTANTS = ", ".join(f"'{v}' as {n}" for n, v in M.LEGACY_CONSTANTS.items())
+
+
+@register(
+    "legacy_master",
+    f"""with o as (select '/tours/' || (o_orderkey // 2) || '/matches' as url, o_orderkey, o_orderpriority as city, cast(o_orderdate as date) as day from orders where o_orderkey % 5 <> 0)
+ select cast(o_orderkey // 2 as varchar) as tour_id, 'Cup ' || o_orderkey as tournament_name, city, day as start_date, url as matches_url, {_CONSTANTS}, false as matches_page_saved, 'old.xlsx' as source_file, timestamp '{_NOW}' as created_at
+ from (select *, row_number() over (partition by url order by o_orderkey) as n from o) where n = 1""",
+)
 def legacy_master(spark: SparkSession, d: str) -> DataFrame:
-    o = table(spark, d, "orders").withColumnsRenamed({"o_orderkey": "tour_id", "o_orderpriority": "city"})
-    return o.select(F.col("tour_id").cast("string").alias("tour_id"), "city", F.lit("legacy").alias("source"), F.lit(True).alias("has_page"))
+    """An older list with two rows of most tournaments, some without a link."""
+    k = F.col("o_orderkey")
+    old = table(spark, d, "orders").select(
+        F.concat(F.lit("Cup "), k.cast("string")).alias("Турнир"), F.col("o_orderpriority").alias("Город"), F.date_format("o_orderdate", "dd.MM.yyyy").alias("Дата начала"),
+        F.when(k % 5 != 0, F.concat(F.lit("/tours/"), F.expr("o_orderkey div 2").cast("string"), F.lit("/matches"))).alias("Ссылка на страницу с матчами"), k.alias("line"),
+    )
+    out = M.legacy_master(old, "old.xlsx", F.lit(_NOW), ["line"])
+    return out.select("tour_id", "tournament_name", "city", "start_date", "matches_url", *M.LEGACY_CONSTANTS, "matches_page_saved", "source_file", "created_at")
+
+
+@register(
+    "master_merge",
+    f"""with e as (select tour_id, start_date, city, status, case when cast(tour_id as bigint) % 3 = 0 then null else timestamp '2020-01-01' end as created_at, timestamp '2020-01-01' as updated_at from master_existing),
+ i as (select tour_id, start_date, city, status, timestamp '2025-05-05' as at from master_incoming)
+ select coalesce(e.tour_id, i.tour_id) as tour_id, coalesce(i.start_date, e.start_date) as start_date, coalesce(i.city, e.city) as city, coalesce(i.status, e.status) as status,
+  case when e.tour_id is null then i.at when i.tour_id is null then e.created_at else coalesce(e.created_at, timestamp '{_NOW}') end as created_at, case when e.tour_id is null then i.at when i.tour_id is null then e.updated_at else timestamp '{_NOW}' end as updated_at
+ from e full join i on e.tour_id = i.tour_id""",
+)
+def master_merge(spark: SparkSession, d: str) -> DataFrame:
+    """Ids with a decimal point, rows that come twice, missing columns and missing times of creation."""
+    stamp = lambda t: F.lit(t).cast("timestamp")
+    e, i = view(spark, d, "master_existing"), view(spark, d, "master_incoming")
+    old = e.select(F.concat("tour_id", F.lit(".0")).alias("tour_id"), "start_date", "city", "status", F.when(F.col("tour_id").cast("long") % 3 != 0, stamp("2020-01-01")).alias("created_at"), stamp("2020-01-01").alias("updated_at"), F.lit(0).alias("line"))
+    twice = old.unionByName(old.withColumns({"status": F.lit("later copy"), "line": F.lit(1)}))
+    new = i.withColumns({"created_at": stamp("2025-05-05"), "updated_at": stamp("2025-05-05"), "line": F.lit(0)})
+    return M.merge_master(twice, new.unionByName(new.withColumns({"city": F.lit("copy"), "line": F.lit(1)})), F.lit(_NOW), ["line"], ["line"]).select("tour_id", "start_date", "city", "status", "created_at", "updated_at")
 
 
 @register("side_audit", "select 'player1' as side, player1_id as player_id, count(*) as n, cast(sum(winner_player1) as bigint) as wins from matches group by 2 union all select 'player2', player2_id, count(*), cast(sum(1 - winner_player1) as bigint) from matches group by 2")
@@ -292,7 +326,7 @@ def tournament_metadata(spark: SparkSession, d: str) -> DataFrame:
 
 def _order_pages(spark: SparkSession, d: str) -> DataFrame:
     """A page an order with its lines as match records: status, date and time where they have one, and one record after the footer."""
-    li = table(spark, d, "lineitem").where("l_orderkey % 7 = 0")
+    li = table(spark, d, "lineitem")
     block = lambda *cells: F.concat(*[x for c in cells for x in (F.lit("<div>"), c, F.lit("</div>"))])
     record = F.concat(
         block(F.col("l_linenumber").cast("string"), F.concat(F.lit("Part "), F.col("l_partkey").cast("string")), F.concat(F.lit("Supp "), F.col("l_suppkey").cast("string")), F.lit("2 : 1"), F.lit("6-4,3-6,[10-8]"), F.col("l_returnflag")),
@@ -304,7 +338,7 @@ def _order_pages(spark: SparkSession, d: str) -> DataFrame:
     return rows.select(F.col("l_orderkey").alias("page_id"), F.concat(F.lit("<html><script>1</script><body>"), head, F.col("body"), foot, F.lit("</body></html>")).alias("html"))
 
 
-@register("page_records", "select l_orderkey as page_id, cast(l_linenumber as varchar) as number, 'Part ' || l_partkey as player1, 'Supp ' || l_suppkey as player2, '2 : 1' as score, l_returnflag as draw, case when l_linenumber % 2 = 0 then l_linestatus end as status, case when l_linenumber % 3 = 0 then strftime(l_shipdate, '%d.%m.%Y') end as date from lineitem where l_orderkey % 7 = 0")
+@register("page_records", "select l_orderkey as page_id, cast(l_linenumber as varchar) as number, 'Part ' || l_partkey as player1, 'Supp ' || l_suppkey as player2, '2 : 1' as score, l_returnflag as draw, case when l_linenumber % 2 = 0 then l_linestatus end as status, case when l_linenumber % 3 = 0 then strftime(l_shipdate, '%d.%m.%Y') end as date from lineitem")
 def page_records(spark: SparkSession, d: str) -> DataFrame:
     return P.page_matches(_order_pages(spark, d)).select("page_id", "number", "player1", "player2", "score", "draw", "status", "date")
 

@@ -255,12 +255,11 @@ def elo_serving(spark: SparkSession, d: str) -> DataFrame:
     return _elo_out(H.elo(view(spark, d, "matches"), preset=H.SERVE_ELO))
 
 
-_COMMON = f"""{LONG}, st as (select player_id, opponent_id, match_date, match_id, lead((match_date, match_id)) over w as nxt, count(*) over w as n, sum(win) over w as wins, match_date as last_date from long
- window w as (partition by player_id, opponent_id order by match_date, match_id)),
- a as (select l.match_id, l.perspective, l.match_date, s.opponent_id as c, s.n, s.wins, s.last_date from long l join st s on s.player_id = l.player_id and s.opponent_id <> l.opponent_id and (s.match_date, s.match_id) < (l.match_date, l.match_id) and (s.nxt is null or s.nxt >= (l.match_date, l.match_id))),
- b as (select l.match_id, l.perspective, s.opponent_id as c, s.n, s.wins, s.last_date from long l join st s on s.player_id = l.opponent_id and s.opponent_id <> l.player_id and (s.match_date, s.match_id) < (l.match_date, l.match_id) and (s.nxt is null or s.nxt >= (l.match_date, l.match_id))),
+_COMMON = f"""{LONG}, past as materialized (select l.match_id, l.perspective, l.player_id = h.player_id as own, h.opponent_id as c, count(*) as n, sum(h.win) as wins, max(h.match_date) as last_date
+  from (select *, unnest([player_id, opponent_id]) as who from long) l join long h on h.player_id = l.who and (h.match_date, h.match_id) < (l.match_date, l.match_id) and h.opponent_id not in (l.player_id, l.opponent_id) group by 1, 2, 3, 4),
  x as (select a.match_id, a.perspective, a.n as na, b.n as nb, a.wins as wa, b.wins as wb, cast(a.wins as double) / a.n as ra, cast(b.wins as double) / b.n as rb,
-  exp(-cast(greatest(date_diff('day', greatest(a.last_date, b.last_date), a.match_date), 0) as double) / cast(180 as double)) * sqrt(cast(least(a.n, b.n) as double)) as wt from a join b on a.match_id = b.match_id and a.perspective = b.perspective and a.c = b.c)"""
+  exp(-cast(greatest(date_diff('day', greatest(a.last_date, b.last_date), l.match_date), 0) as double) / cast(180 as double)) * sqrt(cast(least(a.n, b.n) as double)) as wt
+  from past a join past b on a.match_id = b.match_id and a.perspective = b.perspective and a.c = b.c and a.own and not b.own join long l on l.match_id = a.match_id and l.perspective = a.perspective)"""
 
 
 @register(

@@ -3,6 +3,7 @@ import json
 from matchloom.plans.build import build
 from matchloom.plans.cli import main, predict
 from matchloom.sources import tables as S
+from matchloom.sources.versions import read_version
 
 HEAD = ["Матчи турнира Кубок весны", "Место проведения", "Город, Корты", "Возрастная группа", "до 15 лет", "01.02.2025 - 09.02.2025", "№", "Участник 1", "Участник 2", "Счет", "Этап"]
 
@@ -33,6 +34,6 @@ def test_pages_and_rankings_to_a_prediction(spark, tmp_path, capsys):
     assert len(out["head_to_head"]) == 2 and [r["common_id"] for r in out["common_opponents"]] == ["33"]
     (tmp_path / "old.csv").write_text("id,name,date\n7,Cup,1/2/2025\n7,Cup,1/2/2025\n,x,\n")
     assert main(["bootstrap", "--source", str(tmp_path / "old.csv"), "--output", str(tmp_path / "m")]) == 0
-    assert json.loads(capsys.readouterr().out) == {"master": 1} and str(S.read_sheet(spark, str(tmp_path / "m"), "master").first().start_date) == "2025-02-01"
+    assert json.loads(capsys.readouterr().out) == {"master": 1} and str(read_version(spark, str(tmp_path / "m" / "master")).first().start_date) == "2025-02-01"
     assert main(["status", "--tables", book, "--write-manifest"]) == 0
     assert json.loads(spark.read.text(f"{book}/manifest").first().value)["matches"]["rows"] == 4
