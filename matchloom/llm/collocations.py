@@ -39,6 +39,8 @@ WORD_BITS, MOST_WORDS = 21, 1 << 20
 #: Longer texts are read in stretches of so many words, each with the words that its last phrases need.
 STRETCH = 1 << 19
 SKETCH_BLOCK = 1 << 18
+#: Bytes of text that a task counts before its sketch or its counts meet those of others.
+TASK_BYTES = 1 << 29
 MOST_CELLS = 1 << 25
 FULL = 255
 _MASK = U((1 << WORD_BITS) - 1)
@@ -209,13 +211,17 @@ def _merge(cells: int, least: int):
     return run
 
 
+def _tasks(texts: DataFrame, size: int) -> DataFrame:
+    """As many partitions as cores, or more where a task would read more than TASK_BYTES: what a task has counted comes out once."""
+    return texts.coalesce(max(texts.sparkSession.sparkContext.defaultParallelism, size // TASK_BYTES))
+
+
 def sketch_bits(texts: DataFrame, lengths: tuple[int, ...], cells: int, least: int, bits: Bits) -> list[np.ndarray]:
     """Two rows of bits: cells of the merged sketch that hold ``least`` (FULL at most) or more."""
     if not 0 < least <= FULL:
         raise ValueError(f"least must lie in 1..{FULL}")
     schema = "row int, block int, cells binary"
-    # a sketch a core, whatever the files
-    own = texts.coalesce(texts.sparkSession.sparkContext.defaultParallelism).mapInArrow(trimmed(_sketch(lengths, cells, bits)), schema)
+    own = texts.mapInArrow(trimmed(_sketch(lengths, cells, bits)), schema)
     merged = own.repartition("row", "block").mapInArrow(trimmed(_merge(cells, least)), schema)
     out = [np.zeros(cells // 8, np.uint8) for _ in range(2)]
     block = min(cells, SKETCH_BLOCK) // 8
@@ -258,7 +264,7 @@ def _exact(bits: Bits):
             if size > 1 << 22:
                 held = {k: [merged(v)] for k, v in held.items()}
                 size = sum(len(v[0][0]) for v in held.values())
-            if over or size > 1 << 21:
+            if over or size > 3 << 20:
                 yield from rows(words)
                 held, size = {}, 0
         for lang, n in words_of.items():
@@ -275,6 +281,7 @@ def frequent_ngrams(df: DataFrame, least: int = 10, most_cells: int = MOST_CELLS
     texts = df.select(F.coalesce(F.col("lang").cast("string"), F.lit("und")).alias("lang"), F.coalesce(F.col("text").cast("string"), F.lit("")).cast("binary").alias("text"))
     size = texts.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     cells = min(most_cells, max(1 << 16, 1 << int(size).bit_length()))
+    texts = _tasks(texts, size)
     both = sketch_bits(texts, (1, 2), cells, least, {})
     bits = {1: both, 2: both}
     bits[3] = sketch_bits(texts, (3,), cells, least, bits)
