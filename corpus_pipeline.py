@@ -8,7 +8,7 @@ tables are handled as each operator's module says; a row with a null id is never
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from matchloom.llm import bloom
@@ -39,9 +39,8 @@ def lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return _with_size(dedup_lines(docs, docs.columns).where((had == 0) | (kept > 0)), docs.columns)
 
 
-def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The smallest doc_id of each component at a Jaccard of 0.8 of five-word shingles, once."""
-    ship_package(spark)
+def _one_of_each(docs: DataFrame) -> DataFrame:
+    """The smallest doc_id of each component, once; rows of one id have one text here."""
     own, stays, maybe = (fresh(docs.columns, c) for c in ("_id", "_stays", "_maybe"))
     with scope():
         found = similarity_components(docs, k=5, num=80, den=100)
@@ -55,6 +54,35 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
     return marked.where(~F.col(maybe)).select(*docs.columns).unionByName(clear).unionByName(repeated)
 
 
+def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The smallest document of each component at a Jaccard of 0.8 of five-word shingles, once; rows that share an id but not
+    their text are documents of their own, the one with the smaller SHA-256 first.
+
+    Where ids repeat so, a document goes by id * texts + number of its text; ids for which that passes 64 bits are refused.
+    """
+    ship_package(spark)
+    # of the ids with several texts: each text's number
+    texts = docs.where("doc_id is not null").select("doc_id", F.sha2(F.coalesce("text", F.lit("")), 256).alias("sha")).distinct()
+    several = texts.groupBy("doc_id").agg(F.count("*").alias("texts")).where("texts > 1")
+    with scope():
+        odd = materialise(several, outer=True)
+    most = odd.agg(F.max("texts")).first()[0]
+    if most is None:
+        return _one_of_each(docs)
+    low, high = docs.agg(F.min("doc_id"), F.max("doc_id")).first()
+    if max(abs(low), abs(high)) >= (1 << 62) // most:
+        raise ValueError(f"ids repeat with up to {most} texts and are too large to be numbered by text")
+    own, sha, number = (fresh(docs.columns, c) for c in ("_own_id", "_sha", "_number"))
+    numbered = texts.join(odd, "doc_id", "left_semi").select(F.col("doc_id").alias(own), F.col("sha").alias(sha), (F.row_number().over(Window.partitionBy("doc_id").orderBy("sha")) - 1).alias(number))
+    with scope():
+        known = materialise(numbered, outer=True)
+    told = docs.withColumns({own: F.col("doc_id"), sha: F.sha2(F.coalesce("text", F.lit("")), 256)}).join(known, [own, sha], "left")
+    rows = told.withColumn("doc_id", F.col(own) * F.lit(most).cast("long") + F.coalesce(F.col(number), F.lit(0)))
+    with scope():
+        rows = materialise(rows.drop(sha, number), outer=True)
+    return _one_of_each(rows).withColumn("doc_id", F.col(own)).select(*docs.columns)
+
+
 def mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Every document at least once, repeated as its source's weight asks."""
     ship_package(spark)
