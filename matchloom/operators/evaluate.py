@@ -70,7 +70,7 @@ def quantiles(df: DataFrame, wanted: dict[str, Sequence[float]]) -> dict[str, li
     x = df.select(*[F.when(~F.isnan(F.col(c).cast("double")), F.col(c).cast("double")).alias(f"x{i}") for i, c in enumerate(names)])
     aggs = []
     for i, c in enumerate(names):
-        around = sorted({min(1.0, max(0.0, q + e)) for q in wanted[c] for e in (-2 / SKETCH, 0.0, 2 / SKETCH)})
+        around = sorted({min(1.0, max(0.0, q + e)) for q in wanted[c] for e in (-4 / SKETCH, 0.0, 4 / SKETCH)})
         aggs += [F.count(f"x{i}").alias(f"n{i}"), F.min(f"x{i}").alias(f"a{i}"), F.max(f"x{i}").alias(f"b{i}"), F.percentile_approx(f"x{i}", around, SKETCH).alias(f"p{i}")]
     first = x.agg(*aggs).first()
     value: dict[tuple[int, int], float] = {}
@@ -78,14 +78,15 @@ def quantiles(df: DataFrame, wanted: dict[str, Sequence[float]]) -> dict[str, li
     brackets: list[tuple[int, float, float, int | None, set[int], int]] = []
     for i, c in enumerate(names):
         n = first[f"n{i}"]
-        around = sorted({min(1.0, max(0.0, q + e)) for q in wanted[c] for e in (-2 / SKETCH, 0.0, 2 / SKETCH)})
+        around = sorted({min(1.0, max(0.0, q + e)) for q in wanted[c] for e in (-4 / SKETCH, 0.0, 4 / SKETCH)})
         for q in wanted[c] if n else ():
             ranks = {math.floor(q * (n - 1)), math.ceil(q * (n - 1))}
             place = min(range(len(around)), key=lambda k: abs(around[k] - q))
             p = first[f"p{i}"]
-            low = first[f"a{i}"] if q * n < 4 else p[max(0, place - 1)]
-            high = first[f"b{i}"] if (1 - q) * n < 4 else p[min(len(around) - 1, place + 1)]
-            brackets.append((i, low, high, None, ranks, 8 * n // SKETCH + 8))
+            whole = n <= FEW
+            low = first[f"a{i}"] if whole or q * n < 8 else p[max(0, place - 1)]
+            high = first[f"b{i}"] if whole or (1 - q) * n < 8 else p[min(len(around) - 1, place + 1)]
+            brackets.append((i, low, high, None, ranks, n if whole else 12 * n // SKETCH + 8))
     while brackets:
         brackets = _look(x, brackets, first, value)
     out: dict[str, list[float | None]] = {}
