@@ -41,6 +41,8 @@ STRETCH = 1 << 19
 SKETCH_BLOCK = 1 << 18
 #: Bytes of text that a task counts before its sketch or its counts meet those of others.
 TASK_BYTES = 1 << 29
+#: Counts that a task gathers before it adds up equal n-grams, and different n-grams that it holds.
+MERGE, MOST_HELD = 1 << 21, 6 << 20
 MOST_CELLS = 1 << 25
 FULL = 255
 _MASK = U((1 << WORD_BITS) - 1)
@@ -234,7 +236,7 @@ def _exact(bits: Bits):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seeds, words_of = _seeds(), {}
         held: dict[tuple[str, int], list[tuple[np.ndarray, np.ndarray]]] = {}
-        size = 0
+        size, merge_at = 0, MERGE
 
         def merged(parts: list[tuple[np.ndarray, np.ndarray]]) -> tuple[np.ndarray, np.ndarray]:
             if len(parts) == 1:
@@ -261,12 +263,13 @@ def _exact(bits: Bits):
                     if ok.any():
                         held.setdefault((lang, n), []).append((keys[ok], times[ok]))
                         size += int(ok.sum())
-            if size > 1 << 22:
+            if size > merge_at:
                 held = {k: [merged(v)] for k, v in held.items()}
                 size = sum(len(v[0][0]) for v in held.values())
-            if over or size > 3 << 20:
+                merge_at = size + MERGE
+            if over or size > MOST_HELD:
                 yield from rows(words)
-                held, size = {}, 0
+                held, size, merge_at = {}, 0, MERGE
         for lang, n in words_of.items():
             yield pa.RecordBatch.from_arrays([pa.array([lang], pa.string()), pa.array([0], pa.int32()), pa.array([b""], pa.binary()), pa.array([n], pa.int64())], ["lang", "size", "phrase", "f"])
 
