@@ -42,7 +42,7 @@ SKETCH_BLOCK = 1 << 18
 #: Bytes of text that a task counts before its sketch or its counts meet those of others.
 TASK_BYTES = 1 << 29
 #: Counts that a task gathers before it adds up equal n-grams, and different n-grams that it holds.
-MERGE, MOST_HELD = 1 << 21, 6 << 20
+MERGE, MOST_HELD = 1 << 21, 4 << 20
 MOST_CELLS = 1 << 25
 FULL = 255
 _MASK = U((1 << WORD_BITS) - 1)
