@@ -323,18 +323,21 @@ ROLE_WORDS = {
 }
 
 
-def table_roles(grid: DataFrame) -> DataFrame:
-    """(page, table, column, role, nth): each column's role by its header, else by what more than half of its filled cells look like; ``nth`` of that role in its table."""
+def _with_roles(grid: DataFrame) -> DataFrame:
+    """Cells with their column's role, one exchange by column: its header's word, else what more than half of its filled cells look like."""
+    column = Window.partitionBy("page_id", "table_no", "column_no")
     low = F.lower("text")
     by_word = F.coalesce(*[F.when(T.contains_any(low, words), role) for role, words in ROLE_WORDS.items()])
     filled = ~F.col("heading") & (F.col("text") != "")
-    share = lambda c: F.sum((filled & c).cast("int")) * 2 > F.sum(filled.cast("int"))
+    share = lambda c: F.sum((filled & c).cast("int")).over(column) * 2 > F.sum(filled.cast("int")).over(column)
     looks = {"score": T.score_cell(F.col("text")), "number": T.is_match_number(F.col("text")), "player": T.player_cell(F.col("text")) & ~F.col("text").rlike(r"\d")}
-    columns = grid.where("parse_error is null").groupBy("page_id", "table_no", "column_no").agg(
-        F.max(F.when(F.col("heading"), by_word)).alias("said"), *[share(c).alias(f"is_{name}") for name, c in looks.items()]
-    )
-    role = F.coalesce("said", *[F.when(F.col(f"is_{name}"), name) for name in looks])
-    named = columns.select("page_id", "table_no", "column_no", role.alias("role")).where("role is not null")
+    said = F.max(F.when(F.col("heading"), by_word)).over(column)
+    return grid.where("parse_error is null").withColumn("role", F.coalesce(said, *[F.when(share(c), name) for name, c in looks.items()]))
+
+
+def table_roles(grid: DataFrame) -> DataFrame:
+    """(page, table, column, role, nth): each column's role by its header, else by a vote of its cells; ``nth`` of that role in its table."""
+    named = _with_roles(grid).where("role is not null").select("page_id", "table_no", "column_no", "role").distinct()
     return named.withColumn("nth", F.row_number().over(Window.partitionBy("page_id", "table_no", "role").orderBy("column_no")))
 
 
@@ -344,15 +347,15 @@ def table_matches(grid: DataFrame, by: str = "cell") -> DataFrame:
     ``by="cell"``: in each row the first two cells that look like players and the first that looks like a score, whatever their columns.
     ``by="role"``: the cells of the table's columns with these roles (:func:`table_roles`), so rounds or courts of two words are no players.
     """
-    body = grid.where("parse_error is null and not heading")
-    header = grid.where("heading and row_no = 0").select("page_id", "table_no", "column_no", F.col("text").alias("name"))
-    named = body.join(header, ["page_id", "table_no", "column_no"], "left").withColumn("name", F.coalesce("name", F.col("column_no").cast("string")))
     if by == "role":
-        named = named.join(table_roles(grid), ["page_id", "table_no", "column_no"], "left")
+        cells = _with_roles(grid)
     else:
-        named = named.withColumns({"role": F.when(T.score_cell(F.col("text")), "score").when(T.player_cell(F.col("text")), "player"), "nth": F.lit(0)})
+        cells = grid.where("parse_error is null").withColumn("role", F.when(T.score_cell(F.col("text")), "score").when(T.player_cell(F.col("text")), "player"))
+    column = Window.partitionBy("page_id", "table_no", "column_no")
+    name = F.max(F.when(F.col("heading") & (F.col("row_no") == 0), F.col("text"))).over(column)
+    named = cells.withColumn("name", F.coalesce(name, F.col("column_no").cast("string"))).where("not heading")
     # a cell can look like a player and a score at once only by role; by cell, scores are no players since they have no letter
-    cells = F.array_sort(F.collect_list(F.struct("column_no", "name", "text", "role", "nth")))
+    cells = F.array_sort(F.collect_list(F.struct("column_no", "name", "text", "role")))
     rows = named.groupBy("page_id", "table_no", "row_no").agg(cells.alias("c"))
     of = lambda role: F.transform(F.filter("c", lambda x: (x["role"] == role) & (x["text"] != "")), lambda x: x["text"])
     first = lambda role, i=0: _of(F.get(of(role), F.lit(i)))
