@@ -9,7 +9,8 @@ what; the exact ends come from the kind's form and rule (:data:`FORMS`, :func:`h
 and give way to pattern spans that they touch.
 
 Two exact bounds spare work. Every added span holds a digit, an ``@`` or a written-out ``at``, and is no longer than REACH:
-windows further from those can add nothing and aren't run. A window whose emissions leave no path better than
+windows further from those can add nothing and aren't run. A tagged stretch ends where another window takes over, so that
+no stretch depends on a window left out. Padding leaves both directions' states at zero: a window's tags don't depend on those it runs with. A window whose emissions leave no path better than
 all-outside is decided by that bound. Patterns are searched in linear time, with the results of ``finditer``.
 
 Edge cases: a null or empty text has no spans; the digest of no span is that of the empty string;
@@ -169,18 +170,18 @@ def labelled_text(rng: np.random.Generator, size: int) -> tuple[str, list[int]]:
             )
         )
 
-    def secret() -> tuple[str, str]:
-        """What leads to the value, and the value."""
+    def secret() -> tuple[str, str, str]:
+        """What leads to the value, the value, and what closes it."""
         upper, mixed = "ABCDEFGHIJKLMNOPQRSTUVWXYZ0123456789", "abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ0123456789"
         x = rng.random()
         if x < 0.3:
-            return "", "AKIA" + "".join(rng.choice(list(upper), 16))
+            return "", "AKIA" + "".join(rng.choice(list(upper), 16)), ""
         if x < 0.4:
-            return "", str(rng.choice(["ghp_", "sk-", "xoxb-"])) + "".join(rng.choice(list(mixed), rng.integers(20, 37)))
+            return "", str(rng.choice(["ghp_", "sk-", "xoxb-"])) + "".join(rng.choice(list(mixed), rng.integers(20, 37))), ""
         name = str(rng.choice(["password", "passwd", "pwd", "token", "secret", "api_key", "apikey", "access_key", "Password", "TOKEN"]))
         value = hashlib.sha1(digits(9).encode()).hexdigest()[: int(rng.integers(14, 41))] if x < 0.8 else "".join(rng.choice(list(mixed), rng.integers(14, 30)))
-        lead = str(rng.choice(["=", "=", ": ", " = ", ' = "', '="', ":"]))
-        return name + lead, value
+        lead, close = [("=", ""), ("=", ""), (": ", ""), (" = ", ""), (' = "', '"'), ('="', '"'), (": '", "'"), (':"', '"'), (":", "")][int(rng.integers(0, 9))]
+        return name + lead, value, close + str(rng.choice(["", "", "", "###", ";", "|", "***"]))
 
     makers = (email, ip, card, phone, secret)
     room = size
@@ -189,8 +190,9 @@ def labelled_text(rng: np.random.Generator, size: int) -> tuple[str, list[int]]:
         if x < 0.06:
             k = int(rng.integers(0, len(makers)))
             body = makers[k]()
+            close = ""
             if k == 4:
-                lead, body = body
+                lead, body, close = body
                 parts.append(lead)
                 tags += [0] * len(lead)
                 room -= len(lead)
@@ -199,7 +201,8 @@ def labelled_text(rng: np.random.Generator, size: int) -> tuple[str, list[int]]:
                 tags += [0] * 4
                 room -= 4
                 body = body[4:]
-            mark = [1 + 2 * k] + [2 + 2 * k] * (len(body) - 1)
+            mark = [1 + 2 * k] + [2 + 2 * k] * (len(body) - 1) + [0] * len(close)
+            body += close
         elif x < 0.14:
             body = decoy()
             mark = [0] * len(body)
@@ -341,13 +344,14 @@ def _lstm_backward(x: np.ndarray, u: np.ndarray, kept: list, dh_out: np.ndarray)
 
 
 @functools.lru_cache(maxsize=2)
-def train_tagger(hidden: int = 12, rounds: int = 700, rows: int = 48, length: int = 80, seed: int = 3) -> Params:
+def train_tagger(hidden: int = 12, rounds: int = 1000, rows: int = 48, length: int = 80, seed: int = 3) -> Params:
     """BiLSTM-CRF weights from generated labelled text, by Adam; about ``rounds * rows * length`` characters."""
     rng = np.random.default_rng(seed)
     scale = lambda *s: (rng.standard_normal(s) * 0.3).astype(np.float32)
     p: Params = {"ef": scale(VOCABULARY, 4 * hidden), "eb": scale(VOCABULARY, 4 * hidden), "uf": scale(hidden, 4 * hidden), "ub": scale(hidden, 4 * hidden), "w": scale(2 * hidden, TAGS), "b": np.zeros(TAGS, np.float32), "a": np.zeros((TAGS, TAGS), np.float32)}
     for k in ("ef", "eb"):
         p[k][:, hidden : 2 * hidden] += 1
+        p[k][PAD, : 3 * hidden] = -1e9  # shut gates: padding leaves the state at zero
     m, v = ({k: np.zeros_like(x) for k, x in p.items()} for _ in range(2))
     text, tags = labelled_text(rng, 400_000)
     x_all = classes(np.array([ord(c) for c in text]))
@@ -382,7 +386,9 @@ def train_tagger(hidden: int = 12, rounds: int = 700, rows: int = 48, length: in
     return p
 
 
-_AT = re.compile(r"[\[(]\s?at\s?[\])]|\sat\s{1,2}[a-z0-9-]+\s?[\[(]?\s?dot\b", re.I)
+_AT = re.compile(r"[\[(]\s?at\s?[\])]", re.I)
+_PLAIN_AT = re.compile(r"(?<=\s)at(?=\s)", re.I)
+_DOT = re.compile(r"\bdot\b", re.I)
 
 
 def _anchors(text: str) -> np.ndarray:
@@ -392,8 +398,13 @@ def _anchors(text: str) -> np.ndarray:
         out.append(np.array([m.start() for m in _DIGIT.finditer(text)], np.int64))
     if "@" in text:
         out.append(np.array([m.start() for m in re.finditer("@", text)], np.int64))
-    if "at" in (low := text.lower()) and ("dot" in low or "(" in low or "[" in low):
-        out.append(np.array([m.start() for m in _AT.finditer(text)], np.int64))
+    if "at" in (low := text.lower()):
+        if "(" in low or "[" in low:
+            out.append(np.array([m.start() for m in _AT.finditer(text)], np.int64))
+        if "dot" in low:
+            # a plain "at" counts only with a written-out dot in the same span
+            at, dot = (np.array([m.start() for m in form.finditer(text)], np.int64) for form in (_PLAIN_AT, _DOT))
+            out.append(at[np.searchsorted(dot, at + REACH) > np.searchsorted(dot, at - REACH)])
     return np.sort(np.concatenate(out)) if out else np.zeros(0, np.int64)
 
 
@@ -447,6 +458,7 @@ def tag_spans(texts: list[str], p: Params, most: int = 512, gated: bool = True)
     for i, parts in found.items():
         n = len(texts[i])
         whole = np.zeros(n, np.int8)
+        taken_over = set(range(step + OVERLAP // 2, n, step))
         for s, tags in sorted(parts, key=lambda q: q[0]):
             low = s + (OVERLAP // 2 if s else 0)
             high = s + WINDOW - OVERLAP // 2 if s + WINDOW < n else n
@@ -460,7 +472,7 @@ def tag_spans(texts: list[str], p: Params, most: int = 512, gated: bool = True)
                 continue
             k = (t - 1) // 2
             end = at + 1
-            while end < n and whole[end] == 2 + 2 * k:
+            while end < n and whole[end] == 2 + 2 * k and end not in taken_over:
                 end += 1
             out[i].append((at, k, end))
             at = end
@@ -506,14 +518,19 @@ def all_spans(texts: list[str], p: Params) -> list[tuple[list[tuple[int, int, in
     for text, more in zip(texts, tag_spans(texts, p), strict=True):
         base = pattern_spans(text)
         whole = list(base)
-        taken = sorted((s, e) for s, _, e in base)
+        # base spans of different kinds may overlap: taken together they are apart, so starts and ends are both sorted
+        taken: list[tuple[int, int]] = []
+        for s, _, e in base:
+            if taken and s < taken[-1][1]:
+                taken[-1] = (taken[-1][0], max(taken[-1][1], e))
+            else:
+                taken.append((s, e))
         for s, k, e in more:
             for a, b in exact_spans(text, TAGGED[k], s, e):
-                # base spans of different kinds may overlap: their starts are sorted, their ends nearly so
                 i = bisect.bisect_left(taken, (b,))
-                if not any(y > a for _, y in taken[max(0, i - 8) : i]):
+                if not (i and taken[i - 1][1] > a):
                     whole.append((a, k, b))
-                    bisect.insort(taken, (a, b))
+                    taken.insert(i, (a, b))
         out.append((base, sorted(whole)))
     return out
 
@@ -537,10 +554,9 @@ def _find(names: list[str], text: str, added: list[str], p: Params):
                 part = batch.slice(at, end - at)
                 counts = [pa.array([sum(1 for _, k, _ in base if k == kind) for base, _ in spans], pa.int64()) for kind in range(len(KINDS))]
                 digests = pa.array([hashlib.sha256(span_text(base).encode()).hexdigest() for base, _ in spans])
-                personal = [[x for x in w if x[1] < len(KINDS)] for _, w in spans]
                 secrets = [[x for x in w if x[1] >= len(KINDS)] for _, w in spans]
                 cols = [
-                    *counts, digests, pa.array([span_text(w) for w in personal]), pa.array([len(w) - len(b) for b, w in spans], pa.int64()),
+                    *counts, digests, pa.array([span_text(w) for _, w in spans]), pa.array([len(w) - len(b) for b, w in spans], pa.int64()),
                     pa.array([span_text(w) for w in secrets]), pa.array([len(w) for _, w in spans], pa.int64()),
                 ]
                 yield pa.RecordBatch.from_arrays([*(part.column(c) for c in names), *cols], [*names, *added])
@@ -550,8 +566,8 @@ def _find(names: list[str], text: str, added: list[str], p: Params):
 
 
 def find_personal_data(df: DataFrame, keep: list[str], params: Params | None = None) -> DataFrame:
-    """``keep`` columns, counts of pattern spans by kind, their digest, all spans of those kinds as text, how many
-    spans the tagger added (secrets among them), the spans of secrets, and the number of all spans."""
+    """``keep`` columns, counts of pattern spans by kind, their digest, all spans as text (those of secrets too), how many
+    of them the tagger added, the spans of secrets by themselves, and the number of all spans."""
     kinds = dict(df.dtypes)
     typed = [*((f"n_{k}", "bigint") for k in KINDS), ("base_sha256", "string"), ("spans", "string"), ("n_added", "bigint"), ("secrets", "string"), ("n_spans", "bigint")]
     added = [fresh(keep, c) for c, _ in typed]
