@@ -473,4 +473,4 @@ def long_features(spark: SparkSession, d: str) -> DataFrame:
     return build(view(spark, d, "matches"), view(spark, d, "ratings"))
 
 
-from . import more, scans  # noqa: E402, F401  register their queries
+from . import learned, more, scans  # noqa: E402, F401  register their queries
