@@ -51,7 +51,7 @@ class Boosted:
         return Boosted(**json.loads(text))
 
 
-def _kept(df: DataFrame) -> DataFrame:
+def kept(df: DataFrame) -> DataFrame:
     """``df`` cut off from its lineage, in the folder that ``spark.checkpoint.dir`` names."""
     sc = df.sparkSession.sparkContext
     if sc.getCheckpointDir() is None:
@@ -184,7 +184,7 @@ def fit(
     w = F.coalesce(F.col(weight).cast("double"), F.lit(0.0)) if weight else F.lit(1.0)
     judged = F.coalesce(F.col(valid).cast("boolean"), F.lit(False)) if valid else F.lit(False)
     draw = F.xxhash64(*[F.col(k).cast("string") for k in key])
-    held = _kept(rows.select(binned(features, edges).alias("bins"), F.col(label).cast("double").alias("y"), w.alias("w"), judged.alias("judged"), draw.alias("draw")))
+    held = kept(rows.select(binned(features, edges).alias("bins"), F.col(label).cast("double").alias("y"), w.alias("w"), judged.alias("judged"), draw.alias("draw")))
     whole = lambda x: F.sum(F.round(x * F.lit(float(UNIT))).cast("long"))
     total = held.where("not judged").agg(whole(F.col("w")).alias("w"), whole(F.col("w") * F.col("y")).alias("y")).first()
     if not total.w:
@@ -196,7 +196,7 @@ def fit(
     while len(model.trees) < rounds:
         m = margin(F.col("bins"), model.trees[done:], depth, F.col("m"))
         if len(model.trees) - done >= every:
-            held = _kept(held.withColumn("m", m))
+            held = kept(held.withColumn("m", m))
             done, m = len(model.trees), F.col("m")
             if valid:
                 p = F.least(F.lit(1 - 1e-12), F.greatest(F.lit(1e-12), probability(m)))
@@ -257,6 +257,6 @@ def fit_modes(long: DataFrame, features: Sequence[str], label: str = "win", key:
         part = score(model, marked).select(F.lit(n).alias("model"), F.col("is_valid").alias("is_test"), F.col(label).alias("y"), "p")
         every = part if every is None else every.unionByName(part)
     figures = split_diagnostics(every)
-    kept = long.sparkSession.createDataFrame(figures.collect(), figures.schema)  # a row a mode
-    chosen = select_mode(kept.select(F.col("model").alias("mode"), F.col("test_logloss").alias("logloss"), F.abs("gap").alias("gap"))).first()["mode"]
-    return chosen, fitted, kept
+    table = long.sparkSession.createDataFrame(figures.collect(), figures.schema)  # a row a mode
+    chosen = select_mode(table.select(F.col("model").alias("mode"), F.col("test_logloss").alias("logloss"), F.abs("gap").alias("gap"))).first()["mode"]
+    return chosen, fitted, table

@@ -32,7 +32,7 @@ _EDGES = ", ".join(f"list_distinct(quantile_cont(cast({f} as double), [{', '.joi
 )
 def boosting_histogram(spark: SparkSession, d: str) -> DataFrame:
     """The sums that a first tree's first level is made of: derivatives at even odds by feature and bin, the missing in bin 0."""
-    rows = _rows(spark, d)
+    rows = B.kept(_rows(spark, d).select("win", *FEATURES))
     bins = B.binned(FEATURES, B.bin_edges(rows, FEATURES, 16))
     ready = rows.select(bins.alias("bins"), F.col("win").cast("double").alias("y"), F.lit(1.0).alias("w"))
     return B.histogram(B.with_gradients(ready, "y", "w", F.lit(0.0))).select("feature", "bin", "g", "h", "n")
@@ -41,6 +41,6 @@ def boosting_histogram(spark: SparkSession, d: str) -> DataFrame:
 @register("boosted_symmetric")
 def boosted_symmetric(spark: SparkSession, d: str) -> DataFrame:
     """A model of twelve trees, fitted on all rows before the split date: figures before and after it."""
-    split = E.temporal_split(_rows(spark, d))
+    split = B.kept(E.temporal_split(_rows(spark, d)).select("match_id", "perspective", "win", "is_test", *FEATURES))
     model = B.fit(split.where("is_test = 0"), FEATURES, rounds=12, step=0.3)
     return E.metrics(B.score(model, split), ["is_test"], "win")
