@@ -16,6 +16,7 @@ carried; extra columns are ignored unless kept, and an output column whose name
 from __future__ import annotations
 
 import functools
+import heapq
 import html
 import math
 import random
@@ -109,26 +110,52 @@ def _opened(held: list[tuple[tuple[str, str, str], int, int]], parents: list[int
             heading[node] = True
         elif kind == "tag" and value in ("article", "main") and of >= 0:
             article[node] = True
-    whole = [Counter(w) for w in words]
-    for i in range(n - 1, 0, -1):
-        whole[parents[i]].update(whole[i])
-        heading[parents[i]] |= heading[i]
-        article[parents[i]] |= article[i]
-    some = any(c for of, c in whole[0].items() if of >= 0)
-    weight = lambda w: max((c for of, c in w.items() if of >= 0), default=0) if some else sum(w.values())
+    some = any(c for w in words for of, c in w.items() if of >= 0)
+    best, total, children = [0] * n, [0] * n, [[] for _ in range(n)]  # of an element with all that it holds
+    whole: list[Counter] = [Counter() for _ in range(n)]
+
+    def add(i: int, more: Counter) -> None:
+        for of, c in more.items():
+            whole[i][of] += c
+            if of >= 0:
+                best[i] = max(best[i], whole[i][of])
+
+    for i in range(n - 1, -1, -1):  # an element comes after the one around it
+        add(i, words[i])
+        total[i] += sum(words[i].values())
+        if i:
+            up = parents[i]
+            children[up].append(i)
+            heading[up] |= heading[i]
+            article[up] |= article[i]
+            total[up] += total[i]
+            best[up] = max(best[up], best[i])
+            if len(whole[up]) < len(whole[i]):  # the smaller one moves, so an article moves a logarithmic number of times
+                whole[up], whole[i] = whole[i], whole[up]
+            add(up, whole[i])
+            whole[i] = Counter()
+    weight = best if some else total
     opened = [True] + [False] * (n - 1)
-    stays = Counter(words[0])
-    edge = {i for i in range(1, n) if parents[i] == 0}
+    stays, rest = Counter(), 0
+
+    def stay(i: int) -> None:
+        nonlocal rest
+        for of, c in words[i].items():
+            stays[of] += c
+            rest = (max(rest, stays[of]) if of >= 0 else rest) if some else rest + c
+
+    stay(0)
+    edge = [(-weight[i], i) for i in children[0]]
+    heapq.heapify(edge)
     while edge:
-        i = max(edge, key=lambda i: (weight(whole[i]), -i))
-        own, rest = weight(whole[i]), weight(stays)
-        if own <= rest or not (heading[i] or article[i] or own >= MOST * rest):
-            edge.remove(i)
-            continue
-        edge.remove(i)
-        opened[i] = True
-        stays.update(words[i])
-        edge |= {j for j in range(i + 1, n) if parents[j] == i}
+        own, i = heapq.heappop(edge)
+        if -own <= rest:  # so have all others
+            break
+        if heading[i] or article[i] or -own >= MOST * rest:
+            opened[i] = True
+            stay(i)
+            for j in children[i]:
+                heapq.heappush(edge, (-weight[j], j))
     return opened
 
 
