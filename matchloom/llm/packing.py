@@ -1,8 +1,10 @@
 """Conflict-constrained best-fit packing of documents into fixed token budgets.
 
-Rows are dealt evenly, by row number and not by key, to shards of about ``shard_rows`` rows; each
-shard packs alone in bounded memory. Within one, bins are kept by residual; each carries a bitmap
-of source lanes and one of duplicate clusters. A piece goes to the bin with the smallest residual
+Rows are numbered in the order of (id, cluster, source, tokens) and dealt evenly, by that number and not by key, to
+shards of about ``shard_rows`` rows; each shard packs alone in bounded memory. Bins that a shard couldn't fill are
+opened again and their pieces dealt to fewer shards, round by round, until one shard holds all that is left: what
+shards cost is paid once, in that last one, whatever the number of rows. Within a shard, bins are kept by residual; each
+carries a bitmap of source lanes and one of duplicate clusters. A piece goes to the bin with the smallest residual
 that holds it, and the successor search goes on to larger residuals until a bin without conflict
 is found: that bin is the tightest compatible one. Else a new bin opens. Pieces come largest first.
 
@@ -15,14 +17,16 @@ each a bin of its own, and a rest.
 Edge cases: a null or empty text, or one without words, has no tokens: it gets one row with 0
 tokens and a null bin; a null source is a source of its own; null ids are carried; repeated rows
 are packed each, as copies of each other; extra columns are ignored; an empty table gives an
-empty result. An output column takes no other name: extra columns aren't carried. Ties in size go by row number, which follows the
-order of the table's files: the same table packs the same way.
+empty result. An output column takes no other name: extra columns aren't carried. Ties in size go by row number; rows of one number's
+key are alike, so the same rows pack the same way in whatever partitions and order they come.
 """
 
 from __future__ import annotations
 
 from collections import Counter
 from collections.abc import Iterator
+from functools import reduce
+from itertools import accumulate
 
 import numpy as np
 import pandas as pd
@@ -34,6 +38,8 @@ from .storage import materialise
 from .workers import trimmed
 
 SCHEMA = "doc_id bigint, source string, piece int, n_tokens int, bin_id bigint, bin_offset int, bin_free int"
+#: A bin with a larger part of its capacity free than this is opened again in the next round.
+LOOSE = 1 / 16
 
 
 def best_fit(sizes: list[int], lanes: list[int], clusters: list[int], capacity: int) -> tuple[list[int], list[int], list[int]]:
@@ -83,9 +89,10 @@ def best_fit(sizes: list[int], lanes: list[int], clusters: list[int], capacity:
 
 
 def _pack_shard(rows: pd.DataFrame, capacity: int, source_lanes: int | None) -> pd.DataFrame:
-    rows = rows.sort_values("rid", kind="stable")
+    rows = rows.sort_values(["rid", "piece"], kind="stable")
     sources = rows["source"].tolist()
     tokens = rows["n_tokens"].to_numpy(np.int64)
+    pieces = rows["piece"].tolist()
     cluster = rows["cluster"].to_numpy(np.int64)
     share = Counter(sources)
     if source_lanes is None:
@@ -102,7 +109,7 @@ def _pack_shard(rows: pd.DataFrame, capacity: int, source_lanes: int | None) ->
     for i, (s, n) in enumerate(zip(sources, tokens.tolist(), strict=True)):
         for p in range(max(1, -(-n // capacity))):
             row.append(i)
-            piece.append(p)
+            piece.append(pieces[i] + p)
             size.append(min(capacity, n - p * capacity))
             lane.append(first[s] + turn[s] % width[s])
             bits.append(int(bit[i]))
@@ -117,6 +124,8 @@ def _pack_shard(rows: pd.DataFrame, capacity: int, source_lanes: int | None) ->
     out["bin_id"] = pd.array([None if g[0] is None else (shard << 32) + g[0] for g in got], "Int64")
     out["bin_offset"] = pd.array([g[1] for g in got], "Int32")
     out["bin_free"] = pd.array([g[2] for g in got], "Int32")
+    out["cluster"] = cluster[row]
+    out["rid"] = rows["rid"].to_numpy(np.int64)[row]
     return out
 
 
@@ -129,7 +138,7 @@ def _shards(capacity: int, source_lanes: int | None):
             rows = table.to_pandas(types_mapper={pa.int64(): pd.Int64Dtype()}.get)
             rows["source"] = table.column("source").to_pylist()
             out = _pack_shard(rows, capacity, source_lanes)
-            schema = pa.schema([("doc_id", pa.int64()), ("source", pa.string()), ("piece", pa.int32()), ("n_tokens", pa.int32()), ("bin_id", pa.int64()), ("bin_offset", pa.int32()), ("bin_free", pa.int32())])
+            schema = pa.schema([("doc_id", pa.int64()), ("source", pa.string()), ("piece", pa.int32()), ("n_tokens", pa.int32()), ("bin_id", pa.int64()), ("bin_offset", pa.int32()), ("bin_free", pa.int32()), ("cluster", pa.int64()), ("rid", pa.int64())])
             yield from pa.Table.from_pandas(out, schema=schema, preserve_index=False).to_batches()
 
         for batch in batches:
@@ -154,6 +163,19 @@ def word_count(text: Column) -> Column:
     return F.when(t == "", F.lit(0)).otherwise(F.size(F.split(t, r"\s+"))).cast("long")
 
 
+def _numbered(rows: DataFrame) -> DataFrame:
+    """``rid``: the place of each row in the order of its columns; many rows alike are sorted by several tasks."""
+    order = [*rows.columns, "_at"]
+    told = rows.withColumn("_at", F.monotonically_increasing_id())
+    placed = materialise(told.repartitionByRange(*order).sortWithinPartitions(*order).drop("_at").withColumn("_at", F.monotonically_increasing_id()))
+    part = F.shiftright("_at", 33)
+    counts = sorted((r[0], r[1]) for r in placed.groupBy(part.alias("part")).count().collect())  # a row a partition
+    ends = list(accumulate((c for _, c in counts), initial=0))
+    base = rows.sparkSession.createDataFrame([(p, e) for (p, _), e in zip(counts, ends, strict=False)], "_part long, _base long")
+    at = placed.join(F.broadcast(base), part == F.col("_part"))
+    return at.withColumn("rid", F.col("_base") + F.col("_at").bitwiseAND((1 << 33) - 1)).drop("_at", "_part", "_base")
+
+
 def pack(df: DataFrame, capacity: int = 2048, tokens: Column | None = None, cluster: Column | None = None, shard_rows: int = 4096, source_lanes: int | None = None) -> DataFrame:
     """A row for each piece of each row of ``df`` (doc_id, source, text), with its bin.
 
@@ -163,8 +185,23 @@ def pack(df: DataFrame, capacity: int = 2048, tokens: Column | None = None, clus
     tokens = word_count(F.col("text")) if tokens is None else tokens
     cluster = F.xxhash64(F.coalesce(F.col("text"), F.lit(""))) if cluster is None else cluster
     narrow = df.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("source").cast("string").alias("source"), tokens.cast("long").alias("n_tokens"), cluster.cast("long").alias("cluster"))
-    kept = materialise(narrow)
-    shards = max(1, -(-kept.count() // shard_rows))
-    dealt = kept.withColumn("rid", F.monotonically_increasing_id()).withColumn("shard", F.pmod(F.xxhash64("rid"), F.lit(shards)).cast("int"))
-    ready = dealt.repartition("shard").sortWithinPartitions("shard", "rid")
-    return ready.mapInArrow(trimmed(_shards(capacity, source_lanes)), SCHEMA)
+    rows = _numbered(materialise(narrow)).withColumn("piece", F.lit(0))
+    left = rows.count()
+    done: list[DataFrame] = []
+    first = 0  # shards of earlier rounds
+    while True:
+        shards = max(1, -(-left // shard_rows))
+        dealt = rows.withColumn("shard", F.lit(first) + F.pmod(F.xxhash64("rid"), F.lit(shards)).cast("int"))
+        ready = dealt.repartition("shard").sortWithinPartitions("shard", "rid", "piece")
+        packed = ready.mapInArrow(trimmed(_shards(capacity, source_lanes)), f"{SCHEMA}, cluster bigint, rid bigint")
+        if shards > 1:
+            packed = materialise(packed)
+            loose = F.coalesce(F.col("bin_free") > int(capacity * LOOSE), F.lit(False))
+            rows = packed.where(loose).select("doc_id", "source", F.col("n_tokens").cast("long").alias("n_tokens"), "cluster", "rid", "piece")
+            before, left = left, rows.count()
+            if 2 * left <= before:
+                done.append(packed.where(~loose))
+                first += shards
+                continue
+        done.append(packed)
+        return reduce(DataFrame.unionByName, done).drop("cluster", "rid")
