@@ -153,9 +153,10 @@ def metrics(df: DataFrame, by: Sequence[str], y: str = "y", p: str = "p") -> Dat
 
 
 def scale_grid(df: DataFrame, diff: str, grid: Sequence[float], y: str = "y") -> DataFrame:
-    """Metrics of the logistic-10 of ``diff`` at each scale, and their rank: least log loss, Brier, greatest AUC."""
+    """Metrics of the logistic-10 of ``diff`` at each scale, and their rank: least log loss, Brier, greatest AUC. Scales with fewer than ten rows, or rows of one class, aren't ranked."""
     rows = df.where(F.col(diff).isNotNull()).withColumn("scale", F.explode(F.array(*[F.lit(float(s)) for s in grid])))
     m = metrics(rows.withColumn("p", logistic10(F.col(diff), F.col("scale"))), ["scale"], y)
+    m = m.where("n >= 10 and roc_auc is not null")
     return m.withColumn("place", F.row_number().over(Window.orderBy("logloss", "brier", F.col("roc_auc").desc())))
 
 

@@ -6,7 +6,7 @@ import math
 from collections.abc import Iterator
 
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 TRAIN_ELO = {"k": 24.0, "margin": 0.30, "recency_days": 90.0, "base": 1500.0}
@@ -95,6 +95,28 @@ def elo(matches: DataFrame, pool: str | None = None, preset: dict[str, float] =
     return dealt.sortWithinPartitions("pool", *ORDER).mapInArrow(_elo_rows(preset), f"match_id {kind}, elo1_pre double, elo2_pre double, expected1 double")
 
 
+def elo_until(matches: DataFrame, at: Column, preset: dict[str, float] = SERVE_ELO) -> DataFrame:
+    """One replay of the matches before ``at``: two rows a match (a side, its opponent, both ratings before it) and one row a player
+    without a match, dated ``at``, with its rating by then."""
+    kinds = dict(matches.dtypes)
+    past = matches.where(F.col("match_date") < at)
+    side = lambda c: F.col(c).cast(kinds["player1_id"])
+    one = lambda i, a, b, w, on: F.struct(i.alias("id"), a.alias("player1_id"), b.alias("player2_id"), w.cast("int").alias("win"), on.alias("on_date")).alias("match_id")
+    games = F.col("games_diff") if "games_diff" in kinds else F.lit(None)
+    cols = ("match_id", "player1_id", "player2_id", "winner_player1", "games_diff", "match_date")
+    played = past.select(one(F.col("match_id"), side("player1_id"), side("player2_id"), F.col("winner_player1"), F.col("match_date")), side("player1_id"), side("player2_id"), F.col("winner_player1").cast("double"), games.cast("double"), "match_date").toDF(*cols)
+    people = past.select(F.explode(F.array("player1_id", "player2_id")).alias("p")).where("p is not null").distinct()
+    last = people.select(one(F.lit(None).cast(kinds["match_id"]), F.col("p"), F.lit(None).cast(kinds["player1_id"]), F.lit(None), at.cast("date")), F.col("p"), F.col("p"), F.lit(None).cast("double"), F.lit(None).cast("double"), at.cast("date")).toDF(*cols)
+    # a day that no match of the past has puts the players' rows last
+    out = elo(played.unionByName(last), preset=preset)
+    m = F.col("match_id")
+    row = lambda who, other, win, own, opp: F.struct(who.alias("player_id"), other.alias("opponent_id"), win.alias("win"), own.alias("elo"), opp.alias("opponent_elo"))
+    first = row(m["player1_id"], m["player2_id"], m["win"], F.col("elo1_pre"), F.col("elo2_pre"))
+    second = row(m["player2_id"], m["player1_id"], 1 - m["win"], F.col("elo2_pre"), F.col("elo1_pre"))
+    sides = F.when(m["id"].isNull(), F.array(first)).otherwise(F.array(first, second))
+    return out.select(m["id"].alias("match_id"), m["on_date"].alias("match_date"), F.explode(sides).alias("_s")).select("match_id", "match_date", "_s.*")
+
+
 def with_elo(long: DataFrame, ratings: DataFrame) -> DataFrame:
     """Each side's and its opponent's rating before the match, the difference, and the expected score."""
     first = F.col("perspective") == "player1"

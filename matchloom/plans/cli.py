@@ -73,7 +73,9 @@ def predict(spark: SparkSession, folder: str, one: str, two: str, date: str, mod
         "recent": _records(S.recent_matches(both, date)),
         "history": _records(S.history_until(both, date).select("player_id", "match_date", "match_id", "opponent_id", "win").orderBy("player_id", "match_date", "match_id")),
         "rating_history": [] if ratings is None else _records(P.rating_history(ratings, found)),
+        "rated_profiles": [] if ratings is None else _records(S.rated_profiles(matches, ratings, date).where(S.F.col("player_id").isin(*found)).orderBy("player_id")),
         "head_to_head": _records(S.h2h_detail(long, *found, date).orderBy("match_date", "match_id")),
+        "head_to_head_summary": _records(S.meeting_summary(matches.where(S.F.col("player1_id").isin(*found) & S.F.col("player2_id").isin(*found)), date)),
         "common_opponents": _records(report.orderBy(S.F.desc("weight"), "common_id")),
         "signal": _records(S.signal(report)),
     }

@@ -15,11 +15,12 @@ from ..operators import evaluate as E
 from ..operators import history as H
 from ..operators import keyed as K
 from ..operators import master as M
+from ..operators import serve as S
 from ..operators.matching import ambiguous_names, attach_ids, match_names
 from ..operators.forecast import pair_rows, rating_history
 from ..sources import pages as P
 from ..sources.views import table, view
-from .registry import _KEYS, LONG, _long, _metric_sql, _scored, _SCORED, r6, register
+from .registry import _elo_steps, _KEYS, LONG, _long, _metric_sql, _scored, _SCORED, r6, register
 
 #: Matches by name as a page gives them: some twice, some without a name or a winner.
 RAW = """raw as (select m.match_id, m.match_date, case when m.match_id % 97 = 0 then '' else a.raw_name end as player1_raw, b.raw_name as player2_raw, s.detailed_raw as result_sets, s.score_raw as summary_score_raw,
@@ -377,3 +378,53 @@ def file_names(spark: SparkSession, d: str) -> DataFrame:
     c = table(spark, d, "customer")
     url = F.when(F.col("c_custkey") % 2 == 0, "/x/matches/?a=1").otherwise("/x/#b")
     return c.select("c_custkey", T.output_base(F.col("c_custkey"), 9, F.concat("c_name", F.lit(" / <a>: "))).alias("base"), T.tour_id(F.concat(F.lit("tour_"), F.col("c_custkey").cast("string"), F.lit("_matches.html"))).alias("from_name"), T.matches_url(url).alias("url"))
+
+
+_AT = "1997-06-01"
+
+
+@register(
+    "rated_profiles",
+    f"""{_elo_steps("'all'", 32.0, 0.08, 45.0, f" where match_date < date '{_AT}'")},
+ fin as (select unnest(map_keys(st)) as player_id, unnest(map_values(st)) as elo from (select st from s order by i desc limit 1)),
+ l as (select o.match_id, o.match_date, o.player1_id as player_id, o.winner_player1 as win, s.rb as opp from s join o on o.i = s.i
+  union all select o.match_id, o.match_date, o.player2_id, 1 - o.winner_player1, s.ra from s join o on o.i = s.i),
+ r as (select *, row_number() over (partition by player_id order by match_date desc, match_id desc) as rn from l),
+ g as (select player_id, count(*) as matches, cast(sum(win) as bigint) as wins, round(avg(win), 6) as win_rate, round(avg(case when rn <= 5 then win end), 6) as form5, round(avg(case when rn <= 10 then win end), 6) as form10,
+  max(match_date) as last_date, cast(date_diff('day', max(match_date), date '{_AT}') as bigint) as rest_days, round(avg(case when rn <= 5 then opp end), 4) as opponent_elo_last5 from r group by 1),
+ k as (select *, row_number() over (partition by player_id order by classification_date desc, age_group desc) as rn from ratings where classification_date <= date '{_AT}')
+ select g.*, round(fin.elo, 4) as elo, cast(k.place as bigint) as rank, round(k.points, 4) as points, k.classification_date as rating_date, k.age_group as rating_age_group
+ from g join fin using (player_id) left join k on k.player_id = g.player_id and k.rn = 1""",
+)
+def rated_profiles(spark: SparkSession, d: str) -> DataFrame:
+    p = S.rated_profiles(view(spark, d, "matches"), view(spark, d, "ratings"), _AT)
+    r4 = lambda c: F.round(c, 4).alias(c)
+    return p.select("player_id", "matches", "wins", r6("win_rate"), r6("form5"), r6("form10"), "last_date", F.col("rest_days").cast("long").alias("rest_days"), r4("opponent_elo_last5"), r4("elo"), F.col("rank").cast("long").alias("rank"), r4("points"), "rating_date", "rating_age_group")
+
+
+@register(
+    "meeting_summary",
+    f"""with t as (select least(player1_id, player2_id) as player_id, greatest(player1_id, player2_id) as opponent_id, match_date, match_id,
+ case when (winner_player1 = 1) = (player1_id < player2_id) then 1 else 0 end as win, case when player1_id < player2_id then games_diff else -games_diff end as games from matches where match_date < date '{_AT}')
+ select player_id, opponent_id, count(*) as matches, cast(sum(win) as bigint) as wins, cast(sum(1 - win) as bigint) as losses, cast(sum(games) as double) as games_diff, max(match_date) as last_date,
+ arg_max(case when win = 1 then player_id else opponent_id end, row(match_date, match_id)) as last_winner from t group by 1, 2""",
+)
+def meeting_summary(spark: SparkSession, d: str) -> DataFrame:
+    return S.meeting_summary(view(spark, d, "matches"), _AT).withColumn("games_diff", F.col("games_diff").cast("double"))
+
+
+#: One whole name, one that many names contain, and a surname.
+_NAMES = ("Surname15 Bname Cpatron", "bname c", "surname7")
+
+
+@register(
+    "latest_of_names",
+    f"""with a as (select unnest({list(_NAMES)}) as asked), l as (select player1_id as player_id, match_date from matches union all select player2_id, match_date from matches),
+ h as (select a.asked, lower(p.full_name) = lower(a.asked) as exact, p.player_id, p.full_name as player_name, max(l.match_date) as match_date
+  from l join players p on p.player_id = l.player_id join a on contains(lower(p.full_name), lower(a.asked)) group by 1, 2, 3, 4),
+ r as (select *, row_number() over (partition by asked order by exact desc, match_date desc, player_id desc) as rn, count(*) over (partition by asked, exact) as candidates from h)
+ select a.asked, cast(r.exact as bigint) as exact, r.player_id, r.player_name, r.match_date, coalesce(r.candidates, 0) as candidates from a left join r on r.asked = a.asked and r.rn = 1""",
+)
+def latest_of_names(spark: SparkSession, d: str) -> DataFrame:
+    people = view(spark, d, "players").select("player_id", F.col("full_name").alias("player_name"))
+    return S.latest_of_names(_long(spark, d).select("player_id", "match_date").join(people, "player_id"), _NAMES).withColumn("exact", F.col("exact").cast("long"))

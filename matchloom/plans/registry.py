@@ -220,9 +220,9 @@ def h2h_running(spark: SparkSession, d: str) -> DataFrame:
     return H.head_to_head(_long(spark, d)).select("match_id", "perspective", "h2h_matches_before", "h2h_wins_before", r6("h2h_win_rate_before"))
 
 
-def _elo_sql(pool: str, k: float, margin: float, days: float) -> str:
+def _elo_steps(pool: str, k: float, margin: float, days: float, only: str = "") -> str:
     """Ratings by recursion over the matches in order, with one state map a pool."""
-    return f"""with recursive o as (select *, row_number() over (partition by {pool} order by match_date, match_id) as i, {pool} as pool from matches),
+    return f"""with recursive o as (select *, row_number() over (partition by {pool} order by match_date, match_id) as i, {pool} as pool from matches{only}),
  s as (select cast(0 as bigint) as i, pool, cast(null as bigint) as match_id, 0.0::double as ra, 0.0::double as rb, 0.0::double as ex, map([]::bigint[], []::double[]) as st, map([]::bigint[], []::date[]) as ld from (select distinct pool from o)
  union all
  select i, pool, match_id, ra, rb, ex, map_concat(st, map([p1, p2], [ra + kk * wa * (w - ex), rb + kk * wb * (ex - w)])), map_concat(ld, map([p1, p2], [dt, dt])) from (
@@ -232,7 +232,11 @@ def _elo_sql(pool: str, k: float, margin: float, days: float) -> str:
    {k}::double * (1.0 + {margin}::double * ln(1.0::double + abs(o.games_diff))) as kk,
    coalesce(2.0 - exp(-cast(date_diff('day', element_at(s.ld, o.player1_id)[1], o.match_date) as double) / {days}::double), 1.0::double) as wa,
    coalesce(2.0 - exp(-cast(date_diff('day', element_at(s.ld, o.player2_id)[1], o.match_date) as double) / {days}::double), 1.0::double) as wb
-  from s join o on o.i = s.i + 1 and o.pool = s.pool)))
+  from s join o on o.i = s.i + 1 and o.pool = s.pool)))"""
+
+
+def _elo_sql(pool: str, k: float, margin: float, days: float) -> str:
+    return f"""{_elo_steps(pool, k, margin, days)}
  select match_id, round(ra, 5) as elo1_pre, round(rb, 5) as elo2_pre, round(ex, 6) as expected1 from s where i > 0"""
 
 

@@ -17,7 +17,7 @@ def test_entry_imports_without_llm():
 
 
 @pytest.mark.skipif(not os.path.isdir(SF), reason="no tables")
-@pytest.mark.parametrize("name", ["flagship_history", "score_grammar", "name_match_audit", "upsert_master", "elo_global", "common_opponents", "calibration_bins", "rating_snapshot_fallback", "matches_enriched", "match_table", "opponent_side", "pair_rows", "page_records", "ranking_tables", "json_rows", "tournament_metadata", "guess_city"])
+@pytest.mark.parametrize("name", ["flagship_history", "score_grammar", "name_match_audit", "upsert_master", "elo_global", "common_opponents", "calibration_bins", "rating_snapshot_fallback", "matches_enriched", "match_table", "opponent_side", "pair_rows", "page_records", "ranking_tables", "json_rows", "tournament_metadata", "guess_city", "rated_profiles", "meeting_summary", "latest_of_names"])
 def test_query_equals_sql(spark, name):
     con = duckdb.connect()
     for t in "region nation customer supplier part orders lineitem events pages".split():

@@ -114,3 +114,55 @@ def test_streams_equal_batch(spark, tmp_path):
     q.awaitTermination(120)
     want = {r.match_id: r.h2h_matches_before for r in H.head_to_head(H.perspectives(m)).collect()}
     assert {r.match_id: r.matches_before for r in spark.table("pairs").collect()} == want
+
+
+def test_rated_profiles_equal_a_plain_replay(spark):
+    matches = sample(spark)
+    ratings = spark.createDataFrame(
+        [(0, "u15", D(2025, 1, 1), 10.0, 3), (0, "u17", D(2025, 2, 1), 20.0, 2), (0, "u15", D(2025, 3, 1), 99.0, 1), (1, "u15", D(2025, 1, 1), 5.0, 9)],
+        "player_id long, age_group string, classification_date date, points double, place long",
+    )
+    got = {r.player_id: r for r in serve.rated_profiles(matches, ratings, "2025-02-10").collect()}
+    past = sorted((r for r in matches.collect() if r.match_date < D(2025, 2, 10)), key=lambda r: (r.match_date, r.match_id))
+    before = {r.match_id: r for r in H.elo(matches, preset=H.SERVE_ELO).collect()}
+    assert set(got) == {p for r in past for p in (r.player1_id, r.player2_id)}
+    for p, r in got.items():
+        mine = [m for m in past if p in (m.player1_id, m.player2_id)]
+        wins = [m.winner_player1 if m.player1_id == p else 1 - m.winner_player1 for m in mine]
+        against = [before[m.match_id].elo2_pre if m.player1_id == p else before[m.match_id].elo1_pre for m in mine]
+        assert (r.matches, r.wins, r.last_date, r.rest_days) == (len(mine), sum(wins), mine[-1].match_date, (D(2025, 2, 10) - mine[-1].match_date).days)
+        assert abs(r.form5 - sum(wins[-5:]) / len(wins[-5:])) < 1e-9 and abs(r.opponent_elo_last5 - sum(against[-5:]) / len(against[-5:])) < 1e-9
+        later = [m for m in matches.collect() if m.match_date >= D(2025, 2, 10) and p in (m.player1_id, m.player2_id)]
+        first = min(later, key=lambda m: (m.match_date, m.match_id))  # its rating then is the one by the asked date
+        assert abs(r.elo - (before[first.match_id].elo1_pre if first.player1_id == p else before[first.match_id].elo2_pre)) < 1e-9
+    assert (got[0].points, got[0].rank, got[0].rating_age_group) == (20.0, 2, "u17") and got[1].rank == 9 and got[2].rank is None
+    assert serve.rated_profiles(matches, ratings, "2020-01-01").count() == 0
+
+
+def test_meetings_of_a_pair(spark):
+    matches = sample(spark)
+    past = [r for r in matches.collect() if r.match_date < D(2025, 2, 10) and {r.player1_id, r.player2_id} == {0, 1}]
+    rows = serve.meetings(H.perspectives(matches), 1, 0, "2025-02-10").collect()
+    assert len(rows) == 2 * len(past) and sum(r.win for r in rows) == len(past) and [r.match_date for r in rows] == sorted(r.match_date for r in rows)
+    one = serve.meeting_summary(matches, "2025-02-10").where("player_id = 0 and opponent_id = 1").first()
+    wins = [(r.winner_player1 == 1) == (r.player1_id == 0) for r in past]
+    assert (one.matches, one.wins, one.losses) == (len(past), sum(wins), len(past) - sum(wins))
+    newest = max(range(len(past)), key=lambda i: (past[i].match_date, past[i].match_id))
+    assert one.last_winner == (0 if wins[newest] else 1)
+
+
+def test_names_go_to_who_played_last(spark):
+    rows = [(1, "Anna Bell", D(2025, 1, 1)), (2, "ANNA  BELL", D(2025, 3, 1)), (1, "Anna Bell", D(2025, 2, 1)), (3, "Anna Bella", D(2025, 9, 1)), (4, None, D(2025, 9, 1)), (5, "Zoe", None)]
+    df = spark.createDataFrame(rows, "player_id long, player_name string, match_date date")
+    got = {r.asked: r for r in serve.latest_of_names(df, ["anna bell", " BELL", "zoe", "nobody", ""]).collect()}
+    assert (got["anna bell"].player_id, got["anna bell"].exact, got["anna bell"].candidates) == (2, True, 2)  # not the one whose name only contains it
+    assert (got["BELL"].player_id, got["BELL"].exact, got["BELL"].candidates) == (3, False, 3)
+    assert got["zoe"].player_id == 5 and got["nobody"].player_id is None and got["nobody"].candidates == 0 and len(got) == 4
+    assert serve.latest_of_names(df, []).count() == 0
+
+
+def test_scales_need_ten_rows_and_both_classes(spark):
+    few = spark.createDataFrame([(float(i), float(i % 2)) for i in range(9)], "diff double, y double")
+    one = spark.createDataFrame([(float(i), 1.0) for i in range(20)], "diff double, y double")
+    enough = spark.createDataFrame([(float(i), float(i % 2)) for i in range(10)], "diff double, y double")
+    assert E.scale_grid(few, "diff", [10.0]).count() == 0 and E.scale_grid(one, "diff", [10.0]).count() == 0 and E.scale_grid(enough, "diff", [10.0, 20.0]).count() == 2
