@@ -163,3 +163,12 @@ def test_quantiles_of_all_columns_at_once(spark, monkeypatch, few, sketch):
         held = [r[k] for r in rows if r[k] is not None and r[k] == r[k]]
         assert np.allclose(got[c], np.quantile(held, shares), rtol=1e-12), c
     assert got["nothing"] == [None] * 5 and (few < 5_000 or len(passes) == 1)
+
+
+@pytest.mark.parametrize("by,want", [("cell", [("Ivanova A.B.", "Petrova C.D.", "1-0 6:4", ""), ("Round one", "Ivanova A.B.", "", "")]), ("role", [("Ivanova A.B.", "Petrova C.D.", "1-0 6:4", "x"), ("Ivanova A.B.", "Petrova C.D.", "", "Round one")])])
+def test_tables_are_read_without_an_exchange(spark, by, want):
+    html = "<table><tr><th>Этап<th>Игрок<th>B<th>C</tr><tr><td>x<td>Ivanova A.B.<td>Petrova C.D.<td>1-0 6:4</tr><tr><td>Round one<td>Ivanova A.B.<td>Petrova C.D.<td></tr><tr><td>Only one<td><td>no<td></tr></table>"
+    html = html.replace("<th>B", "<th>player 2").replace("<th>C", "<th>счёт")
+    out = dom.table_matches(spark.createDataFrame([(1, html)], "page_id int, html string"), by)
+    assert "Exchange" not in out._jdf.queryExecution().executedPlan().toString()
+    assert [(r["player1"], r["player2"], r["score"], r["round"]) for r in out.orderBy("place").collect()] == want
