@@ -126,3 +126,22 @@ def test_page_parsers(spark):
     assert P.html_tables("<table><tr><td>a<td>b<tr><td>c</table>") == [[["a", "b"], ["c"]]]
     assert dict(P.flatten({"a": [1, {"b": None}]})) == {"a.0": "1", "a.1.b": ""}
     assert P.table_cells(df).where("row_no = 0").count() == 5
+
+
+def test_common_opponents_of_hot_players_and_rows_exchanged(spark, monkeypatch):
+    import random
+
+    rng = random.Random(3)
+    rows = [(i // 3, *rng.sample("ABCDEFGHIJ", 2), rng.choice([0, 1, None]), 1.0) for i in range(150)]
+    cells = lambda: sorted(tuple(round(x, 9) + 0.0 if isinstance(x, float) else x for x in r) for r in H.common_opponents(H.perspectives(matches(spark, rows))).collect())
+    light = cells()
+    monkeypatch.setattr(H, "HOT", 28)  # some players are hot
+    some = cells()
+    monkeypatch.setattr(H, "HOT", 0)  # a row an opponent for all
+    assert len(light) > 200 and light == some == cells()
+
+
+def test_common_opponents_exchange_a_row_a_match(spark):
+    n = 400
+    plan = H.common_opponents(H.perspectives(matches(spark, [(i, f"p{i % 20}", f"p{(i * 7 + 1) % 20 + 20}", 1, 1.0) for i in range(n)])))
+    assert "BUCKET" not in plan.columns and "explode(sequence" not in plan._jdf.queryExecution().optimizedPlan().toString().lower().replace(" ", "")
