@@ -3,8 +3,10 @@
 from __future__ import annotations
 
 import math
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -105,14 +107,9 @@ def quantiles(df: DataFrame, wanted: dict[str, Sequence[float]]) -> dict[str, li
 
 def _look(x: DataFrame, brackets: list[tuple[int, float, float, int | None, set[int], int]], first, value: dict[tuple[int, int], float]) -> list:
     """One pass over all brackets: values found go to ``value``, what is still open comes back."""
-    each = []
-    for k, (i, low, high, _, _, most) in enumerate(brackets):
-        v, width = F.col(f"x{i}"), (high - low) / CUTS
-        fine = most <= FEW or not low + width > low
-        part = F.when(v < low, F.lit(-1)).when(v > high, F.lit(None)).otherwise(F.lit(0) if fine else F.least(F.lit(CUTS - 1), F.floor((v - low) / F.lit(width)).cast("int")))
-        each.append(F.struct(F.lit(k).alias("k"), part.cast("int").alias("part"), (F.when(v >= low, v) if fine else F.lit(None).cast("double")).alias("one"), v.alias("v")))
-    long = x.select(F.explode(F.array(*each)).alias("s")).select("s.*").where("part is not null and v is not null")
-    counts = long.groupBy("k", "part", "one").agg(F.count("*").alias("c"), F.min("v").alias("low"), F.max("v").alias("high")).collect()
+    spans = [(i, low, high, most <= FEW or not low + (high - low) / CUTS > low) for i, low, high, _, _, most in brackets]
+    found = x.mapInArrow(_bracketed(spans), "k int, part int, one double, c long, low double, high double")
+    counts = found.groupBy("k", "part", "one").agg(F.sum("c").alias("c"), F.min("low").alias("low"), F.max("high").alias("high")).collect()
     left = []
     for k, (i, _, _, before, ranks, _) in enumerate(brackets):
         mine = sorted((r for r in counts if r["k"] == k and r["part"] >= 0), key=lambda r: (r["part"], r["low"]))
@@ -131,6 +128,35 @@ def _look(x: DataFrame, brackets: list[tuple[int, float, float, int | None, set[
     return left
 
 
+def _bracketed(spans: list[tuple[int, float, float, bool]]):
+    """Of each batch: by bracket (column, low, high, fine) the rows below it (part -1) and its values, each by itself where it is fine, else by CUTS equal ranges."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            columns: dict[int, np.ndarray] = {}
+            out: list[tuple[np.ndarray, ...]] = []
+            for k, (i, low, high, fine) in enumerate(spans):
+                if i not in columns:
+                    v = batch.column(i).to_numpy(zero_copy_only=False)
+                    columns[i] = np.sort(v[~np.isnan(v)])
+                v = columns[i]
+                a, b = np.searchsorted(v, low, "left"), np.searchsorted(v, high, "right")
+                if a:
+                    out.append((k, np.array([-1]), np.array([np.nan]), np.array([a]), v[:1], v[a - 1 : a]))
+                v = v[a:b]
+                if len(v):
+                    part = np.zeros(len(v), int) if fine else np.minimum(CUTS - 1, np.floor((v - low) / ((high - low) / CUTS))).astype(int)
+                    at = np.flatnonzero(np.r_[True, (v[1:] != v[:-1]) if fine else part[1:] != part[:-1]])
+                    ends = np.r_[at[1:], len(v)]
+                    out.append((k, part[at], v[at] if fine else np.full(len(at), np.nan), ends - at, v[at], v[ends - 1]))
+            if out:
+                ks = np.repeat([o[0] for o in out], [len(o[1]) for o in out])
+                part, one, c, lo, hi = (np.concatenate([o[j] for o in out]) for j in range(1, 6))
+                yield pa.RecordBatch.from_arrays([pa.array(ks, pa.int32()), pa.array(part, pa.int32()), pa.array(one, pa.float64(), from_pandas=True), pa.array(c, pa.int64()), pa.array(lo), pa.array(hi)], ["k", "part", "one", "c", "low", "high"])
+
+    return run
+
+
 def metrics(df: DataFrame, by: Sequence[str], y: str = "y", p: str = "p") -> DataFrame:
     """n, log loss, Brier score, exact AUC (average ranks of ties) and accuracy by group; rows without y or p are left out.
 

@@ -145,3 +145,13 @@ def test_common_opponents_exchange_a_row_a_match(spark):
     n = 400
     plan = H.common_opponents(H.perspectives(matches(spark, [(i, f"p{i % 20}", f"p{(i * 7 + 1) % 20 + 20}", 1, 1.0) for i in range(n)])))
     assert "BUCKET" not in plan.columns and "explode(sequence" not in plan._jdf.queryExecution().optimizedPlan().toString().lower().replace(" ", "")
+
+
+def test_both_sides_take_one_asof_join(spark):
+    long = H.perspectives(matches(spark, [(0, "A", "B", 1, 1.0), (30, "B", "C", 0, 1.0), (60, "A", "C", 1, 1.0)])).withColumn("age_category", F.lit("U17"))
+    rated = spark.createDataFrame([("A", "U17", D(2025, 1, 20), 7.0), ("B", "U17", D(2025, 1, 1), 5.0), ("B", "U17", D(2025, 2, 1), None)], "player_id string, age_group string, classification_date date, points double")
+    out = K.asof_sides(long, rated, {"points": "points"}, "rating_date")
+    got = {(r.match_id, r.perspective): (r.player_points, r.opponent_points, r.opponent_rating_date) for r in out.collect()}
+    assert got[0, "player1"] == (None, 5.0, D(2025, 1, 1)) and got[0, "player2"] == (5.0, None, None) and got[2, "player2"] == (None, 7.0, D(2025, 1, 20))
+    assert got[1, "player1"] == (5.0, None, None) and got[1, "player2"] == (None, 5.0, D(2025, 1, 1))
+    assert out._jdf.queryExecution().optimizedPlan().toString().count("Union") == 1
