@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from ..operators import boosting as B
 from ..operators import evaluate as E
+from ..operators.stored import stored
 from .registry import RATED_LONG, _rated, register
 
 FEATURES = ["player_points", "opponent_points", "player_rank", "opponent_rank", "player_counting", "opponent_counting", "diff_points"]
@@ -32,15 +33,14 @@ _EDGES = ", ".join(f"list_distinct(quantile_cont(cast({f} as double), [{', '.joi
 )
 def boosting_histogram(spark: SparkSession, d: str) -> DataFrame:
     """The sums that a first tree's first level is made of: derivatives at even odds by feature and bin, the missing in bin 0."""
-    rows = B.kept(_rows(spark, d).select("win", *FEATURES))
-    bins = B.binned(FEATURES, B.bin_edges(rows, FEATURES, 16))
-    ready = rows.select(bins.alias("bins"), F.col("win").cast("double").alias("y"), F.lit(1.0).alias("w"))
-    return B.histogram(B.with_gradients(ready, "y", "w", F.lit(0.0))).select("feature", "bin", "g", "h", "n")
+    rows = stored(_rows(spark, d).select("win", *FEATURES))
+    ready = B.with_bins(rows.withColumnRenamed("win", "y"), FEATURES, B.bin_edges(rows, FEATURES, 16))
+    return B.histogram(ready.withColumns({"w": F.lit(1.0), "m": F.lit(0.0)}), len(FEATURES), 17).select("feature", "bin", "g", "h", "n")
 
 
 @register("boosted_symmetric")
 def boosted_symmetric(spark: SparkSession, d: str) -> DataFrame:
     """A model of twelve trees, fitted on all rows before the split date: figures before and after it."""
-    split = B.kept(E.temporal_split(_rows(spark, d)).select("match_id", "perspective", "win", "is_test", *FEATURES))
+    split = E.temporal_split(stored(_rows(spark, d).select("match_id", "perspective", "match_date", "win", *FEATURES)))
     model = B.fit(split.where("is_test = 0"), FEATURES, rounds=12, step=0.3)
-    return E.metrics(B.score(model, split), ["is_test"], "win")
+    return E.metrics(stored(B.score(model, split).select("is_test", "win", "p")), ["is_test"], "win")

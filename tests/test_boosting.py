@@ -127,3 +127,11 @@ def test_histogram_equals_sql(spark):
 def test_query_has_both_sides(spark):
     out = entry.queries()["boosted_symmetric"](spark, "/root/testdata/sf0.001").collect()
     assert sorted(r.is_test for r in out) == [0, 1] and all(0.4 < r.roc_auc <= 1 for r in out)
+
+
+def test_a_task_gives_its_sums_alone(spark):
+    df = spark.createDataFrame([([i % 3, i % 2], float(i % 2), 1.0, 0.0) for i in range(1000)], "bins array<int>, y double, w double, m double").repartition(2)
+    out = B.histogram(df, 2, 3)
+    assert "Generate" not in out._jdf.queryExecution().optimizedPlan().toString()  # no row for each feature
+    got = {(r.feature, r.bin): (r.g, r.n) for r in out.collect()}
+    assert got[1, 0] == (B.UNIT // 2 * 500, 500) and got[1, 1] == (-B.UNIT // 2 * 500, 500) and sum(n for (f, _), (_, n) in got.items() if f == 0) == 1000
