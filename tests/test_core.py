@@ -155,3 +155,14 @@ def test_both_sides_take_one_asof_join(spark):
     assert got[0, "player1"] == (None, 5.0, D(2025, 1, 1)) and got[0, "player2"] == (5.0, None, None) and got[2, "player2"] == (None, 7.0, D(2025, 1, 20))
     assert got[1, "player1"] == (5.0, None, None) and got[1, "player2"] == (None, 5.0, D(2025, 1, 1))
     assert out._jdf.queryExecution().optimizedPlan().toString().count("Union") == 1
+
+
+def test_elo_in_spans(spark, monkeypatch):
+    import random
+
+    rng = random.Random(4)
+    m = matches(spark, [(i // 4, *rng.sample("ABCDEF", 2), rng.choice([0, 1, None]), rng.choice([None, 2.0, -3.0])) for i in range(60)])
+    whole = sorted(map(tuple, H.elo(m).collect()))
+    monkeypatch.setattr(H, "SPAN", 14)
+    assert len(H._spans([(i, 4) for i in range(15)], 14)) == 5
+    assert whole == sorted(map(tuple, H.elo(m).collect())) and len(whole) == 60
