@@ -172,3 +172,10 @@ def test_tables_are_read_without_an_exchange(spark, by, want):
     out = dom.table_matches(spark.createDataFrame([(1, html)], "page_id int, html string"), by)
     assert "Exchange" not in out._jdf.queryExecution().executedPlan().toString()
     assert [(r["player1"], r["player2"], r["score"], r["round"]) for r in out.orderBy("place").collect()] == want
+
+
+def test_scripts_are_read_without_an_exchange(spark):
+    html = """<script>__data = {"m": [{"player1": {"name": "Ivanova A.B."}, "p": [1], "player2": "Petrova C.D.", "Score": "6:4"}, {"score": "x"}], "a.1": {"b": [{"score": "7-5"}]}}</script><script type="application/json">[</script>"""
+    out = dom.script_matches(spark.createDataFrame([(1, html)], "page_id int, html string"))
+    assert "Exchange" not in out._jdf.queryExecution().executedPlan().toString()
+    assert [(r["place"], r["player1"], r["player2"], r["score"]) for r in out.orderBy("place").collect()] == [("000000.000000.000000000", "Ivanova A.B.", "Petrova C.D.", "6:4"), ("000000.000000.000000005", "", "", "7-5")]
