@@ -329,11 +329,13 @@ def _order_pages(spark: SparkSession, d: str) -> DataFrame:
     """A page an order with its lines as match records: status, date and time where they have one, and one record after the footer."""
     li = table(spark, d, "lineitem")
     block = lambda *cells: F.concat(*[x for c in cells for x in (F.lit("<div>"), c, F.lit("</div>"))])
-    record = F.concat(
-        block(F.col("l_linenumber").cast("string"), F.concat(F.lit("Part "), F.col("l_partkey").cast("string")), F.concat(F.lit("Supp "), F.col("l_suppkey").cast("string")), F.lit("2 : 1"), F.lit("6-4,3-6,[10-8]"), F.col("l_returnflag")),
-        F.when(F.col("l_linenumber") % 2 == 0, block(F.lit("Статус матча"), F.col("l_linestatus"))).otherwise(F.lit("")), F.when(F.col("l_linenumber") % 3 == 0, block(F.lit("Дата"), F.date_format("l_shipdate", "dd.MM.yyyy"))).otherwise(F.lit("")),
+    record = lambda x: F.concat(
+        block(x["l_linenumber"].cast("string"), F.concat(F.lit("Part "), x["l_partkey"].cast("string")), F.concat(F.lit("Supp "), x["l_suppkey"].cast("string")), F.lit("2 : 1"), F.lit("6-4,3-6,[10-8]"), x["l_returnflag"]),
+        F.when(x["l_linenumber"] % 2 == 0, block(F.lit("Статус матча"), x["l_linestatus"])).otherwise(F.lit("")), F.when(x["l_linenumber"] % 3 == 0, block(F.lit("Дата"), F.date_format(x["l_shipdate"], "dd.MM.yyyy"))).otherwise(F.lit("")),
     )
-    rows = li.groupBy("l_orderkey").agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("l_linenumber", "l_partkey", "l_suppkey", record.alias("r")))), lambda x: x["r"]), "<p>junk</p>").alias("body"))
+    # columns are exchanged, not markup
+    lines = F.array_sort(F.collect_list(F.struct("l_linenumber", "l_partkey", "l_suppkey", "l_returnflag", "l_linestatus", "l_shipdate")))
+    rows = li.groupBy("l_orderkey").agg(F.array_join(F.transform(lines, record), "<p>junk</p>").alias("body"))
     head = block(*[F.lit(x) for x in ("№", "Участник 1 (РНИ)", "Участник 2 (РНИ)", "Счет", "Этап турнира")])
     foot = F.concat(block(F.lit("2026 ©")), block(*[F.lit(x) for x in ("9", "Nobody", "No one", "2-0", "6-0,6-0", "x")]))
     return rows.select(F.col("l_orderkey").alias("page_id"), F.concat(F.lit("<html><script>1</script><body>"), head, F.col("body"), foot, F.lit("</body></html>")).alias("html"))

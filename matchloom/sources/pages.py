@@ -5,6 +5,7 @@ from __future__ import annotations
 import json
 import re
 from collections.abc import Iterator
+from html import unescape
 from html.parser import HTMLParser
 
 import pyarrow as pa
@@ -182,7 +183,7 @@ def match_records(lines: list[str]) -> list[dict[str, str]]:
     """Match records after the first header: six lines each, then label pairs in order; a bad line is passed over, a footer ends."""
     starts = (i + 5 for i in range(len(lines) - 4) if lines[i] == HEADER[0] and all(h in lines[i + k] for k, h in enumerate(HEADER)))
     i = next(starts, len(lines))
-    out = []
+    out: list[dict[str, str]] = []
     while i + 6 <= len(lines):
         if lines[i] in FOOTERS:
             break
@@ -193,19 +194,26 @@ def match_records(lines: list[str]) -> list[dict[str, str]]:
         record = dict(zip(FIELDS, six, strict=False))
         i += 6
         for label, field in LABELS.items():
-            if i < len(lines) and lines[i].startswith(label):
+            if i >= len(lines):
+                break
+            if lines[i].startswith(label):
                 record[field] = lines[i + 1] if i + 1 < len(lines) else ""
                 i += 2
         out.append(record)
     return out
 
 
+_HIDDEN, _TAG = re.compile(r"<(script|style)\b.*?</\1>", re.I | re.S), re.compile(r"<[^>]+>")
+#: Where one of these tags may begin, in any case that a page may write (the long s folds to s).
+_MAY_HIDE = re.compile(r"<[sS\u017f]")
+
+
 def text_lines(page: str) -> list[str]:
     """The page's text, one line a run between tags."""
-    page = re.sub(r"(?is)<(script|style)\b.*?</\1>", "\n", page)
-    import html
-
-    return [x for x in (" ".join(html.unescape(t).replace("\xa0", " ").split()) for t in re.sub(r"<[^>]+>", "\n", page).split("\n")) if x]
+    text = _HIDDEN.sub("\n", page) if _MAY_HIDE.search(page) else page
+    runs = _TAG.sub("\n", text).split("\n")
+    lines = (unescape(t) if "&" in t else t for t in runs if t)
+    return [x for t in lines if (x := " ".join(t.split()))]
 
 
 def page_matches(pages: DataFrame, page_id: str = "page_id") -> DataFrame:

@@ -1,5 +1,6 @@
 import datetime as dt
 import math
+import re
 
 import pytest
 from pyspark.sql import functions as F
@@ -166,3 +167,14 @@ def test_elo_in_spans(spark, monkeypatch):
     monkeypatch.setattr(H, "SPAN", 14)
     assert len(H._spans([(i, 4) for i in range(15)], 14)) == 5
     assert whole == sorted(map(tuple, H.elo(m).collect())) and len(whole) == 60
+
+
+def test_text_lines_of_plain_and_odd_pages():
+    assert P.text_lines("<p>a&nbsp; b</p>c\xa0\n d<STYLE>x</style>&lt;i&gt;<br>&#10;<script>1") == ["a b", "c", "d", "<i>", "1"]
+
+
+def test_order_pages_exchange_columns_not_markup(spark):
+    from matchloom.plans import more
+
+    plan = more._order_pages(spark, "/root/testdata/sf0.001")._jdf.queryExecution().analyzed().toString()
+    assert re.search(r"collect_list\(struct\([^()]*l_shipdate", plan)
