@@ -179,3 +179,13 @@ def test_scripts_are_read_without_an_exchange(spark):
     out = dom.script_matches(spark.createDataFrame([(1, html)], "page_id int, html string"))
     assert "Exchange" not in out._jdf.queryExecution().executedPlan().toString()
     assert [(r["place"], r["player1"], r["player2"], r["score"]) for r in out.orderBy("place").collect()] == [("000000.000000.000000000", "Ivanova A.B.", "Petrova C.D.", "6:4"), ("000000.000000.000000005", "", "", "7-5")]
+
+
+def test_plain_markup_gives_the_parsers_tree(monkeypatch):
+    pages = ["<table><tr><td colspan=2>a<td>b<tr><th>c</table>x&amp;y<br/><p class='a b'>q", "<li>a<!-- c -->b<script>x('1')</script><template>no</template></i>z", "<a href='/x?a=1&b=2'>l</a><script>1<2</script>t", "a<b<div/>c"]
+    tree = lambda p: [getattr(p, k) for k in ("tag", "attrs", "parent", "end", "first", "last", "strings", "size")]
+    fast = [tree(dom.Page(h)) for h in pages]
+    read = dom.Page._plain
+    assert [read(dom.Page.__new__(dom.Page), h) for h in pages] == [True, True, False, False]
+    monkeypatch.setattr(dom.Page, "_plain", lambda self, html: False)
+    assert fast == [tree(dom.Page(h)) for h in pages]
