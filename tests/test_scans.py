@@ -189,3 +189,25 @@ def test_plain_markup_gives_the_parsers_tree(monkeypatch):
     assert [read(dom.Page.__new__(dom.Page), h) for h in pages] == [True, True, False, False]
     monkeypatch.setattr(dom.Page, "_plain", lambda self, html: False)
     assert fast == [tree(dom.Page(h)) for h in pages]
+
+
+def test_empty_scripts_and_comments_give_the_parsers_tree(monkeypatch):
+    pages = ["<script />x</script>y", "a<!-- b -->c<p>d<!---->e", "<style a=1>q</style >r", "<!DOCTYPE html><p>x", "<a title='<!-- c -->'>t"]
+    tree = lambda p: [getattr(p, k) for k in ("tag", "attrs", "parent", "end", "first", "last", "strings", "size")]
+    fast = [tree(dom.Page(h)) for h in pages]
+    monkeypatch.setattr(dom.Page, "_plain", lambda self, html: False)
+    assert fast == [tree(dom.Page(h)) for h in pages]
+
+
+def test_pairs_are_the_first_children_of_their_own():
+    html = "<div class='two-columns x'><b><div>no</div></b><div>A:<div>in</div></div><i></i><div>v</div><div>w</div></div><p class=name></p><p class='name'>late</p>"
+    html += "<div class=two-columns><div>B:</div><div class=two-columns><div>C:</div><div>c</div></div></div>"
+    assert dom._details(dom.Page(html)) == [(None, None, [("A: in", "v"), ("B", "C: c"), ("C", "c")], None)]
+
+
+def test_narrow_orders_are_dealt_before_their_pages_are_read(spark, tmp_path):
+    from matchloom.plans import scans
+
+    spark.range(40).selectExpr("id as o_orderkey", "'F' as o_orderstatus", "timestamp '2025-01-01' as o_orderdate", "'1-URGENT' as o_orderpriority").coalesce(1).write.parquet(f"{tmp_path}/orders.parquet")
+    out = scans.calendar_details(spark, str(tmp_path))
+    assert out.rdd.getNumPartitions() == 4 and out.count() == 40
