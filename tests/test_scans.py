@@ -211,3 +211,12 @@ def test_narrow_orders_are_dealt_before_their_pages_are_read(spark, tmp_path):
     spark.range(40).selectExpr("id as o_orderkey", "'F' as o_orderstatus", "timestamp '2025-01-01' as o_orderdate", "'1-URGENT' as o_orderpriority").coalesce(1).write.parquet(f"{tmp_path}/orders.parquet")
     out = scans.calendar_details(spark, str(tmp_path))
     assert out.rdd.getNumPartitions() == 4 and out.count() == 40
+
+
+def test_items_are_dealt_before_they_become_markup(spark, tmp_path):
+    from matchloom.plans import scans
+
+    spark.range(40).selectExpr("id div 4 as l_orderkey", "id as l_partkey", "id % 3 as l_suppkey", "cast(id % 4 as int) as l_linenumber").coalesce(1).write.parquet(f"{tmp_path}/lineitem.parquet")
+    out = scans.dom_cards(spark, str(tmp_path))
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange") == 1 and "concat" not in plan[plan.index("Exchange") :] and out.count() > 40
