@@ -26,58 +26,61 @@ from pyspark.sql import functions as F
 from .storage import materialise, scope
 
 EQUALITY_LANES, SIGN_LANES, SHINGLE = 16, 64, 3
-#: Three 21-bit counters share a long; a group below has fewer than 2^21 shingles.
-PACKED = -(-SIGN_LANES // 3)
+#: Three 21-bit counters share a long: of bits m, m + 21 and m + 42, the last bit alone; a group below has fewer than 2^21 shingles.
+FIELD = 21
+_THREE = 1 | 1 << FIELD | 1 << 2 * FIELD
 _NO_ID = -(2**63)
+_BLANK = " \t\x0b\f\r"
 
 
 def _eq(lane: int, bits: Column) -> Column:
     return bits.bitwiseAND(F.lit(0xFFFFFFFF)) if lane % 2 == 0 else F.shiftrightunsigned(bits, 32)
 
 
-def fingerprint_lanes(df: DataFrame, keys: list[str], text: str) -> DataFrame:
-    """``keys``, ``eq`` array<bigint> and ``signs`` array<int>; one row for each key.
+def equality_lanes(text: Column) -> Column:
+    """``eq`` array<bigint> of one text."""
+    paragraphs = F.filter(F.transform(F.split(text, "\n"), lambda x: F.trim(x, F.lit(_BLANK))), lambda x: x != "")
+    hashes = lambda x: F.array(*[_eq(k, F.xxhash64(F.lit(k // 2), x)) for k in range(EQUALITY_LANES)])
+    return F.aggregate(paragraphs, F.array(*[F.lit(0).cast("long")] * EQUALITY_LANES), lambda s, x: _add_eq(s, hashes(x)))
+
+
+def sign_lanes(df: DataFrame, keys: list[str], text: str) -> DataFrame:
+    """``keys`` and ``signs`` array<int>; one row for each key.
 
     Needs no exchange when ``df`` is already dealt by some of the keys.
     """
     paragraphs = df.select(*keys, F.posexplode(F.split(F.coalesce(F.col(text), F.lit("")), "\n")).alias("_pp", "_raw"))
-    seeded = lambda k: F.when(F.col("_par") == "", F.lit(0)).otherwise(F.xxhash64(F.lit(k), F.col("_par")))
-    hashed = (
-        paragraphs.withColumn("_par", F.trim(F.col("_raw"), F.lit(" \t\x0b\f\r")))
-        .select(*keys, "_pp", F.split("_par", r"\s+").alias("_w"), "_par")
-        .withColumn(
-            "_sh",
-            F.when(
-                F.col("_par") != "",
-                F.transform(
-                    F.sequence(F.lit(0), F.greatest(F.size("_w") - SHINGLE, F.lit(0))),
-                    lambda i: F.xxhash64(*[F.get(F.col("_w"), i + k) for k in range(SHINGLE)]),
-                ),
-            ),
-        )
-        .select(*keys, "_pp", "_sh", *[seeded(k).alias(f"_e{k}") for k in range(EQUALITY_LANES // 2)])
+    words = paragraphs.withColumn("_par", F.trim(F.col("_raw"), F.lit(_BLANK))).select(*keys, "_pp", F.split("_par", r"\s+").alias("_w"), "_par")
+    shingles = F.transform(
+        F.sequence(F.lit(0), F.greatest(F.size("_w") - SHINGLE, F.lit(0))),
+        lambda i: F.xxhash64(*[F.get(F.col("_w"), i + k) for k in range(SHINGLE)]),
     )
-    rows = hashed.select(*keys, "_pp", *[f"_e{k}" for k in range(EQUALITY_LANES // 2)], F.posexplode_outer("_sh").alias("_sp", "_h"))
-    h = F.col("_h")
-    bit = lambda j: F.shiftrightunsigned(h, j).bitwiseAND(F.lit(1).cast("long"))
-    packs = [sum((F.shiftleft(bit(3 * m + b), 21 * b) for b in range(1, 3) if 3 * m + b < SIGN_LANES), bit(3 * m)) for m in range(PACKED)]
-    first = F.coalesce(F.col("_sp"), F.lit(0)) == 0
+    rows = words.select(*keys, "_pp", F.posexplode_outer(F.when(F.col("_par") != "", shingles)).alias("_sp", "_h"))
+    packs = [F.shiftrightunsigned("_h", m).bitwiseAND(F.lit(_THREE)) for m in range(FIELD)] + [F.shiftrightunsigned("_h", SIGN_LANES - 1)]
     part = rows.groupBy(*keys, F.shiftright("_pp", 8).alias("_b1"), F.shiftright("_sp", 12).alias("_b2")).agg(
-        F.count("_h").alias("_n"),
-        *[F.coalesce(F.sum(p), F.lit(0)).alias(f"_p{m}") for m, p in enumerate(packs)],
-        *[F.sum(F.when(first, _eq(k, F.col(f"_e{k // 2}"))).otherwise(F.lit(0))).alias(f"_q{k}") for k in range(EQUALITY_LANES)],
-    )
-    lane = lambda j: F.sum(F.shiftright(F.col(f"_p{j // 3}"), 21 * (j % 3)).bitwiseAND(F.lit(0x1FFFFF)))
-    whole = part.groupBy(*keys).agg(
-        F.sum("_n").alias("_n"),
-        *[lane(j).alias(f"_s{j}") for j in range(SIGN_LANES)],
-        *[F.sum(f"_q{k}").bitwiseAND(F.lit(0xFFFFFFFF)).alias(f"_q{k}") for k in range(EQUALITY_LANES)],
-    )
-    return whole.select(
-        *keys,
-        F.array(*[f"_q{k}" for k in range(EQUALITY_LANES)]).alias("eq"),
-        F.array(*[_signed32(2 * F.col(f"_s{j}") - F.col("_n")).cast("int") for j in range(SIGN_LANES)]).alias("signs"),
+        F.count("_h").alias("_n"), *[F.coalesce(F.sum(p), F.lit(0)).alias(f"_p{m}") for m, p in enumerate(packs)]
     )
+    place = lambda j: (FIELD, 0) if j == 3 * FIELD else (j % FIELD, j // FIELD)
+    lane = lambda m, b: F.sum(F.shiftright(F.col(f"_p{m}"), FIELD * b).bitwiseAND(F.lit((1 << FIELD) - 1)))
+    whole = part.groupBy(*keys).agg(F.sum("_n").alias("_n"), *[lane(*place(j)).alias(f"_s{j}") for j in range(SIGN_LANES)])
+    return whole.select(*keys, F.array(*[_signed32(2 * F.col(f"_s{j}") - F.col("_n")).cast("int") for j in range(SIGN_LANES)]).alias("signs"))
+
+
+def fingerprint_lanes(df: DataFrame, keys: list[str], text: str) -> DataFrame:
+    """``keys``, ``eq`` array<bigint> and ``signs`` array<int>; one row for each key."""
+    each = df.select(*keys, equality_lanes(F.coalesce(F.col(text), F.lit(""))).alias("_eq"))
+    eq = each.groupBy(*keys).agg(F.array(*[F.sum(F.col("_eq")[k]).bitwiseAND(F.lit(0xFFFFFFFF)) for k in range(EQUALITY_LANES)]).alias("eq"))
+    eq = eq.select(*[F.col(k).alias(f"_key{i}") for i, k in enumerate(keys)], "eq")
+    same = [F.col(k).eqNullSafe(F.col(f"_key{i}")) for i, k in enumerate(keys)]
+    return sign_lanes(df, keys, text).join(eq, same).select(*keys, "eq", "signs")
+
+
+def _add_eq(a: Column, b: Column, way: int = 1) -> Column:
+    return F.zip_with(a, b, lambda x, y: (x + way * y).bitwiseAND(F.lit(0xFFFFFFFF)))
+
+
+def _add_signs(a: Column, b: Column, way: int = 1) -> Column:
+    return F.zip_with(a, b, lambda x, y: _signed32(x.cast("long") + way * y.cast("long")).cast("int"))
 
 
 def _signed32(x: Column) -> Column:
@@ -95,8 +98,7 @@ def fingerprint_text(eq: str, signs: str) -> Column:
 def combine(a_eq: Column, a_signs: Column, b_eq: Column, b_signs: Column, insert: bool = True) -> tuple[Column, Column]:
     """Lanes of a with b's paragraphs inserted, or deleted."""
     way = 1 if insert else -1
-    eq = F.zip_with(a_eq, b_eq, lambda x, y: (x + way * y).bitwiseAND(F.lit(0xFFFFFFFF)))
-    return eq, F.zip_with(a_signs, b_signs, lambda x, y: _signed32(x.cast("long") + way * y.cast("long")).cast("int"))
+    return _add_eq(a_eq, b_eq, way), _add_signs(a_signs, b_signs, way)
 
 
 def likeness(a: Column, b: Column) -> Column:
@@ -162,14 +164,22 @@ def _edited(docs: DataFrame) -> DataFrame:
     single = docs.select("kid", "h", "text").repartition("kid", "h").groupBy("kid", "h").agg(F.first("text").alias("text"), F.count("*").alias("copies")).join(order, ["kid", "h"])
     # what a document gives to the one before it: never more than a third of that one
     given = single.select(F.col("prev_kid").alias("kid"), F.col("prev_h").alias("h"), F.expr("left(text, prev_cut)").alias("given"))
-    cut = F.expr("length(text) - floor(length(text) / 3)")
-    edited = single.join(given, ["kid", "h"]).withColumn("edited", F.concat(F.expr("left(text, length(text) - floor(length(text) / 3))"), F.when(cut < F.length("text"), F.col("given")).otherwise(F.lit(""))))
-    both = edited.select("kid", "h", F.explode(F.array(F.struct(F.lit(0).alias("kind"), F.col("text").alias("t")), F.struct(F.lit(1).alias("kind"), F.col("edited").alias("t")))).alias("x"))
-    lanes = fingerprint_lanes(both.select("kid", "h", "x.kind", "x.t"), ["kid", "h", "kind"], "t")
-    of = lambda k: F.max(F.when(F.col("kind") == k, F.struct(F.transform("eq", lambda x: x.cast("int")).alias("eq"), "signs")))
-    pair = lanes.withColumn("eq", F.transform("eq", lambda x: F.when(x >= 2**31, x - 2**32).otherwise(x))).groupBy("kid", "h").agg(of(0).alias("a"), of(1).alias("b"))
-    digest = edited.select("kid", "h", "prev_kid", "prev_h", "copies", F.length("text").cast("long").alias("n_chars"), F.sha2(F.encode("edited", "UTF-8"), 256).alias("edited_sha256"))
-    found = materialise(digest.join(pair, ["kid", "h"]), outer=True)
+    kept = F.expr("left(text, length(text) - floor(length(text) / 3))")
+    edited = single.join(given, ["kid", "h"]).withColumn("kept", kept)
+    edited = edited.withColumn("edited", F.concat("kept", F.when(F.length("kept") < F.length("text"), F.col("given")).otherwise(F.lit(""))))
+    # whole paragraphs that the edit keeps are read once for both texts: sums of lanes of a text's parts, cut between paragraphs, are the text's
+    edited = edited.withColumn("same", F.length("kept") - F.length(F.substring_index("kept", "\n", -1)))
+    parts = [F.expr("left(text, same)"), F.expr("substr(text, same + 1)"), F.expr("substr(edited, same + 1)")]
+    each = edited.select("kid", "h", F.explode(F.array(*[F.struct(F.lit(k).alias("kind"), p.alias("t")) for k, p in enumerate(parts)])).alias("x"))
+    lanes = sign_lanes(each.select("kid", "h", "x.kind", "x.t"), ["kid", "h", "kind"], "t")
+    signs = lanes.groupBy("kid", "h").agg(*[F.max(F.when(F.col("kind") == k, F.col("signs"))).alias(f"s{k}") for k in range(3)])
+    digest = edited.select(
+        "kid", "h", "prev_kid", "prev_h", "copies", F.length("text").cast("long").alias("n_chars"), F.sha2(F.encode("edited", "UTF-8"), 256).alias("edited_sha256"), *[equality_lanes(p).alias(f"e{k}") for k, p in enumerate(parts)]
+    )
+    signed = lambda eq: F.transform(eq, lambda x: _signed32(x).cast("int"))
+    of = lambda k: F.struct(signed(_add_eq(F.col("e0"), F.col(f"e{k}"))).alias("eq"), _add_signs(F.col("s0"), F.col(f"s{k}")).alias("signs"))
+    both = digest.join(signs, ["kid", "h"]).select("kid", "h", "prev_kid", "prev_h", "copies", "n_chars", "edited_sha256", of(1).alias("a"), of(2).alias("b"))
+    found = materialise(both, outer=True)
     to_prev = found.select(F.col("prev_kid").alias("kid"), F.col("prev_h").alias("h"), F.col("a.signs").alias("next_signs"))
     whole = found.join(to_prev, ["kid", "h"])
     each = whole.withColumn("_copy", F.explode(F.sequence(F.lit(1).cast("long"), F.col("copies")))).withColumn("doc_id", F.nullif(F.col("kid"), F.lit(_NO_ID)))

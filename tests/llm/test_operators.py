@@ -177,6 +177,20 @@ def test_fingerprints(spark):
     assert minus.first() == lanes("x y z").select("eq", "signs").first()
 
 
+def test_paragraphs_that_an_edit_keeps_are_read_once(spark, monkeypatch):
+    """The parts' lanes add up to those of the whole texts, and no part holds what another does."""
+    seen = []
+    read = fingerprints.sign_lanes
+    monkeypatch.setattr(fingerprints, "sign_lanes", lambda df, keys, text: seen.append(df.agg(F.sum(F.length(text))).first()[0]) or read(df, keys, text))
+    text = "\n".join(f"line {i} of words that stay" for i in range(30))
+    out = {r.doc_id: r for r in fingerprints.edited_fingerprints(spark.createDataFrame([(2, text), (1, "b c d\n" * 200)], "doc_id long, text string")).collect()}
+    n = len(text)
+    edited = text[: n - n // 3] + ("b c d\n" * 200)[: n // 3]
+    whole = fingerprints.fingerprint_lanes(spark.createDataFrame([(1, text), (2, edited)], "k int, t string"), ["k"], "t").select("k", fingerprints.fingerprint_text("eq", "signs").alias("f"))
+    assert {r.k: r.f for r in whole.collect()} == {1: out[2].fingerprint, 2: out[2].edited_fingerprint}
+    assert seen[0] < 1.5 * (n + 1200)
+
+
 def test_likeness_lanes_hold_many_repeats(spark):
     df = docs(spark, [(i, "again " * n, "en", "s", 0) for i, n in ((1, 65538), (2, 70002), (3, 0))])
     r = {x.doc_id: x for x in fingerprints.fingerprint_lanes(df, ["doc_id"], "text").select("doc_id", "signs").collect()}
