@@ -220,3 +220,33 @@ def test_items_are_dealt_before_they_become_markup(spark, tmp_path):
     out = scans.dom_cards(spark, str(tmp_path))
     plan = out._jdf.queryExecution().executedPlan().toString()
     assert plan.count("Exchange") == 1 and "concat" not in plan[plan.index("Exchange") :] and out.count() > 40
+
+
+def test_tables_that_cannot_be_read_are_no_results(spark, monkeypatch, tmp_path):
+    from pyspark.errors import PySparkException
+
+    from matchloom.plans import scans
+
+    def broken(p):
+        if "bad" in p.strings:
+            raise ValueError("no")
+        return good(p)
+
+    good = dom._matches("cell")
+    monkeypatch.setattr(dom, "_matches", lambda by: broken)
+    html = "<table><tr><td>Ivanova A.B.<td>Petrova C.D.<td>1-0</tr></table>"
+    df = spark.createDataFrame([(1, html), (2, "<p>bad</p>"), (3, None), (4, "<p>none</p>")], "page_id int, html string")
+    got = {r["page_id"]: r for r in dom.table_matches(df).collect()}
+    assert sorted(got) == [1, 2] and got[1]["parse_error"] is None and got[1]["source_parser"] == "html_table"
+    assert (got[2]["source_parser"], got[2]["player1"], got[2]["status"], got[2]["parse_error"]) == ("parse_error", "", "parse_error: no", "parse_error: no")
+    assert [(r["page_id"], r["source_parser"]) for r in dom.page_match_rows(df).where("parse_error is not null").collect()] == [(2, "parse_error")]
+
+    def unread(p):
+        raise ValueError("no")
+
+    monkeypatch.setattr(dom, "_matches", lambda by: unread)
+    spark.range(40).selectExpr("id div 4 as l_orderkey", "id as l_partkey", "id % 3 as l_suppkey", "cast(id % 4 as int) as l_linenumber").coalesce(1).write.parquet(f"{tmp_path}/lineitem.parquet")
+    rows = scans.table_matches(spark, str(tmp_path)).collect()
+    assert len(rows) == 10 and {r["parse_error"] for r in rows} == {"parse_error: no"}
+    with pytest.raises(PySparkException, match="parse_error: no"):
+        scans.table_matches_by_role(spark, str(tmp_path)).collect()
