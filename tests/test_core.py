@@ -148,6 +148,21 @@ def test_common_opponents_exchange_a_row_a_match(spark):
     assert "BUCKET" not in plan.columns and "explode(sequence" not in plan._jdf.queryExecution().optimizedPlan().toString().lower().replace(" ", "")
 
 
+def test_common_opponents_exchange_a_players_row_once_a_block(spark, monkeypatch):
+    import random
+
+    rng = random.Random(5)
+    rows = [(i // 3, *rng.sample("ABCDEFGHIJ", 2), rng.choice([0, 1, None]), 1.0) for i in range(120)] + [(41, "A", None, 1, 1.0)]
+    found = lambda: H.common_opponents(H.perspectives(matches(spark, rows)))
+    cells = lambda: sorted(tuple(round(x, 9) + 0.0 if isinstance(x, float) else x for x in r) for r in found().collect())
+    plan = found()._jdf.queryExecution().optimizedPlan().toString()
+    assert "CoGroup" in plan and "Join" not in plan  # a join with players' rows gives each match one
+    whole = cells()
+    monkeypatch.setattr(H, "BLOCK", 60)
+    monkeypatch.setattr(H, "MEET", 9)
+    assert len(whole) > 150 and whole == cells()
+
+
 def test_both_sides_take_one_asof_join(spark):
     long = H.perspectives(matches(spark, [(0, "A", "B", 1, 1.0), (30, "B", "C", 0, 1.0), (60, "A", "C", 1, 1.0)])).withColumn("age_category", F.lit("U17"))
     rated = spark.createDataFrame([("A", "U17", D(2025, 1, 20), 7.0), ("B", "U17", D(2025, 1, 1), 5.0), ("B", "U17", D(2025, 2, 1), None)], "player_id string, age_group string, classification_date date, points double")
