@@ -250,3 +250,20 @@ def test_tables_that_cannot_be_read_are_no_results(spark, monkeypatch, tmp_path)
     assert len(rows) == 10 and {r["parse_error"] for r in rows} == {"parse_error: no"}
     with pytest.raises(PySparkException, match="parse_error: no"):
         scans.table_matches_by_role(spark, str(tmp_path)).collect()
+
+
+def test_scripts_become_records_where_the_page_is_read(spark):
+    state = """{"m": [{"Player": {"name": "Ivanova\u00a0 A.B."}, "player2": "Petrova C.D.", "Score": "6:4", "score": " 7-5 ", "note": "}; {\\" [\\u0001", "stage": ""}, {"x": "a match", "score": "1-0"}, {"score": "none"}]}"""
+    htmls = {
+        1: f"<script>window.__NUXT__ = {state} ; if (x) {{ y('}}') }}</script>", 2: f"<SCRIPT type='application/ld+json'>\n{state}\n</script >", 3: """<script>__data = {"a": [{"score": "1-0", "score": "2-0"}]}</script>""",
+        4: """<script>__data = {"a": [{"score": "1-0", "n": NaN}]}</script>""", 5: """<script type="application/json">[{"score": "1-0"}] x</script>""", 6: None, 7: """<script>__data = {"a": """ + "[" * 5000 + "]" * 5000 + "}</script>", 8: """<script>__data = {"a": [{"score": "1-0", "x": "\\ud800"}]}</script>""",
+    }
+    out = dom.script_matches(spark.createDataFrame(list(htmls.items()), "page_id int, html string"))
+    plan = out._jdf.queryExecution().optimizedPlan().toString()
+    assert "MapInArrow" in plan and "regexp_extract_all" not in plan and "aggregate(" not in plan  # tokens and leaves aren't rows of lambdas
+    rows = sorted(out.collect(), key=lambda r: (r["page_id"], r["place"] or ""))
+    one = [tuple(r)[2:10] for r in rows if r["page_id"] == 1]
+    assert one == [tuple(r)[2:10] for r in rows if r["page_id"] == 2] and len(one) == 2
+    assert one[0][:7] == ("000000.000000.000000000", "Ivanova A.B.", "Petrova C.D.", "6:4", "", "", "") and one[1][3] == "1-0"
+    assert one[0][7] == r'{"m.0.player.name":"Ivanova A.B.","m.0.player2":"Petrova C.D.","m.0.score":"6:4","m.0.score":"7-5","m.0.note":"}; {\" [\u0001","m.0.stage":""}'
+    assert {r["page_id"]: r["source_parser"] for r in rows if r["page_id"] > 2} == {7: "parse_error", 8: "parse_error"}
