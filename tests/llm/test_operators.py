@@ -439,3 +439,10 @@ def test_pipeline_odd_rows(spark):
     for _, stage in corpus_pipeline.STAGES:
         empty = stage(spark, empty, "")
     assert empty.count() == 0
+
+
+def test_filter_stays_small_on_the_driver_and_loses_no_id(spark):
+    from matchloom.llm import bloom
+
+    bits = bloom.build(spark.range(5_000_000).select("id"))
+    assert len(bits) <= 8 << 20 and bloom.filtered(spark.range(0, 5_000_000, 7), "id", bits).count() == len(range(0, 5_000_000, 7))
